@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from spanloom.llm.common import table
 from spanloom.llm.exact_dedup import exact_dedup
+from spanloom.llm.near_dedup import near_dedup
 from spanloom.llm.packing import pack_documents
 from spanloom.llm.sharding import shard_documents
 from spanloom.llm.token_counts import token_counts
@@ -32,13 +33,17 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(spark, table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"))
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(spark, table(spark, sf_dir, "documents"), words=2)
+
+
 def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = derivatives(responses(table(spark, sf_dir, "pages")))
     return rows.withColumn("block_sha256", F.sha2(F.col("block").cast("binary"), 256))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op2_exact_dedup, op6_best_fit_packing, op7_sharding, op8_token_counts, op10_warc_derivatives]
+    found = [op2_exact_dedup, op6_best_fit_packing, op7_sharding, op8_token_counts, op9_near_dedup, op10_warc_derivatives]
     return {f.__name__: f for f in found}
 
 
