@@ -11,6 +11,7 @@ from spanloom.llm.common import table
 from spanloom.llm.exact_dedup import exact_dedup
 from spanloom.llm.near_dedup import near_dedup
 from spanloom.llm.packing import pack_documents
+from spanloom.llm.quality import score_documents
 from spanloom.llm.sharding import shard_documents
 from spanloom.llm.token_counts import token_counts
 from spanloom.llm.tokens import tokenizer_path
@@ -21,6 +22,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(spark, table(spark, sf_dir, "documents"))
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(spark, table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
@@ -43,7 +48,7 @@ def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op2_exact_dedup, op6_best_fit_packing, op7_sharding, op8_token_counts, op9_near_dedup, op10_warc_derivatives]
+    found = [op2_exact_dedup, op5_quality_classifier, op6_best_fit_packing, op7_sharding, op8_token_counts, op9_near_dedup, op10_warc_derivatives]
     return {f.__name__: f for f in found}
 
 
