@@ -141,7 +141,8 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     stop = solid.copy()
     stop[:-1] &= ~solid[1:] | first[1:n]
     starts, ends = np.flatnonzero(start), np.flatnonzero(stop) + 1
-    return starts, ends, np.searchsorted(offsets, starts, "right") - 1
+    per_text = np.diff(np.searchsorted(starts, offsets))
+    return starts, ends, np.repeat(np.arange(len(offsets) - 1), per_text)
 
 
 def shingle_hashes(column: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanloom.llm.common import table
+from spanloom.llm.decontaminate import leaks
 from spanloom.llm.exact_dedup import exact_dedup
 from spanloom.llm.near_dedup import near_dedup
 from spanloom.llm.packing import pack_documents
@@ -22,6 +23,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(spark, table(spark, sf_dir, "documents"))
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -48,7 +53,7 @@ def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op2_exact_dedup, op5_quality_classifier, op6_best_fit_packing, op7_sharding, op8_token_counts, op9_near_dedup, op10_warc_derivatives]
+    found = [op2_exact_dedup, op4_benchmark_decontamination, op5_quality_classifier, op6_best_fit_packing, op7_sharding, op8_token_counts, op9_near_dedup, op10_warc_derivatives]
     return {f.__name__: f for f in found}
 
 
