@@ -21,6 +21,8 @@ from spanloom.llm.common import LOWER, mixed, prefix_hash, slices, span_hash, st
 
 #: Items sent to the tasks at once; more are taken in further blocks.
 ITEMS_PER_BLOCK = 20_000
+#: Bytes in the runs that are counted before an edit distance is taken.
+GRAM = 6
 
 
 def normalised_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -160,7 +162,7 @@ def prepare(rows: list[tuple[int, str]], search: Search) -> Items | None:
         (begin[word] - item_begin[owner[word]])[order],
         keys.ravel()[by_key],
         np.repeat(used, search.tables)[by_key],
-        [grams(t) if len(t) > 2 else np.zeros(0, np.int64) for t in plain],
+        [grams(t) for t in plain],
         [max((len(c.encode()) for c in set(t.tobytes().decode())), default=1) for t in plain],
     )
 
@@ -202,9 +204,11 @@ def best_edit(pattern: str, text: str) -> tuple[int, int]:
 
 
 def grams(text: np.ndarray) -> np.ndarray:
-    """15-bit codes of the byte trigrams of a text, distinct for a-z and spaces."""
-    t = text.astype(np.int64) & 31
-    return t[:-2] << 10 | t[1:-1] << 5 | t[2:]
+    """16-bit codes of the runs of GRAM bytes of a text; equal codes may stand for different runs."""
+    code = np.zeros(max(0, len(text) - GRAM + 1), np.uint32)
+    for k in range(GRAM):
+        code = code * np.uint32(0x01000193) + text[k : k + len(code)]
+    return (code * np.uint32(0x9E3779B1)) >> np.uint32(16)
 
 
 FOUND = "doc_id long, item_id long, edit_distance int, item_length int, position long"
@@ -240,7 +244,7 @@ def find_leaks(docs: DataFrame, items: Items, search: Search) -> DataFrame:
         return text, spans
 
     def search_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(1 << 15, bool)
+        seen = np.zeros(1 << 16, bool)
         for batch in batches:
             for part in slices(batch, "text"):
                 found = windows(part.column("text"))
@@ -260,12 +264,12 @@ def find_leaks(docs: DataFrame, items: Items, search: Search) -> DataFrame:
                         pattern = items.texts[item]
                         slack = int(search.edit_rate * len(pattern))
                         a, b = max(first[w], start[w] - 4 * slack), min(after[w], start[w] + width[w] + 4 * slack)
-                        # An edit destroys at most (2 + bytes of a character) trigrams of the item.
+                        # An edit destroys at most (GRAM - 1 + bytes of a character) runs of the item.
                         codes = grams(text[a:b])
                         seen[codes] = True
                         missing = np.count_nonzero(~seen[items.codes[item]])
                         seen[codes] = False
-                        if missing > slack * (2 + items.char_bytes[item]):
+                        if missing > slack * (GRAM - 1 + items.char_bytes[item]):
                             continue
                         near = text[a:b].tobytes().decode("utf-8", "ignore")
                         distance, end = best_edit(pattern, near)
