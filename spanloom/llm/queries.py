@@ -12,6 +12,7 @@ from spanloom.llm.decontaminate import leaks
 from spanloom.llm.exact_dedup import exact_dedup
 from spanloom.llm.near_dedup import near_dedup
 from spanloom.llm.packing import pack_documents
+from spanloom.llm.pii import find_pii
 from spanloom.llm.quality import score_documents
 from spanloom.llm.sharding import shard_documents
 from spanloom.llm.token_counts import token_counts
@@ -23,6 +24,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(spark, table(spark, sf_dir, "documents"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_pii(spark, table(spark, sf_dir, "documents"))
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -53,7 +58,7 @@ def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op2_exact_dedup, op4_benchmark_decontamination, op5_quality_classifier, op6_best_fit_packing, op7_sharding, op8_token_counts, op9_near_dedup, op10_warc_derivatives]
+    found = [op2_exact_dedup, op3_pii, op4_benchmark_decontamination, op5_quality_classifier, op6_best_fit_packing, op7_sharding, op8_token_counts, op9_near_dedup, op10_warc_derivatives]
     return {f.__name__: f for f in found}
 
 
