@@ -15,11 +15,16 @@ from spanloom.llm.packing import pack_documents
 from spanloom.llm.pii import find_pii
 from spanloom.llm.quality import score_documents
 from spanloom.llm.sharding import shard_documents
+from spanloom.llm.suffix_dedup import remove_repeats
 from spanloom.llm.token_counts import token_counts
 from spanloom.llm.tokens import tokenizer_path
 from spanloom.llm.warc import derivatives, responses
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(spark, table(spark, sf_dir, "documents")).drop("spans", "kept")
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(spark, table(spark, sf_dir, "documents"))
 
@@ -58,7 +63,7 @@ def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op2_exact_dedup, op3_pii, op4_benchmark_decontamination, op5_quality_classifier, op6_best_fit_packing, op7_sharding, op8_token_counts, op9_near_dedup, op10_warc_derivatives]
+    found = [op1_suffix_array_dedup, op2_exact_dedup, op3_pii, op4_benchmark_decontamination, op5_quality_classifier, op6_best_fit_packing, op7_sharding, op8_token_counts, op9_near_dedup, op10_warc_derivatives]
     return {f.__name__: f for f in found}
 
 
