@@ -5,8 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from spanloom.llm import warc
 from spanloom.llm.common import table
 from spanloom.llm.decontaminate import leaks
 from spanloom.llm.exact_dedup import exact_dedup
@@ -58,8 +58,7 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = derivatives(responses(table(spark, sf_dir, "pages")))
-    return rows.withColumn("block_sha256", F.sha2(F.col("block").cast("binary"), 256))
+    return derivatives(responses(table(spark, sf_dir, "pages")))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -67,6 +66,25 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in found}
 
 
+_CRLF = "chr(13) || chr(10)"
+
+
+def _sql_id(key: str) -> str:
+    h = f"md5({key})"
+    return "'<urn:uuid:' || " + " || '-' || ".join(f"{h}[{a}:{b}]" for a, b in ((1, 8), (9, 12), (13, 16), (17, 20), (21, 32))) + " || '>'"
+
+
+def _sql_text(html: str) -> str:
+    """The plain text of a page, as DuckDB SQL."""
+    text = f"regexp_replace({html}, '{warc.HIDDEN}', ' ', 'g')"
+    text = f"regexp_replace({text}, '{warc.BLANKS}', ' ', 'g')"
+    text = f"regexp_replace(regexp_replace({text}, '{warc.BREAK}', chr(10), 'g'), '{warc.TAG}', '', 'g')"
+    for name, char in warc.ENTITIES:
+        name, char = (x.replace("'", "''") for x in (name, char))
+        text = f"replace({text}, '{name}', '{char}')"
+    return f"trim(regexp_replace(regexp_replace({text}, ' *\\n[ \\n]*', chr(10), 'g'), '  +', ' ', 'g'), ' ' || chr(10))"
+
+
 ORACLE_SQL: dict[str, str] = {
     "op2_exact_dedup": r"""
         WITH d AS (
@@ -76,4 +94,28 @@ ORACLE_SQL: dict[str, str] = {
                count(*) OVER (PARTITION BY text_sha256) AS group_size,
                doc_id = min(doc_id) OVER (PARTITION BY text_sha256) AS kept, text_sha256
         FROM d""",
+    "op10_warc_derivatives": rf"""
+        WITH source AS (
+            SELECT page_id, coalesce(url, '') AS uri, coalesce(html, '') AS html FROM pages),
+        stripped AS (
+            SELECT *, {_sql_text("html")} AS body, 'sha256:' || sha256(html) AS payload_digest,
+                   {_sql_id("'response|' || page_id || '|' || uri")} AS response_id
+            FROM source),
+        made AS (
+            SELECT *, {_sql_id("'metadata|' || response_id")} AS meta_id,
+                   {_sql_id("'conversion|' || response_id")} AS text_id,
+                   'sourceStatus: HTTP/1.1 200 OK' || {_CRLF} || 'source-Content-Type: text/html; charset=utf-8' || {_CRLF}
+                   || 'source-Content-Length: ' || strlen(html) || {_CRLF} || 'sourcePayloadDigest: ' || payload_digest || {_CRLF}
+                   || 'conversionCharacters: ' || length(body) || {_CRLF} AS meta
+            FROM stripped),
+        derived AS (
+            SELECT page_id, uri, payload_digest, response_id, 'metadata' AS record_type, meta_id AS record_id,
+                   text_id AS concurrent_to, 'application/warc-fields' AS content_type, meta AS block FROM made
+            UNION ALL
+            SELECT page_id, uri, payload_digest, response_id, 'conversion', text_id, meta_id, 'text/plain; charset=utf-8', body
+            FROM made)
+        SELECT page_id, record_type, record_id, response_id AS refers_to, uri AS refers_to_target_uri,
+               '2024-01-01T00:00:00Z' AS date, content_type, strlen(block) AS content_length, block,
+               'sha256:' || sha256(block) AS block_digest, payload_digest AS source_payload_digest, concurrent_to
+        FROM derived""",
 }

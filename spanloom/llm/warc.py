@@ -16,13 +16,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CRLF = "\r\n"
-#: Elements whose content is never text.
-_HIDDEN_NAMES = ("script", "style", "noscript", "template", "svg")
-_COMMENT = r"(?s)<!--.*?-->"
-_BREAK = r"(?i)</?(p|div|h[1-6]|li|ul|ol|tr|table|br|hr|section|article|header|footer|nav|main|aside|blockquote|pre|title|form|dl|dt|dd)\b[^>]*>"
-_TAG = r"(?s)<[A-Za-z/!?][^>]*>"
+#: Comments and the elements whose content is never text.
+HIDDEN = r"(?is)<(?:!--.*?-->|script\b.*?</script\s*>|style\b.*?</style\s*>|noscript\b.*?</noscript\s*>|template\b.*?</template\s*>|svg\b.*?</svg\s*>)"
+BLANKS = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
+BREAK = r"(?i)</?(p|div|h[1-6]|li|ul|ol|tr|table|br|hr|section|article|header|footer|nav|main|aside|blockquote|pre|title|form|dl|dt|dd)\b[^>]*>"
+TAG = r"(?s)<[A-Za-z/!?][^>]*>"
 #: Named character references that are decoded; the ampersand comes last.
-_ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&"))
+ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&"))
 
 
 def plain_text(html: Column) -> Column:
@@ -30,17 +30,13 @@ def plain_text(html: Column) -> Column:
 
     Runs of blanks become one space, empty lines go. Null gives the empty text.
     """
-    text = F.coalesce(html, F.lit(""))
-    text = F.regexp_replace(text, _COMMENT, " ")
-    for name in _HIDDEN_NAMES:
-        text = F.regexp_replace(text, rf"(?is)<{name}\b.*?</{name}\s*>", " ")
-    text = F.regexp_replace(text, r"[\x20\x09-\x0D]+", " ")
-    text = F.regexp_replace(text, _BREAK, "\n")
-    text = F.regexp_replace(text, _TAG, "")
-    for name, char in _ENTITIES:
+    text = F.regexp_replace(F.coalesce(html, F.lit("")), HIDDEN, " ")
+    text = F.regexp_replace(text, BLANKS, " ")
+    text = F.regexp_replace(F.regexp_replace(text, BREAK, "\n"), TAG, "")
+    for name, char in ENTITIES:
         text = F.replace(text, F.lit(name), F.lit(char))
     text = F.regexp_replace(text, r" *\n[ \n]*", "\n")
-    return F.regexp_replace(F.regexp_replace(text, r" +", " "), r"^[ \n]+|[ \n]+$", "")
+    return F.btrim(F.regexp_replace(text, r"  +", " "), F.lit(" \n"))
 
 
 def _digest(value: Column) -> Column:
