@@ -9,8 +9,10 @@ documents, numbers the pieces of each length and gives every piece its place.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from operator import itemgetter, neg
 
 import numpy as np
 import pandas as pd
@@ -81,94 +83,97 @@ def _covers(a: Filling, b: Filling) -> bool:
     return True
 
 
-def undominated(counts: dict[int, int], lengths: list[int], room: int, most: int = 8, steps: int = 2000) -> list[Filling]:
+def undominated(counts: list[int], lengths: list[int], room: int, most: int = 4, nodes: int = 400) -> list[Filling]:
     """Fillings of ``room``, least waste first, none of which another one covers.
 
-    ``lengths`` are the remaining ones in falling order. The search goes depth first from the
+    ``lengths`` are the available ones in falling order. The search goes depth first from the
     longest, drops branches that can't waste less than the worst filling kept, and ends
-    at an exact filling or after ``steps`` nodes.
+    at an exact filling or after ``nodes`` nodes.
     """
-    falling = np.array([-x for x in lengths])
     found: list[tuple[int, Filling]] = []
-    nodes = 0
-
-    def descend(i: int, left: int, chosen: list[tuple[int, int]]) -> bool:
-        nonlocal nodes
-        nodes += 1
-        i = max(i, int(np.searchsorted(falling, -left)))
-        if i >= len(lengths) or left == 0:
+    left_nodes = nodes
+    last = lengths[-1] if lengths else room + 1
+
+    def descend(i: int, left: int, chosen: Filling) -> bool:
+        nonlocal left_nodes
+        left_nodes -= 1
+        if left >= last:
+            i = bisect_left(lengths, -left, lo=i, key=neg)
+        if left < last or i == len(lengths):
             if len(found) < most or left < found[-1][0]:
-                filling = tuple(chosen)
-                if not any(w <= left and len(f) + len(filling) < 24 and _covers(f, filling) for w, f in found):
-                    found.append((left, filling))
-                    found.sort(key=lambda x: x[0])
+                if not any(w <= left and _covers(f, chosen) for w, f in found):
+                    found.append((left, chosen))
+                    found.sort(key=itemgetter(0))
                     del found[most:]
             return left == 0
         for j in range(i, len(lengths)):
             length = lengths[j]
-            for n in range(min(counts[length], left // length), 0, -1):
-                if descend(j + 1, left - n * length, [*chosen, (length, n)]):
-                    return True
-                if nodes >= steps:
-                    return True
-            if found and len(found) >= most and sum(counts[x] * x for x in lengths[j + 1 : j + 65]) < left - found[-1][0] and len(lengths) - j < 65:
-                return False
+            n = min(counts[length], left // length)
+            if n and descend(j + 1, left - n * length, (*chosen, (length, n))):
+                return True
+            if left_nodes <= 0:
+                return True
         return False
 
-    descend(0, room, [])
+    descend(0, room, ())
     return [f for _, f in found] or [()]
 
 
-def bin_completion(counts: dict[int, int], capacity: int, branches: int = 64) -> Plan:
+def bin_completion(counts: dict[int, int], capacity: int, branches: int = 24, steps: int = 10_000) -> Plan:
     """As few sequences as the search finds; the best-fit plan is the first incumbent.
 
-    Each node completes a sequence around the longest remaining piece with an undominated
-    filling and repeats it while the counts last. A branch ends when its waste exceeds
-    what a plan with one sequence less than the incumbent could waste. ``branches`` bounds
-    how many alternatives beyond the first filling are tried.
+    Each step completes a sequence around the longest remaining piece with an undominated
+    filling and repeats it while the counts last. A line ends when its waste exceeds what
+    a plan with one sequence less than the incumbent could waste; then the latest untried
+    alternatives follow. ``branches`` bounds the alternatives and ``steps`` the sequences
+    completed in all lines, so the search ends for any counts; it stops at the lower bound.
     """
     incumbent = best_fit_decreasing(counts, capacity)
     total = sum(x * n for x, n in counts.items())
     bound = -(-total // capacity)
-    budget = branches
-
-    def dive(counts: dict[int, int], waste: int, plan: list[tuple[Filling, int]]) -> None:
-        nonlocal incumbent, budget
-        counts, plan = dict(counts), list(plan)
-        while incumbent.sequences > bound:
-            if not counts:
-                incumbent = min(incumbent, Plan(plan), key=lambda p: p.sequences)
-                return
-            lengths = sorted(counts, reverse=True)
+    start = [0] * (capacity + 1)
+    for length, n in counts.items():
+        start[length] = n
+    lines = [(start, sorted(counts, reverse=True), 0, [])]
+    while lines and steps > 0 and incumbent.sequences > bound:
+        have, lengths, waste, plan = lines.pop()
+        have, lengths, plan = list(have), list(lengths), list(plan)
+        while lengths and steps > 0:
+            steps -= 1
             top = lengths[0]
-            counts[top] -= 1
-            choices = undominated(counts, [x for x in lengths if counts[x]], capacity - top)
-            counts[top] += 1
-            for other in choices[1:]:
-                if budget <= 0:
+            have[top] -= 1
+            choices = undominated(have, lengths if have[top] else lengths[1:], capacity - top)
+            have[top] += 1
+            allowed = (incumbent.sequences - 1) * capacity - total
+            for other in reversed(choices[1:]):
+                if branches <= 0:
                     break
-                budget -= 1
-                rest, more, spent = _use(counts, top, other, capacity, once=True)
-                if waste + spent <= (incumbent.sequences - 1) * capacity - total:
-                    dive(rest, waste + spent, [*plan, more])
-            counts, more, spent = _use(counts, top, choices[0], capacity)
+                rest, more, spent = _use(have, top, other, capacity, once=True)
+                if waste + spent <= allowed:
+                    branches -= 1
+                    lines.append((rest, [x for x in lengths if rest[x]], waste + spent, [*plan, more]))
+            have, more, spent = _use(have, top, choices[0], capacity)
             plan.append(more)
             waste += spent
-            if waste > (incumbent.sequences - 1) * capacity - total:
-                return
-
-    dive(counts, 0, [])
+            if waste > allowed:
+                break
+            for x, _ in more[0]:
+                if not have[x]:
+                    del lengths[bisect_left(lengths, -x, key=neg)]
+        if not lengths:
+            incumbent = min(incumbent, Plan(plan), key=lambda p: p.sequences)
     return incumbent
 
 
-def _use(counts: dict[int, int], top: int, rest: Filling, capacity: int, once: bool = False):
+def _use(counts: list[int], top: int, rest: Filling, capacity: int, once: bool = False):
     need = dict(rest)
     need[top] = need.get(top, 0) + 1
     times = 1 if once else min(counts[x] // n for x, n in need.items())
-    left = {x: n - times * need.get(x, 0) for x, n in counts.items()}
+    left = list(counts) if once else counts
+    for x, n in need.items():
+        left[x] -= times * n
     filling = tuple(sorted(need.items(), reverse=True))
-    room = capacity - sum(x * n for x, n in filling)
-    return {x: n for x, n in left.items() if n}, (filling, times), times * room
+    return left, (filling, times), times * (capacity - sum(x * n for x, n in filling))
 
 
 def placements(plan: Plan) -> dict[int, np.ndarray]:

@@ -81,8 +81,8 @@ class WordEncoder(JsonEncoder):
     of words is bounded and begun anew when full, so any vocabulary gives the same ids.
     """
 
-    #: Words kept by one worker process (about 120 bytes each).
-    KEPT = 1_500_000
+    #: Words kept by one worker process (about 300 bytes each).
+    KEPT = 700_000
 
     def __init__(self, path: str):
         super().__init__(path)
