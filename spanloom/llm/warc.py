@@ -110,7 +110,7 @@ def derivatives(records: DataFrame) -> DataFrame:
 
 
 def record_text(rows: DataFrame) -> DataFrame:
-    """One column ``value`` with each derivative as a whole serialised record."""
+    """One column ``value`` with each derivative as a serialised record, but for the last line end."""
     head = F.concat_ws(
         CRLF,
         F.lit("WARC/1.1"),
@@ -126,12 +126,12 @@ def record_text(rows: DataFrame) -> DataFrame:
         F.concat(F.lit("Content-Type: "), "content_type"),
         F.concat(F.lit("Content-Length: "), F.col("content_length").cast("string")),
     )
-    return rows.select(F.concat(head, F.lit(CRLF * 2), "block", F.lit(CRLF * 2)).alias("value"))
+    return rows.select(F.concat(head, F.lit(CRLF * 2), "block", F.lit(CRLF)).alias("value"))
 
 
 def write_warc(rows: DataFrame, path: str, compression: str = "gzip") -> None:
     """Write derivatives as archive files, one for each task."""
-    record_text(rows).write.option("lineSep", "").option("compression", compression).mode("errorifexists").text(path)
+    record_text(rows).write.option("lineSep", CRLF).option("compression", compression).mode("errorifexists").text(path)
 
 
 def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
