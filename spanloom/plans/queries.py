@@ -11,6 +11,7 @@ from spanloom.functions import labels as lb
 from spanloom.functions import sequences as sq
 from spanloom.operators import hits as ht
 from spanloom.operators import intervals as iv
+from spanloom.operators import members as mb
 from spanloom.operators import patterns as pt
 from spanloom.operators import report as rp
 from spanloom.operators import resolve as rs
@@ -558,6 +559,105 @@ def canonical_sort(spark, sf):
     return rows.withColumn("_r", rank).join(counts, "_part").select("doc_id", (F.col("_b") + F.col("_r")).cast("long").alias("place"))
 
 
+# Members, children and lookups
+
+
+@query("""WITH c AS (SELECT DISTINCT o_custkey AS m FROM orders WHERE o_orderkey % 3 = 0) SELECT o_orderkey AS id, o_orderkey IN (SELECT m FROM c) AS member FROM orders""")
+def member_split(spark, sf):
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    lists = orders.filter("o_orderkey % 3 = 0").groupBy((F.col("o_orderkey") % 50).alias("c")).agg(F.array_join(F.collect_set(F.col("o_custkey").cast("string")), ",").alias("members"))
+    return mb.member_split(orders.select(F.col("o_orderkey").alias("id")), lists)
+
+
+@query("""WITH p AS (SELECT fid, seqid, start_pos, end_pos, classification FROM fx_small WHERE source_tier > 2), c AS (SELECT * FROM fx_small WHERE source_tier <= 2),
+    m AS (SELECT p.fid, count(*) AS n, min(c.fid) AS one, min(c.classification) AS k FROM p JOIN c ON c.seqid = p.seqid AND c.start_pos >= p.start_pos AND c.end_pos <= p.end_pos GROUP BY p.fid)
+    SELECT p.fid, CASE WHEN p.fid % 7 = 0 THEN 'has_child' WHEN n IS NULL THEN 'none' WHEN n > 1 THEN 'several' WHEN k <> classification THEN 'class_differs' ELSE 'taken' END AS outcome,
+        CASE WHEN p.fid % 7 <> 0 AND n = 1 AND k = classification THEN one END AS candidate FROM p LEFT JOIN m USING (fid)""", "fx_small")
+def exactly_one_match(spark, sf):
+    small = view(spark, sf, "fx_small").withColumn("strand", F.lit("+"))
+    parents = small.filter("source_tier > 2")
+    return mb.exactly_one_match(parents, parents.filter("fid % 7 = 0").select(F.col("fid").alias("parent")), small.filter("source_tier <= 2"))
+
+
+@query(f"""SELECT fid, 'complete' AS status FROM fx_small WHERE source_tier > 2 UNION ALL
+    SELECT fid, 'partial' FROM fx_small WHERE source_tier <= 2 AND fid NOT IN (SELECT a.fid {PAIRS})""", "fx_small")
+def merge_fallback(spark, sf):
+    fallback, primary = _halves(spark, sf)
+    return mb.merge_fallback(primary, fallback).select("fid", "status")
+
+
+_PAIR_CLASSES = "fx_hits JOIN fx_class a ON a.k = qid % 12 JOIN fx_class b ON b.k = sid % 12"
+
+
+@query(f"SELECT qid, bool_or(NOT (a.cls = b.cls OR starts_with(a.cls, b.cls || '/') OR starts_with(b.cls, a.cls || '/'))) AS dropped FROM {_PAIR_CLASSES} WHERE sid % 5 = 0 GROUP BY qid", "fx_hits", "fx_class")
+def class_conflict_filter(spark, sf):
+    classes = view(spark, sf, "fx_class")
+    a = F.broadcast(classes.select(F.col("k").alias("_qk"), F.col("cls").alias("qclass")))
+    b = F.broadcast(classes.select(F.col("k").alias("_sk"), F.col("cls").alias("sclass")))
+    hits = view(spark, sf, "fx_hits").filter("sid % 5 = 0")
+    return mb.class_conflicts(hits.join(a, F.col("qid") % 12 == F.col("_qk")).join(b, F.col("sid") % 12 == F.col("_sk")))
+
+
+@query("SELECT c_custkey AS id FROM customer WHERE CASE WHEN c_custkey % 4 = 0 THEN 1 ELSE c_custkey % 9 END >= 3")
+def filter_multiplicity(spark, sf):
+    rows = spark.read.parquet(f"{sf}/customer.parquet").select(F.col("c_custkey").alias("id"))
+    return mb.by_multiplicity(rows, rows.withColumn("multiplicity", F.when(F.col("id") % 4 == 0, "bad").otherwise((F.col("id") % 9).cast("string"))), 3)
+
+
+@query(f"""WITH n AS (SELECT seqid, classification, s AS start_pos, e AS end_pos FROM {islands(SMALL, 'seqid, classification')}),
+    seg AS (SELECT * FROM {_segments_sql('n')} WHERE e IS NOT NULL),
+    l AS (SELECT g.seqid, g.s, g.e, list(DISTINCT n.classification ORDER BY n.classification) AS names FROM seg g JOIN n ON n.seqid = g.seqid AND n.start_pos <= g.s AND n.end_pos >= g.e GROUP BY ALL),
+    x AS (SELECT *, string_split(names[1], '/') AS p FROM l),
+    y AS (SELECT *, coalesce(list_max(list_filter(range(1, len(p) + 1), lambda i: len(list_filter(names, lambda m: coalesce(string_split(m, '/')[i] = p[i], false))) = len(names))), 0) AS d FROM x)
+    SELECT seqid, s AS start_pos, e AS end_pos, CASE WHEN d = 0 THEN 'Unknown' ELSE array_to_string(p[1:d], '/') END AS classification FROM y""", "fx_small")
+def cleanup_lca(spark, sf):
+    return mb.cleaned(view(spark, sf, "fx_small"))
+
+
+@query("SELECT fid, trc, CASE trc WHEN 'TRC_0' THEN 'rDNA/45S_rDNA' WHEN 'TRC_4' THEN 'rDNA/5S_rDNA' ELSE 'Satellite/TideCluster/' || trc END AS classification FROM fx_trc", "fx_trc")
+def norm_satellite(spark, sf):
+    known = spark.createDataFrame([("TRC_0", "rDNA/45S_rDNA"), ("TRC_4", "rDNA/5S_rDNA")], "trc string, class string")
+    return mb.satellite_names(view(spark, sf, "fx_trc").select("fid", "trc"), known)
+
+
+@query("""SELECT k, CASE k % 3 WHEN 0 THEN 'Simple_repeat/(AC)n' WHEN 1 THEN 'fam' || k ELSE cls END AS name, replace(replace(cls, '|', '_'), '/', '|') AS piped FROM fx_class""", "fx_class")
+def rm_name(spark, sf):
+    k = F.col("k")
+    kind = F.when(k % 3 == 0, "Simple_repeat").when(k % 3 == 1, "Unspecified").otherwise(F.col("cls"))
+    repeat = F.when(k % 3 == 0, F.lit("(AC)n")).otherwise(F.concat(F.lit("fam"), k.cast("string"), F.lit("__tail__x")))
+    return view(spark, sf, "fx_class").select("k", mb.repeat_name(repeat, kind).alias("name"), mb.other_separator(F.col("cls"), "/", "|").alias("piped"))
+
+
+@query("SELECT o_orderkey AS id, CASE WHEN o_orderkey % 5 = 0 THEN 'partial' ELSE 'complete' END AS status, 'g' || o_orderkey AS grp FROM orders")
+def completeness(spark, sf):
+    key = F.col("o_orderkey").cast("string")
+    name = F.when(F.col("o_orderkey") % 5 == 0, F.concat(F.lit("TE_partial_"), key)).otherwise(F.concat(F.lit("TE_"), key))
+    header = F.concat(F.lit("chr1:1-9  g"), key, F.lit("_5prime"))
+    return spark.read.parquet(f"{sf}/orders.parquet").select(F.col("o_orderkey").alias("id"), lb.completeness(name).alias("status"), sq.header_group(header).alias("grp"))
+
+
+@query("""WITH l AS (SELECT split_part(header, '#', 2) AS class, length(seq) AS n, doc_id FROM fx_sequences)
+    SELECT class, CAST(sum(n) AS BIGINT) AS input_bp, CAST(coalesce(sum(n) FILTER (doc_id % 3 > 0), 0) AS BIGINT) AS output_bp, round(coalesce(sum(n) FILTER (doc_id % 3 > 0), 0) * 100 / sum(n), 6) AS percent FROM l GROUP BY class""", "fx_sequences")
+def library_size_ratios(spark, sf):
+    rows = view(spark, sf, "fx_sequences").select(sq.last_header_class(F.col("header")).alias("class"), F.length("seq").alias("n"), "doc_id")
+    kept = F.sum(F.when(F.col("doc_id") % 3 > 0, F.col("n")).otherwise(0))
+    return rows.groupBy("class").agg(F.sum("n").alias("input_bp"), kept.alias("output_bp"), F.round(kept * 100 / F.sum("n"), 6).alias("percent"))
+
+
+@query("""WITH p AS (SELECT doc_id AS name, length(seq) AS len, CASE WHEN length(seq) > 1000 THEN CAST(floor(length(seq) / 500) AS BIGINT) ELSE 1 END AS n FROM fx_sequences),
+    q AS (SELECT *, unnest(range(n)) AS part FROM p)
+    SELECT name, 1 + CAST(floor(part * len / n) AS BIGINT) AS start_pos, 9 + CAST(floor(part * len / n) AS BIGINT) AS end_pos FROM q""", "fx_sequences")
+def chunk_remap(spark, sf):
+    plan = chunk_plan(spark, sf)
+    return sq.chunk_remap(plan.select("name", "part", F.lit(1).alias("start_pos"), F.lit(9).alias("end_pos")), plan)
+
+
+@query(f"""WITH {_density_sql(STEP)} SELECT seqid, start_pos, end_pos, round(least(1, score * 3), 5) AS score FROM dens""", "fx_features", "fx_seqs")
+def sum_tracks(spark, sf):
+    track = _track(spark, sf)
+    return tr.summed(track.union(track).union(track)).withColumn("score", F.round("score", 5))
+
+
 # Tier resolution
 
 
