@@ -1,0 +1,79 @@
+"""Two sequential kernels on small groups: anchored alignment of flank pairs and line simplification."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+
+
+def anchored_alignment(query: str, ref: str, match: int = 2, mismatch: int = -3, open_: int = 5, extend: int = 2) -> tuple[int, int, int]:
+    """(score, query bases, reference bases) of the best alignment that begins at both starts.
+
+    Affine gaps; the first best cell in row order counts, so shorter prefixes win ties. A row is
+    computed at once: the horizontal gap is a running maximum.
+    """
+    low = -(1 << 30)
+    b = np.frombuffer(ref.encode(), np.uint8)
+    place = np.arange(len(b) + 1)
+    best = np.where(place == 0, 0, -open_ - extend * place).astype(np.int64)
+    down = np.full(len(b) + 1, low, np.int64)
+    top = (0, 0, 0)
+    for i, base in enumerate(query.encode(), 1):
+        down = np.maximum(down - extend, best - open_ - extend)
+        row = down.copy()
+        row[1:] = np.maximum(row[1:], best[:-1] + np.where(b == base, match, mismatch))
+        row[0] = -open_ - extend * i
+        # Gap ending at j from k < j: row[k] - open - extend * (j - k).
+        reach = np.maximum.accumulate(row + extend * place)
+        row[1:] = np.maximum(row[1:], reach[:-1] - open_ - extend * place[1:])
+        best = row
+        j = int(row.argmax())
+        if row[j] > top[0]:
+            top = (int(row[j]), i, j)
+    return top
+
+
+def align_pairs(pairs: DataFrame, least: int = 20, from_end: bool = False) -> DataFrame:
+    """Pairs (qid, sid, query, ref) with score, qspan and sspan, from ``least`` points on.
+
+    ``from_end`` fixes the right ends: both sequences are read backwards.
+    """
+    step = -1 if from_end else 1
+
+    def align(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            found = [anchored_alignment(q[::step], r[::step]) for q, r in zip(frame["query"], frame["ref"])]
+            out = frame[["qid", "sid"]].assign(**{n: [f[i] for f in found] for i, n in enumerate(("score", "qspan", "sspan"))})
+            yield out[out["score"] >= least]
+
+    kind = {f.name: f.dataType.simpleString() for f in pairs.schema}
+    return pairs.mapInPandas(align, f"qid {kind['qid']}, sid {kind['sid']}, score long, qspan long, sspan long")
+
+
+def simplified(track: DataFrame, epsilon: float) -> DataFrame:
+    """Ramer-Douglas-Peucker on (track, x, y): points within ``epsilon`` of the line go, null points stay and part lines."""
+
+    def reduce(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("x")
+        x, y = frame["x"].to_numpy(float), frame["y"].to_numpy(float)
+        keep = np.isnan(y)
+        edges = np.flatnonzero(np.diff(np.concatenate(([0], (~keep).astype(np.int8), [0]))))
+        stack = [(a, b - 1) for a, b in zip(edges[::2], edges[1::2])]
+        for a, b in stack:
+            keep[[a, b]] = True
+        while stack:
+            a, b = stack.pop()
+            if b - a < 2:
+                continue
+            dx, dy = x[b] - x[a], y[b] - y[a]
+            away = np.abs(dy * (x[a + 1 : b] - x[a]) - dx * (y[a + 1 : b] - y[a])) / (np.hypot(dx, dy) or 1.0)
+            far = a + 1 + int(away.argmax())
+            if away.max() > epsilon:
+                keep[far] = True
+                stack += [(a, far), (far, b)]
+        return frame[keep]
+
+    return track.groupBy("track").applyInPandas(reduce, track.schema)
