@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from numbers import Real
 
 import duckdb
 import pandas as pd
@@ -28,7 +29,7 @@ def duck():
 
 def plain(df: pd.DataFrame) -> list[tuple]:
     df = df[sorted(df.columns)]
-    rows = [tuple(None if pd.isna(v) else round(float(v), 6) if isinstance(v, (int, float)) and not isinstance(v, bool) else str(v) for v in r) for r in df.itertuples(index=False)]
+    rows = [tuple(None if pd.isna(v) else round(float(v), 6) if isinstance(v, Real) and not isinstance(v, bool) else str(v) for v in r) for r in df.itertuples(index=False)]
     return sorted(rows, key=repr)
 
 
