@@ -79,3 +79,45 @@ def report_cards(df: DataFrame, lengths: DataFrame) -> DataFrame:
     sums = df.agg(*[F.sum(F.when(label.startswith(p), _width()).otherwise(0)).alias(n) for n, p in (("ltr_bp", "Class_I/LTR"), ("class_ii_bp", "Class_II"), ("line_bp", "Class_I/LINE"), ("tandem_bp", "Satellite"))], F.sum(_width()).alias("all_bp"))
     genome = lengths.agg(F.sum("length").alias("genome_bp"), F.count(F.lit(1)).alias("sequences"))
     return sums.crossJoin(F.broadcast(genome))
+
+
+def shown_sequences(lengths: DataFrame, charts: int, tracks: int) -> DataFrame:
+    """(seqid, length, chart, track): the longest sequences of each kind of figure, ties to the smaller name."""
+    rank = F.row_number().over(W.orderBy(F.col("length").desc(), "seqid"))
+    return lengths.select("seqid", "length", (rank <= charts).alias("chart"), (rank <= tracks).alias("track"))
+
+
+def collapsed_rdna(df: DataFrame) -> DataFrame:
+    """Class totals (classification, n, bp) with rDNA subunits folded into their family."""
+    label = F.col("classification")
+    family = F.when(label.rlike("^rDNA/[^/]+/"), F.regexp_extract(label, "^(rDNA/[^/]+)", 1)).otherwise(label)
+    return df.groupBy(family.alias("classification")).agg(F.count(F.lit(1)).alias("n"), F.sum(_width()).alias("bp"))
+
+
+def array_stats(df: DataFrame) -> DataFrame:
+    """(classification, arrays, copies, bp) of tandem containers."""
+    return df.groupBy("classification").agg(F.count(F.lit(1)).alias("arrays"), F.sum("copy_number").alias("copies"), F.sum(_width()).alias("bp"))
+
+
+def buckets(df: DataFrame) -> DataFrame:
+    """Rows once for each output bucket: their own class and the roll-ups that it belongs to."""
+    label = F.col("classification")
+    rules = (
+        ("Mobile_elements", label.rlike("^Class_I")),
+        ("Tandem_repeats", label.rlike("^(Satellite|TRC_)")),
+        ("Simple_repeats", label == "Simple_repeat"),
+        ("Low_complexity", label == "Low_complexity"),
+        ("rDNA", label.startswith("rDNA")),
+        ("All_Ty1_Copia", label.startswith("Class_I/LTR/Ty1_copia")),
+        ("All_Ty3_Gypsy", label.startswith("Class_I/LTR/Ty3_gypsy")),
+        ("TIR", label.startswith("Class_II/Subclass_1/TIR")),
+    )
+    names = F.array(F.replace(label, F.lit("/"), F.lit(".")), *[F.when(test, F.lit(name)) for name, test in rules])
+    return df.withColumn("bucket", F.explode(F.array_distinct(F.filter(names, lambda n: n.isNotNull()))))
+
+
+def benchmark_stats(df: DataFrame) -> DataFrame:
+    """(rule, s, cpu_time, load, slowest) of rule timings; load is CPU over wall time."""
+    top = df.agg(F.max("s").alias("_m"))
+    load = F.when(F.col("s") > 0, F.round(F.col("cpu_time") / F.col("s"), 6))
+    return df.crossJoin(F.broadcast(top)).select("rule", "s", "cpu_time", load.alias("load"), (F.col("s") == F.col("_m")).alias("slowest"))

@@ -658,6 +658,71 @@ def sum_tracks(spark, sf):
     return tr.summed(track.union(track).union(track)).withColumn("score", F.round("score", 5))
 
 
+@query("SELECT seqid, length, row_number() OVER (ORDER BY length DESC, seqid) <= 2 AS chart, row_number() OVER (ORDER BY length DESC, seqid) <= 4 AS track FROM fx_seqs", "fx_seqs")
+def seq_thresholds(spark, sf):
+    return rp.shown_sequences(view(spark, sf, "fx_seqs"), 2, 4)
+
+
+@query("""SELECT CASE WHEN classification LIKE 'rDNA/45S%' THEN 'rDNA/45S_rDNA' ELSE classification END AS classification, count(*) AS n, CAST(sum(end_pos - start_pos + 1) AS BIGINT) AS bp
+    FROM fx_features GROUP BY ALL""", "fx_features")
+def collapse_rdna(spark, sf):
+    return rp.collapsed_rdna(view(spark, sf, "fx_features"))
+
+
+@query("""SELECT classification, count(*) AS arrays, CAST(sum(source_tier) AS BIGINT) AS copies, CAST(sum(end_pos - start_pos + 1) AS BIGINT) AS bp FROM fx_small GROUP BY ALL""", "fx_small")
+def tr_stats(spark, sf):
+    return rp.array_stats(view(spark, sf, "fx_small").withColumn("copy_number", F.col("source_tier")))
+
+
+@query("""WITH b AS (SELECT fid, replace(classification, '/', '.') AS bucket FROM fx_features
+    UNION SELECT fid, 'Mobile_elements' FROM fx_features WHERE classification LIKE 'Class_I%' UNION SELECT fid, 'Tandem_repeats' FROM fx_features WHERE classification LIKE 'Satellite%'
+    UNION SELECT fid, 'Simple_repeats' FROM fx_features WHERE classification = 'Simple_repeat' UNION SELECT fid, 'Low_complexity' FROM fx_features WHERE classification = 'Low_complexity'
+    UNION SELECT fid, 'rDNA' FROM fx_features WHERE classification LIKE 'rDNA%' UNION SELECT fid, 'All_Ty1_Copia' FROM fx_features WHERE classification LIKE '%Ty1_copia%'
+    UNION SELECT fid, 'All_Ty3_Gypsy' FROM fx_features WHERE classification LIKE '%Ty3_gypsy%' UNION SELECT fid, 'TIR' FROM fx_features WHERE classification LIKE 'Class_II/Subclass_1/TIR%')
+    SELECT bucket, count(*) AS n FROM b GROUP BY bucket""", "fx_features")
+def snk_split_by_class(spark, sf):
+    return rp.buckets(view(spark, sf, "fx_features")).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""WITH b AS (SELECT o_orderpriority AS rule, CAST(sum(o_totalprice) AS DOUBLE) AS s, CAST(count(*) AS DOUBLE) AS cpu_time FROM orders GROUP BY o_orderpriority)
+    SELECT rule, round(s, 2) AS s, cpu_time, round(cpu_time / s, 6) AS load, s = (SELECT max(s) FROM b) AS slowest FROM b""")
+def bench_stats(spark, sf):
+    rows = spark.read.parquet(f"{sf}/orders.parquet").groupBy(F.col("o_orderpriority").alias("rule")).agg(F.sum("o_totalprice").cast("double").alias("s"), F.count(F.lit(1)).cast("double").alias("cpu_time"))
+    return rp.benchmark_stats(rows).withColumn("s", F.round("s", 2))
+
+
+@query("SELECT fid, CASE WHEN fid % 3 = 0 THEN 0 ELSE start_pos % 50 END AS five, CASE WHEN fid % 3 = 1 THEN 0 ELSE end_pos % 70 END AS three FROM fx_domains", "fx_domains")
+def prime_lengths(spark, sf):
+    rows = view(spark, sf, "fx_domains")
+    sides = rows.filter("fid % 3 <> 0").select("fid", F.lit("5prime").alias("prime"), (F.col("start_pos") % 50).alias("length"))
+    return pt.prime_lengths(sides.union(rows.filter("fid % 3 <> 1").select("fid", F.lit("3prime"), F.col("end_pos") % 70)))
+
+
+@query("""SELECT fid AS id, seqid, start_pos, end_pos, CAST(NULL AS BIGINT) AS parent, fid AS group_id FROM fx_small WHERE source_tier > 2
+    UNION ALL SELECT c.fid, c.seqid, c.start_pos, c.end_pos, p.fid, p.fid FROM fx_small c JOIN fx_small p ON c.source_tier <= 2 AND p.source_tier > 2 AND c.seqid = p.seqid AND c.start_pos >= p.start_pos AND c.end_pos <= p.end_pos""", "fx_small")
+def pattern_gff(spark, sf):
+    children, elements = _halves(spark, sf)
+    return pt.with_children(elements, children)
+
+
+@query("SELECT 'UA_L1_' || lpad(CAST(row_number() OVER (ORDER BY seqid, start_pos, end_pos, fid) AS VARCHAR), 8, '0') AS id, fid FROM fx_features", "fx_features")
+def assign_ids(spark, sf):
+    return rs.with_ids(view(spark, sf, "fx_features"), ("seqid", "start_pos", "end_pos", "fid")).select("id", "fid")
+
+
+@query("""WITH l AS (SELECT 'a' AS lib, header, seq FROM fx_sequences WHERE doc_id % 2 = 0 UNION ALL SELECT 'b', replace(header, 'el_', 'TRC_S_'), seq FROM fx_sequences WHERE doc_id % 2 = 1)
+    SELECT lib, header, row_number() OVER (PARTITION BY split_part(header, '#', 2) ORDER BY encode(seq), encode(header)) || '#' || split_part(header, '#', 2) AS short_name FROM l""", "fx_sequences")
+def short_names(spark, sf):
+    from pyspark.sql import Window as W
+
+    rows = view(spark, sf, "fx_sequences")
+    first = rows.filter("doc_id % 2 = 0").select(F.lit("a").alias("lib"), "header", "seq")
+    second = rows.filter("doc_id % 2 = 1").select(F.lit("b").alias("lib"), F.replace("header", F.lit("el_"), F.lit("TRC_S_")).alias("header"), "seq")
+    both = first.unionByName(second).withColumn("_class", sq.header_class(F.col("header")))
+    place = F.row_number().over(W.partitionBy("_class").orderBy("seq", "header"))
+    return both.select("lib", "header", F.concat(place.cast("string"), F.lit("#"), "_class").alias("short_name"))
+
+
 # Tier resolution
 
 
