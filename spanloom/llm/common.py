@@ -178,9 +178,11 @@ def shingle_hashes(column: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray
     return value, np.concatenate(([0], np.cumsum(np.bincount(own, minlength=n_texts))))
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """Runs of rows whose texts hold about ``limit`` bytes, one row at least."""
+def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20, also: str | None = None) -> Iterator[pa.RecordBatch]:
+    """Runs of rows whose texts (of one or two columns) hold about ``limit`` bytes, one row at least."""
     size = np.diff(text_bytes(batch.column(column))[1])
+    if also:
+        size = size + np.diff(text_bytes(batch.column(also))[1])
     total, begin = 0, 0
     for i, n in enumerate(size):
         if total and total + n > limit:

@@ -105,7 +105,7 @@ def checked(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Dat
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text_a", 1 << 20):
+            for part in slices(batch, "text_a", 2 << 20, "text_b"):
                 both, union = _common(*(shingle_hashes(part.column(c), words) for c in ("text_a", "text_b")))
                 linked = pa.array((100 * both >= percent * union) & (union > 0))
                 yield part.select(["a", "b"]).filter(linked)
@@ -133,12 +133,19 @@ def near_groups(
         ),
         "members",
     )
-    spots = members.filter("bands IS NOT NULL").select(F.col("rep").alias("b"), F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
+    reps = members.filter("bands IS NOT NULL")
+    spots = reps.select(F.col("rep").alias("b"), F.posexplode("bands").alias("band", "key"))
     buckets = spots.groupBy("key").agg(F.min("b").alias("a"), F.count(F.lit(1)).alias("members")).filter("members > 1")
     buckets = stored(spark, buckets, "buckets")
-    stars = stored(spark, spots.join(buckets, "key").filter("a <> b").select("a", "b").distinct(), "stars")
+    sizes = reps.select("rep", F.col("n_shingles").alias("n"))
 
-    ids = stars.select(F.col("a").alias("doc_id")).union(stars.select("b")).distinct()
+    def alike(pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) whose set sizes allow the similarity."""
+        both = pairs.join(sizes.toDF("a", "_na"), "a").join(sizes.toDF("b", "_nb"), "b")
+        return both.filter(f"100 * least(_na, _nb) >= {percent} * greatest(_na, _nb)").select("a", "b")
+
+    stars = stored(spark, alike(spots.join(buckets, "key").filter("a <> b").select("a", "b").distinct()), "stars")
+    ids = spots.join(buckets, "key", "left_semi").select(F.col("b").alias("doc_id")).distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     texts = stored(spark, texts.join(ids, "doc_id", "left_semi"), "texts")
 
@@ -147,25 +154,26 @@ def near_groups(
     links = stored(spark, checked(first, texts, words, percent), "links")
     labels = components(spark, links)
     rest = stars.join(first.select("b", F.col("a").alias("_first")), "b").filter("a <> _first").select("a", "b")
-    more = stored(spark, checked(_apart(rest, labels), texts, words, percent), "links")
-    links = links.union(more)
+    links = links.union(stored(spark, checked(_apart(rest, labels), texts, words, percent), "links"))
     labels = components(spark, links)
 
-    # Buckets of three and more whose members are still in different groups: all other pairs.
+    # Buckets of three and more whose members are still apart can hide links between members.
+    # Similar sets share several bands (one alone has a chance of 1e-6 at 0.8), so these
+    # buckets are split by each further band before members are compared in the same way.
     wide = spots.join(buckets.filter("members > 2").withColumnRenamed("a", "centre"), "key").filter("b <> centre")
-    node = labels.withColumnRenamed("node", "b")
-    wide = wide.join(node, "b", "left").select("key", "b", "n", F.coalesce("component", "b").alias("component"))
-    wide = stored(spark, wide, "wide")
-    mixed_ = wide.groupBy("key").agg(F.min("component").alias("_l"), F.max("component").alias("_h")).filter("_l <> _h")
-    mixed_ = stored(spark, wide.join(mixed_.select("key"), "key", "left_semi"), "mixed")
-    x, y = (mixed_.select("key", F.col("b").alias(n), F.col("n").alias(f"n{n}"), F.col("component").alias(f"c{n}")) for n in "xy")
-    pairs = (
-        x.join(y, "key")
-        .filter("x < y AND cx <> cy")
-        .filter(f"100 * least(nx, ny) >= {percent} * greatest(nx, ny)")
-        .select(F.col("x").alias("a"), F.col("y").alias("b"))
-        .distinct()
-    )
+    split = stored(spark, _still_apart(_grouped(wide.select("key", "band", "b"), labels)), "wide")
+    finer = split.select("key", "band", "b").join(reps.select(F.col("rep").alias("b"), F.posexplode("bands").alias("_band", "_key")), "b")
+    finer = finer.filter("_band > band").select(F.xxhash64("key", "_key").alias("key"), "b")
+    groups = finer.groupBy("key").agg(F.min("b").alias("a"), F.count(F.lit(1)).alias("members")).filter("members > 1")
+    groups = stored(spark, groups, "groups")
+    finer = stored(spark, finer.join(groups, "key"), "finer")
+    second = alike(finer.filter("a <> b").select("a", "b").distinct().join(stars, ["a", "b"], "left_anti"))
+    links = links.union(stored(spark, checked(_apart(second, labels), texts, words, percent), "links"))
+    labels = components(spark, links)
+    left = _still_apart(_grouped(finer.filter("members > 2 AND a <> b").select("key", "b"), labels))
+    left = stored(spark, left, "left")
+    x, y = (left.select("key", F.col("b").alias(n), F.col("component").alias(f"c{n}")) for n in ("a", "b"))
+    pairs = alike(x.join(y, "key").filter("a < b AND ca <> cb").select("a", "b").distinct())
     more = stored(spark, checked(stored(spark, pairs, "pairs"), texts, words, percent), "links")
     if more.limit(1).count():
         labels = components(spark, links.union(more))
@@ -175,6 +183,18 @@ def near_groups(
     )
 
 
+def _grouped(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows (key, b) with the component of b."""
+    found = rows.join(labels.withColumnRenamed("node", "b"), "b", "left")
+    return found.withColumn("component", F.coalesce("component", "b"))
+
+
+def _still_apart(rows: DataFrame) -> DataFrame:
+    """The rows of keys that hold more than one component."""
+    ends = rows.groupBy("key").agg(F.min("component").alias("_l"), F.max("component").alias("_h"))
+    return rows.join(ends.filter("_l <> _h").select("key"), "key", "left_semi")
+
+
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     """The pairs whose ends are in different groups so far."""
     a = labels.select(F.col("node").alias("a"), F.col("component").alias("_ca"))
