@@ -24,8 +24,9 @@ from spanloom.llm.common import mixed, prefix_hash, slices, span_hash, stored, t
 
 #: Bytes of one text that are taken at once; longer ones are taken in overlapping parts.
 _PART = 8 << 20
-#: Contexts with one anchor that a task sorts together; the windows of larger groups are dealt singly.
-GROUP = 1000
+#: Contexts with one anchor that a task sorts together (about 4 MB, as much as it sorts at once anyway);
+#: the windows of larger groups are dealt singly.
+GROUP = 20_000
 
 
 def _sorted_directly(words: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarray:
