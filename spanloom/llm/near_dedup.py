@@ -68,7 +68,7 @@ def sketches(docs: DataFrame, words: int, size: int, rows: int) -> DataFrame:
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", 1 << 20):
+            for part in slices(batch, "text", 1 << 19):
                 hashes, offsets = shingle_hashes(part.column("text"), words)
                 n = np.diff(offsets)
                 keys = band_keys(superminhash(hashes, offsets, size), rows)
@@ -105,7 +105,7 @@ def checked(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Dat
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text_a", 2 << 20, "text_b"):
+            for part in slices(batch, "text_a", 1 << 20, "text_b"):
                 both, union = _common(*(shingle_hashes(part.column(c), words) for c in ("text_a", "text_b")))
                 linked = pa.array((100 * both >= percent * union) & (union > 0))
                 yield part.select(["a", "b"]).filter(linked)

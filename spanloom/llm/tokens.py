@@ -82,7 +82,7 @@ class WordEncoder(JsonEncoder):
     """
 
     #: Words kept by one worker process (about 300 bytes each).
-    KEPT = 700_000
+    KEPT = 300_000
 
     def __init__(self, path: str):
         super().__init__(path)
