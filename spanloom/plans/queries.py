@@ -675,10 +675,10 @@ def tr_stats(spark, sf):
 
 
 @query("""WITH b AS (SELECT fid, replace(classification, '/', '.') AS bucket FROM fx_features
-    UNION SELECT fid, 'Mobile_elements' FROM fx_features WHERE classification LIKE 'Class_I%' UNION SELECT fid, 'Tandem_repeats' FROM fx_features WHERE classification LIKE 'Satellite%'
-    UNION SELECT fid, 'Simple_repeats' FROM fx_features WHERE classification = 'Simple_repeat' UNION SELECT fid, 'Low_complexity' FROM fx_features WHERE classification = 'Low_complexity'
-    UNION SELECT fid, 'rDNA' FROM fx_features WHERE classification LIKE 'rDNA%' UNION SELECT fid, 'All_Ty1_Copia' FROM fx_features WHERE classification LIKE '%Ty1_copia%'
-    UNION SELECT fid, 'All_Ty3_Gypsy' FROM fx_features WHERE classification LIKE '%Ty3_gypsy%' UNION SELECT fid, 'TIR' FROM fx_features WHERE classification LIKE 'Class_II/Subclass_1/TIR%')
+    UNION ALL SELECT fid, 'Mobile_elements' FROM fx_features WHERE classification LIKE 'Class_I%' UNION ALL SELECT fid, 'Tandem_repeats' FROM fx_features WHERE classification LIKE 'Satellite%'
+    UNION ALL SELECT fid, 'Simple_repeats' FROM fx_features WHERE classification = 'Simple_repeat'
+    UNION ALL SELECT fid, 'rDNA' FROM fx_features WHERE classification LIKE 'rDNA%' UNION ALL SELECT fid, 'All_Ty1_Copia' FROM fx_features WHERE classification LIKE '%Ty1_copia%'
+    UNION ALL SELECT fid, 'All_Ty3_Gypsy' FROM fx_features WHERE classification LIKE '%Ty3_gypsy%' UNION ALL SELECT fid, 'TIR' FROM fx_features WHERE classification LIKE 'Class_II/Subclass_1/TIR%')
     SELECT bucket, count(*) AS n FROM b GROUP BY bucket""", "fx_features")
 def snk_split_by_class(spark, sf):
     return rp.buckets(view(spark, sf, "fx_features")).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
