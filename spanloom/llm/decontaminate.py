@@ -239,8 +239,8 @@ def find_leaks(docs: DataFrame, items: Items, search: Search) -> DataFrame:
         first = begin[np.searchsorted(owner, doc)]
         after = np.append(begin, len(text))[np.searchsorted(owner, doc, "right")] - 1
         width = items.width[items.seed_item[entry]]
-        start = np.clip(begin[word] - items.seed_offset[entry], first, np.maximum(after - width, first))
-        spans = np.unique(np.column_stack((doc, start, np.minimum(width, after - start), width, first, after)), axis=0)
+        start = begin[word] - items.seed_offset[entry]
+        spans = np.unique(np.column_stack((doc, start, width, first, after)), axis=0)
         return text, spans
 
     def search_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,13 +252,14 @@ def find_leaks(docs: DataFrame, items: Items, search: Search) -> DataFrame:
                     continue
                 text, spans = found
                 ids, rows = part.column("doc_id").to_pylist(), {}
-                for at in range(0, len(spans), 8192):
-                    block = spans[at : at + 8192]
-                    doc, start, size, width, first, after = block.T
-                    inside = np.arange(width.max())[None, :]
-                    taken = text[np.minimum(start[:, None] + inside, len(text) - 1)]
-                    keys = _tables(taken, size, search) if (size == width).all() else _window_keys(taken, size, width, search)
-                    which, entry = _matches(items.keys, keys.ravel())
+                for k in range(0, len(spans), 8192):
+                    block = spans[k : k + 8192]
+                    doc, start, width, first, after = block.T
+                    at = start[:, None] + np.arange(width.max())[None, :]
+                    # A window is never moved at its document's borders: what lies beyond them is padding.
+                    taken = text[np.clip(at, 0, len(text) - 1)]
+                    taken[(at < first[:, None]) | (at >= after[:, None])] = 0
+                    which, entry = _matches(items.keys, _tables(taken, width, search).ravel())
                     pairs = np.unique(np.column_stack((which // search.tables, items.key_item[entry])), axis=0)
                     for w, item in pairs.tolist():
                         pattern = items.texts[item]
@@ -288,13 +289,6 @@ def find_leaks(docs: DataFrame, items: Items, search: Search) -> DataFrame:
     return given.mapInArrow(search_batch, FOUND)
 
 
-def _window_keys(taken: np.ndarray, size: np.ndarray, width: np.ndarray, search: Search) -> np.ndarray:
-    """Keys of windows that the document's end cuts short: the missing symbols are padding."""
-    taken = taken.copy()
-    taken[np.arange(taken.shape[1])[None, :] >= size[:, None]] = 0
-    return _tables(taken, width, search)
-
-
 def leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, search: Search = Search()) -> DataFrame:
     """One row per leaked (doc_id, item_id): edit_distance, item_length, position.
 

@@ -101,6 +101,24 @@ def test_leaks(spark, documents, odd):
     assert Search().tables >= 100
 
 
+def test_leaks_at_borders(spark, documents):
+    rnd = random.Random(11)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(2, 9)))
+    items = [(i, " ".join(word() for _ in range(40))) for i in range(20)]
+    rows = []
+    for trial in range(240):
+        item, text = items[trial % 20]
+        gone = set(rnd.sample(range(len(text)), len(text) // 10 - 2))
+        edited = "".join(c for i, c in enumerate(text) if i not in gone)
+        around = " ".join(word() for _ in range(60))
+        rows.append((trial, item, (edited, f"{around} {edited}", f"{edited} {around}")[trial // 80]))
+    table = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in leaks(spark, documents([(d, t) for d, _, t in rows]), table).collect()}
+    assert got <= {(d, i) for d, i, _ in rows}
+    for place in range(3):  # the whole text, its end, its start
+        assert sum((d, i) in got for d, i, _ in rows[80 * place : 80 * place + 80]) >= 78
+
+
 def test_quality_held_out(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     got = score_documents(spark, docs, labels).join(labels, "doc_id").filter("held_out").toPandas()
