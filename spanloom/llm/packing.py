@@ -87,12 +87,18 @@ def undominated(counts: list[int], lengths: list[int], room: int, most: int = 4,
     """Fillings of ``room``, least waste first, none of which another one covers.
 
     ``lengths`` are the available ones in falling order. The search goes depth first from the
-    longest, drops branches that can't waste less than the worst filling kept, and ends
-    at an exact filling or after ``nodes`` nodes.
+    longest and from as many copies as fit down to one, drops branches that can't waste less
+    than the worst filling kept (all pieces from there on leave too much room), keeps the best
+    ``most`` fillings, and ends at an exact filling or after ``nodes`` nodes.
     """
     found: list[tuple[int, Filling]] = []
     left_nodes = nodes
     last = lengths[-1] if lengths else room + 1
+    tails = [0]  # what the shortest lengths sum to, as far as that is below the room
+    for length in reversed(lengths):
+        if tails[-1] >= room:
+            break
+        tails.append(tails[-1] + counts[length] * length)
 
     def descend(i: int, left: int, chosen: Filling) -> bool:
         nonlocal left_nodes
@@ -107,27 +113,30 @@ def undominated(counts: list[int], lengths: list[int], room: int, most: int = 4,
                     del found[most:]
             return left == 0
         for j in range(i, len(lengths)):
+            if len(found) == most and left - tails[min(len(lengths) - j, len(tails) - 1)] >= found[-1][0]:
+                return False
             length = lengths[j]
-            n = min(counts[length], left // length)
-            if n and descend(j + 1, left - n * length, (*chosen, (length, n))):
-                return True
-            if left_nodes <= 0:
-                return True
+            for n in range(min(counts[length], left // length), 0, -1):
+                if descend(j + 1, left - n * length, (*chosen, (length, n))) or left_nodes <= 0:
+                    return True
         return False
 
     descend(0, room, ())
     return [f for _, f in found] or [()]
 
 
-def bin_completion(counts: dict[int, int], capacity: int, branches: int = 24, steps: int = 10_000) -> Plan:
+def bin_completion(counts: dict[int, int], capacity: int, branches: int = 24, steps: int | None = None) -> Plan:
     """As few sequences as the search finds; the best-fit plan is the first incumbent.
 
     Each step completes a sequence around the longest remaining piece with an undominated
     filling and repeats it while the counts last. A line ends when its waste exceeds what
     a plan with one sequence less than the incumbent could waste; then the latest untried
     alternatives follow. ``branches`` bounds the alternatives and ``steps`` the sequences
-    completed in all lines, so the search ends for any counts; it stops at the lower bound.
+    completed in all lines (by default 10,000, and 8 for each length where that is more), so the
+    search ends for any counts; it stops at the lower bound.
     """
+    if steps is None:
+        steps = max(10_000, 8 * len(counts))
     incumbent = best_fit_decreasing(counts, capacity)
     total = sum(x * n for x, n in counts.items())
     bound = -(-total // capacity)

@@ -63,6 +63,17 @@ def test_bin_completion_reaches_the_optimum():
     assert best == search <= fit
 
 
+def test_bin_completion_with_repeated_lengths():
+    assert bin_completion({4: 4, 3: 4}, 14).sequences == 2
+    rnd = random.Random(1)
+    for _ in range(150):
+        capacity = rnd.randint(10, 30)
+        lengths = rnd.sample(range(2, capacity), rnd.randint(2, 4))
+        items = sorted((rnd.choice(lengths) for _ in range(rnd.randint(6, 11))), reverse=True)
+        plan = bin_completion({x: items.count(x) for x in items}, capacity)
+        assert plan.sequences == fewest(items, capacity), (items, capacity)
+
+
 def test_packing(spark, documents, odd):
     rnd = random.Random(2)
     rows = [(i, " ".join(rnd.choice(["Alpha", "beta,", "gamma-ray", "12"]) for _ in range(rnd.randint(0, 120)))) for i in range(80)] + odd
