@@ -5,6 +5,10 @@ document's item-sized windows are laid wherever a seed of an item (a long word,
 of words) occurs, at the place that the item would then start. A CGK walk maps windows and
 items so that a small edit distance becomes a small Hamming distance; tables of sampled
 positions then pair windows with items, and each pair is confirmed by its exact edit distance.
+
+Edits can spare no long word or run of words, so each item is also cut into one piece more than
+the edits it tolerates: one of them survives in every leak. Pieces are looked up at every byte,
+and what has enough of the item's runs of GRAM bytes around a piece is confirmed in the same way.
 """
 
 from __future__ import annotations
@@ -57,6 +61,18 @@ def cgk(strings: np.ndarray, lengths: np.ndarray, walk: int) -> np.ndarray:
     return out.T
 
 
+@dataclass
+class Pieces:
+    """Pieces of items whose first bytes are taken as a number, sorted by it."""
+
+    head: np.ndarray
+    tail: np.ndarray
+    size: np.ndarray
+    item: np.ndarray
+    offset: np.ndarray
+    bloom: np.ndarray
+
+
 @dataclass
 class Items:
     """A block of items, its seeds and its hash tables."""
@@ -71,6 +87,7 @@ class Items:
     key_item: np.ndarray
     codes: list[np.ndarray]
     char_bytes: list[int]
+    pieces: dict[int, Pieces]
 
 
 @dataclass(frozen=True)
@@ -124,6 +141,98 @@ def _tables(strings: np.ndarray, lengths: np.ndarray, search: Search) -> np.ndar
     return out
 
 
+def _octets(text: np.ndarray) -> np.ndarray:
+    """The eight bytes from each position on as a number; beyond the end are zeros."""
+    out = np.zeros(len(text), np.uint64)
+    for k in range(min(8, len(text))):
+        out[: len(text) - k] |= text[k:].astype(np.uint64) << np.uint64(8 * k)
+    return out
+
+
+def _low(octets: np.ndarray, size: int) -> np.ndarray:
+    return octets & np.uint64((1 << 8 * size) - 1)
+
+
+def _place(octets: np.ndarray) -> np.ndarray:
+    return mixed(octets) >> np.uint64(42)
+
+
+def cut_items(texts: list[str], search: Search) -> dict[int, Pieces]:
+    """Pieces of each item by the number of bytes (8 at most) that they are looked up by.
+
+    With one piece more than the tolerated edits, one is intact in every leak.
+    """
+    rows: dict[int, list[tuple[int, int, int, int, int]]] = {}
+    for item, text in enumerate(texts):
+        n = int(search.edit_rate * len(text)) + 1
+        at = 0
+        for k in range(n if text else 0):
+            piece = text[k * len(text) // n : (k + 1) * len(text) // n].encode()
+            size = min(8, len(piece))
+            ends = (int.from_bytes(piece[:size], "little"), int.from_bytes(piece[-size:], "little"))
+            rows.setdefault(size, []).append((*ends, len(piece), item, at))
+            at += len(piece)
+    out = {}
+    for size, found in rows.items():
+        found.sort()
+        head, tail, *rest = zip(*found)
+        bloom = np.zeros(1 << 22, bool)
+        bloom[_place(np.array(head, np.uint64))] = True
+        out[size] = Pieces(np.array(head, np.uint64), np.array(tail, np.uint64), *(np.array(c, np.int64) for c in rest), bloom)
+    return out
+
+
+def piece_windows(text: np.ndarray, begins: np.ndarray, ends: np.ndarray, items: Items, search: Search) -> np.ndarray:
+    """Rows (item, document, start, start) where a piece lies in a text and enough of its item around it.
+
+    ``begins`` and ``ends`` are the documents' borders in ``text``. A leak's intact piece puts its
+    item's start at most the tolerated edits away, so the runs of GRAM bytes that the edits
+    spare all lie in the window that is counted.
+    """
+    octets, parts = _octets(text), [np.zeros((0, 3), np.int64)]
+    for size, pieces in items.pieces.items():
+        for k in range(0, len(text), 1 << 20):
+            own = _low(octets[k : k + (1 << 20)], size)
+            at = np.flatnonzero(pieces.bloom[_place(own)])
+            which, entry = _matches(pieces.head, own[at])
+            at = at[which] + k
+            last = at + pieces.size[entry]
+            doc = np.searchsorted(begins, at, "right") - 1
+            whole = last <= ends[doc]
+            whole[whole] = _low(octets[last[whole] - size], size) == pieces.tail[entry[whole]]
+            at, entry, doc = at[whole], entry[whole], doc[whole]
+            parts.append(np.unique(np.column_stack((pieces.item[entry], doc, at - pieces.offset[entry])), axis=0))
+    spans = np.unique(np.concatenate(parts), axis=0)
+    if not len(spans):
+        return np.zeros((0, 4), np.int64)
+    codes, kept = grams(text), []
+    member = np.zeros(1 << 16, bool)
+    borders = np.append(np.flatnonzero(np.append(True, spans[1:, 0] != spans[:-1, 0])), len(spans))
+    for low, high in zip(borders[:-1], borders[1:]):
+        item = spans[low, 0]
+        slack = int(search.edit_rate * len(items.texts[item]))
+        own = spans[low:high]
+        if not slack:  # the first occurrence in each document
+            own = own[np.append(True, own[1:, 1] != own[:-1, 1])]
+        need = len(items.codes[item]) - slack * (GRAM - 1 + items.char_bytes[item])
+        if slack and need > 0:
+            member[items.codes[item]] = True
+            good = []
+            for k in range(0, len(own), 4096):
+                _, doc, start = own[k : k + 4096].T
+                a = np.maximum(begins[doc], start - 4 * slack)
+                b = np.minimum(ends[doc], start + items.width[item] + 4 * slack)
+                at = a[:, None] + np.arange(items.width[item] + 8 * slack)[None, :]
+                there = member[codes[np.minimum(at, len(codes) - 1)]] & (at <= (b - GRAM)[:, None])
+                good.append(there.sum(1) >= need)
+            own = own[np.concatenate(good)]
+            member[items.codes[item]] = False
+        if len(own):  # windows of one document that overlap are taken as one
+            new = np.append(True, (own[1:, 1] != own[:-1, 1]) | (own[1:, 2] - own[:-1, 2] > 4 * slack))
+            kept.append(np.column_stack((own[new], own[np.append(new[1:], True), 2])))
+    return np.concatenate(kept) if kept else np.zeros((0, 4), np.int64)
+
+
 def _words_of(column: pa.Array) -> tuple[np.ndarray, ...]:
     data, offsets = text_bytes(column)
     data = LOWER[data]
@@ -153,9 +262,10 @@ def prepare(rows: list[tuple[int, str]], search: Search) -> Items | None:
         strings[i, : width[i]] = plain[i]
     keys = _tables(strings[used], width[used], search)
     by_key = np.argsort(keys.ravel(), kind="stable")
+    texts = [t.tobytes().decode() for t in plain]
     return Items(
         [i for i, _ in rows],
-        [t.tobytes().decode() for t in plain],
+        texts,
         width,
         seeds[order],
         owner[word][order],
@@ -163,7 +273,8 @@ def prepare(rows: list[tuple[int, str]], search: Search) -> Items | None:
         keys.ravel()[by_key],
         np.repeat(used, search.tables)[by_key],
         [grams(t) for t in plain],
-        [max((len(c.encode()) for c in set(t.tobytes().decode())), default=1) for t in plain],
+        [max((len(c.encode()) for c in set(t)), default=1) for t in texts],
+        cut_items(texts, search),
     )
 
 
@@ -226,60 +337,65 @@ def find_leaks(docs: DataFrame, items: Items, search: Search) -> DataFrame:
             seeds, word = np.concatenate((seeds, hashes)), np.concatenate((word, np.arange(len(hashes))))
         hit = bloom[seeds & np.uint64((1 << 22) - 1)]
         which, entry = _matches(items.seeds, seeds[hit])
-        if not len(which):
+        if not len(starts):
             return None
         word = word[hit][which]
-        holds = np.zeros(len(column), bool)
-        holds[owner[word]] = True
-        on = holds[owner]  # only texts with a seed are laid out
-        word = (np.cumsum(on) - 1)[word]
-        owner = owner[on]
-        text, begin = normalised_words(data, starts[on], ends[on])
-        doc = owner[word]
-        first = begin[np.searchsorted(owner, doc)]
-        after = np.append(begin, len(text))[np.searchsorted(owner, doc, "right")] - 1
+        text, begin = normalised_words(data, starts, ends)
+        used = np.unique(owner)
+        begins = begin[np.searchsorted(owner, used)]
+        borders = np.append(begins[1:], len(text)) - 1
+        doc = np.searchsorted(used, owner[word])
         width = items.width[items.seed_item[entry]]
         start = begin[word] - items.seed_offset[entry]
-        spans = np.unique(np.column_stack((doc, start, width, first, after)), axis=0)
-        return text, spans
+        spans = np.unique(np.column_stack((doc, start, width)), axis=0)
+        return text, spans, used, begins, borders
 
     def search_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(1 << 16, bool)
+
+        def confirmed(text: np.ndarray, item: int, a: int, b: int, first: int) -> tuple[int, int, int] | None:
+            """Edit distance, item length and position if bytes a to b hold the item."""
+            pattern = items.texts[item]
+            slack = int(search.edit_rate * len(pattern))
+            # An edit destroys at most (GRAM - 1 + bytes of a character) runs of the item.
+            codes = grams(text[a:b])
+            seen[codes] = True
+            missing = np.count_nonzero(~seen[items.codes[item]])
+            seen[codes] = False
+            if missing > slack * (GRAM - 1 + items.char_bytes[item]):
+                return None
+            near = text[a:b].tobytes().decode("utf-8", "ignore")
+            distance, end = best_edit(pattern, near)
+            if distance > slack:
+                return None
+            return distance, len(pattern), int(a - first) + len(near[:end].encode()) - len(pattern.encode())
+
         for batch in batches:
             for part in slices(batch, "text"):
                 found = windows(part.column("text"))
                 if found is None:
                     continue
-                text, spans = found
+                text, spans, used, begins, borders = found
                 ids, rows = part.column("doc_id").to_pylist(), {}
+                tried = [piece_windows(text, begins, borders, items, search)]
                 for k in range(0, len(spans), 8192):
-                    block = spans[k : k + 8192]
-                    doc, start, width, first, after = block.T
+                    doc, start, width = spans[k : k + 8192].T
                     at = start[:, None] + np.arange(width.max())[None, :]
                     # A window is never moved at its document's borders: what lies beyond them is padding.
                     taken = text[np.clip(at, 0, len(text) - 1)]
-                    taken[(at < first[:, None]) | (at >= after[:, None])] = 0
+                    taken[(at < begins[doc][:, None]) | (at >= borders[doc][:, None])] = 0
                     which, entry = _matches(items.keys, _tables(taken, width, search).ravel())
                     pairs = np.unique(np.column_stack((which // search.tables, items.key_item[entry])), axis=0)
-                    for w, item in pairs.tolist():
-                        pattern = items.texts[item]
-                        slack = int(search.edit_rate * len(pattern))
-                        a, b = max(first[w], start[w] - 4 * slack), min(after[w], start[w] + width[w] + 4 * slack)
-                        # An edit destroys at most (GRAM - 1 + bytes of a character) runs of the item.
-                        codes = grams(text[a:b])
-                        seen[codes] = True
-                        missing = np.count_nonzero(~seen[items.codes[item]])
-                        seen[codes] = False
-                        if missing > slack * (GRAM - 1 + items.char_bytes[item]):
-                            continue
-                        near = text[a:b].tobytes().decode("utf-8", "ignore")
-                        distance, end = best_edit(pattern, near)
-                        if distance <= slack:
-                            row = (distance, len(pattern), int(a - first[w]) + len(near[:end].encode()) - len(pattern.encode()))
-                            key = (doc[w], item)
-                            rows[key] = min(rows.get(key, row), row)
+                    w, item = pairs.T
+                    tried.append(np.column_stack((item, doc[w], start[w], start[w] + width[w] - items.width[item])))
+                for item, d, low, high in np.unique(np.concatenate(tried), axis=0).tolist():
+                    reach = 4 * int(search.edit_rate * len(items.texts[item]))
+                    a = max(int(begins[d]), low - reach)
+                    b = min(int(borders[d]), high + int(items.width[item]) + reach)
+                    if (row := confirmed(text, item, a, b, int(begins[d]))) is not None:
+                        rows[d, item] = min(rows.get((d, item), row), row)
                 if rows:
-                    out = [(ids[d], items.ids[i], *r) for (d, i), r in rows.items()]
+                    out = [(ids[used[d]], items.ids[i], *r) for (d, i), r in rows.items()]
                     kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64())
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, t) for c, t in zip(zip(*out), kinds)], [x.split()[0] for x in FOUND.split(", ")]

@@ -119,6 +119,23 @@ def test_leaks_at_borders(spark, documents):
         assert sum((d, i) in got for d, i, _ in rows[80 * place : 80 * place + 80]) >= 78
 
 
+def test_leaks_without_intact_words(spark, documents):
+    rnd = random.Random(12)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9))
+    clause = lambda n: "".join(chr(rnd.randint(0x4E00, 0x9FFF)) for _ in range(n))
+    items = [(i, " ".join(word() for _ in range(20))) for i in range(10)] + [(i, clause(40)) for i in range(10, 20)] + [(20, "ab cd ef gh")]
+    rows = []
+    for i, text in items[:10]:  # one letter of nearly every word, and no run of three is whole
+        words = [w[:4] + "0" + w[5:] if k % 20 != 7 else w[:8] + "0" for k, w in enumerate(text.split(" "))]
+        rows.append((i, " ".join([*(word() for _ in range(30)), *words[:19], text.split(" ")[19], word()])))
+    for i, text in items[10:20]:  # inside running text, with three characters changed
+        rows.append((i, clause(30) + text[:9] + "x" + text[10:21] + "y" + text[22:33] + "z" + text[34:] + clause(30)))
+    rows.append((20, "zz xb cd ef gh zz"))
+    table = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in leaks(spark, documents(rows), table).collect()}
+    assert got == {(i, i) for i in range(21)}
+
+
 def test_quality_held_out(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     got = score_documents(spark, docs, labels).join(labels, "doc_id").filter("held_out").toPandas()
