@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -29,10 +30,12 @@ def whole_text(name: str = "text") -> Column:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: the session's ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests on one machine) a temporary folder is set.
+    Only where a local session names none (tests on one machine) a temporary folder is set.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = getattr(spark, "_spanloom_dir", None)
         if path is None:
             path = spark._spanloom_dir = tempfile.mkdtemp(prefix="spanloom-")
@@ -47,7 +50,14 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     gives later joins plain scans whose skewed partitions adaptive execution can split.
     """
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    # What the written table was shuffled through isn't read again.
+    clean = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(clean, "false")
+    spark.conf.set(clean, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(clean, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -93,7 +103,11 @@ class _Powers:
 
 
 def prefix_hash(data: np.ndarray) -> np.ndarray:
-    """Running polynomial sums P of the bytes; see :func:`span_hash`."""
+    """Running polynomial sums P of the bytes; see :func:`span_hash`.
+
+    Different texts can be made to collide, so these hashes only choose places; they never
+    decide that bytes are equal.
+    """
     up, _ = _Powers.upto(len(data))
     out = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up, out=out[1:])
@@ -106,6 +120,38 @@ def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mixed((prefix[end] - prefix[start]) * down[start] + (end - start).astype(np.uint64))
 
 
+#: Longer words are hashed one by one.
+_LONG_WORD = 4096
+
+
+def _tail(size: np.ndarray) -> np.ndarray:
+    """Masks of the lowest ``size`` (1 to 8) bytes of a 64-bit word."""
+    return np.uint64(_MASK) >> (np.uint64(64) - np.uint64(8) * size.astype(np.uint64))
+
+
+def octets(data: np.ndarray) -> np.ndarray:
+    """A view of the eight bytes from each place on as one number; zeros follow the data."""
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    return np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte spans [start, end), chained over eight bytes at a time."""
+    lanes, size = octets(data), ends - starts
+    out = mixed(size.astype(np.uint64) + _BASE)
+    on = np.flatnonzero((size > 0) & (size <= _LONG_WORD))
+    at = 0
+    while len(on):
+        lane = lanes[starts[on] + at] & _tail(np.minimum(size[on] - at, 8))
+        out[on] = mixed((out[on] ^ lane) * _BASE + np.uint64(at + 1))
+        at += 8
+        on = on[size[on] > at]
+    for i in np.flatnonzero(size > _LONG_WORD):
+        digest = hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest()
+        out[i] = int.from_bytes(digest, "little")
+    return out
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Concatenated UTF-8 bytes of a string column and the n+1 offsets; null is empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -157,7 +203,7 @@ def shingle_hashes(column: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray
         return np.zeros(0, np.uint64), np.zeros(n_texts + 1, np.int64)
     data = LOWER[data]
     starts, ends, owner = word_spans(data, offsets)
-    hashes = span_hash(prefix_hash(data), starts, ends)
+    hashes = word_hashes(data, starts, ends)
     per_text = np.bincount(owner, minlength=n_texts)
     first_word = np.concatenate(([0], np.cumsum(per_text)))
     left = first_word[1:][owner] - np.arange(len(owner))  # words from here to the end of the text

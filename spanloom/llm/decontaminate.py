@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanloom.llm.common import LOWER, mixed, prefix_hash, slices, span_hash, stored, text_bytes, word_spans
+from spanloom.llm.common import LOWER, mixed, slices, stored, text_bytes, word_hashes, word_spans
 
 #: Items sent to the tasks at once; more are taken in further blocks.
 ITEMS_PER_BLOCK = 20_000
@@ -237,7 +237,7 @@ def _words_of(column: pa.Array) -> tuple[np.ndarray, ...]:
     data, offsets = text_bytes(column)
     data = LOWER[data]
     starts, ends, owner = word_spans(data, offsets)
-    return data, starts, ends, owner, span_hash(prefix_hash(data), starts, ends)
+    return data, starts, ends, owner, word_hashes(data, starts, ends)
 
 
 def prepare(rows: list[tuple[int, str]], search: Search) -> Items | None:

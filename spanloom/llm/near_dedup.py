@@ -1,9 +1,11 @@
 """Near-dedup on word shingles: SuperMinHash signatures, banding, exact checks, union-find groups.
 
-Documents with equal shingle sets become one class first. Classes meet in band buckets; each
-member is checked against its bucket's smallest member on full shingle sets, and what is
-linked merges. Buckets whose members are then in different groups are the only ones whose
-remaining pairs are checked, so a group of many copies costs about one check a member.
+Documents with equal shingle sets become one class first. Classes meet in band buckets, and each
+member is compared with its buckets' smallest member, the centre, on full shingle sets: that
+gives links, and for every member its difference from the centre. Around a centre whose members are
+then still in different groups, members are compared with each other through these differences
+alone, |x & y| = |c| - |c - x| - |c - y| + |the tokens that both differences hold|, in bounded
+blocks; a block gives only the links that join groups. So the rows are members times centres, never pairs.
 """
 
 from __future__ import annotations
@@ -18,6 +20,10 @@ from pyspark.sql import functions as F
 from spanloom.llm.common import mixed, shingle_hashes, slices, stored
 from spanloom.llm.graph import components
 
+#: Members of a centre that one task compares, and bytes of their differences.
+BLOCK = 1024
+BLOCK_BYTES = 8 << 20
+
 
 def superminhash(hashes: np.ndarray, offsets: np.ndarray, size: int = 128) -> np.ndarray:
     """Signatures (texts x size) of the element sets ``hashes[offsets[i]:offsets[i + 1]]``.
@@ -53,13 +59,22 @@ def superminhash(hashes: np.ndarray, offsets: np.ndarray, size: int = 128) -> np
 def band_keys(signatures: np.ndarray, rows: int) -> np.ndarray:
     """One 64-bit key per band of ``rows`` slots; the band's number is part of the key."""
     texts, size = signatures.shape
-    bands = signatures.reshape(texts, size // rows, rows)
+    bands = signatures[:, : size // rows * rows].reshape(texts, size // rows, rows)
     key = np.broadcast_to(np.arange(size // rows, dtype=np.uint64) + np.uint64(1), bands.shape[:2]).copy()
     for r in range(rows):
         key = mixed(key * np.uint64(0x100000001B3) + bands[:, :, r])
     return key
 
 
+def set_keys(hashes: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+    """Two 64-bit sums over each set; sets with equal sums and sizes are taken as equal."""
+    out = []
+    for salt in (0x51ED270B, 0xB5297A4D):
+        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed(hashes ^ np.uint64(salt)))))
+        out.append((total[offsets[1:]] - total[offsets[:-1]]).view(np.int64))
+    return out
+
+
 SKETCH = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
 
 
@@ -70,12 +85,8 @@ def sketches(docs: DataFrame, words: int, size: int, rows: int) -> DataFrame:
         for batch in batches:
             for part in slices(batch, "text", 1 << 19):
                 hashes, offsets = shingle_hashes(part.column("text"), words)
-                n = np.diff(offsets)
+                n, sums = np.diff(offsets), set_keys(hashes, offsets)
                 keys = band_keys(superminhash(hashes, offsets, size), rows)
-                sums = []
-                for salt in (0x51ED270B, 0xB5297A4D):
-                    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed(hashes ^ np.uint64(salt)))))
-                    sums.append((total[offsets[1:]] - total[offsets[:-1]]).view(np.int64))
                 bands = pa.ListArray.from_arrays(
                     pa.array(np.arange(len(n) + 1) * keys.shape[1], pa.int32()), pa.array(keys.view(np.int64).ravel())
                 )
@@ -88,93 +99,260 @@ def sketches(docs: DataFrame, words: int, size: int, rows: int) -> DataFrame:
     return rows_in.mapInArrow(sketch, SKETCH)
 
 
-def _common(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Sizes of the intersections and unions of two lists of sets, row by row."""
-    sizes = [np.diff(x[1]) for x in (a, b)]
-    rows = np.concatenate([np.repeat(np.arange(len(s)), s) for s in sizes])
-    values = np.concatenate((a[0], b[0]))
-    order = np.lexsort((values, rows))
-    values, rows = values[order], rows[order]
-    same = (values[1:] == values[:-1]) & (rows[1:] == rows[:-1])
-    both = np.bincount(rows[1:][same], minlength=len(sizes[0]))
-    return both, sizes[0] + sizes[1] - both
+SETS = "doc_id long, set_a long, set_b long, tokens array<long>"
+
+
+def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
+    """The shingle hashes of every document, sorted, beside the key of the set."""
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", 1 << 19):
+                hashes, offsets = shingle_hashes(part.column("text"), words)
+                tokens = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(hashes.view(np.int64)))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), *map(pa.array, set_keys(hashes, offsets)), tokens], [x.split()[0] for x in SETS.split(", ")]
+                )
+
+    return docs.mapInArrow(sets, SETS)
+
+
+def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Values and offsets of a column of 64-bit lists."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    offsets = column.offsets.to_numpy()
+    return column.values.to_numpy()[offsets[0] : offsets[-1]].view(np.uint64), offsets - offsets[0]
+
+
+def difference(centre: np.ndarray, tokens: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each list of tokens: those of the centre that it lacks, how many, and its own beyond the centre's.
+
+    ``centre`` and the lists are sorted and without repeats. Returns (row, token, lacking) with
+    the rows in order, the tokens that a row lacks before its own ones.
+    """
+    n, row = len(offsets) - 1, np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    at = np.minimum(np.searchsorted(centre, tokens), max(0, len(centre) - 1))
+    known = centre[at] == tokens if len(centre) else np.zeros(len(tokens), bool)
+    lacks = np.ones((n, len(centre)), bool)
+    lacks[row[known], at[known]] = False
+    lack_row, lack_at = np.nonzero(lacks)
+    rows = np.concatenate((lack_row, row[~known]))
+    values = np.concatenate((centre[lack_at], tokens[~known]))
+    order = np.argsort(rows, kind="stable")
+    return rows[order], values[order], np.bincount(lack_row, minlength=n)
+
+
+STARS = "a long, b long, linked boolean, n_a int, lacking int, apart array<long>"
+
 
+def compared(rows: DataFrame, percent: int) -> DataFrame:
+    """Members against their centres, from rows (a, part, b, centre, several, tokens).
 
-def checked(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets have at least ``percent`` % in common."""
+    Gives (a, b, linked, n_a, lacking, apart): whether the sets have ``percent`` % in common, the
+    centre's size and, where the centre has ``several`` members, the member's difference from it.
+    """
 
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(0, np.uint64)
+        for batch in batches:
+            a, part, b = (batch.column(c).to_numpy() for c in ("a", "part", "b"))
+            centre, several = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("centre", "several"))
+            tokens, offsets = _lists(batch.column("tokens"))
+            cuts = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (part[1:] != part[:-1])))
+            for begin, end in zip(cuts, np.append(cuts[1:], batch.num_rows)):
+                while begin < end and centre[begin]:
+                    held = tokens[offsets[begin] : offsets[begin + 1]].copy()
+                    begin += 1
+                step = max(1, (4 << 20) // max(1, len(held)))
+                for k in range(begin, end, step):
+                    stop = min(end, k + step)
+                    own = offsets[k : stop + 1]
+                    row, value, lacking = difference(held, tokens[own[0] : own[-1]], own - own[0])
+                    both = len(held) - lacking
+                    linked = 100 * both >= percent * (np.diff(own) + lacking)
+                    if not several[k]:
+                        row, value = row[:0], value[:0]
+                    ends = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=stop - k))))
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(a[k:stop]), pa.array(b[k:stop]), pa.array(linked), pa.array(np.full(stop - k, len(held), np.int32)),
+                            pa.array(lacking.astype(np.int32)),
+                            pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(value.view(np.int64))),
+                        ],
+                        [x.split()[0] for x in STARS.split(", ")],
+                    )
+
+    given = rows.select("a", "part", "b", "centre", "several", "tokens")
+    return given.repartition("a", "part").sortWithinPartitions("a", "part", F.col("centre").desc(), "b").mapInArrow(compare, STARS)
+
+
+def shared_tokens(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray], dense: int = 64) -> np.ndarray:
+    """How many tokens each list of ``x`` has in common with each list of ``y`` (a matrix).
+
+    Tokens that meet at most ``dense`` times are counted one by one, all others as a matrix product.
+    """
+    k, m = len(x[1]) - 1, len(y[1]) - 1
+    out = np.zeros((k, m), np.float32)
+    row, col = (np.repeat(np.arange(n), np.diff(z[1])) for n, z in ((k, x), (m, y)))
+    known, first = np.unique(x[0], return_inverse=True)
+    if not len(known):
+        return out
+    second = np.minimum(np.searchsorted(known, y[0]), len(known) - 1)
+    hit = known[second] == y[0]
+    second, col = second[hit], col[hit]
+    often = np.bincount(first, minlength=len(known)), np.bincount(second, minlength=len(known))
+    meets = often[0] * often[1]
+    rare = (meets > 0) & (meets <= dense)
+    by_token = np.argsort(second, kind="stable")
+    ends = np.cumsum(often[1])
+    own = np.flatnonzero(rare[first])
+    times = often[1][first[own]]
+    step = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
+    partner = col[by_token[np.repeat((ends - often[1])[first[own]], times) + step]]
+    np.add.at(out, (np.repeat(row[own], times), partner), 1)
+    common = np.flatnonzero(meets > dense)
+    for begin in range(0, len(common), 1024):
+        chosen = common[begin : begin + 1024]
+        place = np.full(len(known), -1)
+        place[chosen] = np.arange(len(chosen))
+        sides = []
+        for n, owner, token in ((k, row, first), (m, col, second)):
+            at = place[token]
+            side = np.zeros((n, len(chosen)), np.float32)
+            side[owner[at >= 0], at[at >= 0]] = 1
+            sides.append(side)
+        out += sides[0] @ sides[1].T
+    return out
+
+
+def joining(links: np.ndarray, row: np.ndarray, col: np.ndarray, label: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Of a matrix of links between nodes ``row`` and ``col`` those that join groups, group labels given.
+
+    Every node takes the smallest label that it is linked to until nothing changes; each step is a
+    link that is given, so nodes with a link end in one group and at most a few links a node are given.
+    """
+    label, big = label.copy(), np.iinfo(np.int64).max
+    while True:
+        moved = False
+        for matrix, x, y in ((links, row, col), (links.T, col, row)):
+            found = np.where(matrix, label[y][None, :], big)
+            best = found.argmin(axis=1)
+            value = found[np.arange(len(x)), best]
+            better = np.flatnonzero(value < label[x])
+            if len(better):
+                moved = True
+                yield x[better], y[best[better]]
+                np.minimum.at(label, x[better], value[better])
+        if not moved:
+            return
+
+
+def linked_in_blocks(stars: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between members of one centre that are in different groups so far.
+
+    Members outside a centre's largest group are compared with all its members. Both sides are dealt
+    to blocks of about BLOCK members or BLOCK_BYTES bytes, and each pair of blocks is one task's work.
+    """
+    rows = stars.join(labels.withColumnRenamed("node", "b"), "b", "left")
+    rows = rows.withColumn("component", F.coalesce("component", "b"))
+    sizes = rows.groupBy("a", "component").agg(F.count(F.lit(1)).alias("_n"), F.sum(F.size("apart")).alias("_bytes"))
+    sizes = sizes.groupBy("a").agg(
+        F.max_by("component", F.struct("_n", "component")).alias("_main"),
+        F.count(F.lit(1)).alias("_groups"),
+        F.sum("_n").alias("_all"),
+        (F.sum("_n") - F.max("_n")).alias("_few"),
+        (F.sum("_bytes") * 8).alias("_bytes"),
+    )
+    sizes = sizes.filter("_groups > 1")
+    many = F.ceil(F.greatest(F.col("_all") / BLOCK, F.col("_bytes") / BLOCK_BYTES)).cast("int")
+    few = F.ceil(F.greatest(F.col("_few") / BLOCK, F.col("_bytes") * F.col("_few") / F.col("_all") / BLOCK_BYTES)).cast("int")
+    rows = rows.join(sizes.select("a", "_main", F.greatest(many, F.lit(1)).alias("_many"), F.greatest(few, F.lit(1)).alias("_few")), "a")
+    # A member of the smaller groups goes as a row to all blocks of columns, every member as a column to all blocks of rows.
+    own = F.xxhash64("b")
+    place = lambda side, i, j: F.struct(F.lit(side).alias("side"), i.cast("int").alias("i"), j.cast("int").alias("j"))
+    columns = F.transform(F.sequence(F.lit(0), F.col("_few") - 1), lambda i: place(1, i, F.pmod(own, F.col("_many"))))
+    across = F.transform(F.sequence(F.lit(0), F.col("_many") - 1), lambda j: place(0, F.pmod(own, F.col("_few")), j))
+    across = F.when(F.col("component") != F.col("_main"), across).otherwise(F.slice(across, 1, 0))
+    dealt = rows.withColumn("at", F.explode(F.concat(columns, across)))
+    dealt = dealt.select("a", F.col("at.i").alias("i"), F.col("at.j").alias("j"), F.col("at.side").alias("side"), "b", "component", "n_a", "lacking", "apart")
+
+    def block(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = pa.Table.from_batches(parts).combine_chunks()
+        side, b, component, n_a, lacking = (whole.column(c).to_numpy() for c in ("side", "b", "component", "n_a", "lacking"))
+        tokens, offsets = _lists(whole.column("apart"))
+        split = int(np.searchsorted(side, 1))
+        if not 0 < split < len(side):
+            return
+        size = n_a - 2 * lacking + np.diff(offsets)  # |x| = |c| - lacking + own, and a difference has lacking + own tokens
+        sides = (tokens[: offsets[split]], offsets[: split + 1]), (tokens[offsets[split] :], offsets[split:] - offsets[split])
+        both = shared_tokens(*sides).astype(np.int64)
+        both += (n_a[:split] - lacking[:split])[:, None] - lacking[None, split:]
+        links = 100 * both >= percent * (size[:split][:, None] + size[None, split:] - both)
+        nodes, at = np.unique(b, return_inverse=True)
+        label = np.zeros(len(nodes), np.int64)
+        label[at] = component
+        for x, y in joining(links, at[:split], at[split:], label):
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[x]), pa.array(nodes[y])], ["a", "b"])
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, last = [], None
         for batch in batches:
-            for part in slices(batch, "text_a", 1 << 20, "text_b"):
-                both, union = _common(*(shingle_hashes(part.column(c), words) for c in ("text_a", "text_b")))
-                linked = pa.array((100 * both >= percent * union) & (union > 0))
-                yield part.select(["a", "b"]).filter(linked)
+            key = np.column_stack([batch.column(c).to_numpy() for c in ("a", "i", "j")])
+            cuts = np.flatnonzero(np.append(True, (key[1:] != key[:-1]).any(axis=1)))
+            for begin, end in zip(cuts.tolist(), [*cuts[1:].tolist(), len(key)]):
+                if last is not None and (key[begin] != last).any():
+                    yield from block(parts)
+                    parts = []
+                parts.append(batch.slice(begin, end - begin))
+                last = key[begin]
+        if parts:
+            yield from block(parts)
 
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long")
+    return dealt.repartition("a", "i", "j").sortWithinPartitions("a", "i", "j", "side").mapInArrow(blocks, "a long, b long")
 
 
 def near_groups(
-    spark: SparkSession, docs: DataFrame, words: int = 5, percent: int = 80, size: int = 128, rows: int = 4
+    spark: SparkSession, docs: DataFrame, words: int = 5, percent: int = 80, size: int = 128, rows: int = 5
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document; see :func:`near_dedup`."""
     sketch = stored(spark, sketches(docs, words, size, rows), "sketches")
     key = ["set_a", "set_b", "n_shingles"]
-    groups = stored(spark, sketch.filter("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("rep")), "classes")
+    groups = sketch.filter("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("rep"))
+    # Rows that repeat an id with different texts are one node, whose set is the one of smallest key.
+    groups = stored(spark, groups, "classes")
+    lead = groups.filter("rep IS NOT NULL").groupBy("rep").agg(F.min(F.struct(*key)).alias("k")).select("rep", "k.*", F.lit(True).alias("lead"))
+    groups = groups.join(lead, ["rep", *key], "left")
     # Plain scans on both sides, so that adaptive execution splits a class of very many copies.
     members = stored(
         spark,
-        sketch.join(groups, key, "left").select(
+        sketch.join(stored(spark, groups, "classes"), key, "left").select(
             "doc_id",
-            "n_shingles",
+            *key,
             F.coalesce("rep", "doc_id").alias("rep"),
-            F.when(F.col("doc_id") == F.col("rep"), F.col("bands")).alias("bands"),
+            F.when((F.col("doc_id") == F.col("rep")) & F.col("lead"), F.col("bands")).alias("bands"),
         ),
         "members",
     )
-    reps = members.filter("bands IS NOT NULL")
-    spots = reps.select(F.col("rep").alias("b"), F.posexplode("bands").alias("band", "key"))
-    buckets = spots.groupBy("key").agg(F.min("b").alias("a"), F.count(F.lit(1)).alias("members")).filter("members > 1")
+    spots = members.filter("bands IS NOT NULL").select(F.col("rep").alias("b"), F.explode("bands").alias("key"))
+    buckets = spots.groupBy("key").agg(F.min("b").alias("a"), F.max("b").alias("_last")).filter("a < _last").select("key", "a")
     buckets = stored(spark, buckets, "buckets")
-    sizes = reps.select("rep", F.col("n_shingles").alias("n"))
-
-    def alike(pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) whose set sizes allow the similarity."""
-        both = pairs.join(sizes.toDF("a", "_na"), "a").join(sizes.toDF("b", "_nb"), "b")
-        return both.filter(f"100 * least(_na, _nb) >= {percent} * greatest(_na, _nb)").select("a", "b")
-
-    stars = stored(spark, alike(spots.join(buckets, "key").filter("a <> b").select("a", "b").distinct()), "stars")
-    ids = spots.join(buckets, "key", "left_semi").select(F.col("b").alias("doc_id")).distinct()
+    stars = stored(spark, spots.join(buckets, "key").filter("a <> b").select("a", "b").distinct(), "stars")
+    centres = stars.groupBy("a").agg(F.count(F.lit(1)).alias("_n"))
+    centres = centres.select("a", (F.col("_n") > 1).alias("several"), F.ceil(F.col("_n") / (4 * BLOCK)).cast("int").alias("_parts"))
+    dealt = stars.join(centres, "a").select("a", F.pmod(F.xxhash64("b"), F.col("_parts")).cast("int").alias("part"), "b", F.lit(False).alias("centre"), "several")
+    heads = centres.select("a", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("part"), F.col("a").alias("b"), F.lit(True).alias("centre"), "several")
+    dealt = stored(spark, dealt.unionByName(heads), "dealt")
+    needed = members.filter("bands IS NOT NULL").join(dealt.select(F.col("b").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    needed = needed.select("doc_id", "set_a", "set_b").distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    texts = stored(spark, texts.join(ids, "doc_id", "left_semi"), "texts")
+    texts = shingle_sets(texts.join(needed.select("doc_id"), "doc_id", "left_semi"), words)
+    sets = texts.join(needed, ["doc_id", "set_a", "set_b"], "left_semi").select(F.col("doc_id").alias("b"), "tokens")
+    stars = stored(spark, compared(dealt.join(sets, "b"), percent), "compared")
 
-    # First every class against the smallest centre it meets, then what that leaves apart.
-    first = stars.groupBy("b").agg(F.min("a").alias("a"))
-    links = stored(spark, checked(first, texts, words, percent), "links")
+    links = stars.filter("linked").select("a", "b")
     labels = components(spark, links)
-    rest = stars.join(first.select("b", F.col("a").alias("_first")), "b").filter("a <> _first").select("a", "b")
-    links = links.union(stored(spark, checked(_apart(rest, labels), texts, words, percent), "links"))
-    labels = components(spark, links)
-
-    # Buckets of three and more whose members are still apart can hide links between members.
-    # Similar sets share several bands (one alone has a chance of 1e-6 at 0.8), so these
-    # buckets are split by each further band before members are compared in the same way.
-    wide = spots.join(buckets.filter("members > 2").withColumnRenamed("a", "centre"), "key").filter("b <> centre")
-    split = stored(spark, _still_apart(_grouped(wide.select("key", "band", "b"), labels)), "wide")
-    finer = split.select("key", "band", "b").join(reps.select(F.col("rep").alias("b"), F.posexplode("bands").alias("_band", "_key")), "b")
-    finer = finer.filter("_band > band").select(F.xxhash64("key", "_key").alias("key"), "b")
-    groups = finer.groupBy("key").agg(F.min("b").alias("a"), F.count(F.lit(1)).alias("members")).filter("members > 1")
-    groups = stored(spark, groups, "groups")
-    finer = stored(spark, finer.join(groups, "key"), "finer")
-    second = alike(finer.filter("a <> b").select("a", "b").distinct().join(stars, ["a", "b"], "left_anti"))
-    links = links.union(stored(spark, checked(_apart(second, labels), texts, words, percent), "links"))
-    labels = components(spark, links)
-    left = _still_apart(_grouped(finer.filter("members > 2 AND a <> b").select("key", "b"), labels))
-    left = stored(spark, left, "left")
-    x, y = (left.select("key", F.col("b").alias(n), F.col("component").alias(f"c{n}")) for n in ("a", "b"))
-    pairs = alike(x.join(y, "key").filter("a < b AND ca <> cb").select("a", "b").distinct())
-    more = stored(spark, checked(stored(spark, pairs, "pairs"), texts, words, percent), "links")
+    more = stored(spark, linked_in_blocks(stars, labels, percent), "links")
     if more.limit(1).count():
         labels = components(spark, links.union(more))
     found = labels.withColumnRenamed("node", "rep")
@@ -183,36 +361,17 @@ def near_groups(
     )
 
 
-def _grouped(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows (key, b) with the component of b."""
-    found = rows.join(labels.withColumnRenamed("node", "b"), "b", "left")
-    return found.withColumn("component", F.coalesce("component", "b"))
-
-
-def _still_apart(rows: DataFrame) -> DataFrame:
-    """The rows of keys that hold more than one component."""
-    ends = rows.groupBy("key").agg(F.min("component").alias("_l"), F.max("component").alias("_h"))
-    return rows.join(ends.filter("_l <> _h").select("key"), "key", "left_semi")
-
-
-def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The pairs whose ends are in different groups so far."""
-    a = labels.select(F.col("node").alias("a"), F.col("component").alias("_ca"))
-    b = labels.select(F.col("node").alias("b"), F.col("component").alias("_cb"))
-    joined = pairs.join(a, "a", "left").join(b, "b", "left")
-    return joined.filter(F.coalesce("_ca", "a") != F.coalesce("_cb", "b")).select("a", "b")
-
-
-def near_dedup(spark: SparkSession, docs: DataFrame, words: int = 5, percent: int = 80, size: int = 128, rows: int = 4) -> DataFrame:
+def near_dedup(spark: SparkSession, docs: DataFrame, words: int = 5, percent: int = 80, size: int = 128, rows: int = 5) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
     Words are runs of non-blank characters with A-Z lower-cased; a document's set is its
     distinct ``words``-word shingles, or its whole sequence where it is shorter. Documents
     link when 100 * intersection >= percent * union of the full sets; component_id is the
     smallest doc_id reachable. Null, empty and blank texts have no set and link with
-    nothing; repeated rows share their class; a null id joins its class but is never its
-    representative unless alone. Other columns are ignored. With 32 bands of 4 slots a pair at 0.8
-    is missed with a probability of about 5e-8.
+    nothing; repeated rows share their class; rows that repeat an id with different texts count as
+    one document; a null id joins its class but never represents it, and a class of null ids alone has
+    no component. Other columns are ignored. A pair at 0.8 shares none of the 25 bands of 5 slots
+    with a probability of 5e-5; whatever shares a band is decided on full sets.
     """
     found = near_groups(spark, docs, words, percent, size, rows)
     return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
