@@ -3,14 +3,13 @@
 A byte goes when a string of ``length`` bytes that covers it also starts earlier. Every
 window of that length holds an anchor: the smallest of its ``gram``-byte hashes, which equal
 windows share. Runs of windows with one anchor form a context. Contexts whose anchor occurs
-nowhere else are done. Equal contexts repeat each other whole, so only the first of them
-stays in play; the firsts that share an anchor but differ somewhere are dealt to tasks, which
+nowhere else are done. Equal contexts (by 128-bit digests of their bytes and the anchor's place)
+repeat each other whole, so only the first of them stays in play; the firsts that share an anchor but differ somewhere are dealt to tasks, which
 sort their suffixes and find the shared windows by adjacent common prefixes.
 """
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections.abc import Iterator
 
@@ -20,45 +19,42 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from spanloom.llm.common import mixed, prefix_hash, slices, span_hash, stored, text_bytes, whole_text
+from spanloom.llm.common import dropped, prefix_hash, slices, span_hash, stored, text_bytes, whole_text
 
-#: Bytes of one text that are taken at once; longer ones are taken in overlapping parts.
-_PART = 8 << 20
-#: Contexts with one anchor that a task sorts together (about 4 MB, as much as it sorts at once anyway);
+#: Bytes of text that a task takes at once; longer texts are taken in overlapping parts.
+PART = 1 << 19
+#: Contexts with one anchor that a task sorts together (about 4 MB);
 #: the windows of larger groups are dealt singly.
 GROUP = 20_000
 
 
+def eight_bytes(text: np.ndarray, beyond: int) -> np.ndarray:
+    """A view of the next eight bytes of each place as one big-endian number; zeros follow the text."""
+    padded = np.concatenate((text, np.zeros(beyond + 8, np.uint8)))
+    return np.ndarray(len(text) + beyond, ">u8", padded, strides=(1,))
+
+
 def _sorted_directly(words: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarray:
     """``starts`` in the order of their suffixes; only ties of the first words read further ones."""
-    value = words[starts]
-    order = np.argsort(value, kind="stable")
-    group = np.zeros(len(order), np.int64)
+    value = words[starts].astype(np.uint64)
+    order = np.argsort(value, kind="stable").astype(np.int32)
+    group = np.zeros(len(order), np.int32)
     group[1:] = np.cumsum(value[order][1:] != value[order][:-1])
     for k in range(8, depth, 8):
         tied = np.flatnonzero(np.bincount(group)[group] > 1) if len(group) else group
         if not len(tied):
             break
-        value, own = words[starts[order[tied]] + k], group[tied]
+        value, own = words[starts[order[tied]] + k].astype(np.uint64), group[tied]
         sub = np.lexsort((value, own))
         order[tied] = order[tied][sub]
         value = value[sub]
         fresh = np.zeros(len(order), bool)
         fresh[1:] = group[1:] != group[:-1]
         fresh[tied[1:]] |= (value[1:] != value[:-1]) & (own[1:] == own[:-1])
-        group = np.cumsum(fresh)
+        group = np.cumsum(fresh, dtype=np.int32)
     return starts[order]
 
 
-def eight_bytes(text: np.ndarray, beyond: int) -> np.ndarray:
-    """For each place the next eight bytes as one big-endian number; zeros follow the text."""
-    padded = np.concatenate((text, np.zeros(beyond + 8, np.uint8))).astype(np.uint64)
-    out = np.zeros(len(text) + beyond, np.uint64)
-    for k in range(8):
-        out = (out << np.uint64(8)) | padded[k : k + len(out)]
-    return out
-
-
 def two_stage_suffix_array(text: np.ndarray, wanted: np.ndarray, depth: int) -> np.ndarray:
     """The suffixes at ``wanted`` (rising places) in order of their first ``depth`` bytes.
 
@@ -71,20 +67,22 @@ def two_stage_suffix_array(text: np.ndarray, wanted: np.ndarray, depth: int) ->
     n = len(text)
     if not len(wanted):
         return wanted
-    change = np.flatnonzero(text[1:] != text[:-1])  # last places of runs of equal bytes
-    run_end = np.append(change, n - 1)[np.searchsorted(change, np.arange(n))]
+    change = np.flatnonzero(text[1:] != text[:-1]).astype(np.int32)  # last places of runs of equal bytes
+    run_end = np.repeat(np.append(change, np.int32(n - 1)), np.diff(np.concatenate(([-1], change, [n - 1]))))
     after = np.append(text, 0)[run_end + 1].astype(np.int16)
     after[run_end == n - 1] = -1  # the end of the text is smaller than any byte
     larger = after < text
+    del after
     # A larger suffix needs its successors up to the first smaller one.
-    stop = np.flatnonzero(~larger)
-    nearest = np.append(stop, n - 1)[np.searchsorted(stop, wanted)]
-    edge = np.zeros(n + 1, np.int64)
+    stop = np.append(np.flatnonzero(~larger).astype(np.int32), np.int32(n - 1))
+    nearest = stop[np.searchsorted(stop[:-1], wanted.astype(np.int32))]
+    edge = np.zeros(n + 1, np.int32)
     np.add.at(edge, wanted, 1)
     np.add.at(edge, nearest + 1, -1)
-    places = np.flatnonzero(np.cumsum(edge)[:n] > 0)
+    places = np.flatnonzero(np.cumsum(edge, dtype=np.int32)[:n] > 0).astype(np.int32)
+    del edge, nearest, stop
     direct = _sorted_directly(eight_bytes(text, depth + 8), places[~larger[places]], depth)
-    rank = np.full(n + 1, -1, np.int64)
+    rank = np.full(n + 1, -1, np.int32)
     rank[n] = 0
     done, out = 1, []
     induced = places[larger[places]]
@@ -92,6 +90,7 @@ def two_stage_suffix_array(text: np.ndarray, wanted: np.ndarray, depth: int) ->
     induced = induced[by_byte]
     run = run_end[induced] - induced
     level = np.flatnonzero((np.diff(text[induced].astype(np.int16)) != 0) | (np.diff(run) != 0)) + 1
+    del by_byte, run, run_end, places
     levels = {}
     for part in np.split(induced, level):
         if len(part):
@@ -118,7 +117,8 @@ def shared_with_next(text: np.ndarray, order: np.ndarray, depth: int) -> np.ndar
     words = eight_bytes(text, depth + 8)
     same = np.ones(max(0, len(order) - 1), bool)
     for k in [*range(0, depth - 7, 8), max(0, depth - 8)]:
-        same &= words[order[1:] + k] == words[order[:-1] + k]
+        at = np.flatnonzero(same)
+        same[at] = words[order[at + 1] + k] == words[order[at] + k]
     return same
 
 
@@ -145,11 +145,11 @@ def repeats_in(contexts: list[bytes], offsets: np.ndarray, first: np.ndarray, co
 
 
 def _contexts(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """Contexts of the texts: text index, first window, windows, anchor hash, context hash."""
+    """Contexts of the texts: text index, first window, windows, anchor hash, anchor's place, first window's place in ``data``."""
     width = length - gram + 1
     size = np.diff(offsets)
     if len(data) < length or size.max() < length:
-        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64))
+        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.int64, np.int64))
     prefix = prefix_hash(data)
     at = np.arange(len(data) - gram + 1)
     grams = span_hash(prefix, at, at + gram)
@@ -175,46 +175,46 @@ def _contexts(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) ->
     first = valid[begin]
     count = np.diff(np.append(begin, len(valid)))
     place = anchor[begin]
-    whole = span_hash(prefix, first, first + count + length - 1)
-    whole = mixed(whole + (place - first).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     owner = np.searchsorted(offsets, first, "right") - 1
-    return owner, first - offsets[owner], count, grams[place], whole
+    return owner, first - offsets[owner], count, grams[place], place - first, first
 
 
-CONTEXTS = "doc_id long, first long, windows int, anchor long, context long"
+CONTEXTS = "doc_id long, first long, windows int, anchor long, h1 long, h2 long"
 
 
-def contexts(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """The contexts of all texts; documents without an id have none."""
+def contexts(docs: DataFrame, length: int, gram: int, digests: bool = True) -> DataFrame:
+    """The contexts of all texts, with 128-bit digests of their bytes (else 0)."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", PART):
                 ids = part.column("doc_id").to_numpy(zero_copy_only=False)
                 data, offsets = text_bytes(part.column("text"))
                 # A slice of more than one part is a single long text.
-                for begin in range(0, max(1, len(data) - length + 1), _PART):
-                    end = min(len(data), begin + _PART + length - 1)
+                for begin in range(0, max(1, len(data) - length + 1), PART):
+                    end = min(len(data), begin + PART + length - 1)
                     bounds = offsets if end - begin == len(data) else np.array([0, end - begin])
-                    own, first, count, anchor, whole = _contexts(data[begin:end], bounds, length, gram)
+                    own, first, count, anchor, inside, at = _contexts(data[begin:end], bounds, length, gram)
+                    halves = np.zeros((len(at), 2), np.int64)
+                    if digests:
+                        flat, ends = data[begin:end].tobytes(), at + count + length - 1
+                        found = (
+                            hashlib.blake2b(flat[b:e], digest_size=16, salt=k.to_bytes(8, "little")).digest()
+                            for b, e, k in zip(at.tolist(), ends.tolist(), inside.tolist())
+                        )
+                        halves = np.frombuffer(b"".join(found), np.int64).reshape(-1, 2)
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(ids[own], pa.int64()), pa.array(first + begin), pa.array(count.astype(np.int32)),
-                            pa.array(anchor.view(np.int64)), pa.array(whole.view(np.int64)),
+                            pa.array(anchor.view(np.int64)), pa.array(halves[:, 0]), pa.array(halves[:, 1]),
                         ],
                         [x.split()[0] for x in CONTEXTS.split(", ")],
                     )
 
-    given = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
     return given.mapInArrow(rows, CONTEXTS)
 
 
-def _release(spark: SparkSession) -> None:
-    """Let Spark delete shuffle files of finished steps before the next step writes its own."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def _bytes_of(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """Add to context rows their bytes; texts meet only the list of their own contexts."""
     lists = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("first", "windows", "anchor", "place", "large")).alias("own"))
@@ -227,7 +227,7 @@ def _bytes_of(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
 RANGES = "doc_id long, start long, windows long"
 
 
-def _sort_groups(rows: DataFrame, length: int, budget: int = 4 << 20) -> DataFrame:
+def _sort_groups(rows: DataFrame, length: int, budget: int = PART) -> DataFrame:
     """Repeated windows among contexts of one anchor, by suffix arrays over whole groups."""
 
     def flush(block: list) -> pa.RecordBatch:
@@ -298,31 +298,28 @@ def repeated_ranges(spark: SparkSession, docs: DataFrame, length: int = 100, gra
     def place(df: DataFrame, start: str) -> Column:
         return F.shiftleft(F.col("doc_id"), 31) + F.col(start) if narrow else _place(df, start)
 
+    common = contexts(docs, length, gram, digests=False).groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
+    common = stored(spark, common.filter("n > 1").select("anchor"), "anchors")
     every = contexts(docs, length, gram)
-    every = every.withColumn("place", place(every, "first"))
-    common = every.groupBy("anchor").agg(
-        F.count(F.lit(1)).alias("n"), F.min("context").alias("_lo"), F.max("context").alias("_hi")
-    )
-    common = stored(spark, common.filter("n > 1").select("anchor", (F.col("_lo") != F.col("_hi")).alias("differs")), "anchors")
-    _release(spark)
-    shared = stored(spark, every.join(common, "anchor").select(*[x.split()[0] for x in CONTEXTS.split(", ")], "place", "differs"), "shared")
-    _release(spark)
-    firsts = shared.groupBy("anchor", "context").agg(F.min("place").alias("least"), F.count(F.lit(1)).alias("n"), F.max("differs").alias("differs"))
-    firsts = stored(spark, firsts, "firsts")
-    again = shared.join(firsts.filter("n > 1").select("anchor", "context", "least"), ["anchor", "context"]).filter("place > least")
+    key = ["anchor", "h1", "h2"]
+    shared = stored(spark, every.join(common, "anchor", "left_semi").withColumn("place", place(every, "first")), "shared")
+    dropped(spark, common)
+    firsts = stored(spark, shared.groupBy(*key).agg(F.min("place").alias("least"), F.count(F.lit(1)).alias("n")), "firsts")
+    again = shared.join(firsts.filter("n > 1").select(*key, "least"), key).filter("place > least")
     again = stored(spark, again.select("doc_id", F.col("first").alias("start"), F.col("windows").cast("long").alias("windows")), "again")
 
-    groups = firsts.filter("differs").groupBy("anchor").agg(F.count(F.lit(1)).alias("members"))
-    leading = firsts.filter("differs").join(groups, "anchor").select("anchor", F.col("least").alias("place"), (F.col("members") > GROUP).alias("large"))
+    groups = firsts.groupBy("anchor").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    leading = firsts.join(groups, "anchor").select("anchor", F.col("least").alias("place"), (F.col("members") > GROUP).alias("large"))
     leading = stored(spark, leading, "leading")
-    wanted = shared.filter("differs").select("doc_id", "first", "windows", "anchor", "place").join(leading, ["anchor", "place"])
+    wanted = shared.select("doc_id", "first", "windows", "anchor", "place").distinct().join(leading, ["anchor", "place"])
     wanted = stored(spark, _bytes_of(docs, wanted, length), "bytes")
-    _release(spark)
+    for done in (shared, firsts, leading):
+        dropped(spark, done)
     small = wanted.filter("NOT large")
     if narrow:
         small = small.withColumn("rank", F.col("place"))
     else:
-        small = small.withColumn("rank", F.row_number().over(W.partitionBy("anchor").orderBy("place")).cast("long") * F.lit(1 << 31))
+        small = small.withColumn("rank", F.dense_rank().over(W.partitionBy("anchor").orderBy("place")).cast("long") * F.lit(1 << 31))
     ranges = _sort_groups(small.select("doc_id", "first", "windows", "anchor", "rank", "bytes"), length)
     return again.unionByName(ranges).unionByName(_single_windows(spark, wanted.filter("large"), length))
 
@@ -333,13 +330,19 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = 100) -> D
     A byte of the UTF-8 text goes when a ``length``-byte string covering it also starts earlier
     (smaller doc_id, or earlier in the same document); strings are judged on the input and
     never cross documents. ``spans`` lists the removed runs (start, end), ``kept`` holds the
-    bytes that stay. Null is the empty text. Ids are taken to be unique: rows that repeat an
-    id count as one document and don't repeat each other; rows without an id stay whole.
+    bytes that stay. Null is the empty text. Rows that repeat an id and its text count as one
+    document; rows without an id, and rows that repeat an id with another text, stay whole and
+    count for no other document. Columns other than doc_id and text are ignored.
     """
-    ranges = stored(spark, repeated_ranges(spark, docs, length), "ranges")
-    _release(spark)
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+    kinds = given.groupBy("doc_id").agg(F.min(F.xxhash64("text")).alias("_l"), F.max(F.xxhash64("text")).alias("_h"))
+    unclear = stored(spark, kinds.filter("_l <> _h").select("doc_id"), "unclear")
+    judged = given.filter("doc_id IS NOT NULL")
+    if unclear.limit(1).count():
+        judged = judged.join(unclear, "doc_id", "left_anti")
+    ranges = stored(spark, repeated_ranges(spark, judged, length).distinct(), "ranges")
     own = ranges.groupBy("doc_id").agg(F.collect_list(F.struct("start", "windows")).alias("own"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")).join(own, "doc_id", "left")
+    rows = given.join(own, "doc_id", "left")
     rows = rows.select("doc_id", "text", F.transform("own", lambda r: r["start"]).alias("starts"), F.transform("own", lambda r: r["windows"]).alias("windows"))
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,end:long>>, kept binary"
@@ -347,7 +350,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = 100) -> D
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", PART):
                 out = []
                 for doc, text, starts, windows in zip(*(part.column(c).to_pylist() for c in ("doc_id", "text", "starts", "windows"))):
                     data, spans, kept = text.encode(), [], []
