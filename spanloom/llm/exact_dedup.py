@@ -26,9 +26,8 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(text, BLANK, " ")
 
 
-def _words(digests: np.ndarray) -> np.ndarray:
-    """The first 8 bytes of each digest, as a well-mixed 64-bit key."""
-    return np.ascontiguousarray(digests[:, :8]).view(np.uint64).ravel()
+def _digest() -> Column:
+    return F.unhex(F.sha2(normalised(whole_text()).cast("binary"), 256))
 
 
 class PerfectHash:
@@ -74,8 +73,8 @@ def _matrix(digests: pd.Series) -> np.ndarray:
     return np.frombuffer(b"".join(bytes(d) for d in digests), np.uint8).reshape(-1, 32)
 
 
-INDEX = "bucket int, sizes array<int>, bits binary, digests binary, locators binary, counts binary"
-FOUND = "digest binary, keep_id long, group_size long"
+INDEX = "bucket int, sizes array<int>, bits binary, digests binary, locators binary, counts binary, named binary"
+FOUND = "digest binary, keep_id long, group_size long, named boolean"
 
 
 def _build(frame: pd.DataFrame) -> pd.DataFrame:
@@ -90,6 +89,7 @@ def _build(frame: pd.DataFrame) -> pd.DataFrame:
             "digests": [digests[order].tobytes()],
             "locators": [frame["keep_id"].to_numpy(np.int64)[order].tobytes()],
             "counts": [frame["group_size"].to_numpy(np.int64)[order].tobytes()],
+            "named": [frame["named"].to_numpy(bool)[order].tobytes()],
         }
     )
 
@@ -101,10 +101,11 @@ def _lookup(index: pd.DataFrame, new: pd.DataFrame) -> pd.DataFrame:
         slots = np.frombuffer(row["digests"], np.uint8).reshape(-1, 32)
         keep = np.frombuffer(row["locators"], np.int64).copy()
         count = np.frombuffer(row["counts"], np.int64).copy()
+        named = np.frombuffer(row["named"], bool).copy()
         sizes = [int(s) for s in row["sizes"]]
         mph = PerfectHash(sizes, np.unpackbits(np.frombuffer(row["bits"], np.uint8))[: sum(sizes)].astype(bool))
     else:
-        slots, keep, count = np.zeros((0, 32), np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        slots, keep, count, named = np.zeros((0, 32), np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
         mph = PerfectHash([], np.zeros(0, bool))
     outside = new.iloc[:0]
     if len(new):
@@ -115,19 +116,29 @@ def _lookup(index: pd.DataFrame, new: pd.DataFrame) -> pd.DataFrame:
         known = slot[member]
         np.minimum.at(keep, known, new["keep_id"].to_numpy(np.int64)[member])
         np.add.at(count, known, new["group_size"].to_numpy(np.int64)[member])
+        named[known] |= new["named"].to_numpy(bool)[member]
         outside = new[~member]
     return pd.DataFrame(
         {
             "digest": [s.tobytes() for s in slots] + [bytes(d) for d in outside["digest"]],
             "keep_id": np.concatenate((keep, outside["keep_id"].to_numpy(np.int64))),
             "group_size": np.concatenate((count, outside["group_size"].to_numpy(np.int64))),
+            "named": np.concatenate((named, outside["named"].to_numpy(bool))),
         }
     )
 
 
 def _distinct(digests: DataFrame, buckets: int) -> DataFrame:
-    """One row per digest with its smallest doc_id and its rows, summed before the shuffle."""
-    groups = digests.groupBy("digest").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    """One row per digest with its smallest doc_id and its rows, summed before the shuffle.
+
+    Where no row of a digest has an id, ``named`` is false and the id the largest number, so
+    that no column passed to pandas holds a null.
+    """
+    groups = digests.groupBy("digest").agg(
+        F.coalesce(F.min(F.col("doc_id").cast("long")), F.lit(np.iinfo(np.int64).max)).alias("keep_id"),
+        F.count(F.lit(1)).alias("group_size"),
+        (F.count("doc_id") > 0).alias("named"),
+    )
     bucket = F.pmod(F.conv(F.substring(F.hex("digest"), 1, 8), 16, 10).cast("long"), F.lit(buckets)).cast("int")
     return groups.withColumn("bucket", bucket)
 
@@ -140,7 +151,8 @@ def build_index(history: DataFrame, buckets: int) -> DataFrame:
 def match(index: DataFrame, new: DataFrame, buckets: int) -> DataFrame:
     """Groups (digest, keep_id, group_size) of history and ``new`` rows together."""
     new = _distinct(new, buckets)
-    return index.groupBy("bucket").cogroup(new.groupBy("bucket")).applyInPandas(_lookup, FOUND)
+    found = index.groupBy("bucket").cogroup(new.groupBy("bucket")).applyInPandas(_lookup, FOUND)
+    return found.select("digest", F.when(F.col("named"), F.col("keep_id")).alias("keep_id"), "group_size")
 
 
 def exact_groups(
@@ -151,8 +163,7 @@ def exact_groups(
     The lower half of the doc_id range is the history and the rest is new to it, so one
     table passes through both halves of the method. Null ids count as history.
     """
-    digest = F.unhex(F.sha2(normalised(whole_text()).cast("binary"), 256))
-    digests = stored(spark, docs.select("doc_id", digest.alias("digest")), "digests")
+    digests = stored(spark, docs.select("doc_id", _digest().alias("digest")), "digests")
     low, high, rows = digests.agg(F.min("doc_id"), F.max("doc_id"), F.count(F.lit(1))).first()
     buckets = max(8, -(-rows // digests_per_bucket))
     middle = (low + high) // 2 if low is not None else 0
@@ -166,8 +177,9 @@ def exact_dedup(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
     Texts are equal when identical after every run of ASCII blanks became one space;
     null text is empty. The smallest doc_id of a group stays. Rows that repeat a doc_id
-    and its text all carry kept = true, as they are the row that stays. Null ids are
-    never chosen while the group has another id. Other columns are ignored.
+    and its text all carry kept = true, as they are the row that stays. A null id is never
+    chosen while the group has another id; a group of null ids alone has keep_id null and keeps
+    all its rows, as none can be told from another. Other columns are ignored.
     """
     digests, groups = exact_groups(spark, docs)
     # Both sides are plain scans: a digest that a third of the rows share is split by AQE.
@@ -183,12 +195,14 @@ def exact_dedup(spark: SparkSession, docs: DataFrame) -> DataFrame:
 def drop_copies(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Documents without exact copies; the columns stay as they are.
 
-    Ids are taken to be unique; a repeated identical row stays as often as it occurs.
+    A repeated identical row stays as often as it occurs; of rows without an id those go whose text
+    a row with an id has too.
     """
     digests, groups = exact_groups(spark, docs)
     gone = (
         digests.join(groups.filter("group_size > 1"), "digest")
         .filter(~F.col("doc_id").eqNullSafe(F.col("keep_id")))
-        .select("doc_id")
+        .select("doc_id", "digest")
     )
-    return docs.join(gone, "doc_id", "left_anti")
+    same = docs["doc_id"].eqNullSafe(gone["doc_id"]) & (_digest() == gone["digest"])
+    return docs.join(gone, same, "left_anti")
