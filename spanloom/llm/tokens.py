@@ -11,7 +11,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 
-from spanloom.llm.common import LOWER, prefix_hash, span_hash, text_bytes, word_spans
+from spanloom.llm.common import LOWER, octets, text_bytes, word_hashes, word_spans
 
 
 def tokenizer_path(name: str) -> str:
@@ -60,6 +60,26 @@ def _joined(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     return np.fromiter(chain.from_iterable(ids), np.uint32, int(ends[-1])), ends
 
 
+def distinct_words(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One occurrence of each distinct word, and for every word the index of its own.
+
+    Words meet by hash; a word whose bytes differ from its first occurrence's counts as distinct.
+    """
+    _, first, back = np.unique(word_hashes(data, begin, end), return_index=True, return_inverse=True)
+    lanes, lead = octets(data), begin[first][back]
+    size = end - begin
+    same = size == size[first][back]
+    on, at = np.flatnonzero(same & (size > 0)), 0
+    while len(on):
+        short = np.uint64(8) * np.maximum(8 - (size[on] - at), 0).astype(np.uint64)
+        same[on] &= (lanes[begin[on] + at] ^ lanes[lead[on] + at]) << short == 0
+        at += 8
+        on = on[(size[on] > at) & same[on]]
+    odd = np.flatnonzero(~same)
+    back[odd] = len(first) + np.arange(len(odd))
+    return np.concatenate((first, odd)), back
+
+
 #: A lower-case word of ASCII or Latin-1 letters; more bytes may not follow it.
 _LETTERS = rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+"
 _PARTS = re.compile(rb"%b(?=[!-&(-@\[-`{-~]|\Z)|[!-&(-@\[-`{-~]+(?=[a-z]|\xc3[\x9f-\xb6\xb8-\xbf]|\Z)|.+" % _LETTERS, re.S)
@@ -77,8 +97,8 @@ class WordEncoder(JsonEncoder):
     """A tokenizer that lower-cases, drops white space and never joins across it.
 
     Then a text's ids are those of its blank-separated words in order. Each distinct word
-    of a batch is looked up once; words that were met before keep their ids. The memory
-    of words is bounded and begun anew when full, so any vocabulary gives the same ids.
+    of a batch is looked up once, by its bytes; words that were met before keep their ids. The
+    memory of words is bounded and begun anew when full, so any vocabulary gives the same ids.
     """
 
     #: Words kept by one worker process (about 300 bytes each).
@@ -91,7 +111,7 @@ class WordEncoder(JsonEncoder):
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[int, int] = {}
+        self.known: dict[bytes, int] = {}
         self.parts: dict[bytes, list[int]] = {}
         self.start = np.zeros(1, np.int64)
         self.flat = np.zeros(0, np.uint32)
@@ -133,18 +153,17 @@ class WordEncoder(JsonEncoder):
         begin, end, owner = word_spans(data, offsets)
         if not len(begin):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
-        hashes = span_hash(prefix_hash(data), begin, end)
-        keys, first, back = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.known) + len(keys) > self.KEPT:
+        first, back = distinct_words(data, begin, end)
+        if len(self.known) + len(first) > self.KEPT:
             self._forget()
-        at = np.array([self.known.get(k, -1) for k in keys.tolist()], np.int64)
+        flat = data.tobytes()
+        words = [flat[b:e] for b, e in zip(begin[first].tolist(), end[first].tolist())]
+        at = np.array([self.known.get(w, -1) for w in words], np.int64)
         new = np.flatnonzero(at < 0)
         if len(new):
-            flat = data.tobytes()
-            spans = zip(begin[first[new]].tolist(), end[first[new]].tolist())
-            ids, ends = _joined([self._word(flat[b:e]) for b, e in spans])
+            ids, ends = _joined([self._word(words[i]) for i in new])
             at[new] = np.arange(len(self.known), len(self.known) + len(new))
-            self.known.update(zip(keys[new].tolist(), at[new].tolist()))
+            self.known.update(zip((words[i] for i in new), at[new].tolist()))
             self.start = np.concatenate((self.start, self.start[-1] + ends[1:]))
             self.flat = np.concatenate((self.flat, ids))
         at = at[back]
