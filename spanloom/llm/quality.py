@@ -1,8 +1,9 @@
 """Quality classifier: regularised quadratic discriminant over document statistics.
 
 Each document becomes a short vector of transformed statistics. Each class gets a Gaussian
-whose covariance is shrunk towards the pooled one; its Cholesky factor is computed once, and
-a score is the logistic of the log-density difference, from two triangular solves.
+whose covariance is shrunk towards the pooled one; its Cholesky factor is inverted once, and a
+score is the logistic of the log-density difference, divided by the root of the number of
+statistics, from two products with the cached inverse factors.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanloom.llm.common import prefix_hash, slices, span_hash, stored, text_bytes, word_spans
+from spanloom.llm.common import slices, stored, text_bytes, word_hashes, word_spans
 
 _SYMBOLS = b"*$%&#~^<>{}=\\@_+`"
 #: Byte classes that are counted: 0 other, 1 upper, 2 lower, 3 digit, 4 blank, 5 bang, 6 bar, 7 symbol, 8 point, 9 non-ASCII.
@@ -59,7 +60,7 @@ def statistics(column: pa.Array) -> np.ndarray:
     many, some = np.maximum(words, 1), np.maximum(size, 1)
     mean = np.bincount(owner, length, minlength=n) / many
     spread = np.sqrt(np.maximum(np.bincount(owner, length**2, minlength=n) / many - mean**2, 0))
-    hashes = span_hash(prefix_hash(data), starts, ends)
+    hashes = word_hashes(data, starts, ends)
     distinct, top = _distinct(hashes, owner, n)
     next_ = owner[1:] == owner[:-1]
     pairs = (hashes[1:] * np.uint64(0x100000001B3) + hashes[:-1])[next_]
@@ -162,8 +163,21 @@ def fold() -> "F.Column":
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3))
 
 
-def fit(x: DataFrame, labels: DataFrame, shrink: float = 0.1, ridge: float = 1e-2) -> Discriminant:
-    """Fit on all labelled rows outside the held-out fold; null labels don't count.
+def learning_rows(labels: DataFrame, most: int = 200_000) -> DataFrame:
+    """(doc_id, quality) outside the held-out fold; null labels don't count.
+
+    Of more than ``most`` such rows about that many stay, chosen by a hash of doc_id, so that the
+    learning set is bounded at any size of the corpus.
+    """
+    good = labels.filter("quality IN (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).filter(fold() != 1)
+    n = good.count()
+    if n > most:
+        good = good.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.lit((1 << 30) * most // n))
+    return good
+
+
+def fit(x: DataFrame, shrink: float = 0.1, ridge: float = 1e-2) -> Discriminant:
+    """Fit on rows (x, quality).
 
     Tasks send sums of outer products, summed again in Spark; the driver gets two matrices.
     """
@@ -180,9 +194,7 @@ def fit(x: DataFrame, labels: DataFrame, shrink: float = 0.1, ridge: float = 1e-
         at = np.arange(2 * d * d)
         yield pd.DataFrame({"at": at, "v": sums.ravel()})
 
-    good = labels.filter("quality IN (0, 1)").select("doc_id", F.col("quality").cast("int").alias("quality")).filter(fold() != 1)
-    joined = x.join(good, "doc_id").select("x", "quality")
-    sums = joined.mapInPandas(moments, "at int, v double").groupBy("at").agg(F.sum("v").alias("v")).collect()
+    sums = x.select("x", "quality").mapInPandas(moments, "at int, v double").groupBy("at").agg(F.sum("v").alias("v")).collect()
     flat = np.zeros(2 * d * d)
     for r in sums:
         flat[r["at"]] = r["v"]
@@ -192,12 +204,12 @@ def fit(x: DataFrame, labels: DataFrame, shrink: float = 0.1, ridge: float = 1e-
 def score_documents(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted.
 
-    Scores use the whole text alone. Null and empty texts get the score of an empty
+    Scores use the whole text alone; the model learns from :func:`learning_rows`. Null and empty texts get the score of an empty
     document; null ids are scored and belong to no fold but the learning one; without
     labels every score is 0.5. Repeated rows are scored each; other columns are ignored.
     """
     x = stored(spark, document_statistics(docs), "statistics")
-    model = fit(x, labels)
+    model = fit(x.join(F.broadcast(learning_rows(labels)), "doc_id"))
 
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -210,8 +222,13 @@ def score_documents(spark: SparkSession, docs: DataFrame, labels: DataFrame) ->
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the classifier predicts as good, with all their columns."""
-    model = fit(stored(spark, document_statistics(docs), "statistics"), labels)
+    """The documents that the classifier predicts as good, with all their columns.
+
+    Statistics are taken of the labelled rows for learning and then once of every row.
+    """
+    learning = F.broadcast(learning_rows(labels))
+    known = docs.join(learning.select("doc_id"), "doc_id", "left_semi")
+    model = fit(stored(spark, document_statistics(known), "statistics").join(learning, "doc_id"))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
