@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from spanloom.llm.common import slices
+from spanloom.llm.common import slices, stored
 from spanloom.llm.tokens import load_encoder
 
 
@@ -76,8 +76,12 @@ def suffix_sums(histogram: DataFrame, block: int = 1024) -> DataFrame:
 def truncated_total(sums: DataFrame, limits: list[int]) -> DataFrame:
     """(limit, truncated_total, docs_over) for any limits, from :func:`suffix_sums`.
 
-    Each histogram row adds min(length, limit) for its documents.
+    Each histogram row adds min(length, limit) for its documents. Limits may come in any order;
+    a repeated limit counts once, one of 0 or less gives 0, no limits give no rows.
     """
+    limits = sorted({max(0, int(x)) for x in limits})
+    if not limits:
+        return sums.sparkSession.createDataFrame([], "limit long, truncated_total long, docs_over long")
     pairs = sums.select(
         F.explode(F.array(*[F.lit(int(x)).cast("long") for x in limits])).alias("limit"), "n_tokens", "n_docs"
     )
@@ -88,7 +92,14 @@ def truncated_total(sums: DataFrame, limits: list[int]) -> DataFrame:
 
 
 def quantiles(sums: DataFrame, shares: list[float]) -> DataFrame:
-    """(q, n_tokens): the smallest length that at least the fraction q of documents keep within."""
+    """(q, n_tokens): the smallest length that at least the fraction q of documents keep within.
+
+    Shares may come in any order; a repeated one counts once; one above 1 gives null, one of 0 or
+    less the smallest length, no shares give no rows.
+    """
+    shares = sorted({float(q) for q in shares})
+    if not shares:
+        return sums.sparkSession.createDataFrame([], "q double, n_tokens long")
     return sums.select(
         F.explode(
             F.array(*[F.struct(F.lit(q).alias("q"), F.when(F.col("share") >= q, F.col("n_tokens")).alias("n")) for q in shares])
@@ -102,4 +113,4 @@ def token_counts(spark: SparkSession, docs: DataFrame, tokenizer: str) -> DataFr
     Null and empty texts count as length 0; repeated rows count each; an empty table
     gives no rows; columns other than text are ignored.
     """
-    return suffix_sums(length_histogram(docs, tokenizer))
+    return suffix_sums(stored(spark, length_histogram(docs, tokenizer), "lengths"))
