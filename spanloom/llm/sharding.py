@@ -30,14 +30,18 @@ class Shard:
 
 
 def shard_tree(n_shards: int, base: tuple[int, int, int] = (4, 2, 5)) -> list[Shard]:
-    """The standard tree of ``n_shards`` equal shards.
+    """A tree of ``n_shards`` equal shards.
 
     The first ``regions * racks * shards`` of ``base`` fill a regular tree; every further
-    shard is a region of its own with its own weight, so adding it takes rows only into it.
+    shard is a region of its own with its own weight, so adding it takes rows only into it. A
+    base of more than ``n_shards`` can't grow in that way, so it isn't used: every shard is
+    then a region of its own.
     """
     regions, racks, shards = base
     full = regions * racks * shards
-    out = [Shard(s, f"r{s // (racks * shards)}", f"k{s // shards % racks}") for s in range(min(n_shards, full))]
+    if full > n_shards:
+        full = 0
+    out = [Shard(s, f"r{s // (racks * shards)}", f"k{s // shards % racks}") for s in range(full)]
     return out + [Shard(s, f"x{s}", "k0") for s in range(full, n_shards)]
 
 
@@ -84,7 +88,7 @@ def assign_shard(key: Column, tree: list[Shard]) -> Column:
 
 
 def shard_documents(
-    docs: DataFrame, n_shards: int = 40, tree: list[Shard] | None = None
+    docs: DataFrame, n_shards: int = 40, tree: list[Shard] | None = None, grown: list[Shard] | None = None
 ) -> DataFrame:
     """Place every document: doc_id, size, text_crc32, law, shard, slot, grown_shard.
 
@@ -93,9 +97,13 @@ def shard_documents(
     Only ids and sizes are shuffled, never texts, and no task numbers a whole shard:
     slots are given within hashed parts, about four for each shuffle partition, each
     part starting where the parts before it end. Columns other than doc_id and text are ignored.
+    grown_shard is the place in ``grown``: beside an own tree it is null where none is given,
+    beside the standard tree the same tree with one shard more.
     """
-    tree = tree if tree is not None else shard_tree(n_shards)
-    grown = shard_tree(n_shards + 1)
+    if tree is None:
+        tree = shard_tree(n_shards)
+        more = Shard(n_shards, f"x{n_shards}", "k0")
+        grown = grown if grown is not None else [*tree, more]
     key = F.col("doc_id")
     rows = docs.select(
         key,
@@ -119,5 +127,5 @@ def shard_documents(
         F.lit("key").alias("law"),
         "shard",
         (F.col("_before") + F.col("_rank") - 1).cast("long").alias("slot"),
-        assign_shard(key, grown).alias("grown_shard"),
+        F.lit(None).cast("int").alias("grown_shard") if grown is None else assign_shard(key, grown).cast("int").alias("grown_shard"),
     )
