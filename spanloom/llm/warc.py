@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 CRLF = "\r\n"
 #: Comments and the elements whose content is never text.
-HIDDEN = r"(?is)<(?:!--.*?-->|script\b.*?</script\s*>|style\b.*?</style\s*>|noscript\b.*?</noscript\s*>|template\b.*?</template\s*>|svg\b.*?</svg\s*>)"
+#: One that never closes hides the rest of the page.
+HIDDEN = r"(?is)<(?:!--.*?(?:-->|\z)|script\b.*?(?:</script\s*>|\z)|style\b.*?(?:</style\s*>|\z)|noscript\b.*?(?:</noscript\s*>|\z)|template\b.*?(?:</template\s*>|\z)|svg\b.*?(?:</svg\s*>|\z))"
 BLANKS = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
 BREAK = r"(?i)</?(p|div|h[1-6]|li|ul|ol|tr|table|br|hr|section|article|header|footer|nav|main|aside|blockquote|pre|title|form|dl|dt|dd)\b[^>]*>"
 TAG = r"(?s)<[A-Za-z/!?][^>]*>"
@@ -50,19 +51,23 @@ def _record_id(*parts: Column) -> Column:
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *pieces), F.lit(">"))
 
 
-def responses(pages: DataFrame, date: str = "2024-01-01T00:00:00Z") -> DataFrame:
+def responses(
+    pages: DataFrame, date: Column | str = "2024-01-01T00:00:00Z", status: Column | str = "200 OK"
+) -> DataFrame:
     """Response records of crawled pages (page_id, url, html): headers, payload and digests.
 
-    A null url gives an empty target, null html an empty payload. ``date`` stands for the
-    capture time, which the table doesn't hold.
+    A null url gives an empty target, null html an empty payload. ``date`` and ``status`` are
+    columns of the capture time and the HTTP status, or what stands for them in a table without.
+    Other columns are ignored; repeated pages give repeated records.
     """
+    date, status = (F.lit(x) if isinstance(x, str) else x for x in (date, status))
     url, html = F.coalesce("url", F.lit("")), F.coalesce("html", F.lit(""))
     return pages.select(
         "page_id",
         _record_id(F.lit("response"), F.col("page_id").cast("string"), url).alias("record_id"),
         url.alias("target_uri"),
-        F.lit(date).alias("date"),
-        F.lit("HTTP/1.1 200 OK").alias("status_line"),
+        date.alias("date"),
+        F.concat(F.lit("HTTP/1.1 "), status).alias("status_line"),
         F.concat(
             F.lit(f"Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "),
             F.octet_length(html).cast("string"),
