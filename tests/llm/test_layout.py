@@ -26,6 +26,25 @@ def test_word_encoder_equals_the_tokenizer():
     assert (got[0] == want[0]).all() and (got[1] == want[1]).all()
 
 
+def test_word_encoder_tells_crafted_words_apart():
+    morse = lambda n, a, b: "".join(b if bin(k).count("1") % 2 else a for k in range(n))
+    words = [morse(n, *x) for n in (1024, 2048, 8192) for x in ("ab", "ba")] + ["a" * 5000, "a" * 4999 + "b", "a" * 4999]
+    texts = pa.array([" ".join(words), " ".join(reversed(words)), *words])
+    got, want = load_encoder(WORDS).encode(texts), JsonEncoder(WORDS).encode(texts)
+    assert got[0].tolist() == want[0].tolist() and got[1].tolist() == want[1].tolist()
+
+
+def test_equal_hashes_do_not_join_words(monkeypatch):
+    from spanloom.llm import tokens
+
+    monkeypatch.setattr(tokens, "word_hashes", lambda data, b, e: (e - b).astype(np.uint64) % np.uint64(3))
+    data = np.frombuffer(b"abcdefghijk abd abc abcdefghijl a", np.uint8)
+    begin, end, _ = tokens.word_spans(data, np.array([0, len(data)]))
+    first, back = tokens.distinct_words(data, begin, end)
+    words = [data[b:e].tobytes() for b, e in zip(begin, end)]
+    assert [words[first[k]] if k < len(first) else None for k in back] == words
+
+
 def fewest(items, capacity):
     best = [len(items)]
 
@@ -97,6 +116,8 @@ def test_packing(spark, documents, odd):
     sizes = [x[1] for x in want.values()]
     assert len(sequences) <= best_fit_decreasing({x: sizes.count(x) for x in sizes}, capacity).sequences
     assert pack_documents(spark, documents([]), WORDS).count() == 0
+    twice = pack_documents(spark, documents([(1, "one two"), (1, "one two"), (1, "three"), (None, None)]), WORDS, capacity).collect()
+    assert len(twice) == 4 and len({(r.sequence_id, r.offset) for r in twice}) == 4
 
 
 def test_sharding(spark, documents, odd):
@@ -116,6 +137,17 @@ def test_sharding(spark, documents, odd):
     assert 0.5 < moved / len(got) * 41 < 1.7
 
 
+def test_growth_takes_rows_only_into_the_new_shard(spark, documents):
+    docs = documents([(i, None) for i in range(2000)])
+    for n in (1, 12, 39, 40, 57):
+        rows = shard_documents(docs, n).collect()
+        assert {r.shard for r in rows} <= set(range(n)) and all(r.grown_shard in (r.shard, n) for r in rows)
+    own = [Shard(s, "r", "k", 1.0 + s) for s in range(3)]
+    assert {r.grown_shard for r in shard_documents(docs, 3, own).collect()} == {None}
+    more = [*own, Shard(3, "x", "k", 1.0)]
+    assert all(r.grown_shard in (r.shard, 3) for r in shard_documents(docs, 3, own, more).filter("grown_shard >= 0").collect())
+
+
 def test_sharding_descends_by_hash_draws(spark):
     def draw(key, name, weight):
         u = ((xxhash.xxh64_intdigest(name.encode(), xxhash.xxh64_intdigest(key.to_bytes(8, "little", signed=True), 42)) >> 11) + 0.5) / 2**53
@@ -153,3 +185,6 @@ def test_token_counts(spark, documents, odd):
     for r in tc.quantiles(sums, [0.1, 0.5, 1.0]).collect():
         assert r.n_tokens == np.sort(lengths)[int(np.ceil(r.q * len(lengths))) - 1]
     assert tc.token_counts(spark, documents([]), path).count() == 0
+    assert [r.truncated_total for r in tc.truncated_total(sums, [-3, -1]).collect()] == [0]
+    assert tc.truncated_total(sums, []).count() == tc.quantiles(sums, []).count() == 0
+    assert {r.q: r.n_tokens for r in tc.quantiles(sums, [2.0, -1.0]).collect()} == {2.0: None, -1.0: lengths.min()}

@@ -57,6 +57,43 @@ def test_pii_discovers_by_context(spark, documents):
     assert got[20] == "email:16:29" and got[21] == ""
 
 
+def test_pii_discovery_is_bounded_by_no_length(spark, documents):
+    long_word, long_value = "w" * 40 + ":", "bob." * 30 + "x"
+    rows = [(i, f"see {long_word}\t \n   user{i}@site{i}.org now") for i in range(10)]
+    rows += [(20, f"see {long_word} {long_value}@localhost now"), (20, f"see {long_word} {long_value}@localhost now"), (None, f"{long_word} k@h now"), (21, None)]
+    got = [(r.doc_id, r.spans) for r in find_pii(spark, documents(rows)).collect() if r.doc_id is None or r.doc_id >= 20]
+    begin = 4 + len(long_word) + 1
+    assert sorted(got, key=str) == sorted([(20, f"email:{begin}:{begin + len(long_value) + 10}")] * 2 + [(None, f"email:{len(long_word) + 1}:{len(long_word) + 4}"), (21, "")], key=str)
+
+
+def test_pii_discovery_on_planted_rows(spark, documents):
+    """Values that no base rule finds, after words that mostly stand before known data; others are decoys."""
+    rnd = random.Random(8)
+    rows, planted, decoys = [], set(), set()
+    for i in range(600):
+        kind = rnd.choice(["seed", "seed", "plant", "decoy", "plain"])
+        who = f"u{rnd.randint(0, 10**6)}"
+        if kind == "seed":
+            rows.append((i, f"text mailto: {who}@d{i}.com more"))
+        elif kind == "plant":
+            planted.add(i)
+            rows.append((i, f"text mailto: {who}[at]host{i} more"))
+        elif kind == "decoy":
+            decoys.add(i)
+            rows.append((i, f"text {rnd.choice(['score', 'twas', 'route'])} {who}@place{i} more"))
+        else:
+            rows.append((i, f"text score {i} route twas 7 more"))
+    found = {r.doc_id for r in find_pii(spark, documents(rows)).collect() if r.n_discovered}
+    assert len(found & planted) >= 0.95 * len(planted) and len(found & decoys) <= 0.05 * len(found)
+
+
+def test_pii_of_many_matches(spark, documents):
+    text = " ".join(f"a{i}@b.cd 10.0.{i % 256}.1" for i in range(1500))
+    row = find_pii(spark, documents([(1, text)])).first()
+    want = base(text)
+    assert row.base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{e}" for k, a, e in want).encode()).hexdigest()
+
+
 def edited(text, n, rnd):
     t = list(text)
     for _ in range(n):
@@ -136,6 +173,61 @@ def test_leaks_without_intact_words(spark, documents):
     assert got == {(i, i) for i in range(21)}
 
 
+def test_leaks_against_all_pairs(spark, documents):
+    """Evenly spread and clustered edits on both sides of the limit, null and repeated ids, equal items."""
+    rnd = random.Random(21)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(2, 9)))
+    items = [(i, " ".join(word() for _ in range(rnd.randint(4, 30)))) for i in range(25)]
+    items += [(100, items[0][1]), (101, items[1][1].upper())]
+    rows = []
+    for i in range(100):
+        text = items[i % 25][1]
+        n = rnd.choice([len(text) // 12, len(text) // 10, len(text) // 10 + 1, len(text) // 8])
+        if i % 2:  # evenly spread
+            chars = list(text)
+            for k in range(n):
+                chars[int((k + 0.5) * len(text) / n)] = "#"
+            changed = "".join(chars)
+        else:
+            changed = edited(text, n, rnd)
+        rows.append((i, f"{' '.join(word() for _ in range(rnd.randint(0, 15)))} {changed} {' '.join(word() for _ in range(rnd.randint(0, 15)))}"))
+    rows += [(None, items[2][1]), (7, "x " * 200_000 + items[3][1])]
+    plain = {i: " ".join(t.lower().split()) for i, t in items}
+    want = {(d, i) for d, t in rows for i, p in plain.items() if p and best_edit(p, " ".join(t.lower().split()))[0] <= int(0.1 * len(p))}
+    table = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in leaks(spark, documents(rows), table).collect()}
+    assert got == want and (None, 2) in got and (7, 3) in got
+
+
+def test_quality_equals_the_textbook_formula():
+    import numpy as np
+
+    from spanloom.llm.quality import Discriminant
+
+    rng = np.random.default_rng(3)
+    x = [rng.normal(size=(n, 4)) @ rng.normal(size=(4, 4)) + k for k, n in enumerate((60, 90))]
+    sums = np.stack([np.column_stack((np.ones(len(v)), v)).T @ np.column_stack((np.ones(len(v)), v)) for v in x])
+    every = np.vstack(x)
+    cov = [np.cov(v.T, bias=True) for v in x]
+    pooled = (60 * cov[0] + 90 * cov[1]) / 150
+    logs = []
+    for v, c, share in zip(x, cov, (0.4, 0.6)):
+        s = 0.9 * c + 0.1 * pooled + 0.01 * np.diag(np.diag(np.cov(every.T, bias=True)))
+        d = every - v.mean(axis=0)
+        logs.append(np.log(share) - 0.5 * (np.linalg.slogdet(s)[1] + np.einsum("ij,jk,ik->i", d, np.linalg.inv(s), d)))
+    want = 1 / (1 + np.exp(-(logs[1] - logs[0]) / 2))
+    assert np.allclose(Discriminant.fit(sums, 0.1, 0.01).score(every), want)
+
+
+def test_learning_rows_are_bounded(spark):
+    from spanloom.llm.quality import learning_rows
+
+    labels = spark.range(3000).selectExpr("id AS doc_id", "CAST(id % 2 AS INT) AS quality")
+    every = {r.doc_id for r in learning_rows(labels).collect()}
+    some = {r.doc_id for r in learning_rows(labels, most=300).collect()}
+    assert 1800 < len(every) < 2200 and some < every and 200 < len(some) < 400
+
+
 def test_quality_held_out(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     got = score_documents(spark, docs, labels).join(labels, "doc_id").filter("held_out").toPandas()
@@ -149,21 +241,38 @@ def test_quality_odd_rows(spark, documents, odd):
     assert {r.score for r in score_documents(spark, documents(odd), labels.limit(0)).collect()} == {0.5}
 
 
+def test_quality_of_odd_ids_in_the_pipeline(spark, documents):
+    from spanloom.llm.quality import keep_good
+
+    good, bad = "a calm and plain text of several words", "!!! $$$ 111 !!! $$$ 222"
+    docs = documents([(i, good if i % 2 else bad) for i in range(200)] + [(None, good), (None, bad), (None, None), (5, bad)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200) if i != 5], "doc_id long, quality int")
+    kept = keep_good(spark, docs, labels)
+    assert kept.columns == docs.columns
+    texts = [(r.doc_id, r.text) for r in kept.collect()]
+    assert all(t != bad for _, t in texts) and (None, good) in texts and len(texts) >= 101
+
+
 PAGES = [
     (1, "http://a.example/", "<html><head><title>T</title></head><!-- c --><script>x</script><p>a &amp;lt; b</p>\n<p>c  d<br>e</p></html>"),
     (2, None, None),
     (3, "u", ""),
     (3, "u", ""),
     (4, "u", "no tags < here & there &nbsp; é"),
+    (5, "u", "before<script>never closed <p>x</p>" + "<script>" * 2000),
+    (6, "u", "<!-- open"),
 ]
 
 
 def test_warc(spark, tmp_path):
-    rows = derivatives(responses(spark.createDataFrame(PAGES, "page_id long, url string, html string")))
+    pages = spark.createDataFrame(PAGES, "page_id long, url string, html string").selectExpr("*", "'k' AS kind", "'x' AS block", "'2020' AS date", "1 AS record_id")
+    rows = derivatives(responses(pages))
     got = rows.collect()
+    assert {r.date for r in got} == {"2024-01-01T00:00:00Z"} and {r.date for r in derivatives(responses(pages, date=pages["date"])).collect()} == {"2020"}
     texts = {r.page_id: r.block for r in got if r.record_type == "conversion"}
     assert texts[1] == "T\na &lt; b\nc d\ne" and texts[2] == "" and texts[4] == "no tags < here & there é"
-    assert len(got) == 10 and all(r.content_length == len(r.block.encode()) for r in got)
+    assert texts[5] == "before" and texts[6] == ""
+    assert len(got) == 14 and all(r.content_length == len(r.block.encode()) for r in got)
     ids = {r.record_id: r for r in got}
     assert all(ids[r.concurrent_to].refers_to == r.refers_to and ids[r.concurrent_to].record_type != r.record_type for r in got)
     write_warc(rows, str(tmp_path / "out"))
