@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -38,46 +39,88 @@ def vocabulary() -> tuple[str, ...]:
     return tuple(out)
 
 
+@dataclass(frozen=True)
+class Vocabulary:
+    """Class paths, special classes and buckets, aliases of path parts, and prefixes of the underscore dialect (longest first)."""
+
+    paths: tuple[str, ...]
+    special: tuple[str, ...] = SPECIAL
+    buckets: tuple[str, ...] = BUCKETS
+    aliases: tuple[tuple[str, str], ...] = tuple(ALIASES.items())
+    prefixes: tuple[tuple[str, str], ...] = UNDERSCORED
+
+
+STANDARD = Vocabulary(vocabulary())
+# The sources by dialect.
+PIPED = ("DANTE", "DANTE_LTR", "DANTE_LINE")
+PREFIXED = ("DANTE_TIR",)
+PLAIN = ("DANTE_TIR_FALLBACK", "RepeatMasker", "TideCluster", "custom_library")
+# End of fixed values.
+
+
 def without_similarity(label: Column) -> Column:
     """Drop a similarity suffix such as `` (87%25)``."""
     return F.regexp_replace(label, r"\s*\([0-9]+(?:\.[0-9]+)?%25\)$", "")
 
 
-def canon_piped(label: Column) -> Column:
+def canon_piped(label: Column, vocab: Vocabulary = STANDARD) -> Column:
     """Pipe-separated dialect: parts trimmed, empty ones dropped, aliases applied, joined by '/'."""
-    aliases = F.create_map(*[F.lit(x) for pair in ALIASES.items() for x in pair])
     parts = F.filter(F.transform(F.split(label, r"\|"), lambda p: F.trim(p)), lambda p: p != "")
-    return F.array_join(F.transform(parts, lambda p: F.coalesce(F.try_element_at(aliases, p), p)), "/")
+    if vocab.aliases:
+        aliases = F.create_map(*[F.lit(x) for pair in vocab.aliases for x in pair])
+        parts = F.transform(parts, lambda p: F.coalesce(F.try_element_at(aliases, p), p))
+    return F.array_join(parts, "/")
 
 
-def _underscored(label: Column) -> Column:
+def _underscored(label: Column, vocab: Vocabulary) -> Column:
     test = F.lit(False)
-    for flat, _ in UNDERSCORED:
+    for flat, _ in vocab.prefixes:
         test = test | label.startswith(flat)
     return test
 
 
-def canon_underscored(label: Column) -> Column:
+def canon_underscored(label: Column, vocab: Vocabulary = STANDARD) -> Column:
     """Underscore dialect: the longest known prefix becomes a path, the leaf stays."""
     out = F.when(F.lit(False), label)
-    for flat, path in UNDERSCORED:
+    for flat, path in vocab.prefixes:
         out = out.when(label.startswith(flat), F.concat(F.lit(path), F.substring(label, len(flat) + 1, 1 << 20)))
     return out.otherwise(label)
 
 
-def is_canonical(label: Column) -> Column:
+def is_canonical(label: Column, vocab: Vocabulary = STANDARD) -> Column:
     """In the vocabulary, a bucket or a special class; Satellite takes any non-empty sub-path."""
-    known = label.isin(*vocabulary(), *SPECIAL, *BUCKETS)
+    known = label.isin(*vocab.paths, *vocab.special, *vocab.buckets)
     return F.coalesce(known | (label.startswith("Satellite/") & (F.length(label) > len("Satellite/"))), F.lit(False))
 
 
-def canonicalise(label: Column) -> Column:
-    """Any dialect, detected from the text; null for null and empty labels."""
-    label = F.trim(without_similarity(label))
-    out = F.when(label.contains("|"), canon_piped(label)).when(_underscored(label), canon_underscored(label)).otherwise(label)
+def canonicalise(label: Column, source: Column | None = None, vocab: Vocabulary = STANDARD) -> Column:
+    """The path of a label in the dialect of its source, or of the dialect it shows where source is null.
+
+    Null for null and empty labels and unknown sources.
+    """
+    label = F.trim(without_similarity(F.trim(label)))
+    seen = F.when(label.contains("|"), canon_piped(label, vocab)).when(_underscored(label, vocab), canon_underscored(label, vocab)).otherwise(label)
+    out = seen
+    if source is not None:
+        out = F.when(source.isNull(), seen).when(source.isin(*PIPED), canon_piped(label, vocab)).when(source.isin(*PREFIXED), canon_underscored(label, vocab))
+        out = out.when(source.isin(*PLAIN), label)
     return F.when(F.coalesce(label, F.lit("")) != "", out)
 
 
+def failure(label: Column, source: Column | None = None, vocab: Vocabulary = STANDARD) -> Column:
+    """Why a label has no canonical path: null, empty, unknown source or not canonical; null where it has one."""
+    unknown = F.lit(False) if source is None else source.isNotNull() & ~source.isin(*PIPED, *PREFIXED, *PLAIN)
+    out = F.when(label.isNull(), "null").when(F.trim(label) == "", "empty").when(unknown, "unknown source")
+    return out.when(~is_canonical(canonicalise(label, source, vocab), vocab), "not canonical")
+
+
+def canonical_or_error(label: Column, source: Column | None = None, vocab: Vocabulary = STANDARD) -> Column:
+    """The canonical path; a label without one stops the job."""
+    why = failure(label, source, vocab)
+    error = F.raise_error(F.concat(F.lit("no canonical class: "), F.coalesce(label, F.lit("null")), F.lit(", "), why))
+    return F.when(why.isNull(), canonicalise(label, source, vocab)).otherwise(error.cast("string"))
+
+
 def lca_prefix(paths: Column) -> Column:
     """Longest common path prefix of an array of labels; Unknown where there is none.
 
@@ -119,6 +162,18 @@ def completeness(identifier: Column) -> Column:
     return F.when(identifier.rlike("^TE_partial_"), "partial").otherwise("complete")
 
 
+def complete_rank(rank: Column) -> Column:
+    """Elements with domains and terminal repeats; rows of a table without ranks pass as null does not."""
+    return F.coalesce(rank.isin("DL", "DLT", "DLP", "DLTP"), F.lit(False))
+
+
+def tir_subtype(name: Column, classification: Column, quality: Column) -> Column:
+    """Last part of the piped class of a good TPase domain of Subclass_1 with at least four parts, else null."""
+    parts = F.split(classification, r"\|")
+    good = (name == "TPase") & classification.contains("Subclass_1") & quality & (F.size(parts) >= 4)
+    return F.when(good & (F.element_at(parts, -1) != ""), F.element_at(parts, -1))
+
+
 # Bar categories and the label patterns that select them, later ones first.
 CATEGORIES = (
     ("^Unknown", "Unknown"),

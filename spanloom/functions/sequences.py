@@ -61,12 +61,35 @@ def n_runs(df: DataFrame, name: str, seq: str, least: int = 10) -> DataFrame:
     return rows.select("name", start.cast("long").alias("start0"), (start + F.length("g.run")).cast("long").alias("end0"))
 
 
-def subsequences(regions: DataFrame, sequences: DataFrame) -> DataFrame:
-    """Regions (seqid, start_pos, end_pos, ...) with the bases of their closed interval."""
-    named = sequences.select(F.col("name").alias("seqid"), "seq")
-    size = F.col("end_pos") - F.col("start_pos") + 1
-    cut = F.substring(F.col("seq"), F.col("start_pos").cast("int"), size.cast("int"))
-    return regions.join(named, "seqid").withColumn("bases", cut).drop("seq")
+def oriented(identifier: Column, seq: Column, strand: Column) -> tuple[Column, Column]:
+    """Id and sequence in the strand's direction: minus ones reversed and complemented, their ids marked."""
+    minus = strand == "-"
+    return F.when(minus, F.concat(identifier, F.lit("_revcomp"))).otherwise(identifier), F.when(minus, reverse_complement(seq)).otherwise(seq)
+
+
+def in_parts(sequences: DataFrame, size: int = 1 << 20) -> DataFrame:
+    """Sequences (name, seq) as rows (name, part, offset, seq) of at most ``size`` bases."""
+    count = F.greatest(F.lit(1), F.ceil(F.length("seq") / size)).cast("int")
+    rows = sequences.select("name", "seq", F.explode(F.sequence(F.lit(0), count - 1)).alias("part"))
+    offset = F.col("part").cast("long") * size
+    return rows.select("name", F.col("part").cast("long").alias("part"), offset.alias("offset"), F.substring(F.col("seq"), (offset + 1).cast("int"), F.lit(size)).alias("seq"))
+
+
+def subsequences(regions: DataFrame, parts: DataFrame, key: str, size: int = 1 << 20) -> DataFrame:
+    """Regions (seqid, start_pos, end_pos, unique ``key``, ...) with the bases of their closed interval.
+
+    ``parts`` are those of :func:`in_parts`, all but the last of ``size`` bases: a region meets only the
+    parts that it touches, so no whole sequence is moved. Positions beyond a sequence give no bases.
+    """
+    touched = F.sequence(F.floor((F.greatest(F.col("start_pos"), F.lit(1)) - 1) / size), F.floor((F.greatest(F.col("end_pos"), F.lit(1)) - 1) / size))
+    rows = regions.select(key, "seqid", "start_pos", "end_pos", F.explode(touched).alias("_part"))
+    rows = rows.join(parts.select(F.col("name").alias("seqid"), F.col("part").alias("_part"), "offset", F.col("seq").alias("_seq")), ["seqid", "_part"])
+    begin = F.greatest(F.col("start_pos") - F.col("offset"), F.lit(1)).cast("int")
+    end = F.least(F.col("end_pos") - F.col("offset"), F.length("_seq")).cast("int")
+    cut = F.substring(F.col("_seq"), begin, F.greatest(end - begin + 1, F.lit(0)))
+    found = rows.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_part", cut.alias("s")))).alias("_all"))
+    joined = F.array_join(F.transform("_all", lambda x: x["s"]), "")
+    return regions.join(found.select(key, joined.alias("bases")), key)
 
 
 def chunk_plan(df: DataFrame, name: str, length: str, chunk: int, overlap: int) -> DataFrame:

@@ -12,8 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: Bases in a bin; a feature longer than that is present in several bins.
+#: Bases in a bin of one-row-per-bin work; a feature longer than that is present in several bins.
 BIN = 1 << 17
+#: Bases in a bin of pairwise work: candidates are square in a bin's rows, so it is near the width of features.
+PAIR_BIN = 1 << 12
 
 
 def _bin(position: Column | str, size: int) -> Column:
@@ -60,7 +62,7 @@ def reduce_intervals(df: DataFrame, keys: Sequence[str] = ("seqid",), size: int
     return inner.unionByName(border.select(*keys, "start_pos", "end_pos"))
 
 
-def overlap_join(a: DataFrame, b: DataFrame, size: int = BIN, within: bool = False) -> DataFrame:
+def overlap_join(a: DataFrame, b: DataFrame, size: int = PAIR_BIN, within: bool = False) -> DataFrame:
     """All pairs of overlapping rows on one seqid; strand is ignored.
 
     Columns of ``a`` and ``b`` get the suffixes _a and _b, and ``overlap_bp`` is added. A pair that
@@ -78,7 +80,7 @@ def overlap_join(a: DataFrame, b: DataFrame, size: int = BIN, within: bool = Fal
     return joined.withColumn("overlap_bp", F.least("end_pos_a", "end_pos_b") - later + 1)
 
 
-def overlapping(a: DataFrame, b: DataFrame, key: str, size: int = BIN, within: bool = False) -> DataFrame:
+def overlapping(a: DataFrame, b: DataFrame, key: str, size: int = PAIR_BIN, within: bool = False) -> DataFrame:
     """The keys of rows of ``a`` that overlap (or lie within) any row of ``b``, once each."""
     left = in_bins(a.select(F.col(key), "seqid", F.col("start_pos").alias("_s"), F.col("end_pos").alias("_e")).withColumnsRenamed({"_s": "start_pos", "_e": "end_pos"}), size)
     right = in_bins(b.select("seqid", "start_pos", "end_pos"), size).toDF("_seqid", "_s", "_e", "_bin")
@@ -89,29 +91,29 @@ def overlapping(a: DataFrame, b: DataFrame, key: str, size: int = BIN, within: b
     return left.join(right, on, "left_semi").select(key).distinct()
 
 
-def overlap_semi(a: DataFrame, b: DataFrame, key: str, size: int = BIN, within: bool = False) -> DataFrame:
+def overlap_semi(a: DataFrame, b: DataFrame, key: str, size: int = PAIR_BIN, within: bool = False) -> DataFrame:
     """Rows of ``a`` that overlap any row of ``b``."""
     return a.join(overlapping(a, b, key, size, within), key, "left_semi")
 
 
-def overlap_anti(a: DataFrame, b: DataFrame, key: str, size: int = BIN, within: bool = False) -> DataFrame:
+def overlap_anti(a: DataFrame, b: DataFrame, key: str, size: int = PAIR_BIN, within: bool = False) -> DataFrame:
     """Rows of ``a`` that overlap no row of ``b``."""
     return a.join(overlapping(a, b, key, size, within), key, "left_anti")
 
 
-def self_overlaps(df: DataFrame, key: str, size: int = BIN) -> DataFrame:
+def self_overlaps(df: DataFrame, key: str, size: int = PAIR_BIN) -> DataFrame:
     """Overlapping pairs of different rows of one table, each pair once (smaller key first)."""
     return overlap_join(df, df, size).filter(F.col(f"{key}_a") < F.col(f"{key}_b"))
 
 
-def best_parent(children: DataFrame, parents: DataFrame, child: str, parent: str, size: int = BIN) -> DataFrame:
-    """(child, parent, overlap_bp): the parent with the widest intersection, ties to the smaller key."""
+def best_parent(children: DataFrame, parents: DataFrame, child: str, parent: str, size: int = PAIR_BIN) -> DataFrame:
+    """(child, parent, overlap_bp): the parent with the widest intersection, ties to the smaller key of any type."""
     pairs = overlap_join(children.select(F.col(child).alias("c"), "seqid", "start_pos", "end_pos"), parents.select(F.col(parent).alias("p"), "seqid", "start_pos", "end_pos"), size)
-    best = F.max_by(F.struct(F.col("p_b").alias("p"), F.col("overlap_bp").alias("w")), F.struct("overlap_bp", -F.col("p_b"))).alias("best")
-    return pairs.groupBy(F.col("c_a").alias("child")).agg(best).select("child", F.col("best.p").alias("parent"), F.col("best.w").alias("overlap_bp"))
+    best = F.min(F.struct((-F.col("overlap_bp")).alias("w"), F.col("p_b").alias("p"))).alias("best")
+    return pairs.groupBy(F.col("c_a").alias("child")).agg(best).select("child", F.col("best.p").alias("parent"), (-F.col("best.w")).alias("overlap_bp"))
 
 
-def segments(df: DataFrame, keys: Sequence[str] = ("seqid",), size: int = BIN) -> DataFrame:
+def segments(df: DataFrame, keys: Sequence[str] = ("seqid",), size: int = PAIR_BIN) -> DataFrame:
     """Atomic segments between all borders of the features of a key, gaps included."""
     keys = list(keys)
     points = df.select(*keys, F.explode(F.array("start_pos", F.col("end_pos") + 1)).alias("pos")).distinct()
@@ -125,7 +127,7 @@ def segments(df: DataFrame, keys: Sequence[str] = ("seqid",), size: int = BIN) -
     return points.select(*keys, F.col("pos").alias("start_pos"), end.alias("end_pos")).filter("end_pos IS NOT NULL")
 
 
-def disjoin(df: DataFrame, key: str, size: int = BIN) -> DataFrame:
+def disjoin(df: DataFrame, key: str, size: int = PAIR_BIN) -> DataFrame:
     """(seqid, start_pos, end_pos, members, depth): atomic segments with the sorted keys that cover them."""
     rows = df.select(F.col(key).alias("k"), "seqid", "start_pos", "end_pos")
     pairs = overlap_join(segments(rows, size=size), rows, size, within=True)
@@ -135,7 +137,7 @@ def disjoin(df: DataFrame, key: str, size: int = BIN) -> DataFrame:
 
 
 def trim(
-    lower: DataFrame, higher: DataFrame, key: str, min_len: int = 50, size: int = BIN, reduced: bool = False
+    lower: DataFrame, higher: DataFrame, key: str, min_len: int = 50, size: int = PAIR_BIN, reduced: bool = False
 ) -> DataFrame:
     """``lower`` without what ``higher`` covers, cut at all borders, columns of the first source.
 
@@ -145,7 +147,7 @@ def trim(
     bases when that row was trimmed; trimmed rows lose their strand. ``reduced`` says that
     ``higher`` already holds disjoint regions.
     """
-    high = higher.select("seqid", "start_pos", "end_pos") if reduced else reduce_intervals(higher, size=size)
+    high = higher.select("seqid", "start_pos", "end_pos") if reduced else reduce_intervals(higher)
     hit = overlapping(lower, high, key, size)
     seqids = lower.join(hit, key, "left_semi").select("seqid").distinct()
     untouched = lower.join(seqids, "seqid", "left_anti")
@@ -164,18 +166,23 @@ def trim(
     return pieces.select(*lower.columns).unionByName(untouched)
 
 
-def subtract(a: DataFrame, b: DataFrame, key: str, size: int = BIN) -> DataFrame:
+def pieces(df: DataFrame, holes: str) -> DataFrame:
+    """Rows without the disjoint ``holes`` (sorted array of s, e; null: none), and ``_cut``: whether there were any."""
+    none = F.array().cast("array<struct<s:bigint,e:bigint>>")
+    rows = df.withColumn(holes, F.coalesce(F.col(holes).cast("array<struct<s:bigint,e:bigint>>"), none))
+    starts = F.concat(F.array(F.col("start_pos").cast("long")), F.transform(holes, lambda h: h["e"] + 1))
+    ends = F.concat(F.transform(holes, lambda h: h["s"] - 1), F.array(F.col("end_pos").cast("long")))
+    free = F.filter(F.arrays_zip(starts.alias("s"), ends.alias("e")), lambda p: p["s"] <= p["e"])
+    rows = rows.withColumn("_cut", F.size(holes) > 0).withColumn("_p", F.explode(free))
+    return rows.withColumn("start_pos", F.col("_p.s")).withColumn("end_pos", F.col("_p.e")).drop("_p", holes)
+
+
+def subtract(a: DataFrame, b: DataFrame, key: str, size: int = PAIR_BIN) -> DataFrame:
     """Pieces of each row of ``a`` that ``b`` doesn't cover, with all columns of ``a``."""
-    cover = reduce_intervals(b, size=size)
-    pairs = overlap_join(a.select(F.col(key).alias("k"), "seqid", "start_pos", "end_pos"), cover, size)
+    pairs = overlap_join(a.select(F.col(key).alias("k"), "seqid", "start_pos", "end_pos"), reduce_intervals(b), size)
     holes = F.array_sort(F.collect_list(F.struct(F.col("start_pos_b").alias("s"), F.col("end_pos_b").alias("e"))))
     cuts = pairs.groupBy(F.col("k_a").alias(key)).agg(holes.alias("_holes"))
-    rows = a.join(cuts, key, "left").withColumn("_holes", F.coalesce("_holes", F.array().cast("array<struct<s:bigint,e:bigint>>")))
-    starts = F.concat(F.array(F.col("start_pos")), F.transform("_holes", lambda h: h["e"] + 1))
-    ends = F.concat(F.transform("_holes", lambda h: h["s"] - 1), F.array(F.col("end_pos")))
-    pieces = F.filter(F.arrays_zip(starts.alias("s"), ends.alias("e")), lambda p: p["s"] <= p["e"])
-    rows = rows.withColumn("_p", F.explode(pieces))
-    return rows.withColumn("start_pos", F.col("_p.s")).withColumn("end_pos", F.col("_p.e")).select(*a.columns)
+    return pieces(a.join(cuts, key, "left"), "_holes").select(*a.columns)
 
 
 def covered_bp(df: DataFrame, keys: Sequence[str] = ("seqid",), size: int = BIN) -> DataFrame:
@@ -186,13 +193,3 @@ def covered_bp(df: DataFrame, keys: Sequence[str] = ("seqid",), size: int = BIN)
 def merged_bed(df: DataFrame, size: int = BIN) -> DataFrame:
     """Merged regions as 0-based half-open rows."""
     return reduce_intervals(df, size=size).select("seqid", (F.col("start_pos") - 1).alias("start0"), F.col("end_pos").alias("end0"))
-
-
-def depth(df: DataFrame, size: int = BIN) -> DataFrame:
-    """(seqid, start_pos, end_pos, depth): segments with the number of rows that cover them, from border counts."""
-    cut = clipped(df.select("seqid", "start_pos", "end_pos"), size)
-    steps = cut.select("seqid", "bin", F.explode(F.array(F.struct(F.col("start_pos").alias("pos"), F.lit(1).alias("d")), F.struct((F.col("end_pos") + 1).alias("pos"), F.lit(-1).alias("d")))).alias("s"))
-    steps = steps.groupBy("seqid", "bin", F.col("s.pos").alias("pos")).agg(F.sum("s.d").alias("d"))
-    order = W.partitionBy("seqid", "bin").orderBy("pos")
-    rows = steps.select("seqid", F.col("pos").alias("start_pos"), (F.lead("pos").over(order) - 1).alias("end_pos"), F.sum("d").over(order).alias("depth"))
-    return rows.filter("depth > 0")

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def anchored_alignment(query: str, ref: str, match: int = 2, mismatch: int = -3, open_: int = 5, extend: int = 2) -> tuple[int, int, int]:
@@ -53,6 +54,16 @@ def align_pairs(pairs: DataFrame, least: int = 20, from_end: bool = False) -> Da
     return pairs.mapInPandas(align, f"qid {kind['qid']}, sid {kind['sid']}, score long, qspan long, sspan long")
 
 
+def anchored_flanks(pairs: DataFrame, least: int = 20) -> DataFrame:
+    """Flank pairs (qid, sid, prime, query, ref, ...) aligned from the element outwards, by side and with their scores.
+
+    What lies before an element is anchored at its right end, what lies behind it at its left end.
+    """
+    before = align_pairs(pairs.filter("prime = '5prime'"), least, from_end=True).withColumn("prime", F.lit("5prime"))
+    behind = align_pairs(pairs.filter("prime = '3prime'"), least).withColumn("prime", F.lit("3prime"))
+    return before.unionByName(behind)
+
+
 def simplified(track: DataFrame, epsilon: float) -> DataFrame:
     """Ramer-Douglas-Peucker on (track, x, y): points within ``epsilon`` of the line go, null points stay and part lines."""
 

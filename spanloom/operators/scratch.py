@@ -8,16 +8,23 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def settled(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Write ``df`` as Parquet below ``spark.checkpoint.dir`` and read it back.
-
-    Later steps then start from a plain scan that survives lost executors. Where the session names
-    no folder (tests on one machine), a temporary one is used.
-    """
+def folder(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that driver and executors share."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = getattr(spark, "_spanloom_scratch", None) or tempfile.mkdtemp(prefix="spanloom-")
         spark._spanloom_scratch = root
-    path = f"{root.rstrip('/')}/settled-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def settled(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet below ``spark.checkpoint.dir`` and read it back.
+
+    Later steps then start from a plain scan that survives lost executors. Where a local session
+    names no folder (tests on one machine), a temporary one is used.
+    """
+    path = folder(spark, "settled")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

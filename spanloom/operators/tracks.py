@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from spanloom.operators.intervals import clipped, reduce_intervals
+from spanloom.operators.ordered import halo, neighbour, running
 
 
 def density(df: DataFrame, lengths: DataFrame, step: int) -> DataFrame:
@@ -19,28 +20,34 @@ def density(df: DataFrame, lengths: DataFrame, step: int) -> DataFrame:
     return rows.select("seqid", start.alias("start_pos"), end.alias("end_pos"), F.round(score, 9).alias("score"))
 
 
+def _numbered(track: DataFrame) -> DataFrame:
+    """Tiles with their number ``_place`` from 0 on their sequence."""
+    return running(track, ["seqid"], "start_pos", ["start_pos"], F.lit(1), "_place").withColumn("_place", F.col("_place") - 1)
+
+
 def smoothed(track: DataFrame, before: int = 4, after: int = 5) -> DataFrame:
     """Running mean over ten tiles with zeros beyond the ends."""
-    order = W.partitionBy("seqid").orderBy("start_pos").rowsBetween(-before, after)
-    return track.withColumn("score", F.round(F.sum("score").over(order) / (before + after + 1), 9))
+    rows = halo(_numbered(track), ["seqid"], "_place", before, after)
+    order = W.partitionBy("seqid", "_block").orderBy("_place").rowsBetween(-before, after)
+    rows = rows.withColumn("score", F.round(F.sum("score").over(order) / (before + after + 1), 9))
+    return rows.filter("_own").select(*track.columns)
 
 
 def smoothed_inside(track: DataFrame, n: int = 10) -> DataFrame:
     """The same without the first and last n-1 tiles; tracks shorter than n stay as they are."""
-    order = W.partitionBy("seqid").orderBy("start_pos")
-    whole = W.partitionBy("seqid")
-    mean = F.sum("score").over(order.rowsBetween(-4, n - 5)) / n
-    place, count = F.row_number().over(order), F.count(F.lit(1)).over(whole)
-    score = F.when(count < n, F.col("score")).when(place.between(n, count - n + 1), mean)
-    return track.withColumn("_score", F.round(score, 9)).drop("score").withColumnRenamed("_score", "score")
+    counts = track.groupBy("seqid").agg(F.count(F.lit(1)).alias("_count"))
+    rows = halo(_numbered(track), ["seqid"], "_place", 4, n - 5).join(counts, "seqid")
+    mean = F.sum("score").over(W.partitionBy("seqid", "_block").orderBy("_place").rowsBetween(-4, n - 5)) / n
+    inner = F.col("_place").between(n - 1, F.col("_count") - n)
+    score = F.when(F.col("_count") < n, F.col("score")).when(inner, mean)
+    return rows.withColumn("score", F.round(score, 9)).filter("_own").select(*track.columns)
 
 
 def run_lengths(track: DataFrame) -> DataFrame:
     """Neighbouring tiles with exactly equal scores merged."""
-    order = W.partitionBy("seqid").orderBy("start_pos")
-    same = (F.lag("score").over(order) == F.col("score")) & (F.lag("end_pos").over(order) + 1 == F.col("start_pos"))
-    rows = track.withColumn("_new", F.when(same, 0).otherwise(1))
-    rows = rows.withColumn("_run", F.sum("_new").over(order.rowsBetween(W.unboundedPreceding, 0)))
+    rows = neighbour(track, ["seqid"], "start_pos", ["start_pos"], ["score", "end_pos"], "_prev")
+    same = (F.col("_prev.score") == F.col("score")) & (F.col("_prev.end_pos") + 1 == F.col("start_pos"))
+    rows = running(rows, ["seqid"], "start_pos", ["start_pos"], F.when(same, 0).otherwise(1), "_run")
     merged = rows.groupBy("seqid", "_run").agg(F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos"), F.first("score").alias("score"))
     return merged.drop("_run")
 

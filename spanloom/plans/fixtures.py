@@ -41,10 +41,52 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                (o_orderkey - o_orderkey % 5) * 180 + 1000 + CASE WHEN o_custkey % 3 = 0 THEN 60 ELSE 0 END AS end_pos
         FROM orders"""),
     "fx_hits": ((), """
-        SELECT qid, sid, pident, qstart, least(qstart + len - 1, qlen) AS qend, qlen, slen, least(len, qlen - qstart + 1) AS aln_len
+        SELECT qid, sid, pident, qstart, least(qstart + len - 1, qlen) AS qend, qlen, slen, least(len, qlen - qstart + 1) AS aln_len,
+               sstart, sstart + len - 1 AS send, qcov
         FROM (SELECT l_partkey AS qid, (l_partkey + l_suppkey) % 2000 AS sid, 60 + l_quantity * 0.8 AS pident,
+                l_orderkey * 13 % (200 + (l_partkey + l_suppkey) % 2000 % 10 * 100) + 1 AS sstart, 0.5 + l_quantity / 100 AS qcov,
                 l_orderkey % (100 + l_partkey % 10 * 50) + 1 AS qstart, CAST(l_quantity AS BIGINT) * 12 AS len,
                 200 + l_partkey % 10 * 100 AS qlen, 200 + (l_partkey + l_suppkey) % 2000 % 10 * 100 AS slen FROM lineitem) h"""),
+    "fx_members": ((), """
+        SELECT p_partkey % 10 AS cluster, p_partkey AS id, CASE WHEN p_partkey % 10 = 9 THEN 20 ELSE 200 + p_partkey % 10 * 100 END + p_partkey % 7 AS length
+        FROM part"""),
+    "fx_ltr_elements": (("fx_ltr",), """
+        SELECT concat(CASE WHEN id % 17 = 0 THEN 'TE_partial_' ELSE 'TE_' END, CAST(id AS STRING)) AS id, seqid, start_pos, end_pos, strand, final_classification
+        FROM fx_ltr"""),
+    "fx_ltr_parts": (("fx_ltr",), """
+        SELECT concat(CASE WHEN id % 17 = 0 THEN 'TE_partial_' ELSE 'TE_' END, CAST(id AS STRING)) AS parent,
+               CASE WHEN k = 1 THEN start_pos ELSE end_pos - 79 - id % 40 END AS start_pos, CASE WHEN k = 1 THEN start_pos + 79 + id % 40 ELSE end_pos END AS end_pos
+        FROM fx_ltr CROSS JOIN (VALUES (1), (2)) AS t(k) WHERE id % 13 <> 0"""),
+    "fx_sfhits": ((), """
+        SELECT concat('chr', CAST(event_id % 3 + 1 AS STRING)) AS seqid, CASE WHEN user_id % 2 = 0 THEN '+' ELSE '-' END AS strand,
+               concat('TRC_', CAST(user_id % 9 AS STRING)) AS trc, event_id * 8 AS s0, event_id * 8 + 20 + CAST(floor(value) AS BIGINT) % 60 AS e0
+        FROM events"""),
+    "fx_monomers": ((), "SELECT trc, monomer FROM (VALUES ('TRC_0',21.5),('TRC_1',17.0),('TRC_3',40.0),('TRC_4',25.0),('TRC_6',18.5)) AS t(trc,monomer)"),
+    "fx_superfamilies": ((), "SELECT trc, sf FROM (VALUES ('TRC_0','SF1'),('TRC_1','SF1'),('TRC_2','SF1'),('TRC_3','SF2'),('TRC_4','SF2')) AS t(trc,sf)"),
+    "fx_tiers": (("fx_features",), """
+        SELECT fid, seqid, start_pos, end_pos, strand, CASE WHEN source_tool LIKE 'Tide%' THEN concat('TRC_', CAST(fid % 50 AS STRING)) ELSE classification END AS name,
+               classification, source_tool, source_tier, CASE WHEN source_tool = 'DANTE_LTR' AND fid % 11 <> 0 THEN 'complete' END AS element_type,
+               CASE WHEN source_tool = 'DANTE_LTR' AND fid % 11 = 0 THEN 'LTR_RT_TR' END AS structure, CASE WHEN source_tool = 'DANTE_LTR' AND fid % 11 = 0 THEN '3' END AS copy_number
+        FROM (SELECT *, row_number() OVER (PARTITION BY fid ORDER BY end_pos, strand) AS place FROM fx_features) f WHERE place = 1"""),
+    "fx_tandem_members": (("fx_tiers",), """
+        SELECT -fid AS fid, seqid, start_pos + 3 AS start_pos, end_pos - 3 AS end_pos, strand, name, classification, source_tool, source_tier,
+               'complete' AS element_type, CAST(NULL AS STRING) AS structure, CAST(NULL AS STRING) AS copy_number
+        FROM fx_tiers WHERE structure = 'LTR_RT_TR'"""),
+    # An annotation in which the residue m of a row says what is wrong with it.
+    "fx_unified": (("fx_tiers",), """
+        SELECT CASE m WHEN 1 THEN concat('X', CAST(fid AS STRING)) WHEN 2 THEN 'UA_L1_00000002' WHEN 3 THEN NULL ELSE concat(CASE WHEN two THEN 'UA_L2_' ELSE 'UA_L1_' END, lpad(CAST(fid % 100000000 AS STRING), 8, '0')) END AS id,
+               CASE m WHEN 4 THEN '' ELSE seqid END AS seqid, CASE m WHEN 5 THEN 'other' ELSE source_tool END AS source,
+               CASE m WHEN 6 THEN 'gene' WHEN 7 THEN CASE WHEN region THEN 'transposable_element' ELSE 'repeat_region' END ELSE CASE WHEN region THEN 'repeat_region' ELSE 'transposable_element' END END AS type,
+               start_pos, CASE m WHEN 8 THEN start_pos - 1 ELSE end_pos END AS end_pos, CASE m WHEN 9 THEN '?' ELSE CASE strand WHEN '*' THEN '.' ELSE strand END END AS strand,
+               CASE m WHEN 10 THEN NULL WHEN 11 THEN 'TRC_x' ELSE name END AS name, CASE m WHEN 12 THEN NULL ELSE classification END AS classification,
+               CASE m WHEN 13 THEN NULL WHEN 14 THEN 7 ELSE source_tier END AS source_tier, CASE m WHEN 15 THEN NULL ELSE source_tool END AS source_tool,
+               CASE m WHEN 16 THEN 'half' WHEN 17 THEN NULL ELSE element_type END AS element_type,
+               CASE m WHEN 18 THEN 'LTR_RT_TR' WHEN 19 THEN 'odd' ELSE structure END AS structure, CASE m WHEN 20 THEN '2' WHEN 21 THEN 'two' ELSE copy_number END AS copy_number,
+               CASE m WHEN 22 THEN 'a/b' WHEN 23 THEN 'ab' END AS te_origin, CASE m WHEN 24 THEN 'tandem_LTR_RT' WHEN 22 THEN 'odd' END AS te_origin_structure,
+               CASE m WHEN 25 THEN 'LTR_RT_TR' WHEN 26 THEN 'odd' END AS in_structure, CASE m WHEN 27 THEN 'UA_L1_1' WHEN 25 THEN 'UA_L1_00000001' END AS member_of,
+               CASE WHEN m = 28 THEN NULL WHEN two OR m = 29 THEN CASE m WHEN 30 THEN 'UA_L1_5' ELSE concat('UA_L1_0000000', CAST(fid % 3 AS STRING)) END END AS parent,
+               CAST(CASE WHEN two THEN 2 ELSE 1 END AS INT) AS level
+        FROM (SELECT *, CAST((fid - fid % 100000) / 100000 AS BIGINT) % 67 AS m, fid % 7 = 0 AS two, classification LIKE 'Satellite%' OR classification LIKE 'Simple_repeat%' OR classification LIKE 'Low_complexity%' OR classification LIKE 'rDNA%' OR classification LIKE 'Unknown%' AS region FROM fx_tiers) u"""),
     "fx_trc": ((), """
         SELECT event_id AS fid, concat('chr', CAST(event_id % 3 + 1 AS STRING)) AS seqid, '+' AS strand,
                concat('TRC_', CAST(user_id % 9 AS STRING)) AS trc, concat('SF', CAST(CAST(floor(user_id % 9 / 3.0) AS BIGINT) AS STRING)) AS sf,

@@ -15,8 +15,15 @@ from spanloom.operators import members as mb
 from spanloom.operators import patterns as pt
 from spanloom.operators import report as rp
 from spanloom.operators import resolve as rs
+from spanloom.operators import kernels as kn
+from spanloom.operators import ordered as od
+from spanloom.operators import scratch
 from spanloom.operators import tracks as tr
+from spanloom.plans import statements as st
 from spanloom.plans.fixtures import view, with_views
+from spanloom.plans.statements import islands
+from spanloom.sources import sinks, tabular
+from spanloom.sources import tiers as tl
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -31,20 +38,14 @@ def query(sql: str | None = None, *views: str) -> Callable[[Query], Query]:
         if sql is not None:
             head, rest = (with_views(*views) if views else ""), sql.strip()
             # A statement that begins with WITH goes on in the list of views.
+            if rest.startswith("WITH RECURSIVE ") and head:
+                head, rest = head.replace("WITH ", "WITH RECURSIVE ", 1), rest.replace("RECURSIVE ", "", 1)
             ORACLES[f.__name__] = f"{head.rstrip()},\n{rest.removeprefix('WITH ')}" if head and rest.startswith("WITH ") else head + rest
         return f
 
     return register
 
 
-#: Islands of intervals a relation r(k, s, e) has, as SQL.
-def islands(relation: str, keys: str = "seqid") -> str:
-    return f"""(SELECT {keys}, min(s) AS s, max(e) AS e FROM (
-        SELECT *, sum(n) OVER (PARTITION BY {keys} ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS g FROM (
-            SELECT *, CASE WHEN s <= max(e) OVER (PARTITION BY {keys} ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1 THEN 0 ELSE 1 END AS n
-            FROM {relation})) GROUP BY {keys}, g)"""
-
-
 FEATURES = "(SELECT *, start_pos AS s, end_pos AS e FROM fx_features)"
 SMALL = "(SELECT *, start_pos AS s, end_pos AS e FROM fx_small)"
 
@@ -128,10 +129,7 @@ def best_parent(spark, sf):
     return iv.best_parent(a, b, "fid", "fid")
 
 
-def _segments_sql(relation: str) -> str:
-    """Atomic segments g(seqid, s, e) of a relation with start_pos and end_pos."""
-    return f"""(SELECT seqid, p AS s, lead(p) OVER (PARTITION BY seqid ORDER BY p) - 1 AS e FROM (
-        SELECT seqid, start_pos AS p FROM {relation} UNION SELECT seqid, end_pos + 1 FROM {relation}))"""
+_segments_sql = st.segments
 
 
 @query(f"""SELECT g.seqid, g.s AS start_pos, g.e AS end_pos, string_agg(CAST(f.fid AS VARCHAR), ',' ORDER BY f.fid) AS members, count(*) AS depth
@@ -176,11 +174,16 @@ def subtract(spark, sf):
     return iv.subtract(low, high, "fid").select("fid", "seqid", "start_pos", "end_pos")
 
 
-@query(f"""SELECT seqid, CAST(s AS BIGINT) AS start_pos, CAST(e AS BIGINT) AS end_pos, depth FROM (
-    SELECT qid AS seqid, p AS s, lead(p) OVER (PARTITION BY qid ORDER BY p) - 1 AS e, CAST(sum(d) OVER (PARTITION BY qid ORDER BY p) AS BIGINT) AS depth FROM (
-        SELECT qid, p, sum(d) AS d FROM (SELECT CAST(qid AS VARCHAR) AS qid, qstart AS p, 1 AS d FROM fx_hits UNION ALL SELECT CAST(qid AS VARCHAR), qend + 1, -1 FROM fx_hits) GROUP BY ALL)) WHERE depth > 0""", "fx_hits")
+@query("""WITH l AS (SELECT sid, max(slen) AS length FROM fx_hits GROUP BY sid),
+    h AS (SELECT sid, greatest(sstart, 1) AS s, least(send, length) AS e, length FROM fx_hits JOIN l USING (sid)),
+    d AS (SELECT sid, p, sum(d) AS d FROM (SELECT sid, s AS p, 1 AS d FROM h WHERE s <= e UNION ALL SELECT sid, e + 1, -1 FROM h WHERE s <= e UNION ALL SELECT sid, 1, 0 FROM l UNION ALL SELECT sid, length + 1, 0 FROM l) GROUP BY ALL),
+    r AS (SELECT sid, p AS s, lead(p) OVER (PARTITION BY sid ORDER BY p) - 1 AS e, sum(d) OVER (PARTITION BY sid ORDER BY p) AS depth FROM d),
+    f AS (SELECT *, CASE WHEN lag(depth) OVER (PARTITION BY sid ORDER BY s) = depth THEN 0 ELSE 1 END AS n FROM r WHERE e IS NOT NULL),
+    g AS (SELECT *, sum(n) OVER (PARTITION BY sid ORDER BY s ROWS UNBOUNDED PRECEDING) AS k FROM f)
+    SELECT sid, min(s) AS start_pos, max(e) AS end_pos, CAST(min(depth) AS BIGINT) AS depth FROM g GROUP BY sid, k""", "fx_hits")
 def pos_coverage(spark, sf):
-    return ht.hit_depth(view(spark, sf, "fx_hits"))
+    hits = view(spark, sf, "fx_hits")
+    return ht.hit_depth(hits, hits.groupBy("sid").agg(F.max("slen").alias("length")))
 
 
 # Labels
@@ -199,12 +202,26 @@ def canon_tir(spark, sf):
     return view(spark, sf, "fx_class").select(F.replace("cls", F.lit("/"), F.lit("_")).alias("raw")).withColumn("canonical", lb.canon_underscored(F.col("raw")))
 
 
-@query("""SELECT k, raw, CASE WHEN k = 3 THEN NULL ELSE cls END AS canonical FROM (
-    SELECT k, cls, CASE WHEN k % 3 = 0 AND k <> 3 THEN ' ' || cls || ' (' || k || '%25)' WHEN k = 3 THEN ' ' WHEN k % 3 = 1 THEN replace(cls, '/', '|') ELSE cls END AS raw FROM fx_class)""", "fx_class")
+_DIALECTS = """(SELECT c_custkey AS id, cls, CASE c_custkey % 6 WHEN 0 THEN replace(cls, '/', '|') WHEN 1 THEN replace(cls, '/', '_') WHEN 2 THEN concat('  ', cls, ' (', CAST(c_custkey % 90 AS STRING), '.5%25)') WHEN 3 THEN ' ' WHEN 4 THEN concat(cls, '/none') ELSE cls END AS raw,
+    CASE c_custkey % 7 WHEN 0 THEN 'DANTE' WHEN 1 THEN 'DANTE_TIR' WHEN 2 THEN 'RepeatMasker' WHEN 3 THEN 'other' END AS source FROM customer JOIN fx_class ON k = CAST(c_custkey % 12 AS INT))"""
+_CLEAN = "trim(regexp_replace(trim(raw), ' *\\([0-9.]+%25\\)$', ''))"
+_PIPED = f"replace(replace({_CLEAN}, '|', '/'), 'none', 'none')"
+_FLATTED = f"CASE WHEN starts_with({_CLEAN}, 'Class_II_Subclass_1_TIR_') THEN 'Class_II/Subclass_1/TIR/' || substr({_CLEAN}, 25) ELSE {_CLEAN} END"
+_AUTO = f"CASE WHEN contains({_CLEAN}, '|') THEN {_PIPED} WHEN starts_with({_CLEAN}, 'Class_II_Subclass_1_') THEN {_FLATTED} ELSE {_CLEAN} END"
+_CANON = f"CASE WHEN {_CLEAN} = '' THEN NULL WHEN source IS NULL THEN {_AUTO} WHEN source = 'DANTE' THEN {_PIPED} WHEN source = 'DANTE_TIR' THEN {_FLATTED} WHEN source = 'RepeatMasker' THEN {_CLEAN} END"
+
+
+def _dialects(spark, sf):
+    from spanloom.plans.fixtures import with_views as head
+
+    return spark.sql(head("fx_class") + f"SELECT * FROM {_DIALECTS.replace('FROM customer', 'FROM {customer}')} d", customer=spark.read.parquet(f"{sf}/customer.parquet"))
+
+
+@query(f"""WITH d AS (SELECT *, {_CANON} AS canonical FROM {_DIALECTS})
+    SELECT id, raw, source, canonical, CASE WHEN trim(raw) = '' THEN 'empty' WHEN source = 'other' THEN 'unknown source' WHEN canonical IN {tuple(lb.STANDARD.paths + lb.SPECIAL + lb.BUCKETS)} OR canonical LIKE 'Satellite/_%' THEN NULL ELSE 'not canonical' END AS reason FROM d""", "fx_class")
 def canon_any(spark, sf):
-    k, cls = F.col("k"), F.col("cls")
-    raw = F.when(k == 3, F.lit(" ")).when(k % 3 == 0, F.concat(F.lit(" "), cls, F.lit(" ("), k.cast("string"), F.lit("%25)"))).when(k % 3 == 1, F.replace(cls, F.lit("/"), F.lit("|"))).otherwise(cls)
-    return view(spark, sf, "fx_class").select("k", raw.alias("raw")).withColumn("canonical", lb.canonicalise(F.col("raw")))
+    raw, source = F.col("raw"), F.col("source")
+    return _dialects(spark, sf).select("id", "raw", "source", lb.canonicalise(raw, source).alias("canonical"), lb.failure(raw, source).alias("reason"))
 
 
 @query("""SELECT raw, raw = cls OR raw = 'Satellite/x' AS canonical FROM (
@@ -214,11 +231,11 @@ def is_canonical(spark, sf):
     return raw.union(spark.sql("SELECT explode(array('Satellite/x', 'Satellite/'))")).withColumn("canonical", lb.is_canonical(F.col("raw")))
 
 
-@query("SELECT raw, n FROM (SELECT CASE WHEN o_orderkey % 10 = 0 THEN 'odd_' || o_orderpriority ELSE 'Unknown' END AS raw, count(*) AS n FROM orders GROUP BY ALL) WHERE raw <> 'Unknown'")
+@query("SELECT raw, n, 'not canonical' AS reason FROM (SELECT CASE WHEN o_orderkey % 10 = 0 THEN 'odd_' || o_orderpriority ELSE 'Unknown' END AS raw, count(*) AS n FROM orders GROUP BY ALL) WHERE raw <> 'Unknown'")
 def validate_values(spark, sf):
     raw = F.when(F.col("o_orderkey") % 10 == 0, F.concat(F.lit("odd_"), "o_orderpriority")).otherwise("Unknown")
     rows = spark.read.parquet(f"{sf}/orders.parquet").groupBy(raw.alias("raw")).agg(F.count(F.lit(1)).alias("n"))
-    return rows.filter(~lb.is_canonical(lb.canonicalise(F.col("raw"))))
+    return rows.withColumn("reason", lb.failure(F.col("raw"))).filter("reason IS NOT NULL")
 
 
 @query("""WITH p AS (SELECT a.cls AS a, b.cls AS b, string_split(a.cls, '/') AS x, string_split(b.cls, '/') AS y FROM fx_class a JOIN fx_class b ON a.k <= b.k),
@@ -306,13 +323,14 @@ def extend_elements(spark, sf):
     return pt.extended(view(spark, sf, "fx_domains"), F.lit(40), F.lit(70), view(spark, sf, "fx_seqs")).select("fid", "seqid", "start_pos", "end_pos")
 
 
-@query("""WITH o AS (SELECT *, lag(end_pos) OVER w AS pe, lag(strand) OVER w AS ps, lag(final_classification) OVER w AS pc FROM fx_ltr WINDOW w AS (PARTITION BY seqid ORDER BY start_pos, end_pos, id)),
-    f AS (SELECT *, CASE WHEN ps = strand AND pc = final_classification AND least(pe, start_pos + 99) - greatest(pe - 99, start_pos) + 1 >= 50 THEN 0 ELSE 1 END AS n FROM o),
+@query("""WITH p AS (SELECT parent AS id, min({'s': start_pos, 'e': end_pos}) AS f, max({'s': start_pos, 'e': end_pos}) AS l FROM fx_ltr_parts GROUP BY parent),
+    o AS (SELECT *, lag(l) OVER w AS pl, lag(strand) OVER w AS ps, lag(final_classification) OVER w AS pc FROM fx_ltr_elements LEFT JOIN p USING (id) WHERE NOT starts_with(id, 'TE_partial') WINDOW w AS (PARTITION BY seqid ORDER BY start_pos, end_pos, id)),
+    f AS (SELECT *, CASE WHEN ps = strand AND pc = final_classification AND greatest(0, least(pl.e, f.e) - greatest(pl.s, f.s) + 1) / least(pl.e - pl.s + 1, f.e - f.s + 1) >= 0.5 THEN 0 ELSE 1 END AS n FROM o),
     g AS (SELECT *, sum(n) OVER (PARTITION BY seqid ORDER BY start_pos, end_pos, id ROWS UNBOUNDED PRECEDING) AS c FROM f)
-    SELECT seqid, min(start_pos) AS start_pos, max(end_pos) AS end_pos, min(strand) AS strand, count(*) AS copy_number,
-        string_agg(CAST(id AS VARCHAR), ',' ORDER BY start_pos, end_pos, id) AS members FROM g GROUP BY seqid, c HAVING count(*) >= 2""", "fx_ltr")
+    SELECT seqid, min(start_pos) AS start_pos, max(end_pos) AS end_pos, min(strand) AS strand, min(final_classification) AS final_classification, count(*) AS copy_number,
+        string_agg(id, ',' ORDER BY start_pos, end_pos, id) AS members FROM g GROUP BY seqid, c HAVING count(*) >= 2""", "fx_ltr_elements", "fx_ltr_parts")
 def ltr_tandems(spark, sf):
-    return pt.ltr_tandems(view(spark, sf, "fx_ltr"))
+    return pt.ltr_tandems(view(spark, sf, "fx_ltr_elements"), view(spark, sf, "fx_ltr_parts"))
 
 
 @query("""WITH o AS (SELECT *, lead(name) OVER w AS n1, lead(name, 2) OVER w AS n2, lead(start_pos) OVER w AS s1, lead(start_pos, 2) OVER w AS s2, lead(end_pos) OVER w AS e1, lead(end_pos, 2) OVER w AS e2
@@ -325,10 +343,33 @@ def line_patterns(spark, sf):
     return pt.line_patterns(view(spark, sf, "fx_domains"))
 
 
-@query(None)
+_SF_RUNS = islands("(SELECT seqid, strand, sf, s0 + 1 AS s, e0 AS e FROM h)", "seqid, strand, sf")
+_SF_PADDED = islands("(SELECT r.seqid, r.strand, r.sf, greatest(0, s - 1 - pad) + 1 AS s, e + pad AS e FROM (SELECT *, CAST(floor(least(2 * coalesce(monomer, 30), (e - s + 1) * 0.1)) AS BIGINT) AS pad FROM r LEFT JOIN m USING (sf)) r)", "seqid, strand, sf")
+
+
+@query(f"""WITH h AS (SELECT f.*, coalesce(x.sf, f.trc) AS sf FROM fx_sfhits f LEFT JOIN fx_superfamilies x USING (trc)),
+    m AS (SELECT coalesce(x.sf, o.trc) AS sf, min(monomer) AS monomer FROM fx_monomers o LEFT JOIN fx_superfamilies x USING (trc) GROUP BY 1),
+    r AS (SELECT * FROM {_SF_RUNS}), a AS (SELECT * FROM {_SF_PADDED} LEFT JOIN m USING (sf) WHERE e - s + 1 >= 2 * coalesce(monomer, 30)),
+    g AS (SELECT r.* FROM r SEMI JOIN a ON a.seqid = r.seqid AND a.strand = r.strand AND a.sf = r.sf AND a.s <= r.e AND r.s <= a.e),
+    b AS (SELECT g.seqid, g.strand, g.sf, g.s, g.e, h.trc, sum(h.e0 - h.s0) AS bp, min({{'s': h.s0, 'e': h.e0}}) AS f FROM g JOIN h ON h.seqid = g.seqid AND h.strand = g.strand AND h.sf = g.sf AND h.s0 + 1 >= g.s AND h.e0 <= g.e GROUP BY ALL)
+    SELECT seqid, s - 1 AS s0, e AS e0, strand, arg_min(trc, {{'b': -bp, 'f': f, 't': trc}}) AS trc FROM b GROUP BY seqid, strand, sf, s, e""", "fx_sfhits", "fx_superfamilies", "fx_monomers")
 def sf_array_filter(spark, sf):
-    monomers = spark.sql("SELECT concat('SF', CAST(id AS STRING)) AS sf, 30 + id * 10 AS monomer FROM range(3)")
-    return pt.superfamily_arrays(view(spark, sf, "fx_trc"), monomers)
+    return pt.superfamily_arrays(*(view(spark, sf, v) for v in ("fx_sfhits", "fx_monomers", "fx_superfamilies")))
+
+
+@query("""WITH d AS (SELECT seqid, count(*) AS n, bool_and(coalesce(final_classification = 'Class_I|LINE', false)) AS line, string_agg(name || strand, ' ' ORDER BY start_pos, name, strand) AS o
+        FROM (SELECT concat('s', CAST(event_id // 3 AS VARCHAR)) AS seqid, (event_id * 37) % 1000 AS start_pos, CASE WHEN user_id % 5 < 4 THEN '+' ELSE '-' END AS strand,
+            CASE event_type WHEN 'click' THEN 'ENDO' WHEN 'view' THEN 'RT' ELSE 'RH' END AS name, CASE WHEN user_id % 29 = 0 THEN 'Class_I|LTR' ELSE 'Class_I|LINE' END AS final_classification, event_id FROM events) WHERE NOT (event_id % 3 = 2 AND event_id % 2 = 0) GROUP BY seqid)
+    SELECT seqid FROM d WHERE line AND o IN ('ENDO+ RT+', 'RT- ENDO-', 'ENDO+ RT+ RH+', 'RH- RT- ENDO-')""")
+def line_valid(spark, sf):
+    e = spark.read.parquet(f"{sf}/events.parquet").filter("NOT (event_id % 3 = 2 AND event_id % 2 = 0)")
+    name = F.expr("CASE event_type WHEN 'click' THEN 'ENDO' WHEN 'view' THEN 'RT' ELSE 'RH' END")
+    rows = e.select(
+        F.concat(F.lit("s"), F.expr("event_id div 3").cast("string")).alias("seqid"), (F.col("event_id") * 37 % 1000).alias("start_pos"),
+        F.expr("CASE WHEN user_id % 5 < 4 THEN '+' ELSE '-' END").alias("strand"), name.alias("name"),
+        F.expr("CASE WHEN user_id % 29 = 0 THEN 'Class_I|LTR' ELSE 'Class_I|LINE' END").alias("final_classification"),
+    )
+    return pt.valid_lines(rows)
 
 
 # Hits and clusters
@@ -356,7 +397,7 @@ def containment(spark, sf):
     return ht.containers(_classed(spark, sf))
 
 
-@query(None)
+@query(f"WITH RECURSIVE {_CONTAINERS}, {st.greedy('k', 'SELECT qid AS id FROM fx_hits UNION SELECT sid FROM fx_hits', 'SELECT qid, sid FROM edge', 12)} SELECT n.id, n.id IN (SELECT id FROM k) AS kept FROM k_node n", "fx_hits")
 def containment_greedy(spark, sf):
     hits = view(spark, sf, "fx_hits")
     ids = hits.select(F.col("qid").alias("id")).union(hits.select("sid")).distinct()
@@ -382,16 +423,26 @@ def anti_hit_filter(spark, sf):
     return view(spark, sf, "fx_sequences").select("doc_id", "header").join(bad, "doc_id", "left_anti")
 
 
-@query(None)
+_DIMERS = """z AS (SELECT cluster, min(length // 2) < 12 AS short FROM fx_members GROUP BY cluster), m AS (SELECT * FROM fx_members JOIN z USING (cluster)),
+    p AS (SELECT DISTINCT h.qid, h.sid, b.length AS lb FROM fx_hits h JOIN m a ON a.id = h.qid JOIN m b ON b.id = h.sid WHERE a.cluster = b.cluster AND NOT a.short AND h.qid <> h.sid AND pident >= 80 AND qcov >= 0.8
+        AND least(a.length, b.length) >= 0.95 * greatest(a.length, b.length) AND (b.length > a.length OR b.length = a.length AND h.sid < h.qid))"""
+
+
+@query(f"""WITH RECURSIVE {_DIMERS}, {st.greedy('k', 'SELECT id FROM fx_members', 'SELECT qid, sid FROM p', 24)},
+    l AS (SELECT qid, arg_min(sid, {{'l': -lb, 's': sid}}) AS rep FROM p WHERE sid IN (SELECT id FROM k) GROUP BY qid)
+    SELECT cluster, id, id IN (SELECT id FROM k) AS kept, CASE WHEN id IN (SELECT id FROM k) THEN id ELSE rep END AS representative FROM fx_members LEFT JOIN l ON l.qid = id""", "fx_members", "fx_hits")
 def dimer_setcover(spark, sf):
-    hits = view(spark, sf, "fx_hits").filter("pident >= 80").withColumn("group", F.col("qid") % 97)
-    return ht.star_cover(hits.filter(F.col("sid") % 97 == F.col("group")).select("group", "qid", "sid", "qlen"))
+    return ht.star_cover(spark, view(spark, sf, "fx_members"), view(spark, sf, "fx_hits"))
 
 
-@query(None)
+_RIVALS = """SELECT a.fid AS qid, b.fid AS sid FROM fx_small a JOIN fx_small b ON a.seqid = b.seqid AND a.start_pos <= b.end_pos AND b.start_pos <= a.end_pos
+    AND {'s': -(b.fid % 100), 'w': -(b.end_pos - b.start_pos), 'i': b.fid} < {'s': -(a.fid % 100), 'w': -(a.end_pos - a.start_pos), 'i': a.fid}"""
+
+
+@query(f"WITH RECURSIVE {st.greedy('k', 'SELECT fid AS id FROM fx_small', _RIVALS, 24)} SELECT seqid, start_pos, end_pos, fid AS id, CAST(fid % 100 AS DOUBLE) AS score FROM fx_small WHERE fid IN (SELECT id FROM k)", "fx_small")
 def cross_subtype(spark, sf):
     small = view(spark, sf, "fx_small")
-    return ht.best_scoring(small.select("seqid", "start_pos", "end_pos", F.col("fid").alias("id"), (F.col("fid") % 100).cast("double").alias("score")))
+    return ht.best_scoring(spark, small.select("seqid", "start_pos", "end_pos", F.col("fid").alias("id"), (F.col("fid") % 100).cast("double").alias("score")))
 
 
 # Tracks and reports
@@ -447,10 +498,13 @@ def concat_axis(spark, sf):
     return tr.axis(view(spark, sf, "fx_seqs"))
 
 
-@query("""SELECT CASE WHEN classification LIKE 'Satellite%' OR classification LIKE 'TRC\\_%' ESCAPE '\\' THEN 'Tandem_repeats' WHEN classification LIKE 'Simple\\_repeat%' ESCAPE '\\' THEN 'Simple_repeat' ELSE classification END AS name,
-    CAST(sum(end_pos - start_pos + 1) AS BIGINT) AS total_bp, round(sum(end_pos - start_pos + 1) * 100.0 / (SELECT sum(length) FROM fx_seqs), 9) AS percent FROM fx_features GROUP BY ALL""", "fx_features", "fx_seqs")
+_GROUPED = """(SELECT *, CASE WHEN regexp_matches(nm, '^(TRC_|Satellite)') THEN 'Tandem_repeats' WHEN contains(nm, 'Simple_repeat') THEN 'Simple_repeat' ELSE nm END AS grp FROM (
+    SELECT *, CASE WHEN classification LIKE 'rDNA%' THEN classification ELSE name END AS nm FROM fx_unified WHERE id IS NULL OR starts_with(id, 'UA_L1_')))"""
+
+
+@query(f"SELECT grp AS name, CAST(sum(end_pos - start_pos + 1) AS BIGINT) AS total_bp, round(sum(end_pos - start_pos + 1) * 100.0 / (SELECT sum(length) FROM fx_seqs), 9) AS percent FROM {_GROUPED} GROUP BY ALL", "fx_unified", "fx_seqs")
 def summary_stats(spark, sf):
-    return rp.summary_stats(view(spark, sf, "fx_features"), view(spark, sf, "fx_seqs"))
+    return rp.summary_stats(view(spark, sf, "fx_unified"), view(spark, sf, "fx_seqs"))
 
 
 _CATS = [c for _, c in lb.CATEGORIES] + ["Other repeats"]
@@ -471,10 +525,70 @@ def class_rollup(spark, sf):
     return rp.class_rollup(view(spark, sf, "fx_features"))
 
 
-@query(f"""WITH t AS (SELECT seqid, row_number() OVER (ORDER BY sum(end_pos - start_pos + 1) DESC, seqid) AS r FROM fx_features GROUP BY seqid)
-    SELECT CASE WHEN r <= 3 THEN seqid ELSE 'Other' END AS seq, {_CATEGORY} AS category, CAST(sum(end_pos - start_pos + 1) AS BIGINT) AS bp FROM fx_features JOIN t USING (seqid) GROUP BY ALL""", "fx_features")
+@query(f"""WITH l AS (SELECT 'chr' || k AS seqid, 3000000 - k * 100000 AS length FROM (SELECT unnest(range(1, 9)) AS k)),
+    n AS (SELECT seqid, length, CASE WHEN length >= 2750000 THEN seqid ELSE 'Other' END AS seq FROM l), z AS (SELECT seq, sum(length) AS len FROM n GROUP BY seq),
+    f AS (SELECT seqid, start_pos AS s, end_pos AS e, {_CATEGORY} AS category FROM fx_features), b AS (SELECT seq, category, sum(e - s + 1) AS bp FROM {islands('f', 'seqid, category')} JOIN n USING (seqid) GROUP BY ALL),
+    r AS (SELECT seq, category, bp / len AS fraction FROM b JOIN z USING (seq)), p AS (SELECT seq, row_number() OVER (ORDER BY seq = 'Other', coalesce(t, 0) DESC, seq) AS place FROM z LEFT JOIN (SELECT seq, sum(fraction) AS t FROM r GROUP BY seq) USING (seq))
+    SELECT CAST(place AS INT) AS place, seq, category, round(fraction, 9) AS fraction FROM r JOIN p USING (seq)""", "fx_features")
 def composition_bar(spark, sf):
-    return rp.composition(view(spark, sf, "fx_features"), 3)
+    lengths = spark.range(1, 9).select(F.concat(F.lit("chr"), F.col("id").cast("string")).alias("seqid"), (3_000_000 - F.col("id") * 100_000).alias("length"))
+    return rp.composition(view(spark, sf, "fx_features"), lengths, 2_750_000)
+
+
+def _sizes(spark, sf):
+    return rp.grouped_names(view(spark, sf, "fx_tiers")).groupBy(F.col("group").alias("type")).agg(F.sum(F.col("end_pos") - F.col("start_pos") + 1).alias("bp"))
+
+
+_SIZES = "c AS (SELECT CASE WHEN regexp_matches(nm, '^(TRC_|Satellite)') THEN 'Tandem_repeats' WHEN contains(nm, 'Simple_repeat') THEN 'Simple_repeat' ELSE nm END AS type, sum(end_pos - start_pos + 1) AS bp FROM (SELECT *, CASE WHEN classification LIKE 'rDNA%' THEN classification ELSE name END AS nm FROM fx_tiers) GROUP BY ALL)"
+
+
+@query(f"""WITH {_SIZES}, x AS (SELECT array_to_string(p[1:i], '/') AS path, type, bp FROM (SELECT *, unnest(range(1, len(p) + 1)) AS i FROM (SELECT *, string_split(type, '/') AS p FROM c))),
+    n AS (SELECT path, sum(bp) AS total, sum(CASE WHEN path = type THEN bp ELSE 0 END) AS own, bool_or(path <> type) AS inner_ FROM x GROUP BY path),
+    k AS (SELECT *, len(string_split(path, '/')) - 1 AS d, CASE WHEN contains(path, '/') THEN 0 ELSE coalesce(nullif(list_position({list(rp.TOP_ORDER)}, path), 0), 10) END AS o FROM n),
+    t AS (SELECT b.path, list({{'o': a.o, 's': -a.total, 'p': a.path}} ORDER BY a.d) AS trail FROM k b JOIN k a ON b.path = a.path OR starts_with(b.path, a.path || '/') GROUP BY b.path),
+    r AS (SELECT path, 'total' AS row_type, 0 AS w, d AS depth, total AS bp FROM k WHERE inner_ UNION ALL SELECT path, 'unspecified', 1, d + 1, own FROM k WHERE inner_ AND own > 0 UNION ALL SELECT path, 'leaf', 0, d, own FROM k WHERE NOT inner_)
+    SELECT CAST(row_number() OVER (ORDER BY trail, w) AS INT) AS place, path, string_split(path, '/')[-1] AS label, row_type, CAST(depth AS INT) AS depth, CAST(bp AS BIGINT) AS bp, round(bp / 15003000 * 100, 9) AS percent,
+        CASE WHEN row_type = 'leaf' THEN e.n END AS elements FROM r JOIN t USING (path) LEFT JOIN (SELECT classification AS path, count(*) AS n FROM fx_tiers WHERE source_tier = 1 GROUP BY classification) e USING (path)""", "fx_tiers")
+def class_rows(spark, sf):
+    counts = view(spark, sf, "fx_tiers").filter("source_tier = 1").groupBy(F.col("classification").alias("path")).agg(F.count(F.lit(1)).alias("count"))
+    return rp.class_table(_sizes(spark, sf), 15_003_000, counts)
+
+
+@query(f"""WITH {_SIZES}, n AS (SELECT DISTINCT array_to_string(p[1:i], '/') AS id FROM (SELECT *, unnest(range(1, len(p) + 1)) AS i FROM (SELECT *, string_split(type, '/') AS p FROM c))),
+    r AS (SELECT id, string_split(id, '/')[-1] AS label, CASE WHEN contains(id, '/') THEN regexp_replace(id, '/[^/]+$', '') ELSE 'Repeats' END AS parent, coalesce(bp, 0) AS value FROM n LEFT JOIN c ON c.type = n.id
+        UNION ALL SELECT 'Repeats', 'Repeats', '', 0 UNION ALL SELECT 'Non-repetitive', 'Non-repetitive', '', greatest(0, 15003000 - (SELECT sum(bp) FROM c)))
+    SELECT id, label, parent, CAST(value AS BIGINT) AS value, round(value / 15003000 * 100, 9) AS percent FROM r""", "fx_tiers")
+def sunburst(spark, sf):
+    return rp.sunburst(_sizes(spark, sf), 15_003_000)
+
+
+@query(f"""WITH {_density_sql(STEP)} SELECT seqid AS series, '{{"start_pos":[' || string_agg(CAST(start_pos AS VARCHAR), ',' ORDER BY start_pos) || '],"level":[' || string_agg(CAST(CAST(round(score * 100) AS BIGINT) AS VARCHAR), ',' ORDER BY start_pos) || ']}}' AS spec FROM dens GROUP BY seqid""", "fx_features", "fx_seqs")
+def density_chart(spark, sf):
+    track = _track(spark, sf).withColumn("level", F.round(F.col("score") * 100).cast("long"))
+    return rp.chart_series(track, "seqid", ["start_pos"], ["start_pos", "level"])
+
+
+_FILES = "(SELECT 'd/' || CASE c_custkey % 3 WHEN 0 THEN 'Class_I.LTR.Ty1_copia.' || ['Ale','SIRE','Tork','odd'][c_custkey % 4 + 1] WHEN 1 THEN 'TRC_' || (c_custkey % 40) ELSE 'TRC_S_' || c_custkey END || CASE WHEN c_custkey % 5 = 0 THEN '_10k.bw' ELSE '_100k.bw' END AS file FROM customer WHERE c_custkey <= 120)"
+
+
+def _files(spark, sf):
+    key = F.col("c_custkey")
+    lineage = F.element_at(F.array(*map(F.lit, ("Ale", "SIRE", "Tork", "odd"))), (key % 4 + 1).cast("int"))
+    name = F.when(key % 3 == 0, F.concat(F.lit("Class_I.LTR.Ty1_copia."), lineage)).when(key % 3 == 1, F.concat(F.lit("TRC_"), (key % 40).cast("string"))).otherwise(F.concat(F.lit("TRC_S_"), key.cast("string")))
+    return spark.read.parquet(f"{sf}/customer.parquet").filter(key <= 120).select(F.concat(F.lit("d/"), name, F.when(key % 5 == 0, "_10k.bw").otherwise("_100k.bw")).alias("file")).distinct()
+
+
+@query(f"""SELECT CAST(row_number() OVER (ORDER BY list_position({list(rp.LINEAGE_TRACKS)}, label), file) AS INT) AS place, label, file FROM (SELECT DISTINCT file, regexp_extract(file, '([^.]*)_100k[.]bw$', 1) AS label FROM {_FILES} WHERE contains(file, 'LTR.Ty') AND ends_with(file, '_100k.bw')) WHERE label IN {rp.LINEAGE_TRACKS}""")
+def track_discovery(spark, sf):
+    return rp.lineage_tracks(_files(spark, sf), "100k")
+
+
+@query(f"""WITH f AS (SELECT *, regexp_replace(split_part(file, '/', 2), '_100k[.]bw$', '') AS trc FROM (SELECT DISTINCT file FROM {_FILES}) WHERE ends_with(file, '_100k.bw')),
+    n AS (SELECT *, TRY_CAST(replace(trc, 'TRC_', '') AS DOUBLE) AS k FROM f), t AS (SELECT * FROM n WHERE k IS NOT NULL ORDER BY k, file LIMIT 20)
+    SELECT CAST(row_number() OVER (ORDER BY k, file) AS INT) AS place, CASE WHEN k < 10 THEN trc || ' (' || CAST(CAST(k * 7 AS BIGINT) AS VARCHAR) || 'bp)' ELSE trc END AS label, file FROM t""")
+def cluster_track_discovery(spark, sf):
+    monomers = spark.range(10).select(F.concat(F.lit("TRC_"), F.col("id").cast("string")).alias("trc"), (F.col("id") * 7).alias("monomer"))
+    return rp.cluster_tracks(_files(spark, sf), "100k", monomers)
 
 
 @query("SELECT source_tool, classification, count(*) AS n, CAST(sum(end_pos - start_pos + 1) AS BIGINT) AS bp FROM fx_features GROUP BY ALL", "fx_features")
@@ -495,16 +609,9 @@ def sat_coverage(spark, sf):
     return rp.satellite_coverage(track, 4)
 
 
-@query("SELECT trc, count(*) AS n, min(s0) AS first_start FROM fx_trc WHERE trc IS NOT NULL AND trc <> '' GROUP BY trc", "fx_trc")
-def snk_split_by_name(spark, sf):
-    return view(spark, sf, "fx_trc").filter("trc IS NOT NULL AND trc <> ''").groupBy("trc").agg(F.count(F.lit(1)).alias("n"), F.min("s0").alias("first_start"))
-
-
-@query("""SELECT CAST(sum(CASE WHEN classification LIKE 'Class_I/LTR%' THEN end_pos - start_pos + 1 ELSE 0 END) AS BIGINT) AS ltr_bp, CAST(sum(CASE WHEN classification LIKE 'Class_II%' THEN end_pos - start_pos + 1 ELSE 0 END) AS BIGINT) AS class_ii_bp,
-    CAST(sum(CASE WHEN classification LIKE 'Class_I/LINE%' THEN end_pos - start_pos + 1 ELSE 0 END) AS BIGINT) AS line_bp, CAST(sum(CASE WHEN classification LIKE 'Satellite%' THEN end_pos - start_pos + 1 ELSE 0 END) AS BIGINT) AS tandem_bp,
-    CAST(sum(end_pos - start_pos + 1) AS BIGINT) AS all_bp, (SELECT CAST(sum(length) AS BIGINT) FROM fx_seqs) AS genome_bp, (SELECT count(*) FROM fx_seqs) AS sequences FROM fx_features""", "fx_features", "fx_seqs")
+@query(f"""WITH {_SIZES} SELECT 15.003 AS genome_mb, 5 AS sequences, round(sum(bp) / 15003000 * 100, 9) AS repeats_percent, {', '.join(f"round(coalesce(sum(bp) FILTER (type = '{p}' OR starts_with(type, '{p}/')), 0) / 15003000 * 100, 9) AS {n}_percent" for n, p in (("ltr", "Class_I/LTR"), ("class_ii", "Class_II"), ("line", "Class_I/LINE"), ("tandem", "Tandem_repeats")))} FROM c""", "fx_tiers")
 def report_cards(spark, sf):
-    return rp.report_cards(view(spark, sf, "fx_features"), view(spark, sf, "fx_seqs"))
+    return rp.report_cards(_sizes(spark, sf), view(spark, sf, "fx_seqs"))
 
 
 # Sequences
@@ -532,11 +639,23 @@ def gaps_n10(spark, sf):
     return sq.n_runs(view(spark, sf, "fx_sequences"), "doc_id", "seq")
 
 
-@query("SELECT doc_id, md5(substring(seq, 11, 40)) AS digest FROM fx_sequences WHERE length(seq) >= 50", "fx_sequences")
+@query("""WITH r AS (SELECT doc_id, seq, k, k * 97 % length(seq) + 1 AS s FROM fx_sequences, (SELECT unnest(range(4)) AS k))
+    SELECT doc_id * 4 + k AS key, md5(substring(seq, s, 60 + k * 500)) AS digest, length(substring(seq, s, 60 + k * 500)) AS size FROM r""", "fx_sequences")
 def subseq(spark, sf):
-    seqs = view(spark, sf, "fx_sequences").filter(F.length("seq") >= 50)
-    regions = seqs.select(F.col("doc_id").alias("seqid"), F.lit(11).alias("start_pos"), F.lit(50).alias("end_pos"))
-    return sq.subsequences(regions, seqs.select(F.col("doc_id").alias("name"), "seq")).select(F.col("seqid").alias("doc_id"), F.md5(F.col("bases").cast("binary")).alias("digest"))
+    seqs = view(spark, sf, "fx_sequences")
+    start = F.col("k") * 97 % F.length("seq") + 1
+    regions = seqs.select("doc_id", "seq", F.explode(F.array(*map(F.lit, range(4)))).alias("k")).select((F.col("doc_id") * 4 + F.col("k")).alias("key"), F.col("doc_id").alias("seqid"), start.cast("long").alias("start_pos"), (start + 59 + F.col("k") * 500).cast("long").alias("end_pos"))
+    parts = sq.in_parts(seqs.select(F.col("doc_id").alias("name"), "seq"), 300)
+    found = sq.subsequences(regions, parts, "key", 300)
+    return found.select("key", F.md5(F.col("bases").cast("binary")).alias("digest"), F.length("bases").cast("long").alias("size"))
+
+
+@query("""WITH r AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN '-' ELSE '+' END AS strand, substring(seq, 6, 40) AS b FROM fx_sequences)
+    SELECT doc_id, CASE strand WHEN '-' THEN doc_id || '_revcomp' ELSE CAST(doc_id AS VARCHAR) END AS name, CASE strand WHEN '-' THEN reverse(translate(b, 'ACGTacgt', 'TGCAtgca')) ELSE b END AS bases FROM r""", "fx_sequences")
+def strand_orient(spark, sf):
+    seqs = view(spark, sf, "fx_sequences")
+    regions = seqs.select("doc_id", F.col("doc_id").alias("seqid"), F.lit(6).cast("long").alias("start_pos"), F.lit(45).cast("long").alias("end_pos"), F.when(F.col("doc_id") % 2 == 0, "-").otherwise("+").alias("strand"))
+    return mb.strand_regions(regions, sq.in_parts(seqs.select(F.col("doc_id").alias("name"), "seq"), 300), "doc_id", 300)
 
 
 @query("""WITH p AS (SELECT doc_id AS name, length(seq) AS len, CASE WHEN length(seq) > 1000 THEN CAST(floor(length(seq) / 500) AS BIGINT) ELSE 1 END AS n FROM fx_sequences),
@@ -549,14 +668,7 @@ def chunk_plan(spark, sf):
 
 @query("SELECT doc_id, row_number() OVER (ORDER BY encode(seq), encode(header)) AS place FROM fx_sequences", "fx_sequences")
 def canonical_sort(spark, sf):
-    from pyspark.sql import Window as W
-
-    # Places follow from counts of range parts, so that no single task sorts every sequence.
-    rows = view(spark, sf, "fx_sequences").select("doc_id", "header", "seq", F.substring("seq", 1, 3).alias("_part"))
-    counts = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    counts = counts.select("_part", F.coalesce(F.sum("_n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_b"))
-    rank = F.row_number().over(W.partitionBy("_part").orderBy("seq", "header"))
-    return rows.withColumn("_r", rank).join(counts, "_part").select("doc_id", (F.col("_b") + F.col("_r")).cast("long").alias("place"))
+    return od.placed(spark, view(spark, sf, "fx_sequences"), ["seq", "header"]).select("doc_id", "place")
 
 
 # Members, children and lookups
@@ -579,23 +691,51 @@ def exactly_one_match(spark, sf):
     return mb.exactly_one_match(parents, parents.filter("fid % 7 = 0").select(F.col("fid").alias("parent")), small.filter("source_tier <= 2"))
 
 
-@query(f"""SELECT fid, 'complete' AS status FROM fx_small WHERE source_tier > 2 UNION ALL
-    SELECT fid, 'partial' FROM fx_small WHERE source_tier <= 2 AND fid NOT IN (SELECT a.fid {PAIRS})""", "fx_small")
+@query(f"""WITH spare AS (SELECT fid FROM fx_small WHERE source_tier <= 2 AND fid NOT IN (SELECT a.fid {PAIRS})),
+    c AS (SELECT l_orderkey * 10 + l_linenumber AS k, l_orderkey, l_linenumber FROM lineitem)
+    SELECT 'e' || fid AS id, CASE WHEN source_tier > 2 THEN 'primary' ELSE 'fallback' END AS source, CASE WHEN source_tier > 2 THEN 'complete' WHEN fid % 4 = 0 THEN 'partial' ELSE 'whole' END AS status FROM fx_small WHERE source_tier > 2 OR fid IN (SELECT fid FROM spare)
+    UNION SELECT 'c' || k, 'fallback', 'partial' FROM c JOIN spare ON fid = l_orderkey""", "fx_small")
 def merge_fallback(spark, sf):
-    fallback, primary = _halves(spark, sf)
-    return mb.merge_fallback(primary, fallback).select("fid", "status")
+    small = view(spark, sf, "fx_small")
+    none = F.lit(None).cast("string")
+    rows = small.select(
+        F.concat(F.lit("e"), F.col("fid").cast("string")).alias("id"), "seqid", "start_pos", "end_pos", F.when(F.col("source_tier") > 2, "primary").otherwise("raw").alias("source"),
+        none.alias("parent"), F.concat(F.lit("g"), F.col("fid").cast("string")).alias("group_id"), F.when(F.col("source_tier") > 2, "complete").when(F.col("fid") % 4 != 0, "whole").alias("status"),
+    )
+    key = F.col("l_orderkey").cast("string")
+    by_parent = F.col("l_linenumber") % 2 == 0
+    children = spark.read.parquet(f"{sf}/lineitem.parquet").select(
+        F.concat(F.lit("c"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string")).alias("id"), F.lit("chr1").alias("seqid"), F.lit(1).cast("long").alias("start_pos"), F.lit(2).cast("long").alias("end_pos"),
+        F.lit("raw").alias("source"), F.when(by_parent, F.concat(F.lit("e"), key)).alias("parent"), F.when(~by_parent, F.concat(F.lit("g"), key)).alias("group_id"), none.alias("status"),
+    )
+    return mb.merge_fallback(rows.filter("source = 'primary'"), rows.filter("source = 'raw'"), children, "fallback").select("id", "source", "status").distinct()
 
 
 _PAIR_CLASSES = "fx_hits JOIN fx_class a ON a.k = qid % 12 JOIN fx_class b ON b.k = sid % 12"
 
 
-@query(f"SELECT qid, bool_or(NOT (a.cls = b.cls OR starts_with(a.cls, b.cls || '/') OR starts_with(b.cls, a.cls || '/'))) AS dropped FROM {_PAIR_CLASSES} WHERE sid % 5 = 0 GROUP BY qid", "fx_hits", "fx_class")
-def class_conflict_filter(spark, sf):
+_CONFLICTS = f"(SELECT qid, sid, a.cls AS qclass, b.cls AS sclass, NOT (a.cls = b.cls OR starts_with(a.cls, b.cls || '/') OR starts_with(b.cls, a.cls || '/')) AS bad FROM {_PAIR_CLASSES})"
+
+
+def _class_hits(spark, sf):
     classes = view(spark, sf, "fx_class")
     a = F.broadcast(classes.select(F.col("k").alias("_qk"), F.col("cls").alias("qclass")))
     b = F.broadcast(classes.select(F.col("k").alias("_sk"), F.col("cls").alias("sclass")))
-    hits = view(spark, sf, "fx_hits").filter("sid % 5 = 0")
-    return mb.class_conflicts(hits.join(a, F.col("qid") % 12 == F.col("_qk")).join(b, F.col("sid") % 12 == F.col("_sk")))
+    return view(spark, sf, "fx_hits").join(a, F.col("qid") % 12 == F.col("_qk")).join(b, F.col("sid") % 12 == F.col("_sk"))
+
+
+@query(f"SELECT p_partkey AS qid, coalesce(bool_or(bad), false) AS dropped FROM part LEFT JOIN {_CONFLICTS} ON qid = p_partkey GROUP BY p_partkey", "fx_hits", "fx_class")
+def class_conflict_filter(spark, sf):
+    reps = spark.read.parquet(f"{sf}/part.parquet").select(F.col("p_partkey").alias("qid"))
+    return mb.class_conflicts(reps, _class_hits(spark, sf))
+
+
+@query(f"""SELECT p_partkey AS qid, CASE WHEN n > 0 THEN 'dropped' ELSE 'kept' END AS status, sid, sclass FROM part
+    LEFT JOIN (SELECT qid, sum(CASE WHEN bad THEN 1 ELSE 0 END) AS n FROM {_CONFLICTS} GROUP BY qid) t ON t.qid = p_partkey
+    LEFT JOIN (SELECT DISTINCT qid, sid, sclass FROM {_CONFLICTS} WHERE bad) c ON c.qid = p_partkey""", "fx_hits", "fx_class")
+def class_conflict_audit(spark, sf):
+    reps = spark.read.parquet(f"{sf}/part.parquet").select(F.col("p_partkey").alias("qid"))
+    return mb.conflict_audit(reps, _class_hits(spark, sf))
 
 
 @query("SELECT c_custkey AS id FROM customer WHERE CASE WHEN c_custkey % 4 = 0 THEN 1 ELSE c_custkey % 9 END >= 3")
@@ -604,20 +744,41 @@ def filter_multiplicity(spark, sf):
     return mb.by_multiplicity(rows, rows.withColumn("multiplicity", F.when(F.col("id") % 4 == 0, "bad").otherwise((F.col("id") % 9).cast("string"))), 3)
 
 
-@query(f"""WITH n AS (SELECT seqid, classification, s AS start_pos, e AS end_pos FROM {islands(SMALL, 'seqid, classification')}),
+_STRANDED = "(SELECT *, start_pos AS s, end_pos AS e, CASE WHEN fid % 3 = 0 THEN '-' ELSE '+' END AS strand FROM fx_small)"
+
+
+@query(f"""WITH n AS (SELECT seqid, strand, classification, s AS start_pos, e AS end_pos FROM {islands(_STRANDED, 'seqid, strand, classification')}),
     seg AS (SELECT * FROM {_segments_sql('n')} WHERE e IS NOT NULL),
-    l AS (SELECT g.seqid, g.s, g.e, list(DISTINCT n.classification ORDER BY n.classification) AS names FROM seg g JOIN n ON n.seqid = g.seqid AND n.start_pos <= g.s AND n.end_pos >= g.e GROUP BY ALL),
-    x AS (SELECT *, string_split(names[1], '/') AS p FROM l),
-    y AS (SELECT *, coalesce(list_max(list_filter(range(1, len(p) + 1), lambda i: len(list_filter(names, lambda m: coalesce(string_split(m, '/')[i] = p[i], false))) = len(names))), 0) AS d FROM x)
-    SELECT seqid, s AS start_pos, e AS end_pos, CASE WHEN d = 0 THEN 'Unknown' ELSE array_to_string(p[1:d], '/') END AS classification FROM y""", "fx_small")
+    l AS (SELECT g.seqid, g.s, g.e, list(n.classification ORDER BY n.classification, n.start_pos, n.end_pos, n.strand) AS a, list(n.strand ORDER BY n.classification, n.start_pos, n.end_pos, n.strand) AS b FROM seg g JOIN n ON n.seqid = g.seqid AND n.start_pos <= g.s AND n.end_pos >= g.e GROUP BY ALL),
+    u AS (SELECT seqid, s, e, list_filter(a, lambda x, i: list_position(a, x) = i) AS names, list_filter(b, lambda x, i: list_position(b, x) = i) AS strands FROM l),
+    x AS (SELECT *, string_split(names[1], '/') AS p FROM u),
+    y AS (SELECT *, coalesce(list_max(list_filter(range(1, len(p) + 1), lambda i: len(list_filter(names, lambda m: coalesce(string_split(m, '/')[i] = p[i], false))) = len(names))), 0) AS d FROM x),
+    z AS (SELECT *, CASE WHEN d = 0 THEN 'Unknown' ELSE array_to_string(p[1:d], '/') END AS classification FROM y)
+    SELECT classification || '_' || seqid AS id, seqid, s AS start_pos, e AS end_pos, array_to_string(strands, '|') AS strand, classification, array_to_string(names, '|') AS names FROM z""", "fx_small")
 def cleanup_lca(spark, sf):
-    return mb.cleaned(view(spark, sf, "fx_small"))
+    return mb.cleaned(view(spark, sf, "fx_small").withColumn("strand", F.when(F.col("fid") % 3 == 0, "-").otherwise("+")))
 
 
-@query("SELECT fid, trc, CASE trc WHEN 'TRC_0' THEN 'rDNA/45S_rDNA' WHEN 'TRC_4' THEN 'rDNA/5S_rDNA' ELSE 'Satellite/TideCluster/' || trc END AS classification FROM fx_trc", "fx_trc")
+@query("SELECT fid, trc, CASE WHEN fid % 31 = 0 THEN 'rDNA/5S_rDNA' WHEN trc = 'TRC_0' THEN 'rDNA/45S_rDNA' WHEN trc = 'TRC_4' THEN 'rDNA/5S_rDNA' ELSE 'Satellite/TideCluster/' || trc END AS classification FROM fx_trc", "fx_trc")
 def norm_satellite(spark, sf):
     known = spark.createDataFrame([("TRC_0", "rDNA/45S_rDNA"), ("TRC_4", "rDNA/5S_rDNA")], "trc string, class string")
-    return mb.satellite_names(view(spark, sf, "fx_trc").select("fid", "trc"), known)
+    rows = view(spark, sf, "fx_trc").select("fid", "trc", F.when(F.col("fid") % 31 == 0, "5S").alias("rdna_type"))
+    return mb.satellite_names(rows, known).drop("rdna_type")
+
+
+@query("SELECT fid, trc, coalesce(sf, trc) AS sf FROM fx_trc x LEFT JOIN (SELECT trc AS t, sf FROM fx_superfamilies) y ON x.trc = y.t".replace("fx_trc x", "(SELECT fid, trc FROM fx_trc) x"), "fx_trc", "fx_superfamilies")
+def lookup_superfamily(spark, sf):
+    return mb.looked_up(view(spark, sf, "fx_trc").select("fid", "trc"), view(spark, sf, "fx_superfamilies"), "trc", "sf", F.col("trc"))
+
+
+@query("""WITH e AS (SELECT 'e' || event_id AS id, CASE WHEN user_id % 2 = 0 THEN '-' ELSE '+' END AS strand, event_id FROM events), d AS (SELECT CASE WHEN event_id % 3 = 0 THEN 'e' || event_id || '_revcomp' ELSE 'e' || event_id END AS name, 'AC' || event_id AS seq FROM events)
+    SELECT id, strand, seq FROM e LEFT JOIN d ON d.name = id || CASE strand WHEN '-' THEN '_revcomp' ELSE '' END""")
+def lookup_dimer(spark, sf):
+    e = spark.read.parquet(f"{sf}/events.parquet")
+    name = F.concat(F.lit("e"), F.col("event_id").cast("string"))
+    elements = e.select(name.alias("id"), F.when(F.col("user_id") % 2 == 0, "-").otherwise("+").alias("strand"))
+    dimers = e.select(F.when(F.col("event_id") % 3 == 0, F.concat(name, F.lit("_revcomp"))).otherwise(name).alias("name"), F.concat(F.lit("AC"), F.col("event_id").cast("string")).alias("seq"))
+    return mb.dimer_of(elements, dimers)
 
 
 @query("""SELECT k, CASE k % 3 WHEN 0 THEN 'Simple_repeat/(AC)n' WHEN 1 THEN 'fam' || k ELSE cls END AS name, replace(replace(cls, '|', '_'), '/', '|') AS piped FROM fx_class""", "fx_class")
@@ -628,12 +789,13 @@ def rm_name(spark, sf):
     return view(spark, sf, "fx_class").select("k", mb.repeat_name(repeat, kind).alias("name"), mb.other_separator(F.col("cls"), "/", "|").alias("piped"))
 
 
-@query("SELECT o_orderkey AS id, CASE WHEN o_orderkey % 5 = 0 THEN 'partial' ELSE 'complete' END AS status, 'g' || o_orderkey AS grp FROM orders")
+@query("SELECT o_orderkey AS id, CASE WHEN o_orderkey % 5 = 0 THEN 'partial' ELSE 'complete' END AS status, 'g' || o_orderkey AS grp, o_orderkey % 6 IN (1, 2, 3, 4) AS ranked FROM orders")
 def completeness(spark, sf):
     key = F.col("o_orderkey").cast("string")
     name = F.when(F.col("o_orderkey") % 5 == 0, F.concat(F.lit("TE_partial_"), key)).otherwise(F.concat(F.lit("TE_"), key))
     header = F.concat(F.lit("chr1:1-9  g"), key, F.lit("_5prime"))
-    return spark.read.parquet(f"{sf}/orders.parquet").select(F.col("o_orderkey").alias("id"), lb.completeness(name).alias("status"), sq.header_group(header).alias("grp"))
+    rank = F.get(F.array(*map(F.lit, ("D", "DL", "DLT", "DLP", "DLTP"))), (F.col("o_orderkey") % 6).cast("int"))
+    return spark.read.parquet(f"{sf}/orders.parquet").select(F.col("o_orderkey").alias("id"), lb.completeness(name).alias("status"), sq.header_group(header).alias("grp"), lb.complete_rank(rank).alias("ranked"))
 
 
 @query("""WITH l AS (SELECT split_part(header, '#', 2) AS class, length(seq) AS n, doc_id FROM fx_sequences)
@@ -658,9 +820,21 @@ def sum_tracks(spark, sf):
     return tr.summed(track.union(track).union(track)).withColumn("score", F.round("score", 5))
 
 
-@query("SELECT seqid, length, row_number() OVER (ORDER BY length DESC, seqid) <= 2 AS chart, row_number() OVER (ORDER BY length DESC, seqid) <= 4 AS track FROM fx_seqs", "fx_seqs")
+_CUSTOMER_LENGTHS = "(SELECT 'sq' || c_custkey AS seqid, c_custkey * 37 % 1000 AS length FROM customer)"
+
+
+def _customer_lengths(spark, sf):
+    return spark.read.parquet(f"{sf}/customer.parquet").select(F.concat(F.lit("sq"), F.col("c_custkey").cast("string")).alias("seqid"), (F.col("c_custkey") * 37 % 1000).alias("length"))
+
+
+@query(f"WITH l AS (SELECT * FROM {_CUSTOMER_LENGTHS}), t AS (SELECT seqid FROM l WHERE length >= 300 ORDER BY length DESC, seqid LIMIT 40) SELECT seqid, length, length >= 500 AS chart, seqid IN (SELECT seqid FROM t) AS track FROM l")
 def seq_thresholds(spark, sf):
-    return rp.shown_sequences(view(spark, sf, "fx_seqs"), 2, 4)
+    return rp.shown_sequences(_customer_lengths(spark, sf), 500, 300, 40)
+
+
+@query(f"SELECT count(*) AS n_other, CAST(sum(length) AS BIGINT) AS other_bp FROM {_CUSTOMER_LENGTHS} WHERE length < 500")
+def seq_other(spark, sf):
+    return rp.other_sequences(_customer_lengths(spark, sf), 500)
 
 
 @query("""SELECT CASE WHEN classification LIKE 'rDNA/45S%' THEN 'rDNA/45S_rDNA' ELSE classification END AS classification, count(*) AS n, CAST(sum(end_pos - start_pos + 1) AS BIGINT) AS bp
@@ -669,23 +843,35 @@ def collapse_rdna(spark, sf):
     return rp.collapsed_rdna(view(spark, sf, "fx_features"))
 
 
-@query("""SELECT classification, count(*) AS arrays, CAST(sum(source_tier) AS BIGINT) AS copies, CAST(sum(end_pos - start_pos + 1) AS BIGINT) AS bp FROM fx_small GROUP BY ALL""", "fx_small")
+@query("""SELECT classification AS path, CAST(sum(CASE WHEN fid % 5 = 0 THEN 0 ELSE CAST(copy_number AS BIGINT) END) AS BIGINT) AS tr_members, count(*) AS tr_arrays FROM fx_tiers WHERE structure = 'LTR_RT_TR' GROUP BY classification""", "fx_tiers")
 def tr_stats(spark, sf):
-    return rp.array_stats(view(spark, sf, "fx_small").withColumn("copy_number", F.col("source_tier")))
+    rows = view(spark, sf, "fx_tiers").withColumn("copy_number", F.when(F.col("fid") % 5 == 0, "many").otherwise(F.col("copy_number")))
+    return rp.tandem_stats(rows)
+
+
+@query("""SELECT replace(replace(replace(final_classification, 'Ty1/copia', 'Ty1_copia'), 'Ty3/gypsy', 'Ty3_gypsy'), '|', '/') AS path, count(*) AS count, CAST(sum(end_pos - start_pos + 1) AS BIGINT) AS bp
+    FROM fx_ltr WHERE id % 6 IN (1, 2, 3, 4) GROUP BY 1""", "fx_ltr")
+def dante_ltr_stats(spark, sf):
+    rank = F.element_at(F.array(*map(F.lit, ("D", "DL", "DLT", "DLP", "DLTP", ""))), (F.col("id") % 6 + 1).cast("int"))
+    return rp.element_stats(view(spark, sf, "fx_ltr").withColumn("rank", rank))
+
+
+@query("SELECT source_tool, count(*) AS regions, round(sum(end_pos - start_pos + 1) / 1e6, 6) AS mb FROM fx_features WHERE source_tier = 1 GROUP BY source_tool", "fx_features")
+def domain_summary(spark, sf):
+    return rp.structural_summary(view(spark, sf, "fx_features"))
 
 
-@query("""WITH b AS (SELECT fid, replace(classification, '/', '.') AS bucket FROM fx_features
-    UNION ALL SELECT fid, 'Mobile_elements' FROM fx_features WHERE classification LIKE 'Class_I%' UNION ALL SELECT fid, 'Tandem_repeats' FROM fx_features WHERE classification LIKE 'Satellite%'
-    UNION ALL SELECT fid, 'Simple_repeats' FROM fx_features WHERE classification = 'Simple_repeat'
-    UNION ALL SELECT fid, 'rDNA' FROM fx_features WHERE classification LIKE 'rDNA%' UNION ALL SELECT fid, 'All_Ty1_Copia' FROM fx_features WHERE classification LIKE '%Ty1_copia%'
-    UNION ALL SELECT fid, 'All_Ty3_Gypsy' FROM fx_features WHERE classification LIKE '%Ty3_gypsy%' UNION ALL SELECT fid, 'TIR' FROM fx_features WHERE classification LIKE 'Class_II/Subclass_1/TIR%')
-    SELECT bucket, count(*) AS n FROM b GROUP BY bucket""", "fx_features")
+@query(f"""WITH g AS (SELECT * FROM {_GROUPED}), b AS (SELECT DISTINCT fid, bucket FROM (SELECT *, row_number() OVER () AS fid FROM g) LEFT JOIN LATERAL (SELECT unnest([replace(grp, '/', '.'), CASE WHEN starts_with(grp, 'Class') THEN 'Mobile_elements' END, CASE WHEN starts_with(grp, 'Simple_repeat') THEN 'Simple_repeats' END,
+        CASE WHEN starts_with(grp, 'Low_complexity') THEN 'Low_complexity' END, CASE WHEN starts_with(grp, 'rDNA') THEN 'rDNA' END, CASE WHEN contains(grp, 'copia') THEN 'All_Ty1_Copia' END, CASE WHEN contains(grp, 'gypsy') THEN 'All_Ty3_Gypsy' END,
+        CASE WHEN contains(grp, 'Class_II/Subclass_1/TIR') THEN 'Class_II.Subclass_1.TIR' END, CASE WHEN structure = 'LTR_RT_TR' THEN 'LTR_RT_TR' END]) AS bucket) ON true)
+    SELECT bucket, count(*) AS n FROM b WHERE bucket IS NOT NULL GROUP BY bucket""", "fx_unified")
 def snk_split_by_class(spark, sf):
-    return rp.buckets(view(spark, sf, "fx_features")).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    return rp.buckets(view(spark, sf, "fx_unified")).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("""WITH b AS (SELECT o_orderpriority AS rule, CAST(sum(o_totalprice) AS DOUBLE) AS s, CAST(count(*) AS DOUBLE) AS cpu_time FROM orders GROUP BY o_orderpriority)
-    SELECT rule, round(s, 2) AS s, cpu_time, round(cpu_time / s, 6) AS load, s = (SELECT max(s) FROM b) AS slowest FROM b""")
+    SELECT rule, round(s, 2) AS s, cpu_time, round(cpu_time / s, 6) AS load, s = (SELECT max(s) FROM b) AS slowest FROM b
+    UNION ALL SELECT 'total', round(sum(s), 2), sum(cpu_time), round(sum(cpu_time) / sum(s), 6), false FROM b""")
 def bench_stats(spark, sf):
     rows = spark.read.parquet(f"{sf}/orders.parquet").groupBy(F.col("o_orderpriority").alias("rule")).agg(F.sum("o_totalprice").cast("double").alias("s"), F.count(F.lit(1)).cast("double").alias("cpu_time"))
     return rp.benchmark_stats(rows).withColumn("s", F.round("s", 2))
@@ -713,58 +899,508 @@ def assign_ids(spark, sf):
 @query("""WITH l AS (SELECT 'a' AS lib, header, seq FROM fx_sequences WHERE doc_id % 2 = 0 UNION ALL SELECT 'b', replace(header, 'el_', 'TRC_S_'), seq FROM fx_sequences WHERE doc_id % 2 = 1)
     SELECT lib, header, row_number() OVER (PARTITION BY split_part(header, '#', 2) ORDER BY encode(seq), encode(header)) || '#' || split_part(header, '#', 2) AS short_name FROM l""", "fx_sequences")
 def short_names(spark, sf):
-    from pyspark.sql import Window as W
-
     rows = view(spark, sf, "fx_sequences")
     first = rows.filter("doc_id % 2 = 0").select(F.lit("a").alias("lib"), "header", "seq")
     second = rows.filter("doc_id % 2 = 1").select(F.lit("b").alias("lib"), F.replace("header", F.lit("el_"), F.lit("TRC_S_")).alias("header"), "seq")
     both = first.unionByName(second).withColumn("_class", sq.header_class(F.col("header")))
-    place = F.row_number().over(W.partitionBy("_class").orderBy("seq", "header"))
-    return both.select("lib", "header", F.concat(place.cast("string"), F.lit("#"), "_class").alias("short_name"))
+    rows = od.placed_within(spark, both, ["_class"], ["seq", "header"])
+    return rows.select("lib", "header", F.concat(F.col("place").cast("string"), F.lit("#"), "_class").alias("short_name"))
 
 
 # Tier resolution
 
 
-def _tiers(spark, sf):
-    rows = view(spark, sf, "fx_features").withColumn("start_pos", F.col("start_pos") + F.lit(0))
-    name = F.when(F.col("source_tool").startswith("Tide"), F.concat(F.lit("TRC_"), (F.col("fid") % 50).cast("string"))).otherwise(F.col("classification"))
-    return rows.withColumn("name", name).select(*rs.COLUMNS)
+@query(f"WITH RECURSIVE t AS (SELECT * FROM fx_tiers WHERE source_tier = 2), {st.within_tier('w', 't')} SELECT * FROM w", "fx_tiers")
+def within_tier(spark, sf):
+    return rs.within_tier(view(spark, sf, "fx_tiers").filter("source_tier = 2"))
 
 
-@query(None)
-def within_tier(spark, sf):
-    return rs.within_tier(_tiers(spark, sf).filter("source_tier = 2"))
+#: Longer than any chain of ever shorter overlapping rows of tier 1 in the fixtures up to sf0.01.
+LEVELS = 16
 
 
-@query(None)
+@query(f"WITH RECURSIVE t AS (SELECT * FROM fx_tiers WHERE source_tier = 1), {st.longest_first('w', 't', LEVELS)} SELECT * FROM w", "fx_tiers")
 def tier1_greedy(spark, sf):
-    return rs.longest_first(_tiers(spark, sf).filter("source_tier = 1"))
+    return rs.longest_first(spark, view(spark, sf, "fx_tiers").filter("source_tier = 1"))
 
 
-@query(f"""WITH t AS (SELECT *, 'TRC_' || (fid % 50) AS name FROM fx_features), a AS (SELECT seqid, name, start_pos AS s, end_pos AS e FROM t WHERE source_tool LIKE 'TideCluster\\_%' ESCAPE '\\' AND source_tier = 3),
-    m AS (SELECT * FROM {islands('a', 'seqid, name')}), p AS (SELECT m.name, m.seqid, greatest(m.s, e1.start_pos) AS s, least(m.e, e1.end_pos) AS e, e1.fid, string_split(e1.classification, '/') AS x
-        FROM m JOIN t e1 ON e1.source_tier = 1 AND e1.classification LIKE 'Class_I/LTR%' AND e1.seqid = m.seqid AND e1.start_pos <= m.e AND m.s <= e1.end_pos),
-    c AS (SELECT name, sum(e - s + 1) AS cov FROM {islands('(SELECT name, seqid, s, e FROM p)', 'seqid, name')} GROUP BY name),
-    z AS (SELECT name, count(DISTINCT fid) AS n, min(x) AS lo, max(x) AS hi FROM p GROUP BY name),
-    y AS (SELECT name, n, lo, len(list_filter(range(1, len(lo) + 1), lambda i: lo[1:i] = hi[1:i])) AS d FROM z)
-    SELECT y.name, array_to_string(lo[1:d], '/') AS te_origin FROM y JOIN c USING (name) JOIN (SELECT name, sum(e - s + 1) AS bp FROM m GROUP BY name) USING (name) WHERE n >= 2 AND d >= 1 AND cov / bp >= 0.01""", "fx_features")
+def _derived(least: int, depth: int, share: float) -> str:
+    return f"""WITH RECURSIVE arrays AS (SELECT *, source_tool AS tool FROM fx_tiers WHERE source_tier = 3), elements AS (SELECT * FROM fx_tiers WHERE source_tier = 1 AND classification LIKE 'Class_I/LTR/%'),
+        {st.te_derived('w', 'arrays', 'elements', least, depth, share)} SELECT * FROM w"""
+
+
+@query(_derived(2, 1, 0.01), "fx_tiers")
 def te_derived(spark, sf):
-    rows = _tiers(spark, sf)
-    arrays = rows.filter("source_tier = 3")
-    return rs.te_derived(arrays, rows.filter("source_tier = 1 AND classification LIKE 'Class_I/LTR%'"), depth=1, share=0.01)
+    rows = view(spark, sf, "fx_tiers")
+    return rs.te_derived(rows.filter("source_tier = 3"), rows.filter("source_tier = 1 AND classification LIKE 'Class_I/LTR/%'"), depth=1, share=0.01)
 
 
-@query(None)
+@query("""WITH a AS (SELECT o_orderkey AS k, 'TRC_' || (o_orderkey % 400) AS name, CASE WHEN o_orderkey % 2 = 0 THEN 'TideCluster_default' ELSE 'TideCluster_short' END AS source_tool, 'c' || (o_orderkey % 7) AS seqid, o_orderkey * 1000 AS s FROM orders),
+    x AS (SELECT name, source_tool, count(*) FILTER (k % 3 = 0) AS n, count(DISTINCT CASE WHEN k % 3 = 0 THEN (k % 800) % 5 END) AS kinds, min(CASE WHEN k % 3 = 0 THEN (k % 800) % 5 END) AS kind, count(*) AS arrays FROM a GROUP BY ALL)
+    SELECT source_tool, name, CASE kind WHEN 4 THEN 'Class_I/LTR/Ty1_copia' ELSE 'Class_I/LTR/Ty1_copia/L' || kind END AS te_origin FROM x WHERE n >= 2 AND kinds = 1 AND n * 300.0 / (arrays * 400) >= 0.25""")
+def te_derived_defaults(spark, sf):
+    o = spark.read.parquet(f"{sf}/orders.parquet").select(F.col("o_orderkey").alias("fid"))
+    at = o.select(
+        "fid", F.concat(F.lit("TRC_"), (F.col("fid") % 400).cast("string")).alias("name"), F.when(F.col("fid") % 2 == 0, "TideCluster_default").otherwise("TideCluster_short").alias("source_tool"),
+        F.concat(F.lit("c"), (F.col("fid") % 7).cast("string")).alias("seqid"), (F.col("fid") * 1000).alias("start_pos"), (F.col("fid") * 1000 + 399).alias("end_pos"),
+    )
+    kind = F.col("fid") % 800 % 5
+    elements = at.filter("fid % 3 = 0").withColumn("end_pos", F.col("start_pos") + 299)
+    elements = elements.withColumn("classification", F.when(kind == 4, "Class_I/LTR/Ty1_copia").otherwise(F.concat(F.lit("Class_I/LTR/Ty1_copia/L"), kind.cast("string"))))
+    return rs.te_derived(at, elements)
+
+
+def _resolved(spark, sf):
+    rows = view(spark, sf, "fx_tiers")
+    return rs.finalised(spark, rs.tier_resolve(spark, rows, rows.filter("source_tier = 6"), view(spark, sf, "fx_tandem_members")))
+
+
+_RESOLVED = f"WITH RECURSIVE th6 AS (SELECT * FROM fx_tiers WHERE source_tier = 6), {st.tier_resolve('fx_tiers', 'th6', 'fx_tandem_members', LEVELS)}, {st.finalised()}"
+
+
+@query(f"{_RESOLVED} SELECT * FROM final", "fx_tiers", "fx_tandem_members")
 def tier_resolve(spark, sf):
-    rows = _tiers(spark, sf)
-    return rs.finalised(rs.tier_resolve(spark, rows, rows.filter("source_tier = 6")))
+    return _resolved(spark, sf)
+
+
+@query("SELECT rule, n FROM (SELECT 'none' AS rule, 0 AS n) WHERE false")
+def contract_of_resolved(spark, sf):
+    # Clusters named TRC_<n> and elements with their attributes: what the resolution makes keeps every rule.
+    return rs.violations(_resolved(spark, sf)).filter("rule <> 'element_type_missing'").groupBy("rule").agg(F.count(F.lit(1)).alias("n"))
+
+
+_RULES = {
+    "seqid": "coalesce(seqid, '') = ''", "source": f"coalesce(source NOT IN {tuple(rs.TOOL_TIERS)}, true)", "type": f"coalesce(type NOT IN {rs.TYPES}, true)",
+    "coordinates": "coalesce(start_pos < 1 OR end_pos < start_pos, true)", "strand": "coalesce(strand NOT IN ('+', '-', '.'), true)",
+    **{f"missing_{k}": f"{k} IS NULL" for k in ("id", "name", "classification", "source_tier", "source_tool")},
+}
+_WHOLE = {
+    "id_format": "lv = ''", "unique_id": "lv <> '' AND copies > 1", "tool_is_source": "source_tool IS DISTINCT FROM source", "tier_of_tool": "source_tier <> " + "CASE source_tool " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in rs.TOOL_TIERS.items()) + " END",
+    "type_of_class": "type IS DISTINCT FROM CASE WHEN regexp_matches(classification, '^(Satellite|Simple_repeat|Low_complexity|rDNA|Unknown)') THEN 'repeat_region' ELSE 'transposable_element' END",
+    "cluster_name": f"source_tool IN {rs.NAMED_BY_CLUSTER} AND NOT regexp_full_match(name, 'TRC_[0-9]+')", "element_type_tool": "element_type IS NOT NULL AND source_tool <> 'DANTE_LTR'",
+    "element_type_value": "source_tool = 'DANTE_LTR' AND element_type NOT IN ('complete', 'partial')", "element_type_missing": "element_type IS NULL AND source_tool = 'DANTE_LTR' AND structure IS DISTINCT FROM 'LTR_RT_TR'",
+    "structure_value": "structure <> 'LTR_RT_TR'", "structure_tool": "structure IS NOT NULL AND source_tool <> 'DANTE_LTR'", "copy_number_structure": "copy_number IS NOT NULL AND structure IS DISTINCT FROM 'LTR_RT_TR'",
+    "copy_number_integer": "structure = 'LTR_RT_TR' AND NOT regexp_full_match(copy_number, '[0-9]+')", "in_structure_value": "in_structure <> 'LTR_RT_TR'", "in_structure_level": "in_structure IS NOT NULL AND (lv <> '2' OR source_tool <> 'DANTE_LTR')",
+    "member_of_structure": "member_of IS NOT NULL AND in_structure IS NULL", "member_of_format": "NOT regexp_full_match(member_of, 'UA_L1_[0-9]{8}')", "member_of_parent": "regexp_full_match(member_of, 'UA_L1_[0-9]{8}') AND member_of <> parent",
+    "te_origin_tool": f"te_origin IS NOT NULL AND source_tool NOT IN {rs.ORIGIN_TOOLS}", "te_origin_path": "NOT contains(te_origin, '/')", "te_origin_structure_origin": "te_origin_structure IS NOT NULL AND te_origin IS NULL",
+    "te_origin_structure_value": "te_origin_structure <> 'tandem_LTR_RT'", "level_2_parent": "lv = '2' AND parent IS NULL", "level_1_parent": "lv = '1' AND parent IS NOT NULL", "parent_format": "NOT regexp_full_match(parent, 'UA_L1_[0-9]{8}')",
+    "parent_exists": "regexp_full_match(parent, 'UA_L1_[0-9]{8}') AND parent NOT IN (SELECT id FROM fx_unified WHERE id IS NOT NULL)",
+}
+_REQUIRED = "id IS NOT NULL AND name IS NOT NULL AND classification IS NOT NULL AND source_tier IS NOT NULL AND source_tool IS NOT NULL"
+_CASES = ", ".join([f"CASE WHEN {t} THEN '{k}' END" for k, t in _RULES.items()] + [f"CASE WHEN {_REQUIRED} AND ({t}) THEN '{k}' END" for k, t in _WHOLE.items()])
+
+
+@query(f"""WITH c AS (SELECT id, count(*) AS copies FROM fx_unified GROUP BY id), r AS (SELECT u.*, copies, regexp_extract(u.id, '^UA_L([12])_[0-9]{{8}}$', 1) AS lv FROM fx_unified u LEFT JOIN c USING (id)),
+    x AS (SELECT unnest([{_CASES}]) AS rule FROM r) SELECT rule, count(*) AS n FROM x WHERE rule IS NOT NULL GROUP BY rule""", "fx_unified")
+def contract_validate(spark, sf):
+    return rs.violations(view(spark, sf, "fx_unified")).groupBy("rule").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"""{_RESOLVED}, top AS (SELECT * FROM final WHERE parent IS NULL), el AS (SELECT * FROM top WHERE NOT regexp_matches(classification, '^(Simple_repeat|Low_complexity|Satellite|Unknown)')),
+    cov AS (SELECT coalesce(sum(e - s + 1), 0) AS bp FROM {islands('(SELECT seqid, start_pos AS s, end_pos AS e FROM top)')})
+    SELECT 'overlapping_elements' AS "check", 'T' || a.source_tier || '-T' || b.source_tier AS item, CAST(count(*) AS DOUBLE) AS value FROM el a JOIN el b ON a.seqid = b.seqid AND a.start_pos <= b.end_pos AND b.start_pos <= a.end_pos
+        AND {{'s': a.start_pos, 'e': a.end_pos, 'i': a.id}} < {{'s': b.start_pos, 'e': b.end_pos, 'i': b.id}} GROUP BY ALL
+    UNION ALL SELECT 'coverage', 'bp', CAST(bp AS DOUBLE) FROM cov UNION ALL SELECT 'coverage', 'percent', round(bp / (SELECT sum(length) FROM fx_seqs) * 100, 2) FROM cov
+    UNION ALL SELECT 'bad_parents', 'level_2', CAST(count(*) AS DOUBLE) FROM final WHERE parent IS NOT NULL AND parent NOT IN (SELECT id FROM top)
+    UNION ALL SELECT 'source_tool', source_tool, CAST(count(*) AS DOUBLE) FROM top GROUP BY source_tool UNION ALL SELECT 'source_tier', CAST(source_tier AS VARCHAR), CAST(count(*) AS DOUBLE) FROM top GROUP BY source_tier""", "fx_tiers", "fx_tandem_members", "fx_seqs")
+def sanity_checks(spark, sf):
+    return rs.sanity_checks(_resolved(spark, sf), view(spark, sf, "fx_seqs"))
+
+
+@query("""WITH u AS (SELECT * FROM fx_tiers WHERE fid % 3 = 0) SELECT a.seqid, greatest(a.start_pos, b.start_pos) AS start_pos, least(a.end_pos, b.end_pos) AS end_pos, a.name AS name_a, a.classification AS class_a, a.source_tier AS tier_a,
+    b.name AS name_b, b.classification AS class_b, b.source_tier AS tier_b, least(a.end_pos, b.end_pos) - greatest(a.start_pos, b.start_pos) + 1 AS overlap_bp FROM u a JOIN u b ON a.seqid = b.seqid AND a.fid < b.fid AND a.start_pos <= b.end_pos AND b.start_pos <= a.end_pos
+    WHERE NOT regexp_matches(a.classification, '^(Simple_repeat|Low_complexity)') AND NOT regexp_matches(b.classification, '^(Simple_repeat|Low_complexity)')""", "fx_tiers")
+def residual_overlaps(spark, sf):
+    rows = view(spark, sf, "fx_tiers").filter("fid % 3 = 0").withColumn("id", F.col("fid")).withColumn("parent", F.lit(None).cast("string"))
+    return rs.residual_overlaps(rows)
+
+
+# Files: each query writes a file in its own format to the shared folder, reads it back and compares
+
+
+def _lines_file(spark, df, name: str, header: str | None = None, **options: str) -> str:
+    """Write text rows (value) as a folder of files; a header line comes first in each of its files."""
+    path = scratch.folder(spark, name)
+    if header is None:
+        df.select("value").write.options(**options).text(path)
+    else:
+        spark.createDataFrame([(header,)], "value string").coalesce(1).unionByName(df.select("value")).coalesce(1).write.options(**options).text(path)
+    return path
+
+
+@query("""SELECT seqid, source_tool AS source, CASE WHEN regexp_matches(classification, '^(Satellite|Simple_repeat|Low_complexity|rDNA|Unknown)') THEN 'repeat_region' ELSE 'transposable_element' END AS type,
+    start_pos, end_pos, CASE strand WHEN '*' THEN '.' ELSE strand END AS strand, CAST(fid AS VARCHAR) AS id, name, classification FROM fx_tiers""", "fx_tiers")
+def src_gff3(spark, sf):
+    rows = view(spark, sf, "fx_tiers").withColumn("type", lb.feature_type(F.col("classification"))).withColumnsRenamed({"fid": "ID", "name": "Name"})
+    path = scratch.folder(spark, "gff3")
+    sinks.write_gff3(rows, path, ["ID", "Name", "classification"])
+    at = lambda k: F.try_element_at("attrs", F.lit(k))
+    return tabular.read_gff3(spark, path).select("seqid", "source", "type", "start_pos", "end_pos", "strand", at("ID").alias("id"), at("Name").alias("name"), at("classification").alias("classification"))
+
+
+#: Sequences without the characters that no sequence file keeps.
+_BASES = "(SELECT doc_id, header, regexp_replace(seq, '[^ACGTN]', '', 'g') AS seq FROM fx_sequences)"
+
+
+def _bases(spark, sf):
+    return view(spark, sf, "fx_sequences").withColumn("seq", F.regexp_replace("seq", "[^ACGTN]", ""))
+
+
+def _library(spark, sf, gzip: bool = False) -> str:
+    path = scratch.folder(spark, "fasta")
+    rows = _bases(spark, sf).select(F.concat("header", F.lit(" doc "), F.col("doc_id").cast("string")).alias("header"), "seq")
+    if gzip:
+        # A packed file without its usual ending.
+        from spanloom.functions.sequences import wrapped
+
+        text = rows.select(F.concat(F.lit(">"), "header", F.lit("\n"), wrapped(F.col("seq"), 60)).alias("value"))
+        text.coalesce(1).write.option("compression", "gzip").text(path)
+        jvm = spark.sparkContext._jvm
+        base = jvm.org.apache.hadoop.fs.Path(path)
+        files = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        packed = next(f.getPath() for f in files.listStatus(base) if f.getPath().getName().endswith(".gz"))
+        files.rename(packed, jvm.org.apache.hadoop.fs.Path(path, "genome.fa"))
+        return f"{path}/genome.fa"
+    sinks.write_fasta(rows, path, width=60)
+    return f"{path}/part-*"
+
+
+@query(f"SELECT header || ' doc ' || doc_id AS header, header AS name, md5(upper(seq)) AS digest FROM {_BASES}", "fx_sequences")
+def src_fasta(spark, sf):
+    rows = tabular.read_fasta(spark, _library(spark, sf), upper=True)
+    return rows.select("header", "name", F.md5(F.col("seq").cast("binary")).alias("digest"))
+
+
+_PARTS_SQL = f"SELECT header AS name, header || ' doc ' || doc_id AS header, k AS part, k * 700 AS \"offset\", md5(substring(seq, k * 700 + 1, 700)) AS digest FROM (SELECT *, unnest(range(CAST(ceil(length(seq) / 700) AS BIGINT))) AS k FROM {_BASES})"
+
+
+def _digests(rows):
+    return rows.select("name", "header", "part", "offset", F.md5(F.col("seq").cast("binary")).alias("digest"))
+
+
+@query(_PARTS_SQL, "fx_sequences")
+def src_fasta_parts(spark, sf):
+    return _digests(tabular.read_sequence_parts(spark, _library(spark, sf), 700))
+
+
+@query(_PARTS_SQL, "fx_sequences")
+def src_fasta_gz_clean(spark, sf):
+    return _digests(tabular.read_sequence_parts(spark, _library(spark, sf, gzip=True), 700))
+
+
+@query(f"SELECT header AS seqid, length(seq) AS length FROM {_BASES}", "fx_sequences")
+def seq_lengths(spark, sf):
+    return tabular.part_lengths(tabular.read_sequence_parts(spark, _library(spark, sf), 700))
+
+
+@query("SELECT seqid, length FROM fx_seqs", "fx_seqs")
+def src_fai(spark, sf):
+    rows = view(spark, sf, "fx_seqs").select(F.concat_ws("\t", "seqid", F.col("length").cast("string"), F.lit("6"), F.lit("60"), F.lit("61")).alias("value"))
+    return tabular.read_lengths(spark, _lines_file(spark, rows.union(spark.sql("SELECT 'short line'")), "fai"))
+
+
+@query("SELECT seqid, start_pos, end_pos, 'el' || (fid % 9) AS repeat, classification AS class FROM fx_small", "fx_small")
+def src_rm_out(spark, sf):
+    parts = [F.lit("  239 12.1 0.0 3.1"), "seqid", F.col("start_pos").cast("string"), F.col("end_pos").cast("string"), F.lit("(99) +"), F.concat(F.lit("el"), (F.col("fid") % 9).cast("string")), "classification", F.lit("1 9 (2) 7")]
+    return tabular.read_repeat_hits(spark, _lines_file(spark, view(spark, sf, "fx_small").select(F.concat_ws("  ", *parts).alias("value")), "rm", "   SW   perc perc perc  query      position in query  matching repeat position\nscore  div. del. ins. sequence begin end (left) repeat class/family begin end (left) ID\n"))
+
+
+_HIT_COLUMNS = "CAST(qid AS VARCHAR) AS qseqid, CAST(sid AS VARCHAR) AS sseqid, round(pident, 2) AS pident, aln_len AS length"
+
+
+def _hits(spark, sf, *fields):
+    hits = view(spark, sf, "fx_hits").withColumn("pident", F.round("pident", 2))
+    return hits.select(F.concat_ws("\t", *[F.col(f).cast("string") if isinstance(f, str) else f for f in fields]).alias("value"))
+
+
+@query(f"SELECT {_HIT_COLUMNS}, 1 AS mismatch, 0 AS gapopen, qstart, qend, sstart, send, 0.001 AS evalue, 50.0 AS bitscore FROM fx_hits", "fx_hits")
+def src_blast6(spark, sf):
+    back = F.col("qid") % 2 == 0
+    fields = ["qid", "sid", "pident", "aln_len", F.lit("1"), F.lit("0"), F.when(back, F.col("qend")).otherwise(F.col("qstart")).cast("string"), F.when(back, F.col("qstart")).otherwise(F.col("qend")).cast("string"), "send", "sstart", F.lit("0.001"), F.lit("50")]
+    return tabular.read_hits(spark, _lines_file(spark, _hits(spark, sf, *fields), "hits"))
+
+
+@query(f"SELECT {_HIT_COLUMNS}, qstart, qend, 0.001 AS evalue, 50.0 AS bitscore, qlen, slen, 90.0 AS qcovs FROM fx_hits", "fx_hits")
+def src_blast6_11(spark, sf):
+    fields = ["qid", "sid", "pident", "aln_len", "qend", "qstart", F.lit("0.001"), F.lit("50"), "qlen", "slen", F.lit("90")]
+    return tabular.read_hits(spark, _lines_file(spark, _hits(spark, sf, *fields), "hits"), tabular.HITS_11)
+
+
+@query(f"SELECT {_HIT_COLUMNS}, qlen, slen, qstart, qend FROM fx_hits", "fx_hits")
+def src_blast6_8(spark, sf):
+    return tabular.read_hits(spark, _lines_file(spark, _hits(spark, sf, "qid", "sid", "pident", "aln_len", "qlen", "slen", "qend", "qstart"), "hits"), tabular.HITS_8)
+
+
+@query("SELECT 'TRC_' || c_custkey AS trc, CASE WHEN c_custkey % 3 = 0 THEN 'rDNA/45S_rDNA' ELSE 'rDNA/5S_rDNA' END AS class FROM customer WHERE c_custkey % 3 < 2")
+def src_rdna_tsv(spark, sf):
+    key = F.col("c_custkey")
+    kind = F.element_at(F.array(*map(F.lit, (" 45s ", "5S", "other"))), (key % 3 + 1).cast("int"))
+    second = F.when(key % 2 == 0, F.lit("45S")).otherwise("5S")
+    lines = F.array(F.concat(F.lit("TRC_"), key.cast("string"), F.lit("\t"), kind, F.lit("\t0.9")), F.when(key % 3 < 2, F.concat(F.lit("TRC_"), key.cast("string"), F.lit("\t"), second, F.lit("\t0.1"))))
+    rows = spark.read.parquet(f"{sf}/customer.parquet").coalesce(1).select(F.explode(F.array_compact(lines)).alias("value"))
+    return tabular.read_rdna(spark, _lines_file(spark, rows, "rdna", "TRC\trDNA_type\tcoverage"))
+
+
+@query("SELECT 'TRC_' || c_custkey AS trc, 'SF' || (c_custkey % 7) AS sf FROM customer")
+def src_sf_csv(spark, sf):
+    key, number = F.col("c_custkey").cast("string"), (F.col("c_custkey") % 7).cast("string")
+    line = F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit('"TRC_'), key, F.lit('","'), number, F.lit('"'))).otherwise(F.concat(number, F.lit(";TRC_"), key, F.lit(";x")))
+    rows = spark.read.parquet(f"{sf}/customer.parquet").select(line.alias("value"))
+    return tabular.read_superfamilies(spark, _lines_file(spark, rows, "sf", "cluster,superfamily"))
+
+
+@query("SELECT trc, monomer FROM (SELECT 'TRC_' || (c_custkey % 20) AS trc, c_nationkey AS monomer, row_number() OVER (PARTITION BY c_custkey % 20 ORDER BY count(*) DESC, c_nationkey) AS r FROM customer GROUP BY c_custkey % 20, c_nationkey) WHERE r = 1")
+def src_kite_csv(spark, sf):
+    rows = spark.read.parquet(f"{sf}/customer.parquet").select(F.concat_ws("\t", F.lit("x"), F.concat(F.lit("TRC_"), (F.col("c_custkey") % 20).cast("string")), F.col("c_nationkey").cast("string")).alias("value"))
+    return rp.modal_monomer(tabular.read_monomer_sizes(spark, _lines_file(spark, rows, "kite", "array\tTRC_ID\tmonomer_size")))
+
+
+@query("SELECT 'Class_II/Subclass_1/TIR/T' || n_nationkey AS path, n_nationkey * 3 AS count FROM nation")
+def src_tir_summary(spark, sf):
+    key = F.col("n_nationkey")
+    rows = spark.read.parquet(f"{sf}/nation.parquet").select(F.concat_ws("\t", F.concat(F.lit("Class_II_Subclass_1_TIR_T"), key.cast("string")), (key * 3).cast("string")).alias("value"))
+    return tabular.read_element_counts(spark, _lines_file(spark, rows, "tir", "raw_name\tcount"))
+
+
+@query("SELECT n_name AS type, n_nationkey * 1000.0 AS bp, n_nationkey / 10.0 AS pct FROM nation")
+def src_composition(spark, sf):
+    key = F.col("n_nationkey")
+    rows = spark.read.parquet(f"{sf}/nation.parquet").select(F.concat_ws("\t", F.concat(F.lit('"'), "n_name", F.lit('"')), (key * 1000).cast("string"), (key / 10).cast("string")).alias("value"))
+    return tabular.read_composition(spark, _lines_file(spark, rows, "comp", "Repeat_type\tTotal_size [bp]\tProportion [%]"))
+
+
+@query("SELECT 'r' || n_nationkey AS rule, CAST(n_nationkey * 10 AS DOUBLE) AS s, CASE WHEN n_nationkey % 2 = 0 THEN n_nationkey * 2.5 END AS max_rss, n_nationkey * 8.0 AS cpu_time FROM nation")
+def src_bench_tsv(spark, sf):
+    path, key = scratch.folder(spark, "bench"), F.col("n_nationkey")
+    line = F.concat_ws("\t", (key * 10).cast("string"), F.lit("0:00:10"), F.when(key % 2 == 0, (key * 2.5).cast("string")).otherwise("-"), (key * 8).cast("string"))
+    rows = spark.read.parquet(f"{sf}/nation.parquet").select(F.concat(F.lit("r"), key.cast("string")).alias("rule"), F.concat(F.lit("s\th:m:s\tmax_rss\tcpu_time\n"), line).alias("value"))
+    rows.write.partitionBy("rule").text(path)
+    # The tables lie in a folder for each rule, whose name is the rule's.
+    found = tabular.read_benchmarks(spark, f"{path}/*/*.txt").drop("rule")
+    return found.select(F.concat(F.lit("r"), (F.col("s") / 10).cast("long").cast("string")).alias("rule"), "s", "max_rss", "cpu_time")
+
+
+_VOCABULARY = """version: 1
+classifications:
+  - Class_I
+  - "Class_I/LTR"   # quoted
+  - Class_II/Subclass_1/TIR/hAT
+special_classes:
+  Satellite: Satellite
+  Unknown: Unknown
+leaf_aliases:
+  "Ty1/copia": Ty1_copia
+aggregation_buckets:
+  Mobile_elements:
+    description: all
+tool_dialects:
+  DANTE_TIR:
+    hierarchy_prefixes:
+      - underscore: "Class_II_"
+        canonical:  "Class_II/"
+      - underscore: "Class_II_Subclass_1_TIR_"
+        canonical:  "Class_II/Subclass_1/TIR/"
+"""
+
+
+@query("""SELECT * FROM (VALUES ('Class_I|LTR', 'Class_I/LTR', true), ('Class_II_Subclass_1_TIR_hAT', 'Class_II/Subclass_1/TIR/hAT', true), ('Class_II_x', 'Class_II/x', false), ('Ty1/copia|y', 'Ty1_copia/y', false),
+    ('Satellite', 'Satellite', true), ('Mobile_elements', 'Mobile_elements', true), ('Simple_repeat', 'Simple_repeat', false)) t(raw, canonical, known)""")
+def src_vocab_yaml(spark, sf):
+    vocab = tabular.read_vocabulary(spark, _lines_file(spark, spark.createDataFrame([(_VOCABULARY,)], "value string").coalesce(1), "vocab") + "/part-*")
+    raw = spark.createDataFrame([(x,) for x in ("Class_I|LTR", "Class_II_Subclass_1_TIR_hAT", "Class_II_x", "Ty1/copia|y", "Satellite", "Mobile_elements", "Simple_repeat")], "raw string")
+    label = lb.canonicalise(F.col("raw"), vocab=vocab)
+    return raw.select("raw", label.alias("canonical"), lb.is_canonical(label, vocab).alias("known"))
+
+
+@query("SELECT CASE WHEN trc = 'TRC_5' THEN 'TRC_5_x' ELSE trc END AS bucket, count(*) AS n, min(s0) + 1 AS first_start FROM fx_trc WHERE trc <> 'TRC_0' GROUP BY ALL", "fx_trc")
+def snk_split_by_name(spark, sf):
+    name = F.when(F.col("trc") == "TRC_0", "").when(F.col("trc") == "TRC_5", "TRC_5/x").otherwise(F.col("trc"))
+    rows = view(spark, sf, "fx_trc").select("seqid", (F.col("s0") + 1).alias("start_pos"), F.col("e0").alias("end_pos"), "strand", F.lit("x").alias("source_tool"), name.alias("Name"))
+    path = scratch.folder(spark, "split")
+    sinks.write_by_name(rows, path, "Name", ["Name"], prefix="TRC_")
+    back = spark.read.text(path).select("bucket", F.split("value", "\t")[3].cast("long").alias("start_pos"))
+    return back.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("start_pos").alias("first_start"))
+
+
+@query(f"SELECT doc_id, CAST(ceil(length(seq) / 80) AS BIGINT) AS lines, md5(seq) AS digest FROM {_BASES}", "fx_sequences")
+def snk_fasta_wrap(spark, sf):
+    path = scratch.folder(spark, "wrap")
+    sinks.write_fasta(_bases(spark, sf).select(F.col("doc_id").cast("string").alias("header"), "seq"), path, width=80)
+    rows = spark.read.option("lineSep", "\n>").text(path).select(F.regexp_replace("value", "^>|\n$", "").alias("v"))
+    lines = F.split("v", "\n")
+    return rows.select(lines[0].cast("long").alias("doc_id"), (F.size(lines) - 1).cast("long").alias("lines"), F.md5(F.array_join(F.slice(lines, 2, F.size(lines)), "").cast("binary")).alias("digest"))
+
+
+@query(f"""WITH {_density_sql(200)}, c AS (SELECT seqid, start_pos, end_pos, score FROM dens),
+    f AS (SELECT *, CASE WHEN lag(score) OVER (PARTITION BY seqid ORDER BY start_pos) = score THEN 0 ELSE 1 END AS n FROM c),
+    g AS (SELECT *, sum(n) OVER (PARTITION BY seqid ORDER BY start_pos ROWS UNBOUNDED PRECEDING) AS r FROM f)
+    SELECT seqid, min(start_pos) - 1 AS start0, max(end_pos) AS end0, min(score) AS score FROM g GROUP BY seqid, r""", "fx_features", "fx_seqs")
+def snk_bigwig(spark, sf):
+    path = scratch.folder(spark, "track")
+    sinks.write_track(tr.run_lengths(tr.density(view(spark, sf, "fx_features"), view(spark, sf, "fx_seqs"), 200)), path)
+    c = F.split("value", "\t")
+    return spark.read.text(path).select(c[0].alias("seqid"), c[1].cast("long").alias("start0"), c[2].cast("long").alias("end0"), c[3].cast("double").alias("score"))
+
+
+# Headers, attributes, subtypes and loaders
+
+
+def _headers(spark, sf):
+    key = F.col("c_custkey")
+    cls = F.element_at(F.array(*map(F.lit, ("Class_I|LTR|Ty1/copia|Ale", "Class_I/LINE", "Class_I|LTR|Ty3/gypsy"))), (key % 3 + 1).cast("int"))
+    return spark.read.parquet(f"{sf}/customer.parquet").select(key.alias("id"), F.when(key % 5 == 0, F.concat(F.lit("bare"), key.cast("string"))).otherwise(F.concat(F.lit("s"), key.cast("string"), F.lit("#"), cls, F.lit(" len=9"))).alias("header"), cls.alias("cls"))
+
+
+_HEADER_SQL = "(SELECT c_custkey AS id, ['Class_I|LTR|Ty1/copia|Ale', 'Class_I/LINE', 'Class_I|LTR|Ty3/gypsy'][c_custkey % 3 + 1] AS cls, ['Class_I/LTR/Ty1_copia/Ale', 'Class_I/LINE', 'Class_I/LTR/Ty3_gypsy'][c_custkey % 3 + 1] AS canon FROM customer)"
+
+
+@query(f"SELECT id, CASE WHEN id % 5 = 0 THEN 'bare' || id ELSE 's' || id || '#' || canon || ' len=9' END AS header, id % 5 <> 0 AND cls <> canon AS rewritten FROM {_HEADER_SQL}")
+def canon_fasta_headers(spark, sf):
+    return mb.canonical_headers(_headers(spark, sf)).select("id", "header", "rewritten")
+
+
+def _attributed(spark, sf):
+    rows = _headers(spark, sf)
+    pairs = F.map_from_arrays(F.array(F.lit("ID"), F.lit("Final_Classification"), F.lit("Name")), F.array(F.col("id").cast("string"), "cls", F.lit("n")))
+    return rows.select("id", F.when(F.col("id") % 5 == 0, F.create_map(F.lit("ID"), F.col("id").cast("string"))).otherwise(pairs).alias("attrs"))
+
+
+@query(f"SELECT id, CASE WHEN id % 5 <> 0 THEN canon END AS value, id % 5 <> 0 AND cls <> canon AS rewritten FROM {_HEADER_SQL}")
+def canon_gff_attr(spark, sf):
+    rows = mb.canonical_attribute(_attributed(spark, sf), "Final_Classification", "DANTE")
+    return rows.select("id", F.try_element_at("attrs", F.lit("Final_Classification")).alias("value"), "rewritten")
+
+
+@query(f"SELECT 'attribute' AS kind, cls AS value, count(*) AS n FROM {_HEADER_SQL} WHERE id % 5 <> 0 GROUP BY cls UNION ALL SELECT 'header', cls, count(*) FROM {_HEADER_SQL} WHERE id % 5 <> 0 GROUP BY cls")
+def collect_attr(spark, sf):
+    a = mb.attribute_values(_attributed(spark, sf), "Final_Classification").groupBy("value").agg(F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit("attribute"))
+    b = mb.header_classes(_headers(spark, sf)).groupBy("value").agg(F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit("header"))
+    return a.unionByName(b)
+
+
+@query(f"SELECT id, CASE WHEN id % 5 <> 0 THEN canon END AS name FROM {_HEADER_SQL}")
+def clean_names(spark, sf):
+    return mb.clean_names(_attributed(spark, sf)).select("id", F.try_element_at("attrs", F.lit("Name")).alias("name"))
+
+
+@query("SELECT doc_id, header FROM fx_sequences WHERE regexp_matches(header, 'Class_I/LTR/.*/(Ale|CRM)$')", "fx_sequences")
+def filter_fasta_regex(spark, sf):
+    return mb.matching(view(spark, sf, "fx_sequences"), "Class_I/LTR/.*/(Ale|CRM)$").select("doc_id", "header")
+
+
+_SUBTYPED = """(SELECT *, CASE fid % 4 WHEN 0 THEN 'Class_II|Subclass_1|TIR|hAT' WHEN 1 THEN 'Class_II|Subclass_1|TIR|Mu DR/x' WHEN 2 THEN 'Class_II|Subclass_1|TIR' ELSE 'Class_II|Subclass_2|TIR|P' END AS cls FROM fx_domains)"""
+_GOOD = "name = 'TPase' AND contains(cls, 'Subclass_1') AND identity >= 0.35 AND similarity >= 0.45 AND relat_interruptions <= 3 AND relat_length BETWEEN 0.8 AND 1.2 AND len(string_split(cls, '|')) >= 4"
+
+
+@query(f"""SELECT fid, string_split(cls, '|')[-1] AS subtype, 'Class_II_Subclass_1_TIR_' || regexp_replace(regexp_replace(string_split(cls, '|')[-1], '[^A-Za-z0-9_.-]+', '_', 'g'), '^_+|_+$', '', 'g') || '_' || row_number() OVER (PARTITION BY string_split(cls, '|')[-1] ORDER BY seqid, start_pos, end_pos, strand) || '_partial' AS group_id
+    FROM {_SUBTYPED} WHERE {_GOOD}""", "fx_domains")
+def tir_subtype(spark, sf):
+    cls = F.element_at(F.array(*map(F.lit, ("Class_II|Subclass_1|TIR|hAT", "Class_II|Subclass_1|TIR|Mu DR/x", "Class_II|Subclass_1|TIR", "Class_II|Subclass_2|TIR|P"))), (F.col("fid") % 4 + 1).cast("int"))
+    good = lb.good_domain(*[F.col(c) for c in ("identity", "similarity", "relat_length", "relat_interruptions")])
+    rows = view(spark, sf, "fx_domains").withColumn("subtype", lb.tir_subtype(F.col("name"), cls, good)).filter("subtype IS NOT NULL")
+    rows = od.placed_within(spark, rows, ["subtype"], ["seqid", "start_pos", "end_pos", "strand"])
+    group = F.concat_ws("_", F.lit("Class_II_Subclass_1_TIR"), lb.sanitised(F.col("subtype")), F.col("place").cast("string"), F.lit("partial"))
+    return rows.select("fid", "subtype", group.alias("group_id"))
+
+
+@query("SELECT o_orderkey AS id, o_orderkey % 4 AS kind FROM orders WHERE o_orderkey % 4 = 3 OR o_custkey % 3 = 0")
+def select_by_ids(spark, sf):
+    key = F.col("o_orderkey").cast("string")
+    wanted = F.concat(F.lit("w"), F.col("o_custkey").cast("string"))
+    kinds = [F.create_map(F.lit("ID"), wanted, F.lit("Parent"), F.lit("no")), F.create_map(F.lit("Parent"), wanted, F.lit("Group_ID"), F.lit("no")), F.create_map(F.lit("Group_ID"), wanted), F.create_map(F.lit("Note"), key)]
+    attrs = F.when(F.col("o_orderkey") % 4 == 0, kinds[0]).when(F.col("o_orderkey") % 4 == 1, kinds[1]).when(F.col("o_orderkey") % 4 == 2, kinds[2]).otherwise(kinds[3])
+    rows = spark.read.parquet(f"{sf}/orders.parquet").select(F.col("o_orderkey").alias("id"), "o_custkey", attrs.alias("attrs"))
+    ids = rows.filter("o_custkey % 3 = 0").select(F.concat(F.lit("w"), F.col("o_custkey").cast("string")).alias("id"))
+    return mb.selected(rows.drop("o_custkey"), ids).select("id", (F.col("id") % 4).alias("kind"))
+
+
+@query("SELECT header, seq FROM fx_sequences WHERE doc_id % 2 = 0 AND contains(header, 'Class_II/Subclass_1') UNION ALL SELECT header, seq FROM fx_sequences WHERE doc_id % 2 = 1", "fx_sequences")
+def make_subclass_2(spark, sf):
+    rows = view(spark, sf, "fx_sequences")
+    return mb.second_subclass_library(rows.filter("doc_id % 2 = 1").select("header", "seq"), rows.filter("doc_id % 2 = 0").select("header", "seq"))
+
+
+@query("SELECT 'el_' || doc_id || '#' || split_part(header, '#', 2) AS header, seq FROM fx_sequences WHERE doc_id % 3 = 0", "fx_sequences")
+def fallback_representatives(spark, sf):
+    rows = view(spark, sf, "fx_sequences")
+    library = rows.select(sq.header_name(F.col("header")).alias("name"), "seq")
+    wanted = rows.filter("doc_id % 3 = 0").select(sq.header_name(F.col("header")).alias("id"), sq.header_class(F.col("header")).alias("class"))
+    return mb.representatives(library, wanted)
+
+
+@query("""WITH r AS (SELECT doc_id AS idx, split_part(header, '#', 2) AS class, split_part(header, '#', 1) AS h, doc_id % 3 AS part FROM fx_sequences), n AS (SELECT class, row_number() OVER (ORDER BY encode(class)) AS number FROM (SELECT DISTINCT class FROM r))
+    SELECT CAST(part AS INT) AS part, class, row_number() OVER (ORDER BY part, encode(class), idx) AS place, CASE part WHEN 0 THEN h || '_' || number || '#' || class ELSE h END AS header FROM r JOIN n USING (class)""", "fx_sequences")
+def reduced_library(spark, sf):
+    rows = view(spark, sf, "fx_sequences").select(F.col("doc_id").alias("idx"), sq.header_class(F.col("header")).alias("class"), sq.header_name(F.col("header")).alias("header"), "seq", (F.col("doc_id") % 3).alias("_p"))
+    parts = [rows.filter(f"_p = {i}").drop("_p") for i in range(3)]
+    return mb.reduced_library(*parts).select("part", "class", "place", "header")
+
+
+_ENDS = "(SELECT doc_id AS id, split_part(header, '#', 2) AS class, substring(seq, 1, 30) AS seq FROM fx_sequences)"
+
+
+def _ends(spark, sf):
+    return view(spark, sf, "fx_sequences").select(F.col("doc_id").alias("id"), sq.header_class(F.col("header")).alias("class"), sq.end_region(F.col("seq"), "start").alias("seq"))
+
+
+@query(f"SELECT a.id AS qid, b.id AS sid, a.seq AS query, b.seq AS ref FROM {_ENDS} a JOIN {_ENDS} b USING (class) WHERE a.id < b.id AND class LIKE 'Class_I/LTR/%'", "fx_sequences")
+def pairs_all(spark, sf):
+    return mb.all_pairs(_ends(spark, sf).filter("class LIKE 'Class_I/LTR/%'"), ["class"]).select("qid", "sid", "query", "ref")
+
+
+@query(f"""WITH e AS (SELECT *, count(*) OVER (PARTITION BY class) AS n FROM {_ENDS}), c AS (SELECT DISTINCT least(l_orderkey % 300, l_partkey % 300) AS x, greatest(l_orderkey % 300, l_partkey % 300) AS y FROM lineitem)
+    SELECT a.id AS qid, b.id AS sid, class FROM e a JOIN e b USING (class) WHERE a.id < b.id AND (a.n < 20 OR EXISTS (SELECT 1 FROM c WHERE c.x = a.id AND c.y = b.id))""", "fx_sequences")
+def pairs_filtered(spark, sf):
+    candidates = spark.read.parquet(f"{sf}/lineitem.parquet").select((F.col("l_orderkey") % 300).alias("qid"), (F.col("l_partkey") % 300).alias("sid"))
+    return mb.candidate_pairs(_ends(spark, sf), ["class"], candidates, 20).select("qid", "sid", "class")
 
 
 @query(None)
-def contract_validate(spark, sf):
-    rows = _tiers(spark, sf)
-    return rs.violations(rs.finalised(rs.tier_resolve(spark, rows, rows.filter("source_tier = 6")))).groupBy("rule").agg(F.count(F.lit(1)).alias("n"))
+def align_nw(spark, sf):
+    return kn.align_pairs(mb.all_pairs(_ends(spark, sf), ["class"]).drop("class"))
+
+
+@query(None)
+def prime_anchoring(spark, sf):
+    rows = view(spark, sf, "fx_sequences")
+    sides = [rows.select(F.col("doc_id").alias("id"), sq.header_class(F.col("header")).alias("class"), F.lit(f"{p}prime").alias("prime"), sq.end_region(F.col("seq"), e, 60).alias("seq")) for p, e in (("5", "start"), ("3", "end"))]
+    return kn.anchored_flanks(mb.all_pairs(sides[0].unionByName(sides[1]), ["class", "prime"]))
+
+
+@query(None)
+def rdp(spark, sf):
+    track = _track(spark, sf).select(F.col("seqid").alias("track"), F.col("start_pos").cast("double").alias("x"), F.when(F.col("start_pos") % 7 != 0, F.col("score")).alias("y"))
+    return kn.simplified(track, 0.02)
+
+
+@query("""SELECT source_tool, source_tier, classification, name, element_type, structure, copy_number, member, count(*) AS n FROM (
+    SELECT 'DANTE_LTR' AS source_tool, 1 AS source_tier, replace(replace(replace(final_classification, 'Ty1/copia', 'Ty1_copia'), 'Ty3/gypsy', 'Ty3_gypsy'), '|', '/') AS classification,
+        replace(replace(replace(final_classification, 'Ty1/copia', 'Ty1_copia'), 'Ty3/gypsy', 'Ty3_gypsy'), '|', '/') AS name, CASE WHEN starts_with(id, 'TE_partial_') THEN 'partial' ELSE 'complete' END AS element_type, CAST(NULL AS VARCHAR) AS structure, CAST(NULL AS VARCHAR) AS copy_number,
+        id IN (SELECT unnest(string_split(members, ',')) FROM chain) AS member FROM fx_ltr_elements
+    UNION ALL SELECT 'DANTE_LTR', 1, cls, cls, NULL, 'LTR_RT_TR', CAST(copy_number AS VARCHAR), false FROM (SELECT *, replace(replace(replace(final_classification, 'Ty1/copia', 'Ty1_copia'), 'Ty3/gypsy', 'Ty3_gypsy'), '|', '/') AS cls FROM chain)
+    UNION ALL SELECT CASE WHEN fid % 2 = 0 THEN 'TideCluster_default' ELSE 'TideCluster_short' END, 3, CASE WHEN fid % 31 = 0 THEN 'rDNA/45S_rDNA' WHEN trc = 'TRC_4' AND fid % 2 = 0 THEN 'rDNA/5S_rDNA' ELSE 'Satellite/TideCluster/' || trc END, trc, NULL, NULL, NULL, false FROM fx_trc
+    UNION ALL SELECT 'RepeatMasker', 5, classification, classification, NULL, NULL, NULL, false FROM fx_small) GROUP BY ALL""".replace("chain", """(WITH p AS (SELECT parent AS id, min({'s': start_pos, 'e': end_pos}) AS f, max({'s': start_pos, 'e': end_pos}) AS l FROM fx_ltr_parts GROUP BY parent),
+    o AS (SELECT *, lag(l) OVER w AS pl, lag(strand) OVER w AS ps, lag(final_classification) OVER w AS pc FROM fx_ltr_elements LEFT JOIN p USING (id) WHERE NOT starts_with(id, 'TE_partial') WINDOW w AS (PARTITION BY seqid ORDER BY start_pos, end_pos, id)),
+    f AS (SELECT *, CASE WHEN ps = strand AND pc = final_classification AND greatest(0, least(pl.e, f.e) - greatest(pl.s, f.s) + 1) / least(pl.e - pl.s + 1, f.e - f.s + 1) >= 0.5 THEN 0 ELSE 1 END AS n FROM o),
+    g AS (SELECT *, sum(n) OVER (PARTITION BY seqid ORDER BY start_pos, end_pos, id ROWS UNBOUNDED PRECEDING) AS c FROM f)
+    SELECT min(final_classification) AS final_classification, count(*) AS copy_number, string_agg(id, ',' ORDER BY start_pos, end_pos, id) AS members FROM g GROUP BY seqid, c HAVING count(*) >= 2)"""), "fx_ltr_elements", "fx_ltr_parts", "fx_trc", "fx_small")
+def tier_loaders(spark, sf):
+    def features(df, kind, **attrs):
+        pairs = F.map_filter(F.map_from_arrays(F.array(*map(F.lit, attrs)), F.array(*[a.cast("string") for a in attrs.values()])), lambda k, v: v.isNotNull())
+        return df.select("seqid", "start_pos", "end_pos", "strand", F.lit(kind).alias("type"), pairs.alias("attrs"))
+
+    elements = view(spark, sf, "fx_ltr_elements")
+    chains = pt.ltr_tandems(elements, view(spark, sf, "fx_ltr_parts"))
+    trc = view(spark, sf, "fx_trc").select("seqid", (F.col("s0") + 1).alias("start_pos"), F.col("e0").alias("end_pos"), "strand", "trc", "fid")
+    arrays = [features(trc.filter(f"fid % 2 = {i}"), "repeat_region", Name=F.col("trc"), rDNA_type=F.when(F.col("fid") % 31 == 0, "45S")) for i in (0, 1)]
+    rows, members = tl.all_tiers(
+        ltr=features(elements, "transposable_element", ID=F.col("id"), Final_Classification=F.col("final_classification")),
+        tandems=features(chains, "transposable_element", members=F.col("members"), Final_Classification=F.col("final_classification"), copy_number=F.col("copy_number")),
+        clusters=arrays[0], short_clusters=arrays[1], rdna=spark.createDataFrame([("TRC_4", "rDNA/5S_rDNA")], "trc string, class string"),
+        hits=features(view(spark, sf, "fx_small").withColumn("strand", F.lit("+")), "repeat_region", Name=F.col("classification")),
+    )
+    both = rows.withColumn("member", F.lit(False)).unionByName(members.withColumn("member", F.lit(True)))
+    return both.groupBy("source_tool", "source_tier", "classification", "name", "element_type", "structure", "copy_number", "member").agg(F.count(F.lit(1)).alias("n"))
 
 
 def entry(spark: SparkSession, sf: str) -> DataFrame:

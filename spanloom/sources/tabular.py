@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from spanloom.functions import labels
+
 GFF3 = "seqid string, source string, type string, start_pos long, end_pos long, score double, strand string, phase string, attrs map<string,string>"
 HITS_12 = "qseqid string, sseqid string, pident double, length long, mismatch long, gapopen long, qstart long, qend long, sstart long, send long, evalue double, bitscore double"
 HITS_11 = "qseqid string, sseqid string, pident double, length long, qstart long, qend long, evalue double, bitscore double, qlen long, slen long, qcovs double"
@@ -57,6 +64,97 @@ def read_fasta(spark: SparkSession, path: str, upper: bool = False) -> DataFrame
     return rows.select(header.alias("header"), F.regexp_extract(header, r"^(\S*)", 1).alias("name"), (F.upper(seq) if upper else seq).alias("seq"))
 
 
+def _is_gzip(spark: SparkSession, path: str) -> bool:
+    """Whether the first file of a path begins with the two bytes of a gzip stream."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [f.getPath() for f in files.globStatus(target) or [] if f.isFile()]
+    if not found:
+        return False
+    with_bytes = files.open(found[0])
+    try:
+        return (with_bytes.read(), with_bytes.read()) == (0x1F, 0x8B)
+    finally:
+        with_bytes.close()
+
+
+def _ordered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, split, line, value): lines with what orders them, file parts by their first byte and lines inside a part.
+
+    A gzip file without its usual ending is known by its first bytes and unpacked as a stream, one file in one task.
+    """
+    if _is_gzip(spark, path) and not path.endswith(".gz"):
+
+        def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for name, data in zip(batch.column("path").to_pylist(), batch.column("content")):
+                    unpack, rest, number = zlib.decompressobj(31), b"", 0
+                    view = memoryview(data.as_buffer())
+                    for k in range(0, len(view) + 1, 1 << 20):
+                        rest += unpack.decompress(view[k : k + (1 << 20)])
+                        *whole, rest = rest.split(b"\n")
+                        if k + (1 << 20) > len(view) and rest:
+                            whole, rest = [*whole, rest], b""
+                        if whole:
+                            text = [x.decode("utf-8", "replace") for x in whole]
+                            places = range(number, number + len(text))
+                            number += len(text)
+                            yield pa.RecordBatch.from_pydict({"file": [name] * len(text), "split": [0] * len(text), "line": list(places), "value": text})
+
+        files = spark.read.format("binaryFile").load(path).select("path", "content")
+        return files.mapInArrow(lines, "file string, split long, line long, value string")
+    rows = _lines(spark, path)
+    if "_metadata" not in str(rows.columns) and not rows.inputFiles():
+        return rows.select(F.lit("").alias("file"), F.lit(0).cast("long").alias("split"), F.lit(0).cast("long").alias("line"), "value")
+    return rows.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("line"), "value")
+
+
+def read_sequence_parts(spark: SparkSession, path: str, size: int = 1 << 20, upper: bool = False) -> DataFrame:
+    """(name, header, part, offset, seq): records in parts of ``size`` bases, however long a record is.
+
+    A name is the header up to its first blank. Lines are read by Spark's own file parts: a line belongs to the last
+    header before it, in its part or carried over from the parts before, and lies behind the bases that its record has
+    had so far, so no task holds a whole record. Packed files are known by their first bytes. A record without bases gives
+    no row.
+    """
+    rows = _ordered_lines(spark, path).withColumn("value", F.regexp_replace("value", r"\s+$", ""))
+    head = F.col("value").startswith(">")
+    rows = rows.select("file", "split", "line", "value", head.alias("_head"), F.when(head, 0).otherwise(F.length("value")).cast("long").alias("_size"))
+    own = W.partitionBy("file", "split").orderBy("line")
+    upto = own.rowsBetween(W.unboundedPreceding, 0)
+    rows = rows.withColumn("_title", F.last(F.when(F.col("_head"), F.struct("file", "split", "line", "value")), ignorenulls=True).over(upto))
+    rows = rows.withColumn("_sum", F.sum("_size").over(upto))
+    rows = rows.withColumn("_from", F.last(F.when(F.col("_head"), F.col("_sum")), ignorenulls=True).over(upto))
+    # One row for each file part: its last header and the bases behind it (all its bases where it has none).
+    ends = rows.groupBy("file", "split").agg(
+        F.max("_title").alias("_last"), F.max(F.when(F.col("_head"), F.col("_sum"))).alias("_mark"), F.max("_sum").alias("_total")
+    )
+    along = W.partitionBy("file").orderBy("split").rowsBetween(W.unboundedPreceding, -1)
+    tail = F.col("_total") - F.coalesce("_mark", F.lit(0))
+    ends = ends.withColumn("_tail", tail).withColumn("_before", F.sum("_tail").over(along))
+    ends = ends.withColumn("_open", F.last("_last", ignorenulls=True).over(along))
+    base = F.last(F.when(F.col("_last").isNotNull(), F.coalesce(F.col("_before"), F.lit(0))), ignorenulls=True).over(along)
+    ends = ends.withColumn("_carried", F.coalesce(F.col("_before"), F.lit(0)) - F.coalesce(base, F.lit(0)))
+    rows = rows.join(ends.select("file", "split", "_open", "_carried"), ["file", "split"]).filter("NOT _head AND _size > 0")
+    title = F.coalesce("_title", "_open")
+    begin = F.col("_sum") - F.col("_size") - F.coalesce("_from", F.lit(0)) + F.when(F.col("_title").isNull(), F.col("_carried")).otherwise(0)
+    lines = rows.select(title.alias("t"), begin.alias("b"), (F.upper("value") if upper else F.col("value")).alias("v")).filter("t IS NOT NULL")
+    spread = lines.withColumn("part", F.explode(F.sequence(F.floor(F.col("b") / size), F.floor((F.col("b") + F.length("v") - 1) / size))))
+    low = F.greatest(F.col("part") * size - F.col("b"), F.lit(0))
+    high = F.least((F.col("part") + 1) * size - F.col("b"), F.length("v"))
+    piece = F.substring(F.col("v"), (low + 1).cast("int"), (high - low).cast("int"))
+    parts = spread.groupBy("t", "part").agg(F.array_sort(F.collect_list(F.struct("b", piece.alias("s")))).alias("_all"))
+    header = F.substring(F.col("t.value"), 2, 1 << 30)
+    seq = F.array_join(F.transform("_all", lambda x: x["s"]), "")
+    return parts.select(F.regexp_extract(header, r"^(\S*)", 1).alias("name"), header.alias("header"), "part", (F.col("part") * size).alias("offset"), seq.alias("seq"))
+
+
+def part_lengths(parts: DataFrame) -> DataFrame:
+    """(seqid, length) from the rows of :func:`read_sequence_parts`."""
+    return parts.groupBy(F.col("name").alias("seqid")).agg(F.max(F.col("offset") + F.length("seq")).alias("length"))
+
+
 def read_lengths(spark: SparkSession, path: str) -> DataFrame:
     """(seqid, length) of an index file with five columns."""
     c = F.split("value", "\t")
@@ -96,11 +194,11 @@ def read_superfamilies(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_rdna(spark: SparkSession, path: str) -> DataFrame:
-    """(trc, class) of cluster types 45S and 5S; the first line of a cluster wins."""
+    """(trc, class) of cluster types 45S and 5S; the first line of a cluster, by file and place, wins."""
     c = F.split("value", "\t")
     kind = F.upper(F.trim(F.get(c, F.lit(1))))
     label = F.when(kind == "45S", "rDNA/45S_rDNA").when(kind == "5S", "rDNA/5S_rDNA")
-    rows = _lines(spark, path).select(F.trim(c[0]).alias("trc"), label.alias("class"), F.monotonically_increasing_id().alias("_i"))
+    rows = _ordered_lines(spark, path).select(F.trim(c[0]).alias("trc"), label.alias("class"), F.struct("file", "split", "line").alias("_i"))
     return rows.filter("class IS NOT NULL").groupBy("trc").agg(F.min_by("class", "_i").alias("class"))
 
 
@@ -109,3 +207,82 @@ def read_benchmarks(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.option("header", True).option("sep", "\t").option("nullValue", "-").csv(path)
     numbers = [F.col(c).try_cast("double").alias(c) if c != "h:m:s" else F.col(f"`{c}`") for c in rows.columns]
     return rows.select(*numbers, F.regexp_extract(F.input_file_name(), r"([^/]+?)(?:\.[^./]*)?$", 1).alias("rule")).orderBy(F.col("s").desc(), "rule")
+
+
+def _with_header(spark: SparkSession, path: str, required: tuple[str, ...], schema: str) -> DataFrame:
+    """A tab-separated table with a header line, as text columns; empty where the file or a column is missing."""
+    try:
+        rows = spark.read.option("header", True).option("sep", "\t").option("quote", "").csv(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
+            raise
+        return spark.createDataFrame([], schema)
+    return rows if set(required) <= set(rows.columns) else spark.createDataFrame([], schema)
+
+
+def read_monomer_sizes(spark: SparkSession, path: str) -> DataFrame:
+    """(trc, size) of every array; the modal size of a cluster follows from :func:`report.modal_monomer`."""
+    rows = _with_header(spark, path, ("TRC_ID", "monomer_size"), "TRC_ID string, monomer_size string")
+    size = F.col("monomer_size").try_cast("double").cast("long")
+    return rows.select(F.col("TRC_ID").alias("trc"), size.alias("size")).filter("trc IS NOT NULL AND size IS NOT NULL")
+
+
+def _by_place(spark: SparkSession, path: str, names: tuple[str, str], more: int = 0) -> DataFrame:
+    """The first columns of a tab-separated table whatever its header calls them; the header fails the cast of the second."""
+    c = F.split(F.regexp_replace("value", '"', ""), "\t")
+    rows = _lines(spark, path).filter(F.size(c) == 2 + more)
+    second = [F.get(c, F.lit(i + 1)).try_cast("double").alias(n) for i, n in enumerate(names[1:])]
+    return rows.select(F.get(c, F.lit(0)).alias(names[0]), *second).filter(F.col(names[1]).isNotNull())
+
+
+def read_element_counts(spark: SparkSession, path: str) -> DataFrame:
+    """(path, count) of a summary of elements by class, in the underscore dialect."""
+    rows = _by_place(spark, path, ("raw_name", "count"))
+    return rows.select(labels.canonicalise(F.col("raw_name"), F.lit("DANTE_TIR")).alias("path"), F.col("count").cast("long").alias("count"))
+
+
+def read_composition(spark: SparkSession, path: str) -> DataFrame:
+    """(type, bp, pct) of a table of repeat types."""
+    return _by_place(spark, path, ("type", "bp", "pct"), more=1)
+
+
+def read_vocabulary(spark: SparkSession, path: str) -> labels.Vocabulary:
+    """The controlled vocabulary of a settings file: class paths, special classes, buckets, aliases and prefixes.
+
+    The file is small. It has top-level sections whose entries are ``- value`` or ``key: value`` lines, indented by
+    two blanks; the prefixes are pairs of ``underscore`` and ``canonical`` anywhere below the dialects.
+    """
+    text = "\n".join(r["value"] for r in spark.read.option("wholetext", True).text(path).collect())
+    found: dict[str, list[tuple[str, str]]] = {}
+    section, flats, paths = "", [], []
+
+    def plain(value: str) -> str:
+        value = value.strip()
+        if value[:1] in "'\"" and value[:1]:
+            return value[1 : value.index(value[0], 1)]
+        return value.split(" #")[0].strip()
+
+    for line in text.splitlines():
+        if not line.strip() or line.lstrip().startswith("#"):
+            continue
+        if not line[0].isspace():
+            section = line.split(":")[0].strip()
+            continue
+        entry, depth = line.strip(), len(line) - len(line.lstrip())
+        key, _, value = entry.removeprefix("- ").partition(": ")
+        if section == "tool_dialects":
+            if key == "underscore":
+                flats.append(plain(value))
+            elif key == "canonical":
+                paths.append(plain(value))
+        elif entry.startswith("- "):
+            found.setdefault(section, []).append((plain(entry[2:]), ""))
+        elif depth == 2:
+            name, _, value = entry.partition(":") if not entry.startswith(("'", '"')) else (plain(entry), "", entry.partition(": ")[2])
+            found.setdefault(section, []).append((plain(name), plain(value)))
+    if "classifications" not in found:
+        raise ValueError(f"no section 'classifications' in {path}")
+    prefixes = sorted(zip(flats, paths), key=lambda x: -len(x[0]))
+    special = tuple(v or k for k, v in found.get("special_classes", []))
+    names = [tuple(k for k, _ in found.get(s, [])) for s in ("classifications", "aggregation_buckets")]
+    return labels.Vocabulary(names[0], special, names[1], tuple(found.get("leaf_aliases", [])), tuple(prefixes))

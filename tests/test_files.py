@@ -27,6 +27,31 @@ def test_fasta(spark, tmp_path):
     assert sorted(map(tuple, back.select("header", "seq").collect())) == sorted(map(tuple, df.collect()))
 
 
+def test_sequence_parts_over_many_file_parts(spark, tmp_path):
+    import gzip
+    import random
+
+    rnd = random.Random(3)
+    want, text = set(), ";head\nACGT\n"
+    for i in range(12):
+        seq = "".join(rnd.choice("ACGTN") for _ in range(rnd.choice([0, 1, 59, 60, 61, 700])))
+        text += f">s{i} some words\r\n" + "".join(seq[k : k + 60] + "\n" for k in range(0, len(seq), 60)) + "\n" * (i % 2)
+        want.update({(f"s{i}", f"s{i} some words", k // 50, k, seq[k : k + 50]) for k in range(0, len(seq), 50)})
+    (tmp_path / "a.fa").write_text(text)
+    (tmp_path / "packed.fa").write_bytes(gzip.compress(text.encode()))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("97", "400", before):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            assert set(map(tuple, tabular.read_sequence_parts(spark, str(tmp_path / "a.fa"), 50).collect())) == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert set(map(tuple, tabular.read_sequence_parts(spark, str(tmp_path / "packed.fa"), 50).collect())) == want
+    assert tabular.read_sequence_parts(spark, str(tmp_path / "none.fa"), 50).count() == 0
+    lengths = {r.seqid: r.length for r in tabular.part_lengths(tabular.read_sequence_parts(spark, str(tmp_path / "a.fa"), 50)).collect()}
+    assert lengths == {n: max(o + len(s) for m, _, _, o, s in want if m == n) for n, *_ in want}
+
+
 def test_tables(spark, tmp_path):
     (tmp_path / "h").write_text("q\ts\t99.5\t10\t0\t0\t20\t11\t5\t1\t1e-5\t50\nshort\trow\n")
     hit = tabular.read_hits(spark, str(tmp_path / "h")).collect()

@@ -13,8 +13,9 @@ from spanloom.plans import queries as plans
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-#: Without an oracle: iterative or sequential rules, tested in test_rules.py.
-EXEMPT = {"sf_array_filter", "containment_greedy", "dimer_setcover", "cross_subtype", "within_tier", "tier1_greedy", "tier_resolve", "contract_validate"}
+#: Alignment and line simplification, which SQL can't express; tested in test_rules.py.
+EXEMPT = {"align_nw", "prime_anchoring", "rdp"}
+
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 
@@ -42,4 +43,5 @@ def test_oracle(spark, duck, name):
     got = plans.QUERIES[name](spark, SF).toPandas()
     want = duck.execute(plans.ORACLES[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
+    assert len(want) or name == "contract_of_resolved"
     assert plain(got) == plain(want)
