@@ -101,8 +101,8 @@ class WordEncoder(JsonEncoder):
     memory of words is bounded and begun anew when full, so any vocabulary gives the same ids.
     """
 
-    #: Words kept by one worker process (about 300 bytes each).
-    KEPT = 300_000
+    #: Words kept by one worker process (about 500 bytes each).
+    KEPT = 120_000
 
     def __init__(self, path: str):
         super().__init__(path)
