@@ -73,8 +73,13 @@ def assign_shard(key: Column, tree: list[Shard]) -> Column:
     region = _least_draw(
         key, [(f"region/{r}", F.lit(sum(weight(k) for k in regions[r].values()))) for r in names]
     )
+    # Regions of one shard are looked up together, so the draw among regions is written out few times.
+    single = [next(iter(regions[r].values()))[0].shard if sum(map(len, regions[r].values())) == 1 else None for r in names]
+    alone = F.element_at(F.array(*[F.lit(s).cast("int") for s in single]), region + 1)
     chosen = None
     for i, r in enumerate(names):
+        if single[i] is not None:
+            continue
         racks = list(regions[r])
         rack = _least_draw(key, [(f"rack/{r}/{k}", F.lit(weight(regions[r][k]))) for k in racks])
         leaf = None
@@ -84,7 +89,9 @@ def assign_shard(key: Column, tree: list[Shard]) -> Column:
             number = F.element_at(F.array(*[F.lit(x.shard) for x in leaves]), pick + 1)
             leaf = F.when(rack == j, number) if leaf is None else leaf.when(rack == j, number)
         chosen = F.when(region == i, leaf) if chosen is None else chosen.when(region == i, leaf)
-    return chosen
+    if chosen is None:
+        return alone
+    return chosen if all(s is None for s in single) else chosen.otherwise(alone)
 
 
 def shard_documents(

@@ -70,3 +70,21 @@ def test_stages_take_empty_tables_and_nulls(spark, documents, odd):
         assert stage(spark, docs.limit(0), SF).count() == 0
         assert stage(spark, docs, SF).columns == docs.columns
     assert cp.pack(spark, docs, SF).count() >= len(odd) + 2
+
+
+def test_stages_take_clashing_columns_and_repeated_ids(spark):
+    """Columns named as the code names its own; rows that repeat an id, with the same text and with another."""
+    names = "row place bucket digest rank _part bands component key n a b tokens label quality keep_id item_id".split()
+    text = "a plain and calm text of quite some words that says nothing at all about anything"
+    rows = [(1, text), (1, text), (2, text), (3, text + " indeed"), (4, "other words entirely stand here"), (4, "and here other ones still"), (None, text), (None, "no id at all but some words")]
+    docs = spark.createDataFrame([(*r, *(["x"] * len(names))) for r in rows], "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    kept = {}
+    for name, stage in cp.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns
+        kept[name] = sorted(((r.doc_id, r.text) for r in out.collect()), key=repr)
+    assert kept["exact dedup"] == sorted([rows[0], rows[1], *rows[3:6], rows[7]], key=repr)
+    # The repeated row and the row without an id stay here too; documents 2 and 3 are near copies of 1.
+    assert kept["near dedup"] == sorted([rows[0], rows[1], *rows[4:]], key=repr)
+    assert kept["benchmark decontamination"] == sorted(rows, key=repr)
+    assert cp.pack(spark, docs, SF).count() == len(rows)
