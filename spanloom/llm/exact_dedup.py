@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanloom.llm.common import BLANK, mixed, stored, whole_text
+from spanloom.llm.common import BLANK, dropped, mixed, stored, whole_text
 
 #: Bits per remaining key in each level of the perfect hash.
 GAMMA = 2.0
@@ -169,7 +169,9 @@ def exact_groups(
     middle = (low + high) // 2 if low is not None else 0
     old = F.coalesce(F.col("doc_id") <= F.lit(middle), F.lit(True))
     index = stored(spark, build_index(digests.filter(old), buckets), "history")
-    return digests, stored(spark, match(index, digests.filter(~old), buckets), "groups")
+    groups = stored(spark, match(index, digests.filter(~old), buckets), "groups")
+    dropped(spark, index)
+    return digests, groups
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame) -> DataFrame:

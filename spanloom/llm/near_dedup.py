@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanloom.llm.common import mixed, shingle_hashes, slices, stored
+from spanloom.llm.common import dropped, mixed, shingle_hashes, slices, stored
 from spanloom.llm.graph import components
 
 #: Members of a centre that one task compares, and bytes of their differences.
@@ -322,11 +322,11 @@ def near_groups(
     # Rows that repeat an id with different texts are one node, whose set is the one of smallest key.
     groups = stored(spark, groups, "classes")
     lead = groups.filter("rep IS NOT NULL").groupBy("rep").agg(F.min(F.struct(*key)).alias("k")).select("rep", "k.*", F.lit(True).alias("lead"))
-    groups = groups.join(lead, ["rep", *key], "left")
+    led = stored(spark, groups.join(lead, ["rep", *key], "left"), "classes")
     # Plain scans on both sides, so that adaptive execution splits a class of very many copies.
     members = stored(
         spark,
-        sketch.join(stored(spark, groups, "classes"), key, "left").select(
+        sketch.join(led, key, "left").select(
             "doc_id",
             *key,
             F.coalesce("rep", "doc_id").alias("rep"),
@@ -334,6 +334,8 @@ def near_groups(
         ),
         "members",
     )
+    for done in (sketch, groups, led):
+        dropped(spark, done)
     spots = members.filter("bands IS NOT NULL").select(F.col("rep").alias("b"), F.explode("bands").alias("key"))
     buckets = spots.groupBy("key").agg(F.min("b").alias("a"), F.max("b").alias("_last")).filter("a < _last").select("key", "a")
     buckets = stored(spark, buckets, "buckets")
@@ -348,7 +350,10 @@ def near_groups(
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     texts = shingle_sets(texts.join(needed.select("doc_id"), "doc_id", "left_semi"), words)
     sets = texts.join(needed, ["doc_id", "set_a", "set_b"], "left_semi").select(F.col("doc_id").alias("b"), "tokens")
-    stars = stored(spark, compared(dealt.join(sets, "b"), percent), "compared")
+    found = stored(spark, compared(dealt.join(sets, "b"), percent), "compared")
+    for done in (buckets, stars, dealt):
+        dropped(spark, done)
+    stars = found
 
     links = stars.filter("linked").select("a", "b")
     labels = components(spark, links)
