@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from spanloom.operators.scratch import settled
+
 #: Bases in a bin of one-row-per-bin work; a feature longer than that is present in several bins.
 BIN = 1 << 17
 #: Bases in a bin of pairwise work: candidates are square in a bin's rows, so it is near the width of features.
@@ -147,8 +149,9 @@ def trim(
     bases when that row was trimmed; trimmed rows lose their strand. ``reduced`` says that
     ``higher`` already holds disjoint regions.
     """
-    high = higher.select("seqid", "start_pos", "end_pos") if reduced else reduce_intervals(higher)
-    hit = overlapping(lower, high, key, size)
+    spark = lower.sparkSession
+    high = higher.select("seqid", "start_pos", "end_pos") if reduced else settled(spark, reduce_intervals(higher))
+    hit = settled(spark, overlapping(lower, high, key, size))  # read three times below
     seqids = lower.join(hit, key, "left_semi").select("seqid").distinct()
     untouched = lower.join(seqids, "seqid", "left_anti")
     touched = lower.join(seqids, "seqid", "left_semi")
