@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spanloom.llm import warc
+from spanloom.llm import divergence, warc
+from spanloom.llm.alignment import align_tokenizers
 from spanloom.llm.common import table
 from spanloom.llm.decontaminate import leaks
 from spanloom.llm.exact_dedup import exact_dedup
 from spanloom.llm.near_dedup import near_dedup
+from spanloom.llm.online_packing import pack_online
 from spanloom.llm.packing import pack_documents
 from spanloom.llm.pii import find_pii
 from spanloom.llm.quality import score_documents
@@ -61,8 +63,23 @@ def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derivatives(responses(table(spark, sf_dir, "pages")))
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(spark, table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op12_online_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_online(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(spark, table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_suffix_array_dedup, op2_exact_dedup, op3_pii, op4_benchmark_decontamination, op5_quality_classifier, op6_best_fit_packing, op7_sharding, op8_token_counts, op9_near_dedup, op10_warc_derivatives]
+    found = [
+        op1_suffix_array_dedup, op2_exact_dedup, op3_pii, op4_benchmark_decontamination, op5_quality_classifier, op6_best_fit_packing, op7_sharding,
+        op8_token_counts, op9_near_dedup, op10_warc_derivatives, op11_tokenizer_alignment, op12_online_packing, op13_source_divergence,
+    ]
     return {f.__name__: f for f in found}
 
 
@@ -118,4 +135,33 @@ ORACLE_SQL: dict[str, str] = {
                '2024-01-01T00:00:00Z' AS date, content_type, strlen(block) AS content_length, block,
                'sha256:' || sha256(block) AS block_digest, payload_digest AS source_payload_digest, concurrent_to
         FROM derived""",
+    "op13_source_divergence": rf"""
+        WITH d AS (
+            SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   regexp_extract_all(translate(coalesce(text, ''), '{divergence.UPPER}', '{divergence.LOWER}'), '{divergence.TERM}') AS terms
+            FROM documents),
+        t AS (SELECT row, lang, source, unnest(terms) AS term FROM d),
+        kept AS (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT row) >= 30),
+        v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+        n AS (SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY lang, source, term),
+        groups AS (SELECT DISTINCT lang, source FROM d),
+        sums AS (SELECT lang, source, sum(n)::HUGEINT AS total FROM n GROUP BY lang, source),
+        q AS (
+            SELECT lang, term, 1 + 1000000000::HUGEINT * (sum(n) + 5) // (any_value(total) + 5 * any_value(v)) AS q
+            FROM n JOIN v USING (lang) JOIN (SELECT lang, sum(total) AS total FROM sums GROUP BY lang) USING (lang) GROUP BY lang, term),
+        p AS (
+            SELECT g.lang, g.source, k.term, coalesce(n.n, 0) AS n, q.q,
+                   1 + 1000000000::HUGEINT * (coalesce(n.n, 0) + 5) // (coalesce(sums.total, 0) + 5 * v.v) AS p
+            FROM groups AS g JOIN kept AS k USING (lang) JOIN v USING (lang) JOIN q ON q.lang = g.lang AND q.term = k.term
+            LEFT JOIN sums ON sums.lang = g.lang AND sums.source = g.source
+            LEFT JOIN n ON n.lang = g.lang AND n.source = g.source AND n.term = k.term),
+        f AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p AS a JOIN p AS b ON a.lang = b.lang AND a.term = b.term GROUP BY ALL),
+        found AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0)::BIGINT AS value
+            FROM groups AS a JOIN groups AS b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+            UNION ALL
+            SELECT lang, source, 'term', term, (p - q)::BIGINT FROM p WHERE n > 0 AND p > q),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM found)
+        SELECT * FROM ranked WHERE part = 'pair' OR rank <= 50""",
 }

@@ -174,9 +174,112 @@ class WordEncoder(JsonEncoder):
         return ids, np.concatenate(([0], np.cumsum(per_text)))
 
 
+#: Longer texts are encoded in parts.
+LONG_TEXT = 1 << 20
+_BETWEEN_WORDS = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
+
+
+def parts_of(text: str, limit: int | None = None) -> list[str]:
+    """A long text in parts of about ``limit`` characters, each but the first from a space between letters on.
+
+    Splitters take such a space with the word after it, so no token goes across. A text without
+    such a space stays whole.
+    """
+    limit, parts, begin = limit or LONG_TEXT, [], 0
+    while len(text) - begin > limit and (cut := _BETWEEN_WORDS.search(text, begin + limit)):
+        parts.append(text[begin : cut.start()])
+        begin = cut.start()
+    return [*parts, text[begin:]]
+
+
+class ByteLevelEncoder(JsonEncoder):
+    """A byte-level tokenizer file, encoded by the same ranks and splitter in a faster library.
+
+    Texts with characters outside long-settled Latin and punctuation blocks, where the two libraries'
+    tables of letters might differ, are left to the file's own library.
+    """
+
+    _ODD = re.compile("[^\x00-\u024f\u2010-\u2027\u2030-\u205e]")
+
+    def __init__(self, path: str):
+        import public_tokenizers
+        import tiktoken
+
+        super().__init__(path)
+        ranks = {t: i for i, t in enumerate(self.token_bytes()) if t is not None}
+        self.encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    @staticmethod
+    def fits(path: str) -> bool:
+        """Whether a file splits in the usual way, changes nothing else, and merges in the order of its ids."""
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        split, model = spec.get("pre_tokenizer") or {}, spec.get("model") or {}
+        plain = not spec.get("normalizer") and (split.get("type"), split.get("use_regex"), split.get("add_prefix_space")) == ("ByteLevel", True, False)
+        merges = [m if isinstance(m, str) else "".join(m) for m in model.get("merges", [])]
+        made = [model["vocab"].get(m.replace(" ", "")) for m in merges]
+        return plain and bool(made) and made == list(range(256, 256 + len(made)))
+
+    def token_bytes(self) -> list[bytes | None]:
+        """The bytes of every id; None for special ones."""
+        octet = {c: b for b, c in enumerate(_byte_letters())}
+        special = self.tokenizer.get_added_tokens_decoder()
+        tokens = (None if i in special else self.tokenizer.id_to_token(i) for i in range(self.tokenizer.get_vocab_size()))
+        return [None if t is None else bytes(octet[c] for c in t) for t in tokens]
+
+    def encode(self, column: pa.Array, lead: str = "") -> tuple[np.ndarray, np.ndarray]:
+        """As :meth:`RankEncoder.encode`; ``lead`` is put before each text."""
+        found = []
+        for text in column.to_pylist():
+            parts = parts_of(lead + (text or ""))
+            found.append([i for p in parts for i in (self.ids([p])[0] if self._ODD.search(p) else self.encoding.encode_ordinary(p))])
+        return _joined(found)
+
+
+class PieceEncoder:
+    """A sentencepiece model, which itself adds a space before a text that isn't empty."""
+
+    MARK = "\u2581"
+
+    def __init__(self, path: str):
+        import sentencepiece
+
+        self.model = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
+        probe = "\ufb01  \u2460 a "  # stays as it is where a model normalises nothing
+        # Without a mark inside pieces none goes across the place before a space.
+        self.apart = self.model.normalize(probe) == (" " + probe).replace(" ", self.MARK) and not any(self.MARK in p.lstrip(self.MARK) for p in self.pieces)
+
+    def token_bytes(self) -> list[bytes | None]:
+        """The bytes of every id; None for control ids."""
+        byte = re.compile(r"<0x([0-9A-F]{2})>")
+        out: list[bytes | None] = []
+        for i, piece in enumerate(self.pieces):
+            if self.model.is_control(i) or self.model.is_unknown(i):
+                out.append(None)
+            elif self.model.is_byte(i):
+                out.append(bytes([int(byte.fullmatch(piece)[1], 16)]))
+            else:
+                out.append(piece.replace(self.MARK, " ").encode())
+        return out
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        found = []
+        for text in column.to_pylist():
+            # The space at the head of each later part is the one that the model adds.
+            first, *rest = parts_of(text or "") if self.apart else [text or ""]
+            ids = self.model.encode([first, *(p[1:] for p in rest)], num_threads=1)
+            found.append(list(chain.from_iterable(ids)))
+        return _joined(found)
+
+
 @lru_cache(maxsize=2)
-def load_encoder(path: str) -> RankEncoder | JsonEncoder:
+def load_encoder(path: str) -> RankEncoder | JsonEncoder | PieceEncoder:
     """The encoder of a vocabulary file, one for each worker process and file."""
     if path.endswith(".tiktoken"):
         return RankEncoder(path)
+    if path.endswith(".model"):
+        return PieceEncoder(path)
+    if ByteLevelEncoder.fits(path):
+        return ByteLevelEncoder(path)
     return WordEncoder(path) if WordEncoder.fits(path) else JsonEncoder(path)
