@@ -209,3 +209,8 @@ def good_domain(identity: Column, similarity: Column, length: Column, interrupti
     i, s, n, r = values
     real = ~(F.isnan(i) | F.isnan(s) | F.isnan(n) | F.isnan(r))
     return F.coalesce(real & (i >= 0.35) & (s >= 0.45) & (r <= 3) & n.between(0.8, 1.2), F.lit(False))
+
+
+def group_id(label: Column, number: Column) -> Column:
+    """Id of the ``number``-th fallback element of a subtype."""
+    return F.concat_ws("_", sanitised(label), number.cast("string"), F.lit("partial"))

@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from spanloom.operators.scratch import settled
+from spanloom.operators.sweep import SWEEP_BIN, disjoined, uncovered
 
 #: Bases in a bin of one-row-per-bin work; a feature longer than that is present in several bins.
 BIN = 1 << 17
@@ -129,17 +130,13 @@ def segments(df: DataFrame, keys: Sequence[str] = ("seqid",), size: int = PAIR_B
     return points.select(*keys, F.col("pos").alias("start_pos"), end.alias("end_pos")).filter("end_pos IS NOT NULL")
 
 
-def disjoin(df: DataFrame, key: str, size: int = PAIR_BIN) -> DataFrame:
+def disjoin(df: DataFrame, key: str, size: int = SWEEP_BIN) -> DataFrame:
     """(seqid, start_pos, end_pos, members, depth): atomic segments with the sorted keys that cover them."""
-    rows = df.select(F.col(key).alias("k"), "seqid", "start_pos", "end_pos")
-    pairs = overlap_join(segments(rows, size=size), rows, size, within=True)
-    members = F.array_sort(F.collect_list("k_b"))
-    out = pairs.groupBy(F.col("seqid_a").alias("seqid"), F.col("start_pos_a").alias("start_pos"), F.col("end_pos_a").alias("end_pos"))
-    return out.agg(members.alias("members"), F.count(F.lit(1)).alias("depth"))
+    return disjoined(df, key, size=size)
 
 
 def trim(
-    lower: DataFrame, higher: DataFrame, key: str, min_len: int = 50, size: int = PAIR_BIN, reduced: bool = False
+    lower: DataFrame, higher: DataFrame, key: str, min_len: int = 50, size: int = SWEEP_BIN, reduced: bool = False
 ) -> DataFrame:
     """``lower`` without what ``higher`` covers, cut at all borders, columns of the first source.
 
@@ -147,26 +144,20 @@ def trim(
     are. Elsewhere the pieces come from the disjoint segments of lower and higher rows, take the
     columns of the covering lower row with the smallest key, and are dropped under ``min_len``
     bases when that row was trimmed; trimmed rows lose their strand. ``reduced`` says that
-    ``higher`` already holds disjoint regions.
+    ``higher`` already holds disjoint regions. Rows with equal keys count as one.
     """
     spark = lower.sparkSession
     high = higher.select("seqid", "start_pos", "end_pos") if reduced else settled(spark, reduce_intervals(higher))
-    hit = settled(spark, overlapping(lower, high, key, size))  # read three times below
-    seqids = lower.join(hit, key, "left_semi").select("seqid").distinct()
-    untouched = lower.join(seqids, "seqid", "left_anti")
-    touched = lower.join(seqids, "seqid", "left_semi")
-    low = touched.select(F.col(key).alias("k"), "seqid", "start_pos", "end_pos", F.lit(False).alias("_high"))
-    every = low.unionByName(high.select(F.lit(None).cast(low.schema["k"].dataType).alias("k"), "seqid", "start_pos", "end_pos", F.lit(True).alias("_high")))
-    pairs = overlap_join(segments(every, size=size), every, size, within=True)
-    pieces = pairs.groupBy(F.col("seqid_a").alias("seqid"), F.col("start_pos_a").alias("start_pos"), F.col("end_pos_a").alias("end_pos"))
-    pieces = pieces.agg(F.min("k_b").alias(key), F.max("_high_b").alias("_covered")).filter("NOT _covered").drop("_covered")
-    columns = [c for c in lower.columns if c not in ("seqid", "start_pos", "end_pos")]
-    pieces = pieces.join(touched.select(*columns), key).join(hit.withColumn("_trimmed", F.lit(True)), key, "left")
-    cut = F.coalesce("_trimmed", F.lit(False))
-    pieces = pieces.filter(~cut | (F.col("end_pos") - F.col("start_pos") + 1 >= min_len))
+    hit = settled(spark, overlapping(lower, high, key))  # read twice below
+    marked = lower.join(hit.withColumn("_trimmed", F.lit(True)), key, "left").withColumn("_trimmed", F.coalesce("_trimmed", F.lit(False)))
+    marked = settled(spark, marked)
+    seqids = marked.filter("_trimmed").select("seqid").distinct()
+    untouched = marked.join(seqids, "seqid", "left_anti")
+    found = uncovered(marked.join(seqids, "seqid", "left_semi"), high.join(seqids, "seqid", "left_semi"), key, size)
+    found = found.filter(~F.col("_trimmed") | (F.col("end_pos") - F.col("start_pos") + 1 >= min_len))
     if "strand" in lower.columns:
-        pieces = pieces.withColumn("strand", F.when(cut, F.lit("*")).otherwise(F.col("strand")))
-    return pieces.select(*lower.columns).unionByName(untouched)
+        found = found.withColumn("strand", F.when(F.col("_trimmed"), F.lit("*")).otherwise(F.col("strand")))
+    return found.select(*lower.columns).unionByName(untouched.select(*lower.columns))
 
 
 def pieces(df: DataFrame, holes: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -19,29 +19,63 @@ def member_split(elements: DataFrame, containers: DataFrame) -> DataFrame:
     return joined.withColumn("member", F.col("_m").isNotNull()).drop("_m")
 
 
-def exactly_one_match(parents: DataFrame, children: DataFrame, candidates: DataFrame) -> DataFrame:
+OUTCOMES = ("has_child", "none", "several", "unparseable", "class_differs", "taken")
+
+
+def exactly_one_match(
+    parents: DataFrame, children: DataFrame, candidates: DataFrame, parent_source: str = "DANTE_TIR", candidate_source: str = "DANTE"
+) -> DataFrame:
     """(fid, outcome, candidate): which parent takes a candidate that lies inside it on its strand.
 
-    A parent takes one only when it has no child yet, exactly one candidate lies within and the classes are
-    equal; the outcome names what decided.
+    A parent takes one only when it has no child yet, exactly one candidate lies within, and the classes, each made
+    canonical by the rules of its source, are equal. The outcome names what decided; ``unparseable`` is a class
+    that is null or empty or that its source's rules can't read. A parent without a strand takes from both.
     """
     pairs = iv.overlap_join(candidates, parents, within=True)
-    same = F.col("strand_b").isin("+", "-") & (F.col("strand_a") != F.col("strand_b"))
-    pairs = pairs.filter(~same)
-    found = pairs.groupBy(F.col("fid_b").alias("fid")).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("fid_a").alias("_one"), F.min("classification_a").alias("_class")
+    other = F.col("strand_b").isin("+", "-") & ~F.col("strand_a").eqNullSafe(F.col("strand_b"))
+    found = pairs.filter(~other).groupBy(F.col("fid_b").alias("fid")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min_by(F.struct("fid_a", "classification_a"), "fid_a").alias("_one")
     )
     has = children.select(F.col("parent").alias("fid")).distinct().withColumn("_has", F.lit(True))
     rows = parents.join(found, "fid", "left").join(has, "fid", "left")
+    own = labels.canonicalise(F.col("classification"), F.lit(parent_source))
+    its = labels.canonicalise(F.col("_one.classification_a"), F.lit(candidate_source))
     outcome = (
         F.when(F.coalesce("_has", F.lit(False)), "has_child")
         .when(F.col("_n").isNull(), "none")
         .when(F.col("_n") > 1, "several")
-        .when(F.col("_class") != F.col("classification"), "class_differs")
-        .otherwise("taken")
+        .when(own.isNull() | its.isNull(), "unparseable")
+        .when(own == its, "taken")
+        .otherwise("class_differs")
     )
     rows = rows.withColumn("outcome", outcome)
-    return rows.select("fid", "outcome", F.when(F.col("outcome") == "taken", F.col("_one")).alias("candidate"))
+    return rows.select("fid", "outcome", F.when(F.col("outcome") == "taken", F.col("_one.fid_a")).alias("candidate"))
+
+
+def outcome_counts(matches: DataFrame, name: str = "enrichment") -> tuple[DataFrame, Observation]:
+    """``matches`` of :func:`exactly_one_match` and what counts them while they pass, without a job of its own.
+
+    Counts: total, already (with a child), injected, zero (no candidate), anomalies (all else).
+    """
+    seen = Observation(name)
+    is_ = lambda *names: F.count_if(F.col("outcome").isin(*names))
+    counted = matches.observe(
+        seen, F.count(F.lit(1)).alias("total"), is_("has_child").alias("already"), is_("taken").alias("injected"), is_("none").alias("zero"),
+        is_("several", "unparseable", "class_differs").alias("anomalies"),
+    )
+    return counted, seen
+
+
+def injected_children(matches: DataFrame, parents: DataFrame, candidates: DataFrame, note: str = "DANTE_TIR_enriched", attrs: str = "attrs") -> DataFrame:
+    """The candidates that were taken, as child rows: their own columns, with Parent and Source in their attributes.
+
+    ``parents`` (fid, id) name the parents; a former Parent of the candidate gives way.
+    """
+    taken = matches.filter("outcome = 'taken'").select("fid", "candidate").join(parents.select("fid", F.col("id").cast("string").alias("_parent")), "fid")
+    rows = candidates.join(taken.select(F.col("candidate").alias("fid"), "_parent"), "fid")
+    kept = F.map_filter(F.coalesce(F.col(attrs), F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))), lambda k, v: ~k.isin("Parent", "Source"))
+    added = F.create_map(F.lit("Parent"), F.col("_parent"), F.lit("Source"), F.lit(note))
+    return rows.withColumn(attrs, F.map_concat(kept, added)).drop("_parent")
 
 
 def merge_fallback(primary: DataFrame, fallback: DataFrame, children: DataFrame, source: str) -> DataFrame:

@@ -107,6 +107,17 @@ def placed(spark: SparkSession, df: DataFrame, order: Sequence[str], name: str =
     return rows.withColumn(name, (F.col(name) + F.col("_before")).cast("long")).drop("_range", "_before")
 
 
+def totalled(spark: SparkSession, df: DataFrame, order: Sequence[str | Column], value: str, name: str) -> DataFrame:
+    """``df`` with the sum ``name`` of ``value`` over all rows before each one in a total order, by ranges as :func:`placed`."""
+    rows = settled(spark, df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    sums = rows.groupBy("_range").agg(F.sum(value).alias("_sum"))
+    before = F.sum("_sum").over(W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1))  # one row a range
+    inside = F.sum(value).over(W.partitionBy("_range").orderBy(*order).rowsBetween(W.unboundedPreceding, -1))
+    rows = rows.withColumn("_own", inside).join(sums.select("_range", before.alias("_before")), "_range")
+    zero = F.lit(0).cast("long")
+    return rows.withColumn(name, F.coalesce("_own", zero) + F.coalesce("_before", zero)).drop("_range", "_own", "_before")
+
+
 def placed_within(spark: SparkSession, df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "place") -> DataFrame:
     """As :func:`placed`, counted anew for each value of the keys."""
     keys = list(keys)

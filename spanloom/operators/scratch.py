@@ -28,3 +28,12 @@ def settled(spark: SparkSession, df: DataFrame) -> DataFrame:
     path = folder(spark, "settled")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def dropped(spark: SparkSession, df: DataFrame) -> None:
+    """Delete the files of a table made by :func:`settled` that no later plan reads."""
+    conf, jvm = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm
+    for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if "/settled-" in name:
+            path = jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(conf).delete(path, True)

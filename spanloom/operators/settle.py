@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanloom.operators.scratch import settled
+from spanloom.operators.scratch import dropped, settled
 
 
 def kept_greedily(spark: SparkSession, nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -20,11 +20,15 @@ def kept_greedily(spark: SparkSession, nodes: DataFrame, edges: DataFrame) -> Da
     state = nodes.select("id").distinct().join(held.withColumn("_h", F.lit(True)), "id", "left")
     state = settled(spark, state.select("id", F.when(F.col("_h").isNull(), True).alias("kept")))
     while state.filter("kept IS NULL").limit(1).count():
+        before = state
         over = edges.join(state.select(F.col("id").alias("sid"), "kept"), "sid")  # a partner that is no node counts for nothing
         over = over.groupBy(F.col("qid").alias("id")).agg(F.bool_or(F.coalesce("kept", F.lit(False))).alias("_in"), F.bool_or(F.col("kept").isNull()).alias("_open"))
         state = state.join(over, "id", "left").select(
             "id", F.coalesce("kept", F.when(F.col("_in"), False), F.when(~F.coalesce("_open", F.lit(False)), True)).alias("kept")
         )
         state = settled(spark, state)
-        edges = settled(spark, edges.join(state.filter("kept IS NULL").select(F.col("id").alias("qid")), "qid", "left_semi"))
+        fewer = settled(spark, edges.join(state.filter("kept IS NULL").select(F.col("id").alias("qid")), "qid", "left_semi"))
+        for done in (edges, before):
+            dropped(spark, done)
+        edges = fewer
     return state

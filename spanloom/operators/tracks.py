@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from spanloom.operators.intervals import clipped, reduce_intervals
-from spanloom.operators.ordered import halo, neighbour, running
+from spanloom.operators.ordered import halo, neighbour, running, totalled
 
 
 def density(df: DataFrame, lengths: DataFrame, step: int) -> DataFrame:
@@ -64,8 +64,7 @@ def summed(tracks: DataFrame) -> DataFrame:
     return tracks.groupBy("seqid", "start_pos", "end_pos").agg(F.round(F.least(F.lit(1.0), F.sum("score")), 6).alias("score"))
 
 
-def axis(lengths: DataFrame) -> DataFrame:
-    """Sequences side by side, longest first: offset and midpoint in Mb."""
-    order = W.orderBy(F.col("length").desc(), "seqid")
-    before = F.coalesce(F.sum("length").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    return lengths.select("seqid", "length", before.alias("offset"), F.round((before + F.col("length") / 2) / 1e6, 3).alias("mid_mb"))
+def axis(spark: SparkSession, lengths: DataFrame) -> DataFrame:
+    """Sequences side by side, longest first: offset and midpoint in Mb; dealt by ranges of the order."""
+    rows = totalled(spark, lengths, [F.col("length").desc(), F.col("seqid")], "length", "offset")
+    return rows.select("seqid", "length", "offset", F.round((F.col("offset") + F.col("length") / 2) / 1e6, 3).alias("mid_mb"))

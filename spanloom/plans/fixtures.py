@@ -97,7 +97,16 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                concat(s, repeat('N', CAST(5 + doc_id % 20 AS INT)), substring(s, 1, 50)) AS seq
         FROM (SELECT doc_id, translate(text, 'abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ', 'ACGTACGTACGTACGTACGTACGTACACGTACGTACGTACGTACGTACGTAC') AS s FROM documents) d
         JOIN fx_class c ON c.k = CAST(doc_id % 12 AS INT)"""),
-    "fx_clusters": ((), "SELECT c_nationkey * 10 + c_custkey % 10 AS rep, c_custkey AS member FROM customer"),
+    # Elements and candidates of orders: classes in the dialect of their tool, some missing; strands of both kinds and none.
+    "fx_tir": (("fx_small",), """
+        SELECT fid, seqid, start_pos, end_pos, CASE fid % 5 WHEN 0 THEN '.' WHEN 1 THEN '-' ELSE '+' END AS strand,
+               CASE fid % 16 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'Class_II_Subclass_1_TIR_MITE' ELSE 'Class_II_Subclass_1_TIR_hAT' END AS classification
+        FROM fx_small WHERE source_tier > 2"""),
+    "fx_tpase": (("fx_small",), """
+        SELECT fid, seqid, start_pos + 5 AS start_pos, start_pos + 14 AS end_pos, CASE WHEN fid % 3 = 0 THEN '-' ELSE '+' END AS strand,
+               CASE fid % 14 WHEN 0 THEN NULL WHEN 1 THEN 'Class_II|Subclass_1|TIR|MITE' ELSE 'Class_II|Subclass_1|TIR|hAT' END AS classification
+        FROM fx_small WHERE fid % 2 = 0"""),
+    "fx_clusters": ((), "SELECT c_nationkey * 10 + c_custkey % 10 AS rep, o_orderkey AS member FROM customer JOIN orders ON c_custkey = o_custkey"),
 }
 
 

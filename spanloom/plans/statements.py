@@ -140,7 +140,7 @@ def tier_resolve(rows: str, evidence: str, members: str, levels: int) -> str:
         "short AS (SELECT * FROM open3 WHERE source_tool = 'TideCluster_short')", trim("t3s", "short", "p3"),
         "p4 AS MATERIALIZED (SELECT * FROM p3 UNION ALL SELECT * FROM t3s)",
         "r4 AS MATERIALIZED (SELECT * FROM r WHERE source_tool = 'TideCluster_RM')",
-        f"r4y AS MATERIALIZED (SELECT * FROM r4 WHERE fid IN {overlapping('r4', evidence)})",
+        f"r4y AS MATERIALIZED (SELECT * FROM r4 WHERE fid IN {overlapping('r4', evidence)} OR seqid NOT IN (SELECT seqid FROM {evidence}))",
         "r4n AS MATERIALIZED (SELECT * FROM r4 WHERE fid NOT IN (SELECT fid FROM r4y))",
         trim("t4a", "r4y", "p4"), within_tier("t4", "t4a"), "p5 AS MATERIALIZED (SELECT * FROM p4 UNION ALL SELECT * FROM t4)",
         "simple AS MATERIALIZED (SELECT * FROM r WHERE source_tool = 'RepeatMasker' AND regexp_matches(classification, '^(Simple_repeat|Low_complexity)'))",

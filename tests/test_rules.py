@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from spanloom.operators import hits as ht
 from spanloom.operators import intervals as iv
-from spanloom.operators import kernels as kn
 from spanloom.operators import patterns as pt
 from spanloom.operators import resolve as rs
 
@@ -58,6 +57,10 @@ def test_longest_first(spark):
                 want.append((r[0], r[1], a, b))
                 own.update(range(a, b + 1))
     assert sorted(got) == sorted(want)
+    twice = df.unionByName(df.filter("fid % 3 = 0"))
+    for island in (0, 5):
+        again = rs.longest_first(spark, twice, 50, island).select("fid", "seqid", "start_pos", "end_pos").collect()
+        assert sorted(map(tuple, again)) == sorted(want)
 
 
 def test_within_tier_covers_the_same_bases_once(spark):
@@ -170,37 +173,3 @@ def test_smoothing_across_blocks(spark):
 
     rows = od.halo(df, ["k"], "place", 4, 5, block=6).withColumn("s", F.sum("place").over(W.partitionBy("k", "_block").orderBy("place").rowsBetween(-4, 5))).filter("_own")
     assert sorted((r.place, r.s) for r in rows.collect()) == [(i, sum(range(max(0, i - 4), min(50, i + 6)))) for i in range(50)]
-
-
-def gotoh(a, b, match=2, mismatch=-3, open_=5, extend=2):
-    low = -(10**9)
-    h = {(0, 0): 0}
-    e, f = {}, {}
-    best = (0, 0, 0)
-    for i in range(len(a) + 1):
-        for j in range(len(b) + 1):
-            e[i, j] = max(e.get((i, j - 1), low) - extend, h.get((i, j - 1), low) - open_ - extend) if j else low
-            f[i, j] = max(f.get((i - 1, j), low) - extend, h.get((i - 1, j), low) - open_ - extend) if i else low
-            if i or j:
-                d = h[i - 1, j - 1] + (match if a[i - 1] == b[j - 1] else mismatch) if i and j else low
-                h[i, j] = max(d, e[i, j], f[i, j])
-            if h[i, j] > best[0]:
-                best = (h[i, j], i, j)
-    return best
-
-
-def test_anchored_alignment(spark):
-    rnd = random.Random(6)
-    rows = [(i, i + 1, "".join(rnd.choice("ACGT") for _ in range(rnd.randint(0, 25))), "") for i in range(60)]
-    rows = [(i, j, q, (q[: rnd.randint(0, 25)] + "A" + q[rnd.randint(0, 25) :])[:25]) for i, j, q, _ in rows]
-    for _, _, q, r in rows:
-        assert kn.anchored_alignment(q, r) == gotoh(q, r)
-    got = kn.align_pairs(spark.createDataFrame(rows, "qid long, sid long, query string, ref string"), 10, from_end=True).collect()
-    want = {q: gotoh(a[::-1], b[::-1]) for q, _, a, b in rows}
-    assert {r.qid: (r.score, r.qspan, r.sspan) for r in got} == {k: v for k, v in want.items() if v[0] >= 10}
-
-
-def test_simplified(spark):
-    rows = [("t", float(i), 0.0) for i in range(10)] + [("t", 10.0, 5.0), ("t", 11.0, None), ("t", 12.0, 1.0), ("u", 1.0, 1.0)]
-    got = sorted((r.track, r.x) for r in kn.simplified(spark.createDataFrame(rows, "track string, x double, y double"), 0.1).collect())
-    assert got == [("t", 0.0), ("t", 9.0), ("t", 10.0), ("t", 11.0), ("t", 12.0), ("u", 1.0)]
