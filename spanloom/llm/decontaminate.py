@@ -322,11 +322,12 @@ def grams(text: np.ndarray) -> np.ndarray:
     return (code * np.uint32(0x9E3779B1)) >> np.uint32(16)
 
 
-FOUND = "doc_id long, item_id long, edit_distance int, item_length int, position long"
+FOUND = "item_id long, edit_distance int, item_length int, position long"
 
 
 def find_leaks(docs: DataFrame, items: Items, search: Search) -> DataFrame:
-    """Confirmed (document, item) pairs, once for each window that confirms one."""
+    """Confirmed pairs of the documents (key, text) and items, once for each window that confirms one."""
+    found_rows = f"key {docs.schema['key'].dataType.simpleString()}, {FOUND}"
     bloom = np.zeros(1 << 22, bool)
     bloom[items.seeds & np.uint64((1 << 22) - 1)] = True
 
@@ -376,7 +377,7 @@ def find_leaks(docs: DataFrame, items: Items, search: Search) -> DataFrame:
                 if found is None:
                     continue
                 text, spans, used, begins, borders = found
-                ids, rows = part.column("doc_id").to_pylist(), {}
+                ids, rows = part.column("key"), {}
                 tried = [piece_windows(text, begins, borders, items, search)]
                 for k in range(0, len(spans), 8192):
                     doc, start, width = spans[k : k + 8192].T
@@ -395,24 +396,18 @@ def find_leaks(docs: DataFrame, items: Items, search: Search) -> DataFrame:
                     if (row := confirmed(text, item, a, b, int(begins[d]))) is not None:
                         rows[d, item] = min(rows.get((d, item), row), row)
                 if rows:
-                    out = [(ids[used[d]], items.ids[i], *r) for (d, i), r in rows.items()]
-                    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64())
+                    out = [(items.ids[i], *r) for (_, i), r in rows.items()]
+                    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64())
+                    own = ids.take(pa.array([int(used[d]) for d, _ in rows]))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, t) for c, t in zip(zip(*out), kinds)], [x.split()[0] for x in FOUND.split(", ")]
+                        [own, *(pa.array(c, t) for c, t in zip(zip(*out), kinds))], [x.split()[0] for x in found_rows.split(", ")]
                     )
 
-    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return given.mapInArrow(search_batch, FOUND)
+    return docs.select("key", "text").mapInArrow(search_batch, found_rows)
 
 
-def leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, search: Search = Search()) -> DataFrame:
-    """One row per leaked (doc_id, item_id): edit_distance, item_length, position.
-
-    A document leaks an item when one of its substrings is within ``edit_rate`` times the
-    item's length in edits (characters); position is the byte in the normalised text where the best match
-    begins. Items are taken in blocks of ITEMS_PER_BLOCK in order of item_id. Null or
-    empty texts and items never match; repeated rows give one row; other columns are ignored.
-    """
+def leaks_by(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, search: Search) -> DataFrame:
+    """Each leaking (key, item_id) of the documents (key, text) with its best match; see :func:`leaks`."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     found, block = None, []
     for row in [*items.orderBy("item_id").toLocalIterator(), None]:
@@ -425,12 +420,29 @@ def leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, search: Se
                 found = part if found is None else found.unionByName(part)
             block = []
     if found is None:
-        return spark.createDataFrame([], FOUND)
+        return spark.createDataFrame([], f"key {docs.schema['key'].dataType.simpleString()}, {FOUND}")
     best = F.min(F.struct("edit_distance", "item_length", "position")).alias("best")
-    return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*")
+    return found.groupBy("key", "item_id").agg(best).select("key", "item_id", "best.*")
+
+
+def leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, search: Search = Search()) -> DataFrame:
+    """One row per leaked (doc_id, item_id): edit_distance, item_length, position.
+
+    A document leaks an item when one of its substrings is within ``edit_rate`` times the
+    item's length in edits (characters); position is the byte in the normalised text where the best match
+    begins. Items are taken in blocks of ITEMS_PER_BLOCK in order of item_id. Null or
+    empty texts and items never match; repeated rows give one row; other columns are ignored.
+    """
+    keyed = docs.select(F.col("doc_id").cast("long").alias("key"), F.col("text").cast("string").alias("text"))
+    return leaks_by(spark, keyed, benchmark, search).withColumnRenamed("key", "doc_id")
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Documents that leak no item, with all their columns."""
-    gone = stored(spark, leaks(spark, docs, benchmark).select("doc_id").distinct(), "leaks")
-    return docs.join(gone, "doc_id", "left_anti")
+    """Documents that leak no item, with all their columns.
+
+    Rows go by their text, whether they have an id or not, and another text under the same id stays.
+    """
+    digest = F.unhex(F.sha2(docs["text"].cast("string").cast("binary"), 256))
+    keyed = docs.select(digest.alias("key"), docs["text"].cast("string").alias("text"))
+    gone = stored(spark, leaks_by(spark, keyed, benchmark, Search()).select(F.col("key").alias("_leak")).distinct(), "leaks")
+    return docs.join(gone, digest == gone["_leak"], "left_anti")

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanloom.llm.common import dropped, mixed, shingle_hashes, slices, stored
@@ -78,8 +78,12 @@ def set_keys(hashes: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
 SKETCH = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
 
 
-def sketches(docs: DataFrame, words: int, size: int, rows: int) -> DataFrame:
-    """Shingle count, a 128-bit key of the shingle set and the band keys of every document."""
+def _digest(text: Column) -> Column:
+    return F.unhex(F.sha2(F.coalesce(text.cast("string"), F.lit("")).cast("binary"), 256))
+
+
+def sketches(docs: DataFrame, words: int, size: int, rows: int, digest: bool = False) -> DataFrame:
+    """Shingle count, a 128-bit key of the shingle set and the band keys of every document, on demand its text's SHA-256."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -90,13 +94,15 @@ def sketches(docs: DataFrame, words: int, size: int, rows: int) -> DataFrame:
                 bands = pa.ListArray.from_arrays(
                     pa.array(np.arange(len(n) + 1) * keys.shape[1], pa.int32()), pa.array(keys.view(np.int64).ravel())
                 )
+                more = [part.column("digest")] if digest else []
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(n), *map(pa.array, sums), bands],
-                    [x.split()[0] for x in SKETCH.split(", ")],
+                    [part.column("doc_id"), pa.array(n), *map(pa.array, sums), bands, *more],
+                    [x.split()[0] for x in kind.split(", ")],
                 )
 
+    kind = f"{SKETCH}, digest binary" if digest else SKETCH
     rows_in = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows_in.mapInArrow(sketch, SKETCH)
+    return (rows_in.withColumn("digest", _digest(F.col("text"))) if digest else rows_in).mapInArrow(sketch, kind)
 
 
 SETS = "doc_id long, set_a long, set_b long, tokens array<long>"
@@ -313,30 +319,25 @@ def linked_in_blocks(stars: DataFrame, labels: DataFrame, percent: int) -> DataF
 
 
 def near_groups(
-    spark: SparkSession, docs: DataFrame, words: int = 5, percent: int = 80, size: int = 128, rows: int = 5
+    spark: SparkSession, docs: DataFrame, words: int = 5, percent: int = 80, size: int = 128, rows: int = 5, digest: bool = False
 ) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every document; see :func:`near_dedup`."""
-    sketch = stored(spark, sketches(docs, words, size, rows), "sketches")
+    """(doc_id, n_shingles, component_id, lead) of every document; see :func:`near_dedup`.
+
+    ``lead`` marks the rows that stand for their component: those of its smallest id (of several texts
+    under that id one is taken by the key of its set). With ``digest`` the rows also carry their text's SHA-256.
+    """
+    extra = ["digest"] if digest else []
+    sketch = stored(spark, sketches(docs, words, size, rows, digest), "sketches")
     key = ["set_a", "set_b", "n_shingles"]
+    # Each distinct set is a node of its own, whatever ids its rows have; the numbers are fixed by storing them.
     groups = sketch.filter("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("rep"))
-    # Rows that repeat an id with different texts are one node, whose set is the one of smallest key.
-    groups = stored(spark, groups, "classes")
-    lead = groups.filter("rep IS NOT NULL").groupBy("rep").agg(F.min(F.struct(*key)).alias("k")).select("rep", "k.*", F.lit(True).alias("lead"))
-    led = stored(spark, groups.join(lead, ["rep", *key], "left"), "classes")
+    groups = stored(spark, groups.withColumn("node", F.monotonically_increasing_id()), "classes")
     # Plain scans on both sides, so that adaptive execution splits a class of very many copies.
-    members = stored(
-        spark,
-        sketch.join(led, key, "left").select(
-            "doc_id",
-            *key,
-            F.coalesce("rep", "doc_id").alias("rep"),
-            F.when((F.col("doc_id") == F.col("rep")) & F.col("lead"), F.col("bands")).alias("bands"),
-        ),
-        "members",
-    )
-    for done in (sketch, groups, led):
-        dropped(spark, done)
-    spots = members.filter("bands IS NOT NULL").select(F.col("rep").alias("b"), F.explode("bands").alias("key"))
+    own = F.col("node").isNotNull() & F.col("doc_id").eqNullSafe(F.col("rep"))
+    members = sketch.join(groups, key, "left").select("doc_id", *extra, *key, "rep", "node", F.when(own, F.col("bands")).alias("bands"))
+    members = stored(spark, members, "members")
+    dropped(spark, sketch)
+    spots = members.filter("bands IS NOT NULL").select(F.col("node").alias("b"), F.explode("bands").alias("key"))
     buckets = spots.groupBy("key").agg(F.min("b").alias("a"), F.max("b").alias("_last")).filter("a < _last").select("key", "a")
     buckets = stored(spark, buckets, "buckets")
     stars = stored(spark, spots.join(buckets, "key").filter("a <> b").select("a", "b").distinct(), "stars")
@@ -345,11 +346,14 @@ def near_groups(
     dealt = stars.join(centres, "a").select("a", F.pmod(F.xxhash64("b"), F.col("_parts")).cast("int").alias("part"), "b", F.lit(False).alias("centre"), "several")
     heads = centres.select("a", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("part"), F.col("a").alias("b"), F.lit(True).alias("centre"), "several")
     dealt = stored(spark, dealt.unionByName(heads), "dealt")
-    needed = members.filter("bands IS NOT NULL").join(dealt.select(F.col("b").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    needed = needed.select("doc_id", "set_a", "set_b").distinct()
+    needed = groups.join(dealt.select(F.col("b").alias("node")).distinct(), "node", "left_semi").select("rep", "set_a", "set_b", "node")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    texts = shingle_sets(texts.join(needed.select("doc_id"), "doc_id", "left_semi"), words)
-    sets = texts.join(needed, ["doc_id", "set_a", "set_b"], "left_semi").select(F.col("doc_id").alias("b"), "tokens")
+    # Rows without an id can't be told apart: of each of their texts one is read.
+    nameless = texts.filter("doc_id IS NULL AND text IS NOT NULL").withColumn("_t", F.sha2(F.col("text").cast("binary"), 256)).dropDuplicates(["_t"])
+    texts = texts.join(needed.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").unionByName(nameless.drop("_t"))
+    texts = shingle_sets(texts, words)
+    same = texts["doc_id"].eqNullSafe(needed["rep"]) & (texts["set_a"] == needed["set_a"]) & (texts["set_b"] == needed["set_b"])
+    sets = texts.join(needed, same).select(F.col("node").alias("b"), "tokens")
     found = stored(spark, compared(dealt.join(sets, "b"), percent), "compared")
     for done in (buckets, stars, dealt):
         dropped(spark, done)
@@ -360,9 +364,18 @@ def near_groups(
     more = stored(spark, linked_in_blocks(stars, labels, percent), "links")
     if more.limit(1).count():
         labels = components(spark, links.union(more))
-    found = labels.withColumnRenamed("node", "rep")
-    return members.join(found, "rep", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id")
+    # Of each component the smallest id, and the node that stands for it.
+    placed = groups.join(labels, "node")
+    first = F.min(F.struct(F.col("rep").isNull().alias("_nameless"), F.col("rep").alias("rep"), F.col("set_a"), F.col("set_b"), F.col("node")))
+    heads = placed.groupBy("component").agg(first.alias("_f")).select("component", F.col("_f.rep").alias("component_id"), F.col("_f.node").alias("_head"))
+    found = stored(spark, placed.select("node", "component").join(heads, "component").select("node", "component_id", "_head"), "groups")
+    own = F.col("doc_id").eqNullSafe(F.col("rep")) & F.coalesce(F.col("_head") == F.col("node"), F.lit(True))
+    return members.join(found, "node", "left").select(
+        "doc_id",
+        *extra,
+        "n_shingles",
+        F.when(F.col("_head").isNotNull(), F.col("component_id")).when(F.col("node").isNotNull(), F.col("rep")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.when(F.col("node").isNotNull(), own).otherwise(True).alias("lead"),
     )
 
 
@@ -373,16 +386,22 @@ def near_dedup(spark: SparkSession, docs: DataFrame, words: int = 5, percent: in
     distinct ``words``-word shingles, or its whole sequence where it is shorter. Documents
     link when 100 * intersection >= percent * union of the full sets; component_id is the
     smallest doc_id reachable. Null, empty and blank texts have no set and link with
-    nothing; repeated rows share their class; rows that repeat an id with different texts count as
-    one document; a null id joins its class but never represents it, and a class of null ids alone has
-    no component. Other columns are ignored. A pair at 0.8 shares none of the 25 bands of 5 slots
+    nothing; repeated rows share their class; rows that repeat an id with different texts are placed by
+    their own text each; a row without an id joins its group but never represents it, and a group of null ids
+    alone has component_id null. Other columns are ignored. A pair at 0.8 shares none of the 25 bands of 5 slots
     with a probability of 5e-5; whatever shares a band is decided on full sets.
     """
-    found = near_groups(spark, docs, words, percent, size, rows)
+    found = near_groups(spark, docs, words, percent, size, rows).drop("lead")
     return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """Documents without near copies: of each group the smallest doc_id stays; columns stay too."""
-    gone = near_dedup(spark, docs, words, percent).filter("NOT kept").select("doc_id")
-    return docs.join(stored(spark, gone, "gone"), "doc_id", "left_anti")
+    """Documents without near copies: of each group the row of smallest doc_id stays; columns stay too.
+
+    Rows go by id and text together, so a text stays whatever happens to another one under its id. Rows that
+    repeat an id and its text stay together. Of a group without ids those rows stay whose set has the smallest key.
+    """
+    found = near_groups(spark, docs, words, percent, digest=True)
+    gone = stored(spark, found.filter("NOT lead").select(F.col("doc_id").alias("_id"), "digest"), "gone")
+    same = docs["doc_id"].cast("long").eqNullSafe(gone["_id"]) & (_digest(docs["text"]) == gone["digest"])
+    return docs.join(gone, same, "left_anti")

@@ -240,6 +240,15 @@ def test_near_dedup_of_odd_ids(spark, documents):
     assert got == sorted([(1, 1), (1, 1), (2, 1), (None, 1), (None, None), (3, 3), (3, 3), (4, 3), (big + 1, big + 1), (big + 3, big + 1)], key=repr)
 
 
+def test_texts_under_one_id_are_placed_each_by_itself(spark, documents):
+    base = [f"w{k}" for k in range(20)]
+    first, second = " ".join(base), " ".join(f"v{k}" for k in range(20))
+    rows = [(4, first), (4, second), (2, second + " end"), (3, first + " end"), (None, first + " end x"), (7, "quite alone here")]
+    got = sorted(((r.doc_id, r.component_id, r.kept) for r in nd.near_dedup(spark, documents(rows), words=2).collect()), key=repr)
+    want = [(4, 3, False), (4, 2, False), (2, 2, True), (3, 3, True), (None, 3, False), (7, 7, True)]
+    assert got == sorted(want, key=repr)
+
+
 def thue_morse(n, first, second):
     return "".join(second if bin(k).count("1") % 2 else first for k in range(n))
 

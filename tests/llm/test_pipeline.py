@@ -84,7 +84,29 @@ def test_stages_take_clashing_columns_and_repeated_ids(spark):
         assert out.columns == docs.columns
         kept[name] = sorted(((r.doc_id, r.text) for r in out.collect()), key=repr)
     assert kept["exact dedup"] == sorted([rows[0], rows[1], *rows[3:6], rows[7]], key=repr)
-    # The repeated row and the row without an id stay here too; documents 2 and 3 are near copies of 1.
-    assert kept["near dedup"] == sorted([rows[0], rows[1], *rows[4:]], key=repr)
+    # Of the group of document 1 its repeated rows stay; documents 2 and 3 and the row without an id are near copies.
+    assert kept["near dedup"] == sorted([rows[0], rows[1], rows[4], rows[5], rows[7]], key=repr)
     assert kept["benchmark decontamination"] == sorted(rows, key=repr)
     assert cp.pack(spark, docs, SF).count() == len(rows)
+
+
+def test_stages_drop_rows_and_not_ids(spark):
+    """Leaks and near copies without an id go; clean texts stay whatever else their ids stand for."""
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").filter("length(text) > 60").orderBy("item_id").first().text
+    leak = f"before it stands this and {item} and that follows"
+    clean, other = "a clean text of its own that nobody else has written down", "another clean text about the weather of late autumn days"
+    rows = [(None, leak), (5, leak), (5, clean), (6, other), (None, clean + " twice"), (None, None), (7, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(tuple, cp.decontaminate(spark, docs, SF).collect()), key=repr)
+    assert got == sorted(rows[2:], key=repr)
+
+    words = [f"w{k}" for k in range(30)]
+    text, near = " ".join(words), " ".join([*words, "more"])
+    rows = [(1, text), (None, text), (4, "w1 of another text altogether, word after word"), (4, near), (None, "alone and without any id at all"), (9, None), (None, ""), (4, "yet another text under the id of four")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(tuple, cp.near(spark, docs, SF).collect()), key=repr)
+    assert got == sorted([rows[0], rows[2], *rows[4:]], key=repr)
+    # Groups without ids keep one text of those that are near each other.
+    docs = spark.createDataFrame([(None, text), (None, near), (None, text)], "doc_id long, text string")
+    kept = [r.text for r in cp.near(spark, docs, SF).collect()]
+    assert len(set(kept)) == 1
