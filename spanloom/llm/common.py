@@ -173,9 +173,9 @@ _IS_BLANK = np.zeros(256, bool)
 _IS_BLANK[[32, 9, 10, 11, 12, 13]] = True
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words (runs of non-blank bytes) of each text: starts, ends, index of the text."""
-    solid = ~_IS_BLANK[data]
+def word_spans(data: np.ndarray, offsets: np.ndarray, solid: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words (runs of non-blank bytes, or of those marked ``solid``) of each text: starts, ends, index of the text."""
+    solid = ~_IS_BLANK[data] if solid is None else solid
     n = len(data)
     if not n:
         empty = np.zeros(0, np.int64)

@@ -1,6 +1,6 @@
 """How the sources of each language differ in their words: wide term vectors, summed by pairs.
 
-Terms are counted by (lang, source, term) inside tasks first. Each kept term is then pivoted into an array of
+Terms are counted by (lang, source, term) in batches and tasks first. Each kept term is then pivoted into an array of
 counts indexed by source; higher-order functions turn it into shares and emit what it adds to each
 pair of sources, and these sums are taken map-side before they are shuffled. Shares are whole
 billionths, so everything is exact.
@@ -8,33 +8,66 @@ billionths, so everything is exact.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from spanloom.llm.common import dropped, stored
+from spanloom.llm.common import LOWER, dropped, slices, stored, text_bytes, word_spans
 
-#: Runs of letters: no ASCII character but A-Z and a-z.
+#: Runs of letters: no ASCII character but A-Z and a-z, and all others.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SCALE = 1_000_000_000
 SMOOTHING = 5
 
 
-def terms(text: Column) -> Column:
-    """All terms of a text, sorted."""
-    return F.array_sort(F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(TERM), 0))
+_IN_TERM = np.arange(256) >= 128
+_IN_TERM[[*range(65, 91), *range(97, 123)]] = True
+COUNTS = "lang string, source string, term string, n long, n_docs long"
+
+
+def counted(langs: pa.Array, sources: pa.Array, texts: pa.Array) -> pa.RecordBatch:
+    """COUNTS of some documents: their terms are coded, then summed by document and by group."""
+    data, offsets = text_bytes(texts)
+    data = LOWER[data]
+    solid = _IN_TERM[data]
+    starts, ends, owner = word_spans(data, offsets, solid)
+    bounds = np.concatenate(([0], np.cumsum(ends - starts)))
+    whole = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(data[solid])])
+    coded = whole.dictionary_encode()
+    kinds = max(1, len(coded.dictionary))
+    keys, n = np.unique(np.sort(owner * kinds + coded.indices.to_numpy()), return_counts=True)
+    lang, source = langs.dictionary_encode(), sources.dictionary_encode()
+    width = max(1, len(source.dictionary))
+    group = lang.indices.to_numpy().astype(np.int64) * width + source.indices.to_numpy()
+    keys = group[keys // kinds] * kinds + keys % kinds
+    order = np.argsort(keys, kind="stable")
+    keys, n = keys[order], n[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    sums = np.add.reduceat(n, first) if len(first) else n
+    own = keys[first] // kinds
+    return pa.RecordBatch.from_arrays(
+        [
+            lang.dictionary.take(pa.array(own // width)), source.dictionary.take(pa.array(own % width)),
+            coded.dictionary.take(pa.array(keys[first] % kinds)).cast(pa.large_string()).cast(pa.string()), pa.array(sums), pa.array(np.diff(np.append(first, len(keys)))),
+        ],
+        [x.split()[0] for x in COUNTS.split(", ")],
+    )
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
-    """(lang, source, term, n, n_docs): occurrences and documents, summed inside each task before the shuffle."""
+    """(lang, source, term, n, n_docs): occurrences and documents, summed by batch and by task before the shuffle."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", 8 << 20):
+                yield counted(*(part.column(c) for c in ("lang", "source", "text")))
+
     words = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")))
-    words = words.select("lang", "source", terms(F.col("text")).alias("terms"))
-    # In a sorted array the first of equal terms follows another one; it counts the document.
-    words = words.select("lang", "source", "terms", F.posexplode("terms").alias("at", "term"))
-    first = (F.col("at") == 0) | (F.get("terms", F.col("at") - 1) != F.col("term"))
-    words = words.select("lang", "source", "term", F.when(first, 1).otherwise(0).alias("first"))
-    return words.groupBy("lang", "source", "term").agg(F.count(F.lit(1)).alias("n"), F.sum("first").alias("n_docs"))
+    return words.mapInArrow(count, COUNTS).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("n_docs").alias("n_docs"))
 
 
 def share(count: Column, total: Column, terms: Column) -> Column:
@@ -82,7 +115,7 @@ def source_divergence(spark: SparkSession, docs: DataFrame, least_docs: int = 30
     Null text, lang and source count as ''. Kept terms are those in ``least_docs`` documents of the language
     or more; a row is a document, whatever its id, so repeated rows count each. Groups without terms take
     part in pairs; a language with one source has none; an empty table gives no rows. Other columns
-    are ignored. A text's terms are one array in its task.
+    are ignored. Texts are counted in batches of 8 MB, a longer one alone.
     """
     langs, wide = term_vectors(spark, docs, least_docs)
     held = wide.join(langs, "lang").select("lang", "term", "counts", "sources", "totals", "kept")

@@ -138,7 +138,7 @@ ORACLE_SQL: dict[str, str] = {
     "op13_source_divergence": rf"""
         WITH d AS (
             SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
-                   regexp_extract_all(translate(coalesce(text, ''), '{divergence.UPPER}', '{divergence.LOWER}'), '{divergence.TERM}') AS terms
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{divergence.TERM}') AS terms
             FROM documents),
         t AS (SELECT row, lang, source, unnest(terms) AS term FROM d),
         kept AS (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT row) >= 30),
