@@ -9,11 +9,90 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values of the controlled vocabulary.
-LTR_COPIA = ("Ale", "Alesia", "Alexandra", "Angela", "Bianca", "Bryana", "Bryco", "Ferco", "Gymco-I", "Gymco-II", "Gymco-III", "Gymco-IV", "Ikeros", "Ivana", "Lyco", "Osser", "SIRE", "TAR", "Tork", "Ty1-outgroup")
-CHROMOVIRUS = ("Chlamyvir", "chromo-outgroup", "chromo-unclass", "CRM", "Ferney", "Galadriel", "Reina", "Tcn1", "Tekay")
-NON_CHROMOVIRUS = ("non-chromo-outgroup", "OTA", "OTA/Athila", "OTA/Tat", "OTA/Tat/Ogre", "OTA/Tat/Retand", "OTA/Tat/TatI", "OTA/Tat/TatII", "OTA/Tat/TatIII", "OTA/Tatius", "Phygy", "Selgy")
-TIR = ("EnSpm_CACTA", "hAT", "Kolobok", "Merlin", "MITE", "MITE/Stowaway", "MuDR_Mutator", "Novosib", "P", "PIF_Harbinger", "PiggyBac", "Sola1", "Sola2", "Tc1_Mariner")
-RDNA_45S = ("18S", "25S", "5.8S", "IGS", "ITS1", "ITS2")
+PATHS = (
+    "Mobile_element",
+    "Class_I",
+    "Class_I/DIRS",
+    "Class_I/LINE",
+    "Class_I/LTR",
+    "Class_I/LTR/Ty1_copia",
+    "Class_I/LTR/Ty1_copia/Ale",
+    "Class_I/LTR/Ty1_copia/Alesia",
+    "Class_I/LTR/Ty1_copia/Alexandra",
+    "Class_I/LTR/Ty1_copia/Angela",
+    "Class_I/LTR/Ty1_copia/Bianca",
+    "Class_I/LTR/Ty1_copia/Bryana",
+    "Class_I/LTR/Ty1_copia/Bryco",
+    "Class_I/LTR/Ty1_copia/Ferco",
+    "Class_I/LTR/Ty1_copia/Gymco-I",
+    "Class_I/LTR/Ty1_copia/Gymco-II",
+    "Class_I/LTR/Ty1_copia/Gymco-III",
+    "Class_I/LTR/Ty1_copia/Gymco-IV",
+    "Class_I/LTR/Ty1_copia/Ikeros",
+    "Class_I/LTR/Ty1_copia/Ivana",
+    "Class_I/LTR/Ty1_copia/Lyco",
+    "Class_I/LTR/Ty1_copia/Osser",
+    "Class_I/LTR/Ty1_copia/SIRE",
+    "Class_I/LTR/Ty1_copia/TAR",
+    "Class_I/LTR/Ty1_copia/Tork",
+    "Class_I/LTR/Ty1_copia/Ty1-outgroup",
+    "Class_I/LTR/Ty3_gypsy",
+    "Class_I/LTR/Ty3_gypsy/chromovirus",
+    "Class_I/LTR/Ty3_gypsy/chromovirus/Chlamyvir",
+    "Class_I/LTR/Ty3_gypsy/chromovirus/chromo-outgroup",
+    "Class_I/LTR/Ty3_gypsy/chromovirus/chromo-unclass",
+    "Class_I/LTR/Ty3_gypsy/chromovirus/CRM",
+    "Class_I/LTR/Ty3_gypsy/chromovirus/Ferney",
+    "Class_I/LTR/Ty3_gypsy/chromovirus/Galadriel",
+    "Class_I/LTR/Ty3_gypsy/chromovirus/Reina",
+    "Class_I/LTR/Ty3_gypsy/chromovirus/Tcn1",
+    "Class_I/LTR/Ty3_gypsy/chromovirus/Tekay",
+    "Class_I/LTR/Ty3_gypsy/non-chromovirus",
+    "Class_I/LTR/Ty3_gypsy/non-chromovirus/non-chromo-outgroup",
+    "Class_I/LTR/Ty3_gypsy/non-chromovirus/OTA",
+    "Class_I/LTR/Ty3_gypsy/non-chromovirus/OTA/Athila",
+    "Class_I/LTR/Ty3_gypsy/non-chromovirus/OTA/Tat",
+    "Class_I/LTR/Ty3_gypsy/non-chromovirus/OTA/Tat/Ogre",
+    "Class_I/LTR/Ty3_gypsy/non-chromovirus/OTA/Tat/Retand",
+    "Class_I/LTR/Ty3_gypsy/non-chromovirus/OTA/Tat/TatI",
+    "Class_I/LTR/Ty3_gypsy/non-chromovirus/OTA/Tat/TatII",
+    "Class_I/LTR/Ty3_gypsy/non-chromovirus/OTA/Tat/TatIII",
+    "Class_I/LTR/Ty3_gypsy/non-chromovirus/OTA/Tatius",
+    "Class_I/LTR/Ty3_gypsy/non-chromovirus/Phygy",
+    "Class_I/LTR/Ty3_gypsy/non-chromovirus/Selgy",
+    "Class_I/pararetrovirus",
+    "Class_I/Penelope",
+    "Class_I/SINE",
+    "Class_II",
+    "Class_II/Subclass_1",
+    "Class_II/Subclass_1/TIR",
+    "Class_II/Subclass_1/TIR/EnSpm_CACTA",
+    "Class_II/Subclass_1/TIR/hAT",
+    "Class_II/Subclass_1/TIR/Kolobok",
+    "Class_II/Subclass_1/TIR/Merlin",
+    "Class_II/Subclass_1/TIR/MITE",
+    "Class_II/Subclass_1/TIR/MITE/Stowaway",
+    "Class_II/Subclass_1/TIR/MuDR_Mutator",
+    "Class_II/Subclass_1/TIR/Novosib",
+    "Class_II/Subclass_1/TIR/P",
+    "Class_II/Subclass_1/TIR/PIF_Harbinger",
+    "Class_II/Subclass_1/TIR/PiggyBac",
+    "Class_II/Subclass_1/TIR/Sola1",
+    "Class_II/Subclass_1/TIR/Sola2",
+    "Class_II/Subclass_1/TIR/Tc1_Mariner",
+    "Class_II/Subclass_2",
+    "Class_II/Subclass_2/Helitron",
+    "rDNA",
+    "rDNA/45S_rDNA",
+    "rDNA/45S_rDNA/18S",
+    "rDNA/45S_rDNA/25S",
+    "rDNA/45S_rDNA/5.8S",
+    "rDNA/45S_rDNA/IGS",
+    "rDNA/45S_rDNA/ITS1",
+    "rDNA/45S_rDNA/ITS2",
+    "rDNA/5S_rDNA",
+    "rDNA/5S_rDNA/5S",
+)
 ALIASES = {"Ty1/copia": "Ty1_copia", "Ty3/gypsy": "Ty3_gypsy", "EnSpm/CACTA": "EnSpm_CACTA", "MuDR/Mutator": "MuDR_Mutator", "PIF/Harbinger": "PIF_Harbinger", "Tc1/Mariner": "Tc1_Mariner"}
 SPECIAL = ("Satellite", "Simple_repeat", "Low_complexity", "Unknown")
 UNDERSCORED = (
@@ -28,17 +107,6 @@ BUCKETS = ("Mobile_elements", "Simple_repeats", "Tandem_repeats", "All_Ty1_Copia
 # End of fixed values.
 
 
-def vocabulary() -> tuple[str, ...]:
-    """All canonical class paths, from the lineage lists."""
-    out = ["Mobile_element", "Class_I", *(f"Class_I/{x}" for x in ("DIRS", "LINE", "LTR", "pararetrovirus", "Penelope", "SINE"))]
-    out += ["Class_I/LTR/Ty1_copia", *(f"Class_I/LTR/Ty1_copia/{x}" for x in LTR_COPIA)]
-    out += ["Class_I/LTR/Ty3_gypsy", "Class_I/LTR/Ty3_gypsy/chromovirus", *(f"Class_I/LTR/Ty3_gypsy/chromovirus/{x}" for x in CHROMOVIRUS)]
-    out += ["Class_I/LTR/Ty3_gypsy/non-chromovirus", *(f"Class_I/LTR/Ty3_gypsy/non-chromovirus/{x}" for x in NON_CHROMOVIRUS)]
-    out += ["Class_II", "Class_II/Subclass_1", "Class_II/Subclass_1/TIR", *(f"Class_II/Subclass_1/TIR/{x}" for x in TIR), "Class_II/Subclass_2", "Class_II/Subclass_2/Helitron"]
-    out += ["rDNA", "rDNA/45S_rDNA", *(f"rDNA/45S_rDNA/{x}" for x in RDNA_45S), "rDNA/5S_rDNA", "rDNA/5S_rDNA/5S"]
-    return tuple(out)
-
-
 @dataclass(frozen=True)
 class Vocabulary:
     """Class paths, special classes and buckets, aliases of path parts, and prefixes of the underscore dialect (longest first)."""
@@ -50,7 +118,7 @@ class Vocabulary:
     prefixes: tuple[tuple[str, str], ...] = UNDERSCORED
 
 
-STANDARD = Vocabulary(vocabulary())
+STANDARD = Vocabulary(PATHS)
 # The sources by dialect.
 PIPED = ("DANTE", "DANTE_LTR", "DANTE_LINE")
 PREFIXED = ("DANTE_TIR",)

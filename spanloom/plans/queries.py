@@ -24,8 +24,9 @@ from spanloom.operators import tracks as tr
 from spanloom.plans import statements as st
 from spanloom.plans.fixtures import view, with_views
 from spanloom.plans.statements import islands
-from spanloom.sources import sinks, tabular
+from spanloom.sources import ranges, sinks, tabular
 from spanloom.sources import tiers as tl
+from spanloom.sources.writer import write_buckets
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -658,9 +659,30 @@ def end_region(spark, sf):
     return view(spark, sf, "fx_sequences").select("doc_id", sq.end_region(s, "start").alias("head"), sq.end_region(s, "end").alias("tail"), F.length(sq.monomer(s)).cast("long").alias("half"))
 
 
-@query("""SELECT doc_id AS name, instr(seq, repeat('N', 10)) - 1 AS start0, instr(seq, repeat('N', 10)) - 1 + length(regexp_extract(seq, 'N{10,}')) AS end0 FROM fx_sequences WHERE instr(seq, repeat('N', 10)) > 0""", "fx_sequences")
+_GAPPED = f"(SELECT CAST(doc_id AS STRING) AS name, concat(repeat('N', CAST(doc_id % 13 AS INT)), seq, repeat('N', CAST(doc_id % 25 AS INT)), seq, repeat('n', 4), repeat('N', CAST(doc_id % 200 AS INT)), 'AC', repeat('N', CAST(doc_id % 11 AS INT))) AS seq FROM (SELECT doc_id, regexp_replace(seq, '[^ACGTN]', ''GLOBAL) AS seq FROM fx_sequences) b)"  # one text for all runs, replaced everywhere
+
+
+@query(f"""WITH g AS (SELECT name, string_split_regex(seq, '[Nn]+') AS gaps, regexp_extract_all(seq, '[Nn]+') AS runs FROM {_GAPPED.replace('GLOBAL', ", 'g'")}),
+    r AS (SELECT name, i, len(gaps[i]) AS gap, len(runs[i]) AS run FROM (SELECT *, unnest(range(1, len(runs) + 1)) AS i FROM g)),
+    p AS (SELECT name, run, sum(gap + run) OVER (PARTITION BY name ORDER BY i) - run AS s FROM r) SELECT name, CAST(s AS BIGINT) AS start0, CAST(s + run AS BIGINT) AS end0 FROM p WHERE run >= 10""", "fx_sequences")
 def gaps_n10(spark, sf):
-    return sq.n_runs(view(spark, sf, "fx_sequences"), "doc_id", "seq")
+    rows = _bases(spark, sf).withColumn("doc_id", F.col("doc_id").cast("int"))
+    n = lambda k: F.repeat(F.lit("N"), (F.col("doc_id") % k).cast("int"))
+    rows = rows.select(F.col("doc_id").cast("string").alias("header"), F.concat(n(13), "seq", n(25), "seq", F.lit("nnnn"), n(200), F.lit("AC"), n(11)).alias("seq"))
+    path = scratch.folder(spark, "gapped")
+    sinks.write_fasta(rows, path, width=60)
+    return sq.n_runs(tabular.read_sequence_parts(spark, f"{path}/part-*", 97))
+
+
+_RECORDS = "(SELECT o_orderkey AS id, CASE WHEN o_orderkey % 97 = 0 THEN 3000 WHEN o_orderkey % 89 < 2 THEN 0 ELSE o_custkey % 700 END AS size FROM orders)"
+
+
+@query(f"""WITH RECURSIVE r AS MATERIALIZED (SELECT *, row_number() OVER w AS at, sum(size) OVER w AS s, sum(size) OVER w - size AS bf FROM {_RECORDS} WINDOW w AS (ORDER BY id)),
+    b AS (SELECT CAST(1 AS BIGINT) AS at, CAST(0 AS BIGINT) AS n UNION ALL SELECT min(CASE WHEN r.bf = x.bf THEN r.at + 1 ELSE r.at END), any_value(b.n) + 1 FROM b JOIN r x ON x.at = b.at JOIN r ON r.at >= x.at AND r.s > x.bf + 2500 GROUP BY b.at)
+    SELECT id, size, max(n) AS bin FROM r JOIN b ON b.at <= r.at GROUP BY id, size""")
+def bin_pack(spark, sf):
+    rows = _over(spark, sf, f"SELECT * FROM {_RECORDS} r", "orders")
+    return sq.packed_in_order(spark, rows, ["id"], "size", 2500)
 
 
 @query("""WITH r AS (SELECT doc_id, seq, k, k * 97 % length(seq) + 1 AS s FROM fx_sequences, (SELECT unnest(range(4)) AS k))
@@ -1215,15 +1237,13 @@ def src_composition(spark, sf):
     return tabular.read_composition(spark, _lines_file(spark, rows, "comp", "Repeat_type\tTotal_size [bp]\tProportion [%]"))
 
 
-@query("SELECT 'r' || n_nationkey AS rule, CAST(n_nationkey * 10 AS DOUBLE) AS s, CASE WHEN n_nationkey % 2 = 0 THEN n_nationkey * 2.5 END AS max_rss, n_nationkey * 8.0 AS cpu_time FROM nation")
+@query("SELECT 'r' || c_custkey AS rule, CAST(c_custkey * 10 AS DOUBLE) AS s, CASE WHEN c_custkey % 2 = 0 THEN c_custkey * 2.5 END AS max_rss, c_custkey * 8.0 AS cpu_time, '0:00:10' AS hms FROM customer")
 def src_bench_tsv(spark, sf):
-    path, key = scratch.folder(spark, "bench"), F.col("n_nationkey")
+    path, key = scratch.folder(spark, "bench"), F.col("c_custkey")
     line = F.concat_ws("\t", (key * 10).cast("string"), F.lit("0:00:10"), F.when(key % 2 == 0, (key * 2.5).cast("string")).otherwise("-"), (key * 8).cast("string"))
-    rows = spark.read.parquet(f"{sf}/nation.parquet").select(F.concat(F.lit("r"), key.cast("string")).alias("rule"), F.concat(F.lit("s\th:m:s\tmax_rss\tcpu_time\n"), line).alias("value"))
-    rows.write.partitionBy("rule").text(path)
-    # The tables lie in a folder for each rule, whose name is the rule's.
-    found = tabular.read_benchmarks(spark, f"{path}/*/*.txt").drop("rule")
-    return found.select(F.concat(F.lit("r"), (F.col("s") / 10).cast("long").cast("string")).alias("rule"), "s", "max_rss", "cpu_time")
+    rows = spark.read.parquet(f"{sf}/customer.parquet").select(F.concat(F.lit("r"), key.cast("string")).alias("bucket"), line.alias("value"))
+    write_buckets(rows, path, [], "s\th:m:s\tmax_rss\tcpu_time", ".tsv")
+    return tabular.read_benchmarks(spark, path).select("rule", "s", "max_rss", "cpu_time", "hms")
 
 
 _VOCABULARY = """version: 1
@@ -1258,14 +1278,77 @@ def src_vocab_yaml(spark, sf):
     return raw.select("raw", label.alias("canonical"), lb.is_canonical(label, vocab).alias("known"))
 
 
-@query("SELECT CASE WHEN trc = 'TRC_5' THEN 'TRC_5_x' ELSE trc END AS bucket, count(*) AS n, min(s0) + 1 AS first_start FROM fx_trc WHERE trc <> 'TRC_0' GROUP BY ALL", "fx_trc")
+@query("SELECT CASE WHEN trc = 'TRC_5' THEN 'TRC_5_x' ELSE trc END || '.gff3' AS file, count(*) AS n, min(s0) + 1 AS first_start, true AS headed, true AS sorted FROM fx_trc WHERE trc <> 'TRC_0' GROUP BY ALL", "fx_trc")
 def snk_split_by_name(spark, sf):
     name = F.when(F.col("trc") == "TRC_0", "").when(F.col("trc") == "TRC_5", "TRC_5/x").otherwise(F.col("trc"))
     rows = view(spark, sf, "fx_trc").select("seqid", (F.col("s0") + 1).alias("start_pos"), F.col("e0").alias("end_pos"), "strand", F.lit("x").alias("source_tool"), name.alias("Name"))
     path = scratch.folder(spark, "split")
     sinks.write_by_name(rows, path, "Name", ["Name"], prefix="TRC_")
-    back = spark.read.text(path).select("bucket", F.split("value", "\t")[3].cast("long").alias("start_pos"))
-    return back.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("start_pos").alias("first_start"))
+    return _files_read_back(spark, path)
+
+
+def _files_read_back(spark, path: str):
+    """By file (its number left out): rows, first start, whether the header comes first and the rows are in order."""
+    from pyspark.sql import Window as W
+
+    lines = ranges.read_lines(spark, path)
+    c = F.split("value", "\t")
+    rows = lines.select("file", "split", "line", F.col("value").startswith("#").alias("head"), c[0].alias("q"), F.get(c, F.lit(3)).try_cast("long").alias("s"))
+    before = F.lag(F.struct("head", "q", "s")).over(W.partitionBy("file").orderBy("split", "line"))
+    rows = rows.withColumn("b", before)
+    fine = F.when(F.col("b").isNull(), F.col("head")).otherwise(~F.col("head") & (F.col("b.head") | (F.struct("b.q", "b.s") <= F.struct("q", "s"))))
+    name = F.regexp_replace(F.element_at(F.split("file", "/"), -1), r"\.\d{5}(?=\.gff3$)", "")
+    out = rows.groupBy(name.alias("file")).agg(F.count_if(~F.col("head")).alias("n"), F.min("s").alias("first_start"), F.bool_and(F.col("b").isNotNull() | F.col("head")).alias("headed"), F.bool_and(fine).alias("sorted"))
+    return out
+
+
+@query("""WITH g AS (SELECT CASE WHEN classification LIKE 'rDNA%' THEN classification ELSE name END AS nm, * FROM fx_unified WHERE id IS NULL OR starts_with(id, 'UA_L1_')),
+    r AS (SELECT *, CASE WHEN regexp_matches(nm, '^(TRC_|Satellite)') THEN 'Tandem_repeats' WHEN contains(nm, 'Simple_repeat') THEN 'Simple_repeat' ELSE nm END AS grp FROM g),
+    x AS (SELECT start_pos, unnest(list_distinct([replace(grp, '/', '.'), CASE WHEN starts_with(grp, 'Class') THEN 'Mobile_elements' END, CASE WHEN starts_with(grp, 'Simple_repeat') THEN 'Simple_repeats' END, CASE WHEN starts_with(grp, 'Low_complexity') THEN 'Low_complexity' END,
+        CASE WHEN starts_with(grp, 'rDNA') THEN 'rDNA' END, CASE WHEN contains(grp, 'copia') THEN 'All_Ty1_Copia' END, CASE WHEN contains(grp, 'gypsy') THEN 'All_Ty3_Gypsy' END, CASE WHEN contains(grp, 'Class_II/Subclass_1/TIR') THEN 'Class_II.Subclass_1.TIR' END, CASE WHEN structure = 'LTR_RT_TR' THEN 'LTR_RT_TR' END])) AS bucket FROM r)
+    SELECT bucket || '.gff3' AS file, count(*) AS n, min(start_pos) AS first_start, true AS headed, true AS sorted FROM x WHERE bucket IS NOT NULL GROUP BY bucket""", "fx_unified")
+def snk_class_files(spark, sf):
+    path = scratch.folder(spark, "classes")
+    sinks.write_by_class(view(spark, sf, "fx_unified"), path, ["id", "name", "classification"])
+    return _files_read_back(spark, path).filter("n > 0")
+
+
+@query(f"SELECT CAST(doc_id AS VARCHAR) AS seqid, length(seq) AS length, least(60, length(seq)) AS bases FROM {_BASES}", "fx_sequences")
+def src_fasta_index(spark, sf):
+    return ranges.index_of(spark, _indexed(spark, sf)).select("seqid", "length", "bases")
+
+
+def _indexed(spark, sf) -> str:
+    path = f"{scratch.folder(spark, 'indexed')}/genome.fa"
+    sinks.write_indexed(_bases(spark, sf).select(F.col("doc_id").cast("string").alias("name"), "seq"), path)
+    return path
+
+
+@query(f"""SELECT CAST(doc_id AS VARCHAR) AS name, k * 200 AS "offset", md5(substr(seq, k * 200 + 1, 200)) AS digest, true AS narrow FROM (SELECT *, unnest(range(2, greatest(2, (length(seq) + 199) // 200))) AS k FROM {_BASES} WHERE doc_id IN (3, 17, 42))""", "fx_sequences")
+def src_fasta_pushed(spark, sf):
+    path = _indexed(spark, sf)
+    parts = ranges.read_indexed(spark, path, size=200).filter(F.col("name").isin("3", "17", "42") & (F.col("offset") >= 400))
+    size = _bases(spark, sf).agg(F.sum(F.length("seq")).alias("_all"))
+    read = parts.agg(F.sum("read_bytes").alias("_read")).crossJoin(F.broadcast(size))
+    narrow = read.select((F.col("_read") < 0.2 * F.col("_all")).alias("narrow"))
+    return parts.select("name", "offset", F.md5(F.col("seq").cast("binary")).alias("digest")).crossJoin(F.broadcast(narrow))
+
+
+@query(f"""SELECT o_orderkey AS id, substr(seq, start_pos, end_pos - start_pos + 1) AS bases FROM (SELECT o_orderkey, o_custkey % (SELECT count(*) FROM documents) AS d, 1 + o_custkey % 400 AS start_pos, o_custkey % 400 + o_orderkey % 90 AS end_pos FROM orders) r JOIN {_BASES} ON doc_id = d""", "fx_sequences")
+def src_fasta_regions(spark, sf):
+    path = _indexed(spark, sf)
+    n = spark.read.parquet(f"{sf}/documents.parquet").count()
+    key, at = F.col("o_orderkey"), F.col("o_custkey") % 400
+    regions = spark.read.parquet(f"{sf}/orders.parquet").select(key.alias("id"), (F.col("o_custkey") % n).cast("string").alias("seqid"), (at + 1).alias("start_pos"), (at + key % 90).alias("end_pos"))
+    return ranges.read_regions(regions, ranges.index_of(spark, path), path).select("id", "bases")
+
+
+@query(_PARTS_SQL, "fx_sequences")
+def src_fasta_blocks(spark, sf):
+    path = f"{scratch.folder(spark, 'blocks')}/genome.fa"
+    rows = _bases(spark, sf).select(F.concat("header", F.lit(" doc "), F.col("doc_id").cast("string")).alias("name"), "seq")
+    sinks.write_packed(rows, path)
+    return _digests(tabular.read_sequence_parts(spark, path, 700, check=">"))
 
 
 @query(f"SELECT doc_id, CAST(ceil(length(seq) / 80) AS BIGINT) AS lines, md5(seq) AS digest FROM {_BASES}", "fx_sequences")

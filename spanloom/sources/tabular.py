@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -13,6 +9,8 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from spanloom.functions import labels
+from spanloom.sources.files import listed, located
+from spanloom.sources.ranges import kind_of, read_lines
 
 GFF3 = "seqid string, source string, type string, start_pos long, end_pos long, score double, strand string, phase string, attrs map<string,string>"
 HITS_12 = "qseqid string, sseqid string, pident double, length long, mismatch long, gapopen long, qstart long, qend long, sstart long, send long, evalue double, bitscore double"
@@ -64,61 +62,34 @@ def read_fasta(spark: SparkSession, path: str, upper: bool = False) -> DataFrame
     return rows.select(header.alias("header"), F.regexp_extract(header, r"^(\S*)", 1).alias("name"), (F.upper(seq) if upper else seq).alias("seq"))
 
 
-def _is_gzip(spark: SparkSession, path: str) -> bool:
-    """Whether the first file of a path begins with the two bytes of a gzip stream."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = [f.getPath() for f in files.globStatus(target) or [] if f.isFile()]
-    if not found:
-        return False
-    with_bytes = files.open(found[0])
-    try:
-        return (with_bytes.read(), with_bytes.read()) == (0x1F, 0x8B)
-    finally:
-        with_bytes.close()
-
-
-def _ordered_lines(spark: SparkSession, path: str) -> DataFrame:
+def _ordered_lines(spark: SparkSession, path: str, check: str | None = None) -> DataFrame:
     """(file, split, line, value): lines with what orders them, file parts by their first byte and lines inside a part.
 
-    A gzip file without its usual ending is known by its first bytes and unpacked as a stream, one file in one task.
+    Where any file of the path is packed, or what files begin with is checked, each file is read by what its first bytes
+    say it is; plain ones are read by Spark itself.
     """
-    if _is_gzip(spark, path) and not path.endswith(".gz"):
-
-        def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for name, data in zip(batch.column("path").to_pylist(), batch.column("content")):
-                    unpack, rest, number = zlib.decompressobj(31), b"", 0
-                    view = memoryview(data.as_buffer())
-                    for k in range(0, len(view) + 1, 1 << 20):
-                        rest += unpack.decompress(view[k : k + (1 << 20)])
-                        *whole, rest = rest.split(b"\n")
-                        if k + (1 << 20) > len(view) and rest:
-                            whole, rest = [*whole, rest], b""
-                        if whole:
-                            text = [x.decode("utf-8", "replace") for x in whole]
-                            places = range(number, number + len(text))
-                            number += len(text)
-                            yield pa.RecordBatch.from_pydict({"file": [name] * len(text), "split": [0] * len(text), "line": list(places), "value": text})
-
-        files = spark.read.format("binaryFile").load(path).select("path", "content")
-        return files.mapInArrow(lines, "file string, split long, line long, value string")
+    packed = False
+    for name, _ in listed(path):
+        system, place = located(name)
+        with system.open_input_file(place) as file:
+            packed = packed or kind_of(file.read(18)) != "plain"
+    if packed or check:
+        return read_lines(spark, path, check).select("file", "split", "line", "value")
     rows = _lines(spark, path)
     if "_metadata" not in str(rows.columns) and not rows.inputFiles():
         return rows.select(F.lit("").alias("file"), F.lit(0).cast("long").alias("split"), F.lit(0).cast("long").alias("line"), "value")
     return rows.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("line"), "value")
 
 
-def read_sequence_parts(spark: SparkSession, path: str, size: int = 1 << 20, upper: bool = False) -> DataFrame:
+def read_sequence_parts(spark: SparkSession, path: str, size: int = 1 << 20, upper: bool = False, check: str | None = None) -> DataFrame:
     """(name, header, part, offset, seq): records in parts of ``size`` bases, however long a record is.
 
     A name is the header up to its first blank. Lines are read by Spark's own file parts: a line belongs to the last
     header before it, in its part or carried over from the parts before, and lies behind the bases that its record has
-    had so far, so no task holds a whole record. Packed files are known by their first bytes. A record without bases gives
-    no row.
+    had so far, so no task holds a whole record. Packed files are known by their first bytes, whatever their names. With
+    ``check`` every file must begin with that text, as ``>``. A record without bases gives no row.
     """
-    rows = _ordered_lines(spark, path).withColumn("value", F.regexp_replace("value", r"\s+$", ""))
+    rows = _ordered_lines(spark, path, check).withColumn("value", F.regexp_replace("value", r"\s+$", ""))
     head = F.col("value").startswith(">")
     rows = rows.select("file", "split", "line", "value", head.alias("_head"), F.when(head, 0).otherwise(F.length("value")).cast("long").alias("_size"))
     own = W.partitionBy("file", "split").orderBy("line")
@@ -202,11 +173,23 @@ def read_rdna(spark: SparkSession, path: str) -> DataFrame:
     return rows.filter("class IS NOT NULL").groupBy("trc").agg(F.min_by("class", "_i").alias("class"))
 
 
+#: Numbers of a rule's benchmark table.
+BENCHMARK = ("s", "max_rss", "max_vms", "max_uss", "max_pss", "io_in", "io_out", "mean_load", "cpu_time")
+
+
 def read_benchmarks(spark: SparkSession, path: str) -> DataFrame:
-    """All rule benchmark tables below a path, '-' as null, slowest first."""
-    rows = spark.read.option("header", True).option("sep", "\t").option("nullValue", "-").csv(path)
-    numbers = [F.col(c).try_cast("double").alias(c) if c != "h:m:s" else F.col(f"`{c}`") for c in rows.columns]
-    return rows.select(*numbers, F.regexp_extract(F.input_file_name(), r"([^/]+?)(?:\.[^./]*)?$", 1).alias("rule")).orderBy(F.col("s").desc(), "rule")
+    """(rule, hms, BENCHMARK) of all rule tables of a path, slowest first; the rule is the file's name.
+
+    Each file's own header names its columns, in any order; what isn't a number, as '-', is null.
+    """
+    lines = read_lines(spark, path).filter("value <> ''")
+    heads = lines.filter("split = 0 AND line = 0").select("file", F.split("value", "\t").alias("_names"))
+    rows = lines.filter("split > 0 OR line > 0").join(heads, "file").withColumn("_v", F.split("value", "\t"))
+    held = F.map_from_entries(F.filter(F.arrays_zip("_names", "_v"), lambda x: x["_names"].isNotNull()))
+    at = lambda c: F.try_element_at(held, F.lit(c))
+    rule = F.regexp_extract("file", r"([^/]+?)(?:\.[^./]*)?$", 1)
+    rows = rows.select(rule.alias("rule"), at("h:m:s").alias("hms"), *[at(c).try_cast("double").alias(c) for c in BENCHMARK])
+    return rows.orderBy(F.col("s").desc(), "rule")
 
 
 def _with_header(spark: SparkSession, path: str, required: tuple[str, ...], schema: str) -> DataFrame:

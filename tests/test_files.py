@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from spanloom.operators import report as rp
 from spanloom.sources import sinks, tabular
 
@@ -79,7 +81,122 @@ def test_gff3_round_trip_and_split(spark, tmp_path):
     back = sorted((r.seqid, r.start_pos, r.end_pos, r.strand, tuple(sorted(r.attrs.items()))) for r in tabular.read_gff3(spark, str(tmp_path / "g")).collect())
     assert back == [("chr1", 1, 3, ".", (("note", "x"),)), ("chr1", 5, 9, "+", (("Name", "TRC 1/a"),))]
     sinks.write_gff3(df.limit(0), str(tmp_path / "e"), ["Name"])
-    assert "##gff-version 3" in "".join(p.read_text() for p in (tmp_path / "e").glob("part-*"))
+    assert "##gff-version 3" in "".join(p.read_text() for p in (tmp_path / "e").glob("*.gff3"))
     sinks.write_by_name(df, str(tmp_path / "s"), "Name", ["Name"], prefix="TRC")
-    assert [p.name for p in (tmp_path / "s").glob("bucket=*")] == ["bucket=TRC_1_a"]
+    assert [p.name for p in (tmp_path / "s").iterdir()] == ["TRC_1_a.gff3"]
     assert rp.labels_key("Ty1/copia x") == "ty1_copia_x"
+
+
+def test_lines_of_all_kinds_of_files(spark, tmp_path):
+    import gzip
+    import random
+
+    import pytest
+
+    from spanloom.sources import ranges
+
+    rnd = random.Random(1)
+    text = ">first\n" + "".join("".join(rnd.choice("ACGT") for _ in range(rnd.choice([0, 1, 30, 60]))) + "\n" for _ in range(400)) + ">last\nAC"
+    want = text.split("\n")
+    data = text.encode()
+    kinds = {
+        "plain": data,
+        "gzip": gzip.compress(data[:5000]) + gzip.compress(data[5000:]),
+        "blocks": ranges.packed_blocks(data, 700) + ranges.packed_blocks(b""),
+    }
+    for kind, content in kinds.items():
+        path = tmp_path / f"{kind}.any"
+        path.write_bytes(content)
+        assert ranges.kind_of(content[:18]) == kind
+        for size in (300, 777, 1 << 20):
+            rows = ranges.read_lines(spark, str(path), ">", size).collect()
+            rows.sort(key=lambda r: (r.split, r.line))
+            assert [r.value for r in rows] == want
+            if kind == "plain":
+                assert all(data[r.pos : r.pos + r.width].rstrip(b"\n").decode() == r.value for r in rows)
+    parts = [sorted(map(tuple, tabular.read_sequence_parts(spark, str(tmp_path / f"{k}.any"), 100).collect())) for k in kinds]
+    assert parts[0] == parts[1] == parts[2] and len(parts[0]) > 80
+    (tmp_path / "odd.fa").write_text("no header\n")
+    with pytest.raises(Exception, match="begins with"):
+        ranges.read_lines(spark, str(tmp_path / "*.*"), ">").count()
+    (tmp_path / "short.gz").write_bytes(kinds["gzip"][:-30])
+    with pytest.raises(Exception, match="ends early|incomplete|Error"):
+        ranges.read_lines(spark, str(tmp_path / "short.gz")).count()
+    assert ranges.read_lines(spark, str(tmp_path / "missing")).count() == 0
+
+
+def test_one_percent_of_a_file_is_one_percent_of_its_bytes(spark, tmp_path):
+    from spanloom.sources import ranges
+
+    df = spark.range(100).select(F.format_string("s%03d", "id").alias("name"), F.repeat(F.concat(F.lit("ACGTTGCAAC"), F.col("id").cast("string"), F.lit("T")), 1000).alias("seq"))
+    path = str(tmp_path / "genome.fa")
+    sinks.write_indexed(df, path, 70)
+    size = (tmp_path / "genome.fa").stat().st_size
+    whole = {r.name: r.seq for r in df.collect()}
+    one = ranges.read_indexed(spark, path, size=500).filter("name = 's042'").collect()
+    assert "".join(r.seq for r in sorted(one, key=lambda r: r.offset)) == whole["s042"]
+    assert 0 < sum(r.read_bytes for r in one) < 0.012 * size
+    some = ranges.read_indexed(spark, path, size=500).filter("name IN ('s001', 's002') AND offset > 1000 AND offset <= 2000").collect()
+    assert {(r.name, r.offset, r.seq) for r in some} == {(n, o, whole[n][o : o + 500]) for n in ("s001", "s002") for o in (1500, 2000)}
+    assert ranges.read_indexed(spark, path).filter("length(seq) > 5").count() == 100
+    index = {(r.seqid, r.length, r.offset, r.bases, r.width) for r in ranges.index_of(spark, path).collect()}
+    lines = (tmp_path / "genome.fa.fai").read_text().splitlines()
+    assert index == {(n, *map(int, rest)) for n, *rest in (x.split("\t") for x in lines)} and len(lines) == 100
+    regions = spark.createDataFrame([("s003", 69, 72), ("s003", 11990, 99999), ("s004", 0, 3), ("s005", 20000, 20010)], "seqid string, start_pos long, end_pos long")
+    got = {(r.seqid, r.start_pos): (r.bases, r.read_bytes) for r in ranges.read_regions(regions, ranges.index_of(spark, path), path).collect()}
+    assert got == {("s003", 69): (whole["s003"][68:72], 5), ("s003", 11990): (whole["s003"][11989:], len(whole["s003"][11989:])), ("s004", 0): (whole["s004"][:3], 3), ("s005", 20000): ("", 0)}
+
+
+def test_files_appear_whole_or_not_at_all(spark, tmp_path):
+    import pytest
+
+    from spanloom.sources.writer import write_buckets
+
+    df = spark.range(2000).select(F.when(F.col("id") % 3 == 0, "big").otherwise("a b").alias("bucket"), F.col("id").alias("k"), F.format_string("line %04d", "id").alias("value"))
+    path = tmp_path / "out"
+    write_buckets(df.repartition(5), str(path), ["k"], "# head", ".txt", always=("none", "big"))
+    found = {}
+    for file in sorted(path.iterdir()):
+        head, *lines = file.read_text().splitlines()
+        assert head == "# head" and lines == sorted(lines)
+        found.setdefault(file.name.split(".")[0], []).extend(lines)
+    assert {k: len(v) for k, v in found.items()} == {"big": 667, "a b": 1333, "none": 0} and all(v == sorted(v) for v in found.values())
+    bad = df.withColumn("value", F.when(F.col("k") < 1900, F.col("value")).otherwise(F.raise_error(F.lit("stop"))))
+    with pytest.raises(Exception, match="stop"):
+        write_buckets(bad, str(tmp_path / "bad"), ["k"])
+    assert [p.name for p in tmp_path.iterdir()] == ["out"]
+    with pytest.raises(Exception, match="exists"):
+        write_buckets(df, str(path), ["k"])
+    write_buckets(df.limit(3), str(path), ["k"], overwrite=True)
+    assert sum(len(p.read_text().splitlines()) for p in path.iterdir()) == 3
+
+
+def test_packing_in_order(spark):
+    import random
+
+    from spanloom.functions import sequences as sq
+
+    rnd = random.Random(4)
+    sizes = [rnd.choice([0, 0, 1, 5, 30, 99, 100, 101, 250]) for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(sizes)), "k long, size long").repartition(4)
+    want, bin_, total, begun = {}, 0, 0, False
+    for k, n in enumerate(sizes):
+        if begun and total > 0 and total + n > 100:
+            bin_, total = bin_ + 1, 0
+        begun = True
+        want[k] = bin_
+        total += n
+    assert {r.k: r.bin for r in sq.packed_in_order(spark, df, ["k"], "size", 100).collect()} == want
+    assert sq.packed_in_order(spark, df.limit(0), ["k"], "size", 100).count() == 0
+
+
+def test_n_runs_over_part_borders(spark):
+    import re
+
+    from spanloom.functions import sequences as sq
+
+    seqs = {"a": "NNNNNNNNNNNNACnnnnnnnnnnnnnnnnnnnnnnnnnnnnnnnnnGT", "b": "N" * 40, "c": "ACGT", "d": "ANNNNNNNNNCNNNNNNNNNNNT", "e": ""}
+    df = spark.createDataFrame(list(seqs.items()), "name string, seq string")
+    want = {(n, m.start(), m.end()) for n, s in seqs.items() for m in re.finditer("[Nn]{10,}", s)}
+    for size in (1, 3, 7, 1000):
+        assert {tuple(r) for r in sq.n_runs(sq.in_parts(df, size)).collect()} == want
