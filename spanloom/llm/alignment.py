@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +50,10 @@ def aligned(a: np.ndarray, a_ends: np.ndarray, b: np.ndarray, b_ends: np.ndarray
 
     Every text's last byte ends a token on both sides, so texts laid end to end never share a group.
     """
-    ends = np.union1d(a_ends, b_ends)
+    # The union of both end arrays, taken by marking bytes: both are sorted, and np.union1d would hash them.
+    ends = np.zeros(int(a_ends[-1]) + 1 if len(a_ends) else 0, bool)
+    ends[a_ends], ends[b_ends] = True, True
+    ends = np.flatnonzero(ends)
     a_owner, b_owner = np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
     shared = (a_ends[a_owner] == ends) & (b_ends[b_owner] == ends) if len(ends) else np.zeros(0, bool)
     # An interval's group is the number of shared ends before its own.
@@ -136,6 +140,13 @@ def decimal_table(n: int) -> np.ndarray:
     return np.array([list(str(i).encode().rjust(width, b"\0")) for i in range(n)], np.uint8).reshape(n, width)
 
 
+@lru_cache(maxsize=2)
+def vocabulary(path: str) -> tuple[Vocabulary, np.ndarray]:
+    """Bytes and decimal digits of all ids of a vocabulary file, once for each worker process."""
+    words = Vocabulary(load_encoder(path).token_bytes())
+    return words, decimal_table(len(words.size))
+
+
 def group_texts(found: Aligned, digits: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """``a1,a2|b1;a3|b2,b3`` with a mark after each id, and the end of each group in it."""
     n_a, n_b = np.bincount(found.a_group), np.bincount(found.b_group)
@@ -155,7 +166,7 @@ def group_texts(found: Aligned, digits: tuple[np.ndarray, np.ndarray]) -> tuple[
     return flat[flat != 0], used[np.cumsum(n_a + n_b)]
 
 
-ROWS = "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, times array<long>"
+ROWS = "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, times array<int>"
 
 
 def align_documents(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
@@ -165,11 +176,11 @@ def align_documents(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
         from pyspark import TaskContext
 
         a_side, b_side = load_encoder(a_path), load_encoder(b_path)
-        a_words, b_words = Vocabulary(a_side.token_bytes()), Vocabulary(b_side.token_bytes())
-        digits = decimal_table(len(a_words.size)), decimal_table(len(b_words.size))
+        (a_words, a_digits), (b_words, b_digits) = vocabulary(a_path), vocabulary(b_path)
+        digits = a_digits, b_digits
         width, row = len(b_words.size), TaskContext.get().partitionId() << 40
         for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
+            for part in slices(batch, "text", 1 << 20):
                 n = part.num_rows
                 data, offsets = text_bytes(part.column("text"))
                 want = np.insert(data, offsets[:-1], 32)  # a space before each text
@@ -207,7 +218,7 @@ def align_documents(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.arange(row, row + n)), part.column("doc_id"), *map(pa.array, (n_a, n_b, n_groups, n_links)), pa.array(shas, pa.string()),
-                        pa.ListArray.from_arrays(bounds, pa.array(code)), pa.ListArray.from_arrays(bounds, pa.array(times)),
+                        pa.ListArray.from_arrays(bounds, pa.array(code)), pa.ListArray.from_arrays(bounds, pa.array(times.astype(np.int32))),
                     ],
                     [x.split()[0] for x in ROWS.split(", ")],
                 )
@@ -298,7 +309,7 @@ def align_tokenizers(spark: SparkSession, docs: DataFrame, a_path: str, b_path:
     dropped(spark, rows)
     rest = found.select("row", F.explode(F.arrays_zip("pairs", "times")).alias("x")).select("row", F.col("x.pairs").alias("pair"), "x.times")
     rest = rest.join(pairs.filter(F.col("n") < least), "pair")
-    rest = rest.groupBy("row").agg(F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("_best"), F.sum(F.col("times") * F.col("n")).alias("_sum"))
+    rest = rest.groupBy("row").agg(F.sum(F.when(F.col("best"), F.col("times").cast("long")).otherwise(0)).alias("_best"), F.sum(F.col("times") * F.col("n")).alias("_sum"))
     zero = F.lit(0)
     return found.join(rest, "row", "left").select(
         "doc_id", "n_a", "n_b", "n_groups", "n_links",

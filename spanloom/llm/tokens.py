@@ -248,6 +248,7 @@ class PieceEncoder:
         self.pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
         probe = "\ufb01  \u2460 a "  # stays as it is where a model normalises nothing
         # Without a mark inside pieces none goes across the place before a space.
+        self.known: dict[bytes, list[int]] = {}
         self.apart = self.model.normalize(probe) == (" " + probe).replace(" ", self.MARK) and not any(self.MARK in p.lstrip(self.MARK) for p in self.pieces)
 
     def token_bytes(self) -> list[bytes | None]:
@@ -263,14 +264,48 @@ class PieceEncoder:
                 out.append(piece.replace(self.MARK, " ").encode())
         return out
 
+    #: Runs of letters whose ids one worker process keeps (about 300 bytes each).
+    KEPT = 120_000
+
+    def _ids(self, runs: list[bytes]) -> list[list[int]]:
+        """Ids of runs that begin with the space that the model adds."""
+        found = self.model.encode([r[1:].decode() for r in runs], num_threads=1)
+        alone = [self.model.piece_to_id(self.MARK)]
+        return [ids if r != b" " else alone for r, ids in zip(runs, found)]
+
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        found = []
-        for text in column.to_pylist():
-            # The space at the head of each later part is the one that the model adds.
-            first, *rest = parts_of(text or "") if self.apart else [text or ""]
-            ids = self.model.encode([first, *(p[1:] for p in rest)], num_threads=1)
-            found.append(list(chain.from_iterable(ids)))
-        return _joined(found)
+        """As :meth:`RankEncoder.encode`; each distinct run from one space on is encoded once in a batch.
+
+        The first KEPT runs that a worker meets keep their ids.
+        """
+        if not self.apart:
+            return _joined([self.model.encode(t or "", num_threads=1) for t in column.to_pylist()])
+        data, offsets = text_bytes(column)
+        some = np.diff(offsets) > 0
+        data = np.insert(data, offsets[:-1][some], 32)
+        offsets = offsets + np.concatenate(([0], np.cumsum(some)))
+        if not len(data):
+            return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
+        is_start = np.zeros(len(data) + 1, bool)
+        is_start[offsets] = True
+        # The mark's own last byte is 0x81: a mark in a text counts as a space.
+        is_start[1:-1] |= (data[1:] == 32) & (data[:-1] != 32) & (data[:-1] != 0x81)
+        bounds = np.flatnonzero(is_start)
+        runs = pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data))])
+        runs = runs.dictionary_encode()
+        words = runs.dictionary.to_pylist()
+        known = list(map(self.known.get, words))
+        new = [k for k, ids in enumerate(known) if ids is None]
+        for k, ids in zip(new, self._ids([words[k] for k in new])):
+            known[k] = ids
+            if len(self.known) < self.KEPT:
+                self.known[words[k]] = ids
+        flat, ends = _joined(known)
+        at = runs.indices.to_numpy()
+        start, size = ends[:-1][at], np.diff(ends)[at]
+        stops = np.cumsum(size)
+        ids = flat[np.arange(stops[-1]) + np.repeat(start - (stops - size), size)]
+        return ids, np.concatenate(([0], stops))[np.searchsorted(bounds, offsets)]
 
 
 @lru_cache(maxsize=2)
