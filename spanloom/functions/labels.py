@@ -282,3 +282,8 @@ def good_domain(identity: Column, similarity: Column, length: Column, interrupti
 def group_id(label: Column, number: Column) -> Column:
     """Id of the ``number``-th fallback element of a subtype."""
     return F.concat_ws("_", sanitised(label), number.cast("string"), F.lit("partial"))
+
+
+def anchor_score(similarity: Column, length: Column) -> Column:
+    """How good an anchor a domain is: similarity times relative length, 0 where either is missing."""
+    return F.coalesce(similarity, F.lit(0)) * F.coalesce(length, F.lit(0))

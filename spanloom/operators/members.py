@@ -160,6 +160,23 @@ def dimer_of(elements: DataFrame, dimers: DataFrame) -> DataFrame:
     return elements.withColumn("_key", key).join(dimers.select(F.col("name").alias("_key"), "seq"), "_key", "left").drop("_key")
 
 
+def dimer_monomers(dimers: DataFrame) -> DataFrame:
+    """(trc, monomer) from a library (name, seq) of doubled monomers: half of a cluster's longest dimer."""
+    length = F.length(F.regexp_replace("seq", r"\s", ""))
+    return dimers.groupBy(sq.header_name(F.col("name")).alias("trc")).agg((F.max(length) / 2.0).alias("monomer"))
+
+
+def joined_libraries(main: DataFrame, short: DataFrame, old: str = "TRC_", new: str = "TRC_S_", columns: tuple[str, ...] = ("header",)) -> DataFrame:
+    """Records or features of two cluster runs; the short run's clusters are renamed, so that no name is used twice."""
+    renamed = short.withColumns({c: F.replace(F.col(c), F.lit(old), F.lit(new)) for c in columns})
+    return main.unionByName(renamed)
+
+
+def without_hits(library: DataFrame, hits: DataFrame, key: str, query: str = "qid") -> DataFrame:
+    """Library records without any hit."""
+    return library.join(hits.select(F.col(query).alias(key)).distinct(), key, "left_anti")
+
+
 def all_pairs(ends: DataFrame, keys: list[str]) -> DataFrame:
     """Pairs (qid, sid, query, ref) of the ends (keys, id, seq) of one class, each pair once, smaller id first."""
     a = ends.select(*keys, F.col("id").alias("qid"), F.col("seq").alias("query"))

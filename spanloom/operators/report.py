@@ -79,11 +79,13 @@ TOP_ORDER = ("Class_I", "Class_II", "rDNA", "rDNA_45S", "rDNA_5S", "Tandem_repea
 # End of fixed value.
 
 
-def class_table(sizes: DataFrame, genome: int, counts: DataFrame | None = None) -> DataFrame:
-    """Rows of the class tree in display order: (place, path, label, row_type, depth, bp, percent, elements).
+def class_table(sizes: DataFrame, genome: int, counts: DataFrame | None = None, members: DataFrame | None = None, lines: int | None = None) -> DataFrame:
+    """Rows of the class tree in display order: (place, path, label, row_type, depth, bp, percent, elements, tandem_members).
 
     ``sizes`` are (type, bp). A node with children gives a row ``total`` of its subtree and, where it has bases of its
-    own, ``unspecified``; one without gives ``leaf`` with the element count of ``counts`` (path, count). Top classes have a fixed order,
+    own, ``unspecified``; one without gives ``leaf`` with the element count of ``counts`` (path, count) and the number of
+    elements in tandem arrays of ``members`` (path, count). ``lines``, where above 0, is the count of the first path that ends
+    in LINE, in place of any other. Top classes have a fixed order,
     others follow by size; below, subtrees follow by size, ties by name. The tree has as many rows as there are classes.
     """
     own = sizes.groupBy(F.col("type").alias("path")).agg(F.sum("bp").alias("own"))
@@ -102,13 +104,18 @@ def class_table(sizes: DataFrame, genome: int, counts: DataFrame | None = None)
         F.when(~F.col("inner"), F.struct(F.lit("leaf").alias("row_type"), F.lit(0).alias("_k"), depth.alias("depth"), F.col("own").alias("bp"))),
     ))
     rows = rows.withColumn("x", F.explode(kinds))
-    found = rows.limit(0).select("path", F.lit(0).cast("long").alias("elements")) if counts is None else counts.groupBy("path").agg(F.sum("count").alias("elements"))
-    rows = rows.join(found, "path", "left")
+    for given, name in ((counts, "elements"), (members, "tandem_members")):
+        found = rows.limit(0).select("path", F.lit(0).cast("long").alias(name)) if given is None else given.groupBy("path").agg(F.sum("count").alias(name))
+        rows = rows.join(found, "path", "left")
+    if lines:
+        first = nodes.filter(F.col("path").endswith("LINE")).agg(F.min("path").alias("_line"))
+        rows = rows.crossJoin(F.broadcast(first))
+        rows = rows.withColumn("elements", F.when(F.col("path") == F.col("_line"), F.lit(lines).cast("long")).otherwise(F.col("elements")))
     # A node's own bases come behind its total and before its children.
     place = F.row_number().over(W.orderBy("_order", "x._k"))
     return rows.select(
         place.alias("place"), "path", F.element_at(F.split("path", "/"), -1).alias("label"), "x.row_type", F.col("x.depth").cast("int").alias("depth"), F.col("x.bp").alias("bp"),
-        F.round(F.col("x.bp") / genome * 100, 9).alias("percent"), F.when(F.col("x.row_type") == "leaf", F.col("elements")).alias("elements"),
+        F.round(F.col("x.bp") / genome * 100, 9).alias("percent"), *[F.when(F.col("x.row_type") == "leaf", F.col(c)).alias(c) for c in ("elements", "tandem_members")],
     )
 
 
@@ -195,6 +202,22 @@ def chart_series(rows: DataFrame, series: str, order: list[str], fields: list[st
     return found.select(F.col(series).alias("series"), F.to_json(F.struct(*arrays)).alias("spec"))
 
 
+def satellite_bars(coverage: DataFrame, lengths: DataFrame) -> DataFrame:
+    """(place, seqid, label, trc, fraction): stacked bars of clusters' covered fraction of each sequence, fullest first.
+
+    ``coverage`` are (trc, seqid, bp), such as those of :func:`satellite_coverage`; ties go by seqid. A bar's label has its
+    sequence's length in Mb; every cluster has a part in every bar, if only of 0.
+    """
+    known = coverage.groupBy("seqid", "trc").agg(F.sum("bp").alias("bp")).join(lengths.select("seqid", "length"), "seqid")
+    sums = known.groupBy("seqid", "length").agg(F.sum("bp").alias("_all"))
+    place = F.row_number().over(W.orderBy((F.col("_all") / F.col("length")).desc(), "seqid"))  # one row a bar
+    bars = sums.select("seqid", "length", place.alias("place"))
+    # Bars are bounded by what a figure shows: clusters are the top ones, sequences those of the figure.
+    rows = bars.crossJoin(F.broadcast(known.select("trc").distinct())).join(known.select("seqid", "trc", "bp"), ["seqid", "trc"], "left")
+    label = F.format_string("%s (%.1f Mb)", "seqid", F.col("length") / 1e6)
+    return rows.select("place", "seqid", label.alias("label"), "trc", F.round(F.coalesce("bp", F.lit(0)) / F.col("length"), 9).alias("fraction"))
+
+
 # Fixed value: the lineages that have a track, in order.
 LINEAGE_TRACKS = ("Ale", "Alesia", "Angela", "Bianca", "Bryco", "Gymco-I", "Gymco-II", "Gymco-III", "Gymco-IV", "Ikeros", "Ivana", "Lyco", "Osser", "SIRE", "TAR", "Tork", "Chlamyvir", "chromo-unclass", "CRM", "Galadriel", "Reina", "Tcn1", "Tekay", "Athila", "Ogre", "Retand", "TatI", "TatII", "TatIII", "Phygy", "Selgy")
 # End of fixed value.

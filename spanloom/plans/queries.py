@@ -300,7 +300,7 @@ def domain_quality(spark, sf):
 
 @query("SELECT fid, round(coalesce(similarity, 0) * coalesce(relat_length, 0), 9) AS score FROM fx_domains WHERE name = 'TPase'", "fx_domains")
 def anchor_score(spark, sf):
-    score = F.coalesce("similarity", F.lit(0)) * F.coalesce("relat_length", F.lit(0))
+    score = lb.anchor_score(F.col("similarity"), F.col("relat_length"))
     return view(spark, sf, "fx_domains").filter("name = 'TPase'").select("fid", F.round(score, 9).alias("score"))
 
 
@@ -436,8 +436,7 @@ def cluster_sizes(spark, sf):
 
 @query("SELECT DISTINCT doc_id, header FROM fx_sequences WHERE doc_id NOT IN (SELECT qid FROM fx_hits WHERE pident > 95)", "fx_sequences", "fx_hits")
 def anti_hit_filter(spark, sf):
-    bad = view(spark, sf, "fx_hits").filter("pident > 95").select(F.col("qid").alias("doc_id")).distinct()
-    return view(spark, sf, "fx_sequences").select("doc_id", "header").join(bad, "doc_id", "left_anti")
+    return mb.without_hits(view(spark, sf, "fx_sequences").select("doc_id", "header"), view(spark, sf, "fx_hits").filter("pident > 95"), "doc_id")
 
 
 _DIMERS = """z AS (SELECT cluster, min(length // 2) < 12 AS short FROM fx_members GROUP BY cluster), m AS (SELECT * FROM fx_members JOIN z USING (cluster)),
@@ -573,10 +572,28 @@ _SIZES = "c AS (SELECT CASE WHEN regexp_matches(nm, '^(TRC_|Satellite)') THEN 'T
     t AS (SELECT b.path, list({{'o': a.o, 's': -a.total, 'p': a.path}} ORDER BY a.d) AS trail FROM k b JOIN k a ON b.path = a.path OR starts_with(b.path, a.path || '/') GROUP BY b.path),
     r AS (SELECT path, 'total' AS row_type, 0 AS w, d AS depth, total AS bp FROM k WHERE inner_ UNION ALL SELECT path, 'unspecified', 1, d + 1, own FROM k WHERE inner_ AND own > 0 UNION ALL SELECT path, 'leaf', 0, d, own FROM k WHERE NOT inner_)
     SELECT CAST(row_number() OVER (ORDER BY trail, w) AS INT) AS place, path, string_split(path, '/')[-1] AS label, row_type, CAST(depth AS INT) AS depth, CAST(bp AS BIGINT) AS bp, round(bp / 15003000 * 100, 9) AS percent,
-        CASE WHEN row_type = 'leaf' THEN e.n END AS elements FROM r JOIN t USING (path) LEFT JOIN (SELECT classification AS path, count(*) AS n FROM fx_tiers WHERE source_tier = 1 GROUP BY classification) e USING (path)""", "fx_tiers")
+        CASE WHEN row_type = 'leaf' THEN CASE path WHEN 'Class_I/LINE' THEN 777 ELSE e.n END END AS elements, CASE WHEN row_type = 'leaf' THEN m.n END AS tandem_members FROM r JOIN t USING (path)
+        LEFT JOIN (SELECT classification AS path, count(*) AS n FROM fx_tiers WHERE source_tier = 1 GROUP BY classification) e USING (path)
+        LEFT JOIN (SELECT classification AS path, CAST(sum(CAST(copy_number AS BIGINT)) AS BIGINT) AS n FROM fx_tiers WHERE structure = 'LTR_RT_TR' GROUP BY classification) m USING (path)""", "fx_tiers")
 def class_rows(spark, sf):
     counts = view(spark, sf, "fx_tiers").filter("source_tier = 1").groupBy(F.col("classification").alias("path")).agg(F.count(F.lit(1)).alias("count"))
-    return rp.class_table(_sizes(spark, sf), 15_003_000, counts)
+    tandem = view(spark, sf, "fx_tiers").filter("structure = 'LTR_RT_TR'").select(F.col("classification").alias("path"), F.col("copy_number").cast("long").alias("count"))
+    return rp.class_table(_sizes(spark, sf), 15_003_000, counts, tandem, 777)
+
+
+@query("""WITH b AS (SELECT seqid, trc, CAST(sum(e0 - s0) AS DOUBLE) AS bp FROM fx_trc GROUP BY ALL), l AS (SELECT seqid, max(e0) + 1000 AS length FROM fx_trc GROUP BY seqid),
+    p AS (SELECT seqid, length, row_number() OVER (ORDER BY sum(bp) / length DESC, seqid) AS place FROM b JOIN l USING (seqid) GROUP BY seqid, length)
+    SELECT CAST(place AS INT) AS place, seqid, printf('%s (%.1f Mb)', seqid, length / 1e6) AS label, trc, round(coalesce(bp, 0) / length, 9) AS fraction FROM p CROSS JOIN (SELECT DISTINCT trc FROM b) t LEFT JOIN b USING (seqid, trc)""", "fx_trc")
+def satellite_bars(spark, sf):
+    rows = view(spark, sf, "fx_trc")
+    lengths = rows.groupBy("seqid").agg((F.max("e0") + 1000).alias("length"))
+    return rp.satellite_bars(rows.select("seqid", "trc", (F.col("e0") - F.col("s0")).cast("double").alias("bp")), lengths)
+
+
+@query("SELECT split_part(header, '#', 1) AS trc, max(length(regexp_replace(seq, '\\s', '', 'g'))) / 2.0 AS monomer FROM (SELECT 'TRC_' || (doc_id % 20) || '#' || doc_id AS header, seq FROM fx_sequences) GROUP BY ALL", "fx_sequences")
+def dimer_monomers(spark, sf):
+    name = F.concat(F.lit("TRC_"), (F.col("doc_id") % 20).cast("string"), F.lit("#"), F.col("doc_id").cast("string"))
+    return mb.dimer_monomers(view(spark, sf, "fx_sequences").select(name.alias("name"), "seq"))
 
 
 @query(f"""WITH {_SIZES}, n AS (SELECT DISTINCT array_to_string(p[1:i], '/') AS id FROM (SELECT *, unnest(range(1, len(p) + 1)) AS i FROM (SELECT *, string_split(type, '/') AS p FROM c))),
@@ -973,8 +990,8 @@ def assign_ids(spark, sf):
 def short_names(spark, sf):
     rows = view(spark, sf, "fx_sequences")
     first = rows.filter("doc_id % 2 = 0").select(F.lit("a").alias("lib"), "header", "seq")
-    second = rows.filter("doc_id % 2 = 1").select(F.lit("b").alias("lib"), F.replace("header", F.lit("el_"), F.lit("TRC_S_")).alias("header"), "seq")
-    both = first.unionByName(second).withColumn("_class", sq.header_class(F.col("header")))
+    second = rows.filter("doc_id % 2 = 1").select(F.lit("b").alias("lib"), "header", "seq")
+    both = mb.joined_libraries(first, second, "el_").withColumn("_class", sq.header_class(F.col("header")))
     rows = od.placed_within(spark, both, ["_class"], ["seq", "header"])
     return rows.select("lib", "header", F.concat(F.col("place").cast("string"), F.lit("#"), "_class").alias("short_name"))
 
@@ -1529,28 +1546,92 @@ def rdp(spark, sf):
         id IN (SELECT unnest(string_split(members, ',')) FROM chain) AS member FROM fx_ltr_elements
     UNION ALL SELECT 'DANTE_LTR', 1, cls, cls, NULL, 'LTR_RT_TR', CAST(copy_number AS VARCHAR), false FROM (SELECT *, replace(replace(replace(final_classification, 'Ty1/copia', 'Ty1_copia'), 'Ty3/gypsy', 'Ty3_gypsy'), '|', '/') AS cls FROM chain)
     UNION ALL SELECT CASE WHEN fid % 2 = 0 THEN 'TideCluster_default' ELSE 'TideCluster_short' END, 3, CASE WHEN fid % 31 = 0 THEN 'rDNA/45S_rDNA' WHEN trc = 'TRC_4' AND fid % 2 = 0 THEN 'rDNA/5S_rDNA' ELSE 'Satellite/TideCluster/' || trc END, trc, NULL, NULL, NULL, false FROM fx_trc
-    UNION ALL SELECT 'RepeatMasker', 5, classification, classification, NULL, NULL, NULL, false FROM fx_small) GROUP BY ALL""".replace("chain", """(WITH p AS (SELECT parent AS id, min({'s': start_pos, 'e': end_pos}) AS f, max({'s': start_pos, 'e': end_pos}) AS l FROM fx_ltr_parts GROUP BY parent),
+    UNION ALL SELECT 'RepeatMasker', 5, classification, classification, NULL, NULL, NULL, false FROM fx_small
+    UNION ALL SELECT 'DANTE_TIR', 1, 'Class_II/Subclass_1/TIR/hAT', 'Class_II/Subclass_1/TIR/hAT', NULL, NULL, NULL, false FROM fx_small WHERE source_tier = 1
+    UNION ALL SELECT 'DANTE_LINE', 1, 'Class_I/LINE', 'Class_I/LINE', NULL, NULL, NULL, false FROM fx_small WHERE source_tier = 2
+    UNION ALL SELECT 'DANTE', 2, 'Class_I/LINE', 'Class_I/LINE', NULL, NULL, NULL, false FROM fx_domains
+    UNION ALL SELECT 'TideCluster_RM', 4, CASE WHEN trc = 'TRC_4' THEN 'rDNA/5S_rDNA' ELSE 'Satellite/TideCluster/' || trc END, trc, NULL, NULL, NULL, false FROM fx_trc WHERE fid % 3 = 0
+    UNION ALL SELECT 'TideHunter', 6, 'Satellite/Unknown', 'Satellite/Unknown', NULL, NULL, NULL, false FROM runs) GROUP BY ALL""".replace("FROM runs", "FROM " + islands("(SELECT seqid, strand, s0 + 1 AS s, e0 AS e FROM fx_sfhits)", "seqid, strand")).replace("chain", """(WITH p AS (SELECT parent AS id, min({'s': start_pos, 'e': end_pos}) AS f, max({'s': start_pos, 'e': end_pos}) AS l FROM fx_ltr_parts GROUP BY parent),
     o AS (SELECT *, lag(l) OVER w AS pl, lag(strand) OVER w AS ps, lag(final_classification) OVER w AS pc FROM fx_ltr_elements LEFT JOIN p USING (id) WHERE NOT starts_with(id, 'TE_partial') WINDOW w AS (PARTITION BY seqid ORDER BY start_pos, end_pos, id)),
     f AS (SELECT *, CASE WHEN ps = strand AND pc = final_classification AND greatest(0, least(pl.e, f.e) - greatest(pl.s, f.s) + 1) / least(pl.e - pl.s + 1, f.e - f.s + 1) >= 0.5 THEN 0 ELSE 1 END AS n FROM o),
     g AS (SELECT *, sum(n) OVER (PARTITION BY seqid ORDER BY start_pos, end_pos, id ROWS UNBOUNDED PRECEDING) AS c FROM f)
-    SELECT min(final_classification) AS final_classification, count(*) AS copy_number, string_agg(id, ',' ORDER BY start_pos, end_pos, id) AS members FROM g GROUP BY seqid, c HAVING count(*) >= 2)"""), "fx_ltr_elements", "fx_ltr_parts", "fx_trc", "fx_small")
+    SELECT min(final_classification) AS final_classification, count(*) AS copy_number, string_agg(id, ',' ORDER BY start_pos, end_pos, id) AS members FROM g GROUP BY seqid, c HAVING count(*) >= 2)"""), "fx_ltr_elements", "fx_ltr_parts", "fx_trc", "fx_small", "fx_domains", "fx_sfhits")
 def tier_loaders(spark, sf):
+    rows, members = _from_files(spark, sf)
+    both = rows.withColumn("member", F.lit(False)).unionByName(members.withColumn("member", F.lit(True)))
+    return both.groupBy("source_tool", "source_tier", "classification", "name", "element_type", "structure", "copy_number", "member").agg(F.count(F.lit(1)).alias("n"))
+
+
+def source_tables(spark, sf):
+    """Feature tables of all sources, in the columns of the feature reader."""
+
     def features(df, kind, **attrs):
         pairs = F.map_filter(F.map_from_arrays(F.array(*map(F.lit, attrs)), F.array(*[a.cast("string") for a in attrs.values()])), lambda k, v: v.isNotNull())
-        return df.select("seqid", "start_pos", "end_pos", "strand", F.lit(kind).alias("type"), pairs.alias("attrs"))
+        kind = kind if not isinstance(kind, str) else F.lit(kind)
+        return df.select("seqid", F.col("start_pos").cast("long").alias("start_pos"), F.col("end_pos").cast("long").alias("end_pos"), "strand", kind.alias("type"), pairs.alias("attrs"))
 
     elements = view(spark, sf, "fx_ltr_elements")
     chains = pt.ltr_tandems(elements, view(spark, sf, "fx_ltr_parts"))
     trc = view(spark, sf, "fx_trc").select("seqid", (F.col("s0") + 1).alias("start_pos"), F.col("e0").alias("end_pos"), "strand", "trc", "fid")
+    small = view(spark, sf, "fx_small").withColumn("strand", F.lit("+"))
+    runs = view(spark, sf, "fx_sfhits").select("seqid", "strand", (F.col("s0") + 1).alias("start_pos"), F.col("e0").alias("end_pos"), "trc")
     arrays = [features(trc.filter(f"fid % 2 = {i}"), "repeat_region", Name=F.col("trc"), rDNA_type=F.when(F.col("fid") % 31 == 0, "45S")) for i in (0, 1)]
-    rows, members = tl.all_tiers(
-        ltr=features(elements, "transposable_element", ID=F.col("id"), Final_Classification=F.col("final_classification")),
-        tandems=features(chains, "transposable_element", members=F.col("members"), Final_Classification=F.col("final_classification"), copy_number=F.col("copy_number")),
-        clusters=arrays[0], short_clusters=arrays[1], rdna=spark.createDataFrame([("TRC_4", "rDNA/5S_rDNA")], "trc string, class string"),
-        hits=features(view(spark, sf, "fx_small").withColumn("strand", F.lit("+")), "repeat_region", Name=F.col("classification")),
-    )
-    both = rows.withColumn("member", F.lit(False)).unionByName(members.withColumn("member", F.lit(True)))
-    return both.groupBy("source_tool", "source_tier", "classification", "name", "element_type", "structure", "copy_number", "member").agg(F.count(F.lit(1)).alias("n"))
+    return {
+        "ltr": features(elements, "transposable_element", ID=F.col("id"), Final_Classification=F.col("final_classification")),
+        "tandems": features(chains, "transposable_element", members=F.col("members"), Final_Classification=F.col("final_classification"), copy_number=F.col("copy_number")),
+        "tir": features(small.filter("source_tier <= 2"), F.when(F.col("source_tier") == 1, "sequence_feature").otherwise("protein_domain"), Classification=F.lit("Class_II_Subclass_1_TIR_hAT")),
+        "line": features(small.filter("source_tier IN (2, 3)"), F.when(F.col("source_tier") == 2, "LINE_element").otherwise("protein_domain"), ID=F.col("fid")),
+        "domains": features(view(spark, sf, "fx_domains"), "protein_domain", Name=F.col("name"), Final_Classification=F.lit("Class_I|LINE")),
+        "clusters": arrays[0], "short_clusters": arrays[1],
+        "cluster_hits": features(trc.filter("fid % 3 = 0"), "repeat_region", Name=F.col("trc")),
+        "hits": features(small, "repeat_region", Name=F.col("classification")),
+        "runs_a": features(runs.filter("trc < 'TRC_5'"), "repeat_region"), "runs_b": features(runs.filter("trc >= 'TRC_5'"), "repeat_region"),
+    }
+
+
+def loaded(tables):
+    rdna = next(iter(tables.values())).sparkSession.createDataFrame([("TRC_4", "rDNA/5S_rDNA")], "trc string, class string")
+    given = {k: v for k, v in tables.items() if not k.startswith("runs_")}
+    return tl.all_tiers(**given, rdna=rdna, tandem_runs=[tables["runs_a"], tables["runs_b"]])
+
+
+def _from_files(spark, sf):
+    """Tier rows and tandem members of all sources, each written to its own files and read from them."""
+    read = {}
+    for name, df in source_tables(spark, sf).items():
+        path = scratch.folder(spark, name)
+        sinks.write_features(df, path)
+        read[name] = tabular.read_gff3(spark, path)
+    return loaded(read)
+
+
+#: Attributes of the annotation's file.
+ATTRIBUTES = ["id", "name", "classification", "source_tier", "source_tool", "element_type", "structure", "copy_number", "te_origin", "te_origin_structure", "in_structure", "member_of", "parent"]
+
+
+def annotated(spark, rows, members):
+    """The annotation of tier rows, gated by their residual tandems."""
+    rows = scratch.settled(spark, rows)
+    return rs.finalised(spark, rs.tier_resolve(spark, rows, rows.filter("source_tier = 6"), members))
+
+
+def read_annotation(spark, path: str):
+    """An annotation's files in the columns of the contract."""
+    rows = tabular.read_gff3(spark, path)
+    at = {c: F.try_element_at("attrs", F.lit(c)) for c in ATTRIBUTES}
+    at["source_tier"] = at["source_tier"].cast("int")
+    level = F.when(at["id"].startswith("UA_L2_"), 2).otherwise(1)
+    return rows.select(at["id"].alias("id"), "seqid", "source", "type", "start_pos", "end_pos", "strand", *[at[c].alias(c) for c in ATTRIBUTES[1:]], level.alias("level")).select(*rs.FINAL)
+
+
+@query(None)
+def annotation_from_files(spark, sf):
+    """Source files of all nine kinds to one annotation file, read back; its broken rules count in ``violations``."""
+    path = scratch.folder(spark, "annotation")
+    sinks.write_gff3(annotated(spark, *_from_files(spark, sf)), path, ATTRIBUTES)
+    back = read_annotation(spark, path)
+    broken = rs.violations(back).agg(F.count(F.lit(1)).alias("violations"))
+    return back.crossJoin(F.broadcast(broken))
 
 
 def entry(spark: SparkSession, sf: str) -> DataFrame:

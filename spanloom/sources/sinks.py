@@ -27,6 +27,14 @@ def gff3_column(df: DataFrame, attributes: list[str], source: str = "source_tool
     return F.concat_ws("\t", *[f.cast("string") for f in fields])
 
 
+def feature_line(df: DataFrame) -> Column:
+    """The line of a row as the feature reader gives it (seqid, type, start_pos, end_pos, strand, attrs, ...)."""
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(".")) if c in df.columns else F.lit(".")
+    pairs = F.array_sort(F.transform(F.map_entries("attrs"), lambda e: F.concat(e["key"], F.lit("="), e["value"])))
+    attrs = F.when(F.coalesce(F.size("attrs"), F.lit(0)) > 0, F.array_join(pairs, ";")).otherwise(".")
+    return F.concat_ws("\t", *[text(c) for c in ("seqid", "source", "type", "start_pos", "end_pos", "score", "strand", "phase")], attrs)
+
+
 VERSION = "##gff-version 3"
 PLACE = ["seqid", "start_pos", "end_pos"]
 
@@ -37,6 +45,11 @@ def write_gff3(df: DataFrame, path: str, attributes: list[str], source: str = "s
     write_buckets(rows, path, PLACE, VERSION, ".gff3", always=("features",))
 
 
+def write_features(df: DataFrame, path: str) -> None:
+    """Rows as the feature reader gives them, written so that it reads them back."""
+    write_buckets(df.select(F.lit("features").alias("bucket"), *PLACE, feature_line(df).alias("value")), path, PLACE, VERSION, ".gff3", always=("features",))
+
+
 def write_by_name(df: DataFrame, path: str, name: str, attributes: list[str], prefix: str | None = None) -> None:
     """A feature file for each name (made file-safe); rows without a name are left out."""
     rows = df.filter(F.coalesce(F.col(name), F.lit("")) != "")

@@ -200,3 +200,18 @@ def test_n_runs_over_part_borders(spark):
     want = {(n, m.start(), m.end()) for n, s in seqs.items() for m in re.finditer("[Nn]{10,}", s)}
     for size in (1, 3, 7, 1000):
         assert {tuple(r) for r in sq.n_runs(sq.in_parts(df, size)).collect()} == want
+
+
+def test_annotation_from_files_equals_that_from_tables(spark):
+    import os
+
+    from spanloom.operators import resolve as rs
+    from spanloom.plans import queries as plans
+
+    sf = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+    rows = plans.annotation_from_files(spark, sf).collect()
+    assert {r.violations for r in rows} == {0} and len({r.id for r in rows}) == len(rows)
+    assert {r.source_tool for r in rows} >= {"DANTE_LTR", "DANTE_TIR", "DANTE_LINE", "DANTE", "TideCluster_default", "RepeatMasker"}
+    tables = plans.annotated(spark, *plans.loaded(plans.source_tables(spark, sf))).collect()
+    columns = rs.FINAL
+    assert sorted((tuple(r[c] for c in columns) for r in rows), key=repr) == sorted((tuple(r[c] for c in columns) for r in tables), key=repr)

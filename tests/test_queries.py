@@ -13,8 +13,8 @@ from spanloom.plans import queries as plans
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-#: Alignment, which SQL can't express; compared cell by cell in test_alignment.py.
-EXEMPT = {"align_nw", "prime_anchoring", "prime_lengths_by_alignment"}
+#: Alignment, compared cell by cell in test_alignment.py, and the flow from files, compared with tables in test_files.py.
+EXEMPT = {"align_nw", "prime_anchoring", "prime_lengths_by_alignment", "annotation_from_files"}
 
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
