@@ -8,7 +8,11 @@ positions then pair windows with items, and each pair is confirmed by its exact
 
 Edits can spare no long word or run of words, so each item is also cut into one piece more than
 the edits it tolerates: one of them survives in every leak. Pieces are looked up at every byte,
-and what has enough of the item's runs of GRAM bytes around a piece is confirmed in the same way.
+and what has enough of the item's runs of GRAM bytes around a piece is confirmed in the same way. By
+that supplement every leak is found, whether or not the LSH finds it too; ``Search.supplement`` switches it
+off, and a test measures what the LSH finds alone.
+
+Windows and items are taken in runs of about RUN_BYTES bytes, whatever the length of the items.
 """
 
 from __future__ import annotations
@@ -27,6 +31,9 @@ from spanloom.llm.common import LOWER, mixed, slices, stored, text_bytes, word_h
 ITEMS_PER_BLOCK = 20_000
 #: Bytes in the runs that are counted before an edit distance is taken.
 GRAM = 6
+#: Bytes of padded windows or items that are embedded at once, and the most windows.
+RUN_BYTES = 4 << 20
+RUN_ROWS = 8192
 
 
 def normalised_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -104,6 +111,7 @@ class Search:
     sample: int = 3
     agreement: float = 0.3
     recall: float = 0.99
+    supplement: bool = True
     long_word: int = 8
     long_pair: int = 11
 
@@ -141,6 +149,19 @@ def _tables(strings: np.ndarray, lengths: np.ndarray, search: Search) -> np.ndar
     return out
 
 
+def by_width(width: np.ndarray) -> Iterator[np.ndarray]:
+    """Indices in order of width, in runs of at most RUN_ROWS rows and, padded, about RUN_BYTES bytes."""
+    order, begin = np.argsort(width, kind="stable"), 0
+    while begin < len(order):
+        end = min(len(order), begin + RUN_ROWS)
+        # Widths rise, so a run's padding is that of its last row.
+        rows = np.arange(1, end - begin + 1)
+        fit = np.flatnonzero(rows * np.maximum(width[order[begin:end]], 1) <= RUN_BYTES)
+        end = begin + max(1, int(fit[-1]) + 1 if len(fit) else 1)
+        yield order[begin:end]
+        begin = end
+
+
 def _octets(text: np.ndarray) -> np.ndarray:
     """The eight bytes from each position on as a number; beyond the end are zeros."""
     out = np.zeros(len(text), np.uint64)
@@ -218,8 +239,9 @@ def piece_windows(text: np.ndarray, begins: np.ndarray, ends: np.ndarray, items:
         if slack and need > 0:
             member[items.codes[item]] = True
             good = []
-            for k in range(0, len(own), 4096):
-                _, doc, start = own[k : k + 4096].T
+            step = max(1, RUN_BYTES // 8 // int(items.width[item] + 8 * slack))
+            for k in range(0, len(own), step):
+                _, doc, start = own[k : k + step].T
                 a = np.maximum(begins[doc], start - 4 * slack)
                 b = np.minimum(ends[doc], start + items.width[item] + 4 * slack)
                 at = a[:, None] + np.arange(items.width[item] + 8 * slack)[None, :]
@@ -257,10 +279,12 @@ def prepare(rows: list[tuple[int, str]], search: Search) -> Items | None:
     order = np.argsort(seeds, kind="stable")
     plain = [text[b : b + w] for b, w in zip(item_begin, width)]
     used = np.flatnonzero(width)
-    strings = np.zeros((len(rows), max(1, width.max())), np.uint8)
-    for i in used:
-        strings[i, : width[i]] = plain[i]
-    keys = _tables(strings[used], width[used], search)
+    keys = np.zeros((len(used), search.tables), np.uint64)
+    for run in by_width(width[used]):
+        strings = np.zeros((len(run), int(width[used[run]].max())), np.uint8)
+        for k, i in enumerate(used[run]):
+            strings[k, : width[i]] = plain[i]
+        keys[run] = _tables(strings, width[used[run]], search)
     by_key = np.argsort(keys.ravel(), kind="stable")
     texts = [t.tobytes().decode() for t in plain]
     return Items(
@@ -378,9 +402,9 @@ def find_leaks(docs: DataFrame, items: Items, search: Search) -> DataFrame:
                     continue
                 text, spans, used, begins, borders = found
                 ids, rows = part.column("key"), {}
-                tried = [piece_windows(text, begins, borders, items, search)]
-                for k in range(0, len(spans), 8192):
-                    doc, start, width = spans[k : k + 8192].T
+                tried = [piece_windows(text, begins, borders, items, search) if search.supplement else np.zeros((0, 4), np.int64)]
+                for run in by_width(spans[:, 2]):
+                    doc, start, width = spans[run].T
                     at = start[:, None] + np.arange(width.max())[None, :]
                     # A window is never moved at its document's borders: what lies beyond them is padding.
                     taken = text[np.clip(at, 0, len(text) - 1)]

@@ -7,6 +7,8 @@ import random
 import re
 
 import duckdb
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from spanloom.llm import queries as q
@@ -138,6 +140,40 @@ def test_leaks(spark, documents, odd):
     assert Search().tables >= 100
 
 
+def test_what_the_sampled_tables_find_alone(spark, documents):
+    """Recall of the LSH without the pieces, over leaks of up to the tolerated share of edits."""
+    rnd = random.Random(8)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(2, 10)))
+    items = [(i, " ".join(word() for _ in range(40))) for i in range(20)]
+    rows = []
+    for i in range(200):
+        text = items[i % 20][1]
+        leak = edited(text, int(len(text) * (0.02, 0.05, 0.08, 0.1)[i % 4]), rnd)
+        rows.append((i, " ".join([*(word() for _ in range(40)), leak, *(word() for _ in range(40))])))
+    table, docs = spark.createDataFrame(items, "item_id long, text string"), documents(rows)
+    alone = {(r.doc_id, r.item_id) for r in leaks(spark, docs, table, Search(supplement=False)).collect()}
+    both = {(r.doc_id, r.item_id) for r in leaks(spark, docs, table).collect()}
+    want = {(i, i % 20) for i in range(200)}
+    assert both == want and alone <= want and len(alone) >= 0.9 * len(want)
+
+
+def test_leaks_of_very_long_and_very_many_items(spark, documents, monkeypatch):
+    from spanloom.llm import decontaminate as dc
+
+    rnd = random.Random(9)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(3, 9)))
+    long = " ".join(word() for _ in range(3000))
+    items = [(-1, long)] + [(i, f"{word()} {word()} {word()} {word()} {i}") for i in range(20_001)]
+    rows = [(1, "before " + edited(long, 300, rnd) + " after"), (2, "x " + items[1][1] + " y"), (3, "x " + items[-1][1] + " y"), (4, "nothing of that kind")]
+    docs, table = documents(rows), spark.createDataFrame(items, "item_id long, text string")
+    assert len(long) > 19_000
+    got = {(r.doc_id, r.item_id) for r in leaks(spark, docs, table).collect()}
+    assert got >= {(1, -1), (2, 0), (3, 20_000)} and all(d != 4 for d, _ in got)
+    monkeypatch.setattr(dc, "RUN_BYTES", 1 << 14)
+    assert all(len(r) == 1 or len(r) * w[r].max() <= 1 << 14 for w in [np.array([5, 9000, 40_000, 1, 0, 700])] for r in dc.by_width(w))
+    assert sorted(i for r in dc.by_width(np.array([5, 9000, 40_000, 1, 0, 700])) for i in r) == list(range(6))
+
+
 def test_leaks_at_borders(spark, documents):
     rnd = random.Random(11)
     word = lambda: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(2, 9)))
@@ -199,6 +235,39 @@ def test_leaks_against_all_pairs(spark, documents):
     assert got == want and (None, 2) in got and (7, 3) in got
 
 
+def test_statistics_equal_plain_python():
+    """Each statistic of 60 texts from its definition, one text at a time."""
+    import math
+    from collections import Counter
+
+    from spanloom.llm import quality
+
+    rnd = random.Random(7)
+    letters = [*"abcXYZ019.,;!?-'\"()[]{}<>@#/\\_=+ \n\t", "é", "中", "  ", "word ", "word "]
+    texts = ["".join(rnd.choice(letters) for _ in range(rnd.randint(0, 400))) for _ in range(56)] + ["", None, " \n ", "one"]
+    got = quality.statistics(pa.array(texts))
+    kinds = quality._KIND
+    for row, text in zip(got, texts):
+        data = (text or "").encode()
+        words = re.split(rb"[\x20\x09-\x0D]+", data)
+        words = [w for w in words if w]
+        n, some, many = len(words), max(1, len(data)), max(1, len(words))
+        sizes = [len(w) for w in words]
+        mean = sum(sizes) / many
+        spread = math.sqrt(max(0.0, sum(x * x for x in sizes) / many - mean * mean))
+        chars = Counter(int(kinds[b]) for b in data)
+        pairs = list(zip(words, words[1:]))
+        want = [
+            math.log1p(n), math.log1p(mean), math.log1p(spread), math.sqrt(chars[1] / max(1, chars[1] + chars[2])),
+            *(math.sqrt(chars[k] / some) for k in (3, 5, 6, 7, 8, 9)),
+            math.log1p(len(set(words))) / math.log1p(many), math.sqrt(sum(a == b for a, b in pairs) / many), math.sqrt(max(Counter(words).values(), default=0) / many),
+            math.sqrt(data.count(b"\n") / some), math.sqrt(sum(x <= 3 for x in sizes) / many), math.log1p(len(set(pairs))) / math.log1p(many),
+        ]
+        assert np.allclose(row, want, atol=1e-9), (text, row, want)
+    # The kinds of bytes: each byte is one kind, and the ones that the statistics name are what they say.
+    assert all(kinds[b] == 1 for b in b"ABCXYZ") and all(kinds[b] == 2 for b in b"abcxyz") and all(kinds[b] == 3 for b in b"0189")
+
+
 def test_quality_equals_the_textbook_formula():
     import numpy as np
 
