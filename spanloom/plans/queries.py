@@ -24,7 +24,7 @@ from spanloom.operators import tracks as tr
 from spanloom.plans import statements as st
 from spanloom.plans.fixtures import view, with_views
 from spanloom.plans.statements import islands
-from spanloom.sources import ranges, sinks, tabular
+from spanloom.sources import bigwig, ranges, sinks, tabular
 from spanloom.sources import tiers as tl
 from spanloom.sources.writer import write_buckets
 
@@ -1381,13 +1381,24 @@ def snk_fasta_wrap(spark, sf):
     f AS (SELECT *, CASE WHEN lag(score) OVER (PARTITION BY seqid ORDER BY start_pos) = score THEN 0 ELSE 1 END AS n FROM c),
     g AS (SELECT *, sum(n) OVER (PARTITION BY seqid ORDER BY start_pos ROWS UNBOUNDED PRECEDING) AS r FROM f)
     SELECT seqid, min(start_pos) - 1 AS start0, max(end_pos) AS end0, min(score) AS score FROM g GROUP BY seqid, r""", "fx_features", "fx_seqs")
-def snk_bigwig(spark, sf):
+def snk_track(spark, sf):
     path = scratch.folder(spark, "track")
     sinks.write_track(tr.run_lengths(tr.density(view(spark, sf, "fx_features"), view(spark, sf, "fx_seqs"), 200)), path)
     c = F.split("value", "\t")
     return spark.read.text(path).select(c[0].alias("seqid"), c[1].cast("long").alias("start0"), c[2].cast("long").alias("end0"), c[3].cast("double").alias("score"))
 
 
+@query(f"""WITH {_density_sql(200)}, c AS (SELECT seqid, start_pos, end_pos, CAST(CAST(score AS FLOAT) AS DOUBLE) AS score FROM dens),
+    f AS (SELECT *, CASE WHEN lag(score) OVER (PARTITION BY seqid ORDER BY start_pos) = score THEN 0 ELSE 1 END AS n FROM c),
+    g AS (SELECT *, sum(n) OVER (PARTITION BY seqid ORDER BY start_pos ROWS UNBOUNDED PRECEDING) AS r FROM f)
+    SELECT seqid, min(start_pos) AS start_pos, max(end_pos) AS end_pos, min(score) AS score FROM g GROUP BY seqid, r""", "fx_features", "fx_seqs")
+def snk_bigwig(spark, sf):
+    path = f"{scratch.folder(spark, 'track')}/density.bw"
+    fine = tr.density(view(spark, sf, "fx_features"), view(spark, sf, "fx_seqs"), 200).withColumn("score", F.col("score").cast("float"))
+    bigwig.write_bigwig(tr.run_lengths(fine), view(spark, sf, "fx_seqs"), path)
+    return bigwig.read_bigwig(spark, path)
+
+
 # Headers, attributes, subtypes and loaders
 
 

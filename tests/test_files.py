@@ -215,3 +215,106 @@ def test_annotation_from_files_equals_that_from_tables(spark):
     tables = plans.annotated(spark, *plans.loaded(plans.source_tables(spark, sf))).collect()
     columns = rs.FINAL
     assert sorted((tuple(r[c] for c in columns) for r in rows), key=repr) == sorted((tuple(r[c] for c in columns) for r in tables), key=repr)
+
+
+def plain_bigwig(data):
+    """An independent reader: walks the file by its offsets; (intervals, zoom levels, summary)."""
+    import struct
+    import zlib
+
+    u = lambda form, at: struct.unpack_from("<" + form, data, at)
+    magic, version, zooms, chroms, full, index, _, _, _, summary, buffer, _ = u("IHHQQQHHQQIQ", 0)
+    assert magic == u("I", len(data) - 4)[0] == 0x888FFC26 and version == 4
+
+    def names(at, key):
+        leaf, _, n = u("BBH", at)
+        for k in range(n):
+            item = at + 4 + k * (key + 8)
+            if leaf:
+                yield u("I", item + key)[0], (data[item : item + key].rstrip(b"\0").decode(), u("I", item + key + 4)[0])
+            else:
+                yield from names(u("Q", item + key)[0], key)
+
+    assert u("I", chroms)[0] == 0x78CA8C91
+    known = dict(names(chroms + 32, u("I", chroms + 8)[0]))
+    assert len(known) == u("Q", chroms + 16)[0]
+
+    def blocks(at, bounds=None):
+        leaf, _, n = u("BBH", at)
+        for k in range(n):
+            item = at + 4 + k * (32 if leaf else 24)
+            a, b, c, d = u("IIII", item)
+            assert bounds is None or (bounds[:2] <= (a, b) and (c, d) <= bounds[2:])
+            if leaf:
+                offset, size = u("QQ", item + 16)
+                raw = zlib.decompress(data[offset : offset + size])
+                assert len(raw) <= buffer
+                yield (a, b, c, d), raw
+            else:
+                yield from blocks(u("Q", item + 16)[0], (a, b, c, d))
+
+    def tree(at):
+        assert u("I", at)[0] == 0x2468ACE0
+        found = list(blocks(at + 48))
+        assert len(found) == u("Q", at + 8)[0] and [x[0] for x in found] == sorted(x[0] for x in found)
+        return found
+
+    rows = []
+    for (a, b, c, d), raw in tree(index):
+        chrom, start, end, _, _, kind, _, n = struct.unpack_from("<IIIIIBBH", raw)
+        own = [struct.unpack_from("<IIf", raw, 24 + 12 * k) for k in range(n)]
+        assert (a, b, c, d) == (chrom, own[0][0], chrom, own[-1][1]) and kind == 1 and len(raw) == 24 + 12 * n
+        rows += [(known[chrom][0], *x) for x in own]
+    levels = []
+    for k in range(zooms):
+        step, _, at, where = u("IIQQ", 64 + 24 * k)
+        own = [(known[r[0]][0], *r[1:]) for _, raw in tree(where) for r in struct.iter_unpack("<IIIIffff", raw)]
+        levels.append((step, own))
+    return rows, levels, u("Qdddd", summary), u("Q", full)[0]
+
+
+def test_binary_tracks(spark, tmp_path, monkeypatch):
+    import random
+
+    import numpy as np
+
+    from spanloom.sources import bigwig
+
+    rnd = random.Random(2)
+    rows, lengths = [], []
+    for k in range(40):
+        at = 1
+        for _ in range(rnd.choice([0, 1, 90])):
+            at += rnd.choice([0, 0, 3])
+            end = at + rnd.randint(0, 30)
+            rows.append((f"chr{k}" + "x" * (k % 3), at, end, round(rnd.random(), 3)))
+            at = end + 1
+        lengths.append((f"chr{k}" + "x" * (k % 3), at + 5))
+    kind = "seqid string, start_pos long, end_pos long, score double"
+    df, sizes = spark.createDataFrame(rows, kind).repartition(4), spark.createDataFrame(lengths, "seqid string, length long")
+    for fan, items in ((256, 1024), (3, 7)):
+        for name, value in (("FAN", fan), ("ITEMS", items), ("RECORDS", items)):
+            monkeypatch.setattr(bigwig, name, value)
+        path = tmp_path / f"t{fan}.bw"
+        bigwig.write_bigwig(df, sizes, str(path))
+        found, levels, summary, count = plain_bigwig(path.read_bytes())
+        single = lambda v: float(np.float32(v))
+        want = sorted((s, a - 1, b, single(v)) for s, a, b, v in rows)
+        assert found == want and count >= 1 and len(levels) == 4
+        bases = sum(b - a for _, a, b, _ in want)
+        assert summary[0] == bases and abs(summary[3] - sum((b - a) * v for _, a, b, v in want)) < 1e-6
+        for step, own in levels:
+            cells = {}
+            for s, a, b, v in want:
+                for p in range(a, b):
+                    cells.setdefault((s, p // step), []).append((p, v))
+            got = {(r[0], r[1] // step): r for r in own}
+            assert set(got) == set(cells) and len(got) == len(own)
+            for key, r in got.items():
+                values = [v for _, v in cells[key]]
+                assert r[1:4] == (cells[key][0][0], cells[key][-1][0] + 1, len(values)) and r[4] == min(values) and r[5] == max(values)
+                assert abs(r[6] - sum(values)) < 1e-3 * len(values) and abs(r[7] - sum(v * v for v in values)) < 1e-3 * len(values)
+        back = sorted(map(tuple, bigwig.read_bigwig(spark, str(path)).collect()))
+        assert back == sorted((s, a + 1, b, v) for s, a, b, v in want)
+    bigwig.write_bigwig(df.limit(0), sizes, str(tmp_path / "e.bw"))
+    assert plain_bigwig((tmp_path / "e.bw").read_bytes())[0] == [] and bigwig.read_bigwig(spark, str(tmp_path / "e.bw")).count() == 0
