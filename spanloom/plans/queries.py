@@ -334,6 +334,16 @@ def flank_clip(spark, sf):
     return pt.flanks(view(spark, sf, "fx_domains"), view(spark, sf, "fx_seqs"), 3000)
 
 
+@query("""WITH n AS (SELECT a.*, length, (SELECT max(b.end_pos) FROM fx_domains b WHERE b.seqid = a.seqid AND b.end_pos < a.start_pos) AS l,
+    (SELECT min(b.start_pos) FROM fx_domains b WHERE b.seqid = a.seqid AND b.start_pos > a.end_pos) AS r, (SELECT max(b.end_pos) FROM fx_small b WHERE b.seqid = a.seqid AND b.end_pos < a.start_pos) AS ml,
+    (SELECT min(b.start_pos) FROM fx_small b WHERE b.seqid = a.seqid AND b.start_pos > a.end_pos) AS mr FROM fx_domains a JOIN fx_seqs USING (seqid)),
+    x AS (SELECT fid, seqid, CASE strand WHEN '-' THEN '3prime' ELSE '5prime' END AS prime, greatest(start_pos - 3000, coalesce(l + 1, 1), coalesce(ml + 1, 1), 1) AS start_pos, start_pos - 1 AS end_pos FROM n
+    UNION ALL SELECT fid, seqid, CASE strand WHEN '-' THEN '5prime' ELSE '3prime' END, end_pos + 1, least(end_pos + 3000, coalesce(r - 1, length), coalesce(mr - 1, length), length) FROM n)
+    SELECT * FROM x WHERE end_pos > start_pos""", "fx_domains", "fx_seqs", "fx_small")
+def flank_clip_masked(spark, sf):
+    return pt.flanks(view(spark, sf, "fx_domains"), view(spark, sf, "fx_seqs"), 3000, view(spark, sf, "fx_small"))
+
+
 @query("""SELECT fid, seqid, greatest(1, start_pos - CASE strand WHEN '-' THEN 70 ELSE 40 END) AS start_pos,
     least(length, end_pos + CASE strand WHEN '-' THEN 40 ELSE 70 END) AS end_pos FROM fx_domains JOIN fx_seqs USING (seqid)""", "fx_domains", "fx_seqs")
 def extend_elements(spark, sf):
