@@ -424,7 +424,7 @@ def containment(spark, sf):
     return ht.containers(_classed(spark, sf))
 
 
-@query(f"WITH RECURSIVE {_CONTAINERS}, {st.greedy('k', 'SELECT qid AS id FROM fx_hits UNION SELECT sid FROM fx_hits', 'SELECT qid, sid FROM edge', 12)} SELECT n.id, n.id IN (SELECT id FROM k) AS kept FROM k_node n", "fx_hits")
+@query(f"WITH RECURSIVE {_CONTAINERS}, {st.greedy('k', 'SELECT qid AS id FROM fx_hits UNION SELECT sid FROM fx_hits', 'SELECT qid, sid FROM edge')} SELECT n.id, n.id IN (SELECT id FROM k) AS kept FROM k_node n", "fx_hits")
 def containment_greedy(spark, sf):
     hits = view(spark, sf, "fx_hits")
     ids = hits.select(F.col("qid").alias("id")).union(hits.select("sid")).distinct()
@@ -454,7 +454,7 @@ _DIMERS = """z AS (SELECT cluster, min(length // 2) < 12 AS short FROM fx_member
         AND least(a.length, b.length) >= 0.95 * greatest(a.length, b.length) AND (b.length > a.length OR b.length = a.length AND h.sid < h.qid))"""
 
 
-@query(f"""WITH RECURSIVE {_DIMERS}, {st.greedy('k', 'SELECT id FROM fx_members', 'SELECT qid, sid FROM p', 24)},
+@query(f"""WITH RECURSIVE {_DIMERS}, {st.greedy('k', 'SELECT id FROM fx_members', 'SELECT qid, sid FROM p')},
     l AS (SELECT qid, arg_min(sid, {{'l': -lb, 's': sid}}) AS rep FROM p WHERE sid IN (SELECT id FROM k) GROUP BY qid)
     SELECT cluster, id, id IN (SELECT id FROM k) AS kept, CASE WHEN id IN (SELECT id FROM k) THEN id ELSE rep END AS representative FROM fx_members LEFT JOIN l ON l.qid = id""", "fx_members", "fx_hits")
 def dimer_setcover(spark, sf):
@@ -465,7 +465,7 @@ _RIVALS = """SELECT a.fid AS qid, b.fid AS sid FROM fx_small a JOIN fx_small b O
     AND {'s': -(b.fid % 100), 'w': -(b.end_pos - b.start_pos), 'i': b.fid} < {'s': -(a.fid % 100), 'w': -(a.end_pos - a.start_pos), 'i': a.fid}"""
 
 
-@query(f"WITH RECURSIVE {st.greedy('k', 'SELECT fid AS id FROM fx_small', _RIVALS, 24)} SELECT seqid, start_pos, end_pos, fid AS id, CAST(fid % 100 AS DOUBLE) AS score FROM fx_small WHERE fid IN (SELECT id FROM k)", "fx_small")
+@query(f"WITH RECURSIVE {st.greedy('k', 'SELECT fid AS id FROM fx_small', _RIVALS)} SELECT seqid, start_pos, end_pos, fid AS id, CAST(fid % 100 AS DOUBLE) AS score FROM fx_small WHERE fid IN (SELECT id FROM k)", "fx_small")
 def cross_subtype(spark, sf):
     small = view(spark, sf, "fx_small")
     return ht.best_scoring(spark, small.select("seqid", "start_pos", "end_pos", F.col("fid").alias("id"), (F.col("fid") % 100).cast("double").alias("score")))
@@ -1014,11 +1014,7 @@ def within_tier(spark, sf):
     return rs.within_tier(view(spark, sf, "fx_tiers").filter("source_tier = 2"))
 
 
-#: Longer than any chain of ever shorter overlapping rows of tier 1 in the fixtures up to sf0.01.
-LEVELS = 16
-
-
-@query(f"WITH RECURSIVE t AS (SELECT * FROM fx_tiers WHERE source_tier = 1), {st.longest_first('w', 't', LEVELS)} SELECT * FROM w", "fx_tiers")
+@query(f"WITH RECURSIVE t AS (SELECT * FROM fx_tiers WHERE source_tier = 1), {st.longest_first('w', 't')} SELECT * FROM w", "fx_tiers")
 def tier1_greedy(spark, sf):
     rows = view(spark, sf, "fx_tiers").filter("source_tier = 1")
     return rs.longest_first(spark, rows.unionByName(rows.filter("fid % 10 = 0")))  # repeated rows count once
@@ -1050,7 +1046,7 @@ def te_derived_defaults(spark, sf):
     return rs.te_derived(at, elements)
 
 
-_RESOLVED = f"WITH RECURSIVE th6 AS (SELECT * FROM fx_tiers WHERE source_tier = 6 AND seqid <> 'chr5'), {st.tier_resolve('fx_tiers', 'th6', 'fx_tandem_members', LEVELS)}, {st.finalised()}"
+_RESOLVED = f"WITH RECURSIVE th6 AS (SELECT * FROM fx_tiers WHERE source_tier = 6 AND seqid <> 'chr5'), {st.tier_resolve('fx_tiers', 'th6', 'fx_tandem_members')}, {st.finalised()}"
 
 
 @query(f"{_RESOLVED} SELECT * FROM final", "fx_tiers", "fx_tandem_members")

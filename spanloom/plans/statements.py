@@ -67,37 +67,42 @@ def _levels(p: str, nodes: str) -> str:
     {p}level AS MATERIALIZED (SELECT k, max(l) AS l FROM {p}lv GROUP BY k)"""
 
 
-def longest_first(out: str, rows: str, levels: int, least: int = 50) -> str:
-    """``out``: longer rows whole, shorter ones without what kept ones cover, for chains of at most ``levels`` rows."""
+def longest_first(out: str, rows: str, least: int = 50) -> str:
+    """``out``: longer rows whole, shorter ones without what kept ones cover, level after level until none is left.
+
+    Each row of a level gives its pieces and one row that isn't kept, so no level is empty.
+    """
     p = f"{out}_"
     rank = "{{'w': -({x}.end_pos - {x}.start_pos), 'fid': {x}.fid, 's': {x}.start_pos}}"
     key = "{{'fid': {x}.fid, 's': {x}.start_pos}}"
-    sql = f"""
+    kept = "name, classification, source_tool, source_tier, element_type, structure, copy_number"
+    piece = "{{'s': {s}, 'e': {e}, 'k': {e} >= {s} AND (cs IS NULL OR {e} - {s} + 1 >= {least})}}"
+    first = piece.format(s="start_pos", e="coalesce(cs - 1, end_pos)", least=least)
+    after = piece.format(s="ce + 1", e="coalesce(nx - 1, end_pos)", least=least)
+    return f"""
     {p}edge AS MATERIALIZED (SELECT {key.format(x='a')} AS lo, {key.format(x='b')} AS hi FROM {rows} a JOIN {rows} b ON a.seqid = b.seqid AND a.start_pos <= b.end_pos AND b.start_pos <= a.end_pos AND {rank.format(x='b')} < {rank.format(x='a')}),
     {_levels(p, f"SELECT {key.format(x='r')} AS k FROM {rows} r")},
-    {p}k0 AS MATERIALIZED (SELECT r.* FROM {rows} r JOIN {p}level v ON v.k = {key.format(x='r')} WHERE l = 0)"""
-    for n in range(1, levels):
-        sql += f""",
-    {p}c{n} AS MATERIALIZED (SELECT r.*, h.start_pos AS cs, h.end_pos AS ce FROM {rows} r JOIN {p}level v ON v.k = {key.format(x='r')} AND l = {n} LEFT JOIN {p}k{n - 1} h ON h.seqid = r.seqid AND h.start_pos <= r.end_pos AND r.start_pos <= h.end_pos),
-    {p}p{n} AS (SELECT * REPLACE (coalesce(cs - 1, end_pos) AS end_pos), cs IS NOT NULL AS cut FROM (SELECT *, row_number() OVER (PARTITION BY fid, start_pos ORDER BY cs) AS r FROM {p}c{n}) WHERE r = 1
-        UNION ALL SELECT * REPLACE (ce + 1 AS start_pos, coalesce(lead(cs) OVER (PARTITION BY fid, start_pos ORDER BY cs) - 1, end_pos) AS end_pos), 2 AS r, true AS cut FROM {p}c{n} WHERE cs IS NOT NULL),
-    {p}k{n} AS MATERIALIZED (SELECT {ROW} FROM {p}k{n - 1} UNION ALL SELECT fid, seqid, start_pos, end_pos, CASE WHEN cut THEN '*' ELSE strand END, name, classification, source_tool, source_tier, element_type, structure, copy_number
-        FROM {p}p{n} WHERE start_pos <= end_pos AND (NOT cut OR end_pos - start_pos + 1 >= {least}))"""
-    return f"{sql},\n    {out} AS (SELECT {ROW} FROM {p}k{levels - 1})"
-
-
-def greedy(out: str, nodes: str, edges: str, levels: int) -> str:
-    """``out`` (id): nodes that stay when a node goes with a kept earlier partner, for chains of at most ``levels`` nodes."""
+    {p}k({ROW}, l, kept) USING KEY (fid, start_pos, l, kept) AS (
+        SELECT {ROW}, 0, true FROM (SELECT r.* FROM {rows} r JOIN {p}level v ON v.k = {key.format(x='r')} WHERE l = 0)
+        UNION SELECT fid, seqid, x.s, x.e, CASE WHEN cs IS NULL THEN strand ELSE '*' END, {kept}, l, x.k FROM (
+            SELECT *, unnest([CASE WHEN rn = 1 THEN {first} END, CASE WHEN cs IS NOT NULL THEN {after} END, {{'s': -start_pos, 'e': end_pos, 'k': false}}]) AS x FROM (
+                SELECT *, row_number() OVER (PARTITION BY fid, start_pos ORDER BY cs) AS rn, lead(cs) OVER (PARTITION BY fid, start_pos ORDER BY cs) AS nx FROM (
+                    SELECT r.*, n.l, h.start_pos AS cs, h.end_pos AS ce FROM (SELECT max(l) + 1 AS l FROM {p}k) n JOIN {p}level v ON v.l = n.l JOIN {rows} r ON v.k = {key.format(x='r')}
+                    LEFT JOIN recurring.{p}k h ON h.kept AND h.seqid = r.seqid AND h.start_pos <= r.end_pos AND r.start_pos <= h.end_pos))) WHERE x IS NOT NULL),
+    {out} AS MATERIALIZED (SELECT {ROW} FROM {p}k WHERE kept)"""
+
+
+def greedy(out: str, nodes: str, edges: str) -> str:
+    """``out`` (id): nodes that stay when a node goes with a kept earlier partner, level after level until none is left."""
     p = f"{out}_"
-    sql = f"""
+    return f"""
     {p}node AS MATERIALIZED ({nodes}),
     {p}edge AS MATERIALIZED (SELECT DISTINCT qid AS lo, sid AS hi FROM ({edges}) WHERE sid IN (SELECT id FROM {p}node)),
     {_levels(p, f'SELECT id AS k FROM {p}node')},
-    {p}k0 AS MATERIALIZED (SELECT k AS id FROM {p}level WHERE l = 0)"""
-    for n in range(1, levels):
-        sql += f""",
-    {p}k{n} AS MATERIALIZED (SELECT id FROM {p}k{n - 1} UNION ALL SELECT k FROM {p}level WHERE l = {n} AND k NOT IN (SELECT e.lo FROM {p}edge e JOIN {p}k{n - 1} x ON x.id = e.hi))"""
-    return f"{sql},\n    {out} AS (SELECT id FROM {p}k{levels - 1})"
+    {p}k(id, l, kept) USING KEY (id) AS (
+        SELECT k, l, true FROM {p}level WHERE l = 0
+        UNION SELECT v.k, v.l, NOT bool_or(coalesce(r.kept, false)) FROM (SELECT max(l) + 1 AS l FROM {p}k) n JOIN {p}level v ON v.l = n.l JOIN {p}edge e ON e.lo = v.k LEFT JOIN recurring.{p}k r ON r.id = e.hi GROUP BY v.k, v.l),
+    {out} AS (SELECT id FROM {p}k WHERE kept)"""
 
 
 def te_derived(out: str, arrays: str, elements: str, least: int, depth: int, share: float) -> str:
@@ -118,7 +123,7 @@ def overlapping(a: str, b: str, within: bool = False) -> str:
     return f"(SELECT l.fid FROM {a} l SEMI JOIN {b} x ON x.seqid = l.seqid AND {meets})"
 
 
-def tier_resolve(rows: str, evidence: str, members: str, levels: int) -> str:
+def tier_resolve(rows: str, evidence: str, members: str) -> str:
     """``resolved``: level-1 and level-2 rows of all tiers, with te_origin, te_origin_structure, level and pool."""
     plain = "CAST(NULL AS VARCHAR) AS te_origin, CAST(NULL AS VARCHAR) AS te_origin_structure"
     parts = [
@@ -129,7 +134,7 @@ def tier_resolve(rows: str, evidence: str, members: str, levels: int) -> str:
         "won AS MATERIALIZED (SELECT r3.*, te_origin FROM r3 JOIN ted USING (source_tool, name))",
         "cont AS (SELECT * FROM r1 WHERE structure = 'LTR_RT_TR')",
         "open3 AS MATERIALIZED (SELECT r3.* FROM r3 ANTI JOIN ted USING (source_tool, name))",
-        trim("t1a", "r1", "won"), longest_first("t1", "t1a", levels),
+        trim("t1a", "r1", "won"), longest_first("t1", "t1a"),
         "r2 AS (SELECT * FROM r WHERE source_tier = 2)", trim("t2a", "r2", "won"), trim("t2b", "t2a", "t1"), within_tier("t2", "t2b"),
         "ltr AS MATERIALIZED (SELECT * FROM t1 WHERE source_tool = 'DANTE_LTR')",
         "def AS MATERIALIZED (SELECT * FROM open3 WHERE source_tool = 'TideCluster_default')",
