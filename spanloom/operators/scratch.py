@@ -27,13 +27,33 @@ def settled(spark: SparkSession, df: DataFrame) -> DataFrame:
     """
     path = folder(spark, "settled")
     df.write.parquet(path)
+    made(spark).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def made(spark: SparkSession) -> list[str]:
+    """Paths of the tables that :func:`settled` wrote in this session."""
+    if not hasattr(spark, "_spanloom_made"):
+        spark._spanloom_made = []
+    return spark._spanloom_made
+
+
+def _delete(spark: SparkSession, name: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def dropped(spark: SparkSession, df: DataFrame) -> None:
     """Delete the files of a table made by :func:`settled` that no later plan reads."""
-    conf, jvm = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm
     for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
         if "/settled-" in name:
-            path = jvm.org.apache.hadoop.fs.Path(name)
-            path.getFileSystem(conf).delete(path, True)
+            _delete(spark, name)
+
+
+def released(spark: SparkSession, since: int, result: DataFrame) -> DataFrame:
+    """A settled ``result``, after all other tables that :func:`made` has from place ``since`` on are deleted."""
+    kept = {f.rsplit("/", 1)[0].rsplit("/", 1)[-1] for f in result.inputFiles()}
+    for path in made(spark)[since:]:
+        if path.rsplit("/", 1)[-1] not in kept:
+            _delete(spark, path)
+    return result
