@@ -5,9 +5,10 @@ from __future__ import annotations
 import hashlib
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,6 +85,52 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
+#: Bits of an id filter, whatever the number of ids (8 MB).
+FILTER_BITS = 26
+
+
+class IdFilter:
+    """A bitmap of fixed size that has a bit for each id of a table, to pass by most other rows before a shuffle.
+
+    What passes may still be no id of the table, so an exact join follows; ids of the table always pass.
+    """
+
+    def __init__(self, ids: DataFrame):
+        (column,) = ids.columns
+
+        def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                at = self.places(batch.column(0).to_numpy())
+                mask = (np.uint64(1) << (at & np.uint64(63))).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array((at >> np.uint64(6)).astype(np.int64)), pa.array(mask)], ["word", "mask"])
+
+        rows = ids.filter(F.col(column).isNotNull()).select(F.col(column).cast("long")).mapInArrow(words, "word long, mask long")
+        found = rows.groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
+        bits = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
+        bits[found.column("word").to_numpy()] = found.column("mask").to_numpy().view(np.uint64)
+        self.bits = ids.sparkSession.sparkContext.broadcast(bits)
+
+    @staticmethod
+    def places(ids: np.ndarray) -> np.ndarray:
+        return mixed(np.ascontiguousarray(ids).view(np.uint64)) >> np.uint64(64 - FILTER_BITS)
+
+    def test(self) -> Callable[[np.ndarray], np.ndarray]:
+        """A function for tasks: which of some non-null ids may be in the table."""
+        bits, places = self.bits, self.places
+
+        def maybe(ids: np.ndarray) -> np.ndarray:
+            at = places(ids)
+            return (bits.value[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+
+        return maybe
+
+    def column(self, ids: Column) -> Column:
+        """Whether an id may be in the table; a null one may."""
+        maybe = self.test()
+        tested = F.pandas_udf(lambda x: pd.Series(maybe(x.to_numpy())), "boolean")
+        return ids.isNull() | tested(F.coalesce(ids.cast("long"), F.lit(0).cast("long")))
+
+
 class _Powers:
     """Powers of the odd hash base and of its inverse modulo 2**64, grown on demand."""
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanloom.llm.common import dropped, mixed, shingle_hashes, slices, stored
+from spanloom.llm.common import IdFilter, dropped, mixed, shingle_hashes, slices, stored
 from spanloom.llm.graph import components
 
 #: Members of a centre that one task compares, and bytes of their differences.
@@ -108,11 +108,14 @@ def sketches(docs: DataFrame, words: int, size: int, rows: int, digest: bool = F
 SETS = "doc_id long, set_a long, set_b long, tokens array<long>"
 
 
-def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
-    """The shingle hashes of every document, sorted, beside the key of the set."""
+def shingle_sets(docs: DataFrame, words: int, wanted: IdFilter | None = None) -> DataFrame:
+    """The shingle hashes of every document, sorted, beside the key of the set; with ``wanted`` only of ids that may be in it."""
+    maybe = wanted.test() if wanted else None
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if maybe:
+                batch = batch.filter(pa.array(maybe(batch.column("doc_id").to_numpy())))
             for part in slices(batch, "text", 1 << 19):
                 hashes, offsets = shingle_hashes(part.column("text"), words)
                 tokens = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(hashes.view(np.int64)))
@@ -350,8 +353,8 @@ def near_groups(
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # Rows without an id can't be told apart: of each of their texts one is read.
     nameless = texts.filter("doc_id IS NULL AND text IS NOT NULL").withColumn("_t", F.sha2(F.col("text").cast("binary"), 256)).dropDuplicates(["_t"])
-    texts = texts.join(needed.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").unionByName(nameless.drop("_t"))
-    texts = shingle_sets(texts, words)
+    # Most other rows are passed by before anything is shuffled; the join below is exact.
+    texts = shingle_sets(texts.filter("doc_id IS NOT NULL"), words, IdFilter(needed.select("rep"))).unionByName(shingle_sets(nameless.drop("_t"), words))
     same = texts["doc_id"].eqNullSafe(needed["rep"]) & (texts["set_a"] == needed["set_a"]) & (texts["set_b"] == needed["set_b"])
     sets = texts.join(needed, same).select(F.col("node").alias("b"), "tokens")
     found = stored(spark, compared(dealt.join(sets, "b"), percent), "compared")
@@ -403,5 +406,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, words: int = 5, perce
     """
     found = near_groups(spark, docs, words, percent, digest=True)
     gone = stored(spark, found.filter("NOT lead").select(F.col("doc_id").alias("_id"), "digest"), "gone")
+    # Rows whose id isn't among those to go stay without being shuffled.
+    maybe = IdFilter(gone.select("_id")).column(docs["doc_id"])
     same = docs["doc_id"].cast("long").eqNullSafe(gone["_id"]) & (_digest(docs["text"]) == gone["digest"])
-    return docs.join(gone, same, "left_anti")
+    return docs.filter(~maybe).unionByName(docs.filter(maybe).join(gone, same, "left_anti"))
