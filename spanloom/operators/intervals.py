@@ -83,15 +83,15 @@ def overlap_join(a: DataFrame, b: DataFrame, size: int = PAIR_BIN, within: bool
     return joined.withColumn("overlap_bp", F.least("end_pos_a", "end_pos_b") - later + 1)
 
 
-def overlapping(a: DataFrame, b: DataFrame, key: str, size: int = PAIR_BIN, within: bool = False) -> DataFrame:
-    """The keys of rows of ``a`` that overlap (or lie within) any row of ``b``, once each."""
+def overlapping(a: DataFrame, b: DataFrame, key: str, size: int = PAIR_BIN, within: bool = False, seqids: bool = False) -> DataFrame:
+    """The keys of rows of ``a`` that overlap (or lie within) any row of ``b``, once each; with ``seqids`` beside their seqid."""
     left = in_bins(a.select(F.col(key), "seqid", F.col("start_pos").alias("_s"), F.col("end_pos").alias("_e")).withColumnsRenamed({"_s": "start_pos", "_e": "end_pos"}), size)
     right = in_bins(b.select("seqid", "start_pos", "end_pos"), size).toDF("_seqid", "_s", "_e", "_bin")
     meets = (F.col("start_pos") <= F.col("_e")) & (F.col("_s") <= F.col("end_pos"))
     if within:
         meets = (F.col("start_pos") >= F.col("_s")) & (F.col("end_pos") <= F.col("_e"))
     on = (F.col("seqid") == F.col("_seqid")) & (F.col("bin") == F.col("_bin")) & meets
-    return left.join(right, on, "left_semi").select(key).distinct()
+    return left.join(right, on, "left_semi").select(key, *(["seqid"] if seqids else [])).distinct()
 
 
 def overlap_semi(a: DataFrame, b: DataFrame, key: str, size: int = PAIR_BIN, within: bool = False) -> DataFrame:
@@ -148,12 +148,12 @@ def trim(
     """
     spark = lower.sparkSession
     high = higher.select("seqid", "start_pos", "end_pos") if reduced else settled(spark, reduce_intervals(higher))
-    hit = settled(spark, overlapping(lower, high, key))  # read twice below
-    marked = lower.join(hit.withColumn("_trimmed", F.lit(True)), key, "left").withColumn("_trimmed", F.coalesce("_trimmed", F.lit(False)))
-    marked = settled(spark, marked)
-    seqids = marked.filter("_trimmed").select("seqid").distinct()
-    untouched = marked.join(seqids, "seqid", "left_anti")
-    found = uncovered(marked.join(seqids, "seqid", "left_semi"), high.join(seqids, "seqid", "left_semi"), key, size)
+    hit = settled(spark, overlapping(lower, high, key, seqids=True))  # read three times below
+    seqids = hit.select("seqid").distinct()
+    untouched = lower.join(seqids, "seqid", "left_anti")
+    marks = hit.select(F.col(key), F.lit(True).alias("_trimmed")).distinct()
+    marked = lower.join(seqids, "seqid", "left_semi").join(marks, key, "left").withColumn("_trimmed", F.coalesce("_trimmed", F.lit(False)))
+    found = uncovered(marked, high.join(seqids, "seqid", "left_semi"), key, size)
     found = found.filter(~F.col("_trimmed") | (F.col("end_pos") - F.col("start_pos") + 1 >= min_len))
     if "strand" in lower.columns:
         found = found.withColumn("strand", F.when(F.col("_trimmed"), F.lit("*")).otherwise(F.col("strand")))
