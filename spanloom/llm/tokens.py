@@ -60,32 +60,34 @@ def _joined(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     return np.fromiter(chain.from_iterable(ids), np.uint32, int(ends[-1])), ends
 
 
+def same_bytes(data: np.ndarray, begin: np.ndarray, other: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the spans of ``size`` bytes from ``begin`` in ``data`` and from ``at`` in ``other`` are equal."""
+    lanes, others = octets(data), octets(other)
+    same = np.ones(len(size), bool)
+    on, done = np.flatnonzero(size > 0), 0
+    while len(on):
+        short = np.uint64(8) * np.maximum(8 - (size[on] - done), 0).astype(np.uint64)
+        same[on] &= (lanes[begin[on] + done] ^ others[at[on] + done]) << short == 0
+        done += 8
+        on = on[(size[on] > done) & same[on]]
+    return same
+
+
 def distinct_words(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """One occurrence of each distinct word, and for every word the index of its own.
 
     Words meet by hash; a word whose bytes differ from its first occurrence's counts as distinct.
     """
     _, first, back = np.unique(word_hashes(data, begin, end), return_index=True, return_inverse=True)
-    lanes, lead = octets(data), begin[first][back]
     size = end - begin
     same = size == size[first][back]
-    on, at = np.flatnonzero(same & (size > 0)), 0
-    while len(on):
-        short = np.uint64(8) * np.maximum(8 - (size[on] - at), 0).astype(np.uint64)
-        same[on] &= (lanes[begin[on] + at] ^ lanes[lead[on] + at]) << short == 0
-        at += 8
-        on = on[(size[on] > at) & same[on]]
+    on = np.flatnonzero(same)
+    same[on] = same_bytes(data, begin[on], data, begin[first][back[on]], size[on])
     odd = np.flatnonzero(~same)
     back[odd] = len(first) + np.arange(len(odd))
     return np.concatenate((first, odd)), back
 
 
-#: A lower-case word of ASCII or Latin-1 letters; more bytes may not follow it.
-_LETTERS = rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+"
-_PARTS = re.compile(rb"%b(?=[!-&(-@\[-`{-~]|\Z)|[!-&(-@\[-`{-~]+(?=[a-z]|\xc3[\x9f-\xb6\xb8-\xbf]|\Z)|.+" % _LETTERS, re.S)
-_PLAIN = re.compile(_LETTERS)
-
-
 def _byte_letters() -> str:
     """The byte-level alphabet: printable bytes stand for themselves, others follow from 256."""
     shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -93,28 +95,60 @@ def _byte_letters() -> str:
     return "".join(chr(b) if b in shown else chr(next(spare)) for b in range(256))
 
 
+# What the bytes of a lower-cased text are: blanks, letters (a-z), other printable ASCII without the apostrophe, the rest.
+_SPACE, _LETTER, _SIGN, _REST = range(4)
+_CLASS = np.full(256, _REST, np.uint8)
+_CLASS[33:127] = _SIGN
+_CLASS[ord("'")] = _REST
+_CLASS[97:123] = _LETTER
+_CLASS[[32, *range(9, 14)]] = _SPACE
+#: Second bytes of lower-case Latin-1 letters; the first one is 0xC3.
+_LATIN = np.zeros(256, bool)
+_LATIN[[*range(0x9F, 0xB7), *range(0xB8, 0xC0)]] = True
+
+
+def part_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the parts of each text's words, and which parts are runs of letters.
+
+    A word of lower-case ASCII and Latin-1 letters and of ASCII signs without the apostrophe is cut into runs of
+    letters and runs of signs, as the splitter never joins the two. Any other word is one part.
+    """
+    kind = _CLASS[data]
+    lead = np.flatnonzero(data[:-1] == 0xC3)
+    lead = lead[_LATIN[data[lead + 1]]]
+    kind[lead] = kind[lead + 1] = _LETTER
+    solid = kind != _SPACE
+    begin, end, _ = word_spans(data, offsets, solid)
+    if not len(begin):
+        return begin, end, np.zeros(0, bool)
+    plain = ~np.logical_or.reduceat(kind == _REST, begin)
+    turn = np.flatnonzero((kind[1:] != kind[:-1]) & solid[1:] & solid[:-1]) + 1
+    word = np.searchsorted(begin, turn, "right") - 1
+    turn = turn[plain[word] & (turn > begin[word])]
+    parts = np.sort(np.concatenate((begin, turn)))
+    letters = plain[np.searchsorted(begin, parts, "right") - 1] & (kind[parts] == _LETTER)
+    return parts, np.sort(np.concatenate((end, turn))), letters
+
+
 class WordEncoder(JsonEncoder):
     """A tokenizer that lower-cases, drops white space and never joins across it.
 
-    Then a text's ids are those of its blank-separated words in order. Each distinct word
-    of a batch is looked up once, by its bytes; words that were met before keep their ids. The
-    memory of words is bounded and begun anew when full, so any vocabulary gives the same ids.
+    Then a text's ids are those of the parts of its blank-separated words in order. Each distinct part
+    of a batch is looked up once, by its bytes. The first KEPT short parts that a worker meets keep their ids,
+    in arrays; other parts are encoded again in each batch, so any vocabulary gives the same ids.
     """
 
-    #: Words kept by one worker process (about 500 bytes each).
-    KEPT = 120_000
+    #: Parts kept by one worker process (about 60 bytes each), and the bytes of the longest one kept.
+    KEPT, SHORT = 400_000, 32
 
     def __init__(self, path: str):
         super().__init__(path)
         self.model = self.tokenizer.model
         self.alphabet = {b: c for b, c in enumerate(_byte_letters())}
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.parts: dict[bytes, list[int]] = {}
-        self.start = np.zeros(1, np.int64)
-        self.flat = np.zeros(0, np.uint32)
+        self.hashes = np.zeros(0, np.uint64)  # of the kept parts, sorted
+        self.place = np.zeros(0, np.int64)  # their numbers, in order of arrival
+        self.bytes, self.begin = np.zeros(0, np.uint8), np.zeros(1, np.int64)
+        self.flat, self.start = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
     @staticmethod
     def fits(path: str) -> bool:
@@ -131,47 +165,71 @@ class WordEncoder(JsonEncoder):
             and [r.get("type") for r in rest] == ["ByteLevel"]
         )
 
-    def _part(self, part: bytes) -> list[int]:
-        ids = self.parts.get(part)
-        if ids is None:
-            if _PLAIN.fullmatch(part):
-                ids = [t.id for t in self.model.tokenize(part.decode("latin-1").translate(self.alphabet))]
-            else:
-                ids = self.ids([part.decode()])[0]
-            if len(self.parts) < self.KEPT // 3:
-                self.parts[part] = ids
-        return ids
+    def _encoded(self, parts: list[bytes], letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of parts one after another, and where each one's start and end."""
+        tokenize, alphabet = self.model.tokenize, self.alphabet
+        shown = (p.decode() if p.isascii() else p.decode("latin-1").translate(alphabet) for p in parts)
+        found = [[t.id for t in tokenize(p)] if own else [] for p, own in zip(shown, letters.tolist())]
+        others = np.flatnonzero(~letters).tolist()
+        for k in range(0, len(others), 1000):
+            some = others[k : k + 1000]
+            for i, ids in zip(some, self.ids([parts[i].decode() for i in some])):
+                found[i] = ids
+        return _joined(found)
 
-    def _word(self, word: bytes) -> list[int]:
-        """Ids of one word, from parts that the splitter always separates."""
-        parts = _PARTS.findall(word)
-        return self._part(word) if len(parts) == 1 else [i for p in parts for i in self._part(p)]
+    def _kept(self, data: np.ndarray, hashes: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """The numbers of parts among the kept ones, -1 for others."""
+        out = np.full(len(hashes), -1, np.int64)
+        if len(self.hashes):
+            at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+            own = self.place[at]
+            on = np.flatnonzero((self.hashes[at] == hashes) & (np.diff(self.begin)[own] == size))
+            on = on[same_bytes(data, begin[on], self.bytes, self.begin[own[on]], size[on])]
+            out[on] = own[on]
+        return out
+
+    def _keep(self, hashes: np.ndarray, parts: list[bytes], ids: np.ndarray, ends: np.ndarray) -> None:
+        """Keep new parts while there is room; of parts with one hash only the first is kept."""
+        short = np.flatnonzero(np.fromiter(map(len, parts), np.int64, len(parts)) <= self.SHORT)
+        short = short[np.searchsorted(self.hashes, hashes[short]) == np.searchsorted(self.hashes, hashes[short], "right")]
+        short = short[np.sort(np.unique(hashes[short], return_index=True)[1])][: self.KEPT - len(self.hashes)]
+        if not len(short):
+            return
+        n, taken = len(self.hashes), [parts[i] for i in short.tolist()]
+        size = np.diff(ends)[short]
+        stops = np.cumsum(size)
+        own = ids[np.arange(stops[-1]) + np.repeat(ends[short] - (stops - size), size)]
+        self.begin = np.concatenate((self.begin, self.begin[-1] + np.cumsum(list(map(len, taken)))))
+        self.bytes = np.concatenate((self.bytes, np.frombuffer(b"".join(taken), np.uint8)))
+        self.start, self.flat = np.concatenate((self.start, self.start[-1] + stops)), np.concatenate((self.flat, own))
+        hashes = np.concatenate((self.hashes, hashes[short]))
+        order = np.argsort(hashes)
+        self.hashes, self.place = hashes[order], np.concatenate((self.place, n + np.arange(len(short))))[order]
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         data, offsets = text_bytes(column)
         data = LOWER[data]
-        begin, end, owner = word_spans(data, offsets)
+        begin, end, letters = part_spans(data, offsets)
         if not len(begin):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
         first, back = distinct_words(data, begin, end)
-        if len(self.known) + len(first) > self.KEPT:
-            self._forget()
+        hashes, at, size = word_hashes(data, begin[first], end[first]), begin[first], (end - begin)[first]
+        own = self._kept(data, hashes, at, size)
+        new = np.flatnonzero(own < 0)
         flat = data.tobytes()
-        words = [flat[b:e] for b, e in zip(begin[first].tolist(), end[first].tolist())]
-        at = np.array([self.known.get(w, -1) for w in words], np.int64)
-        new = np.flatnonzero(at < 0)
-        if len(new):
-            ids, ends = _joined([self._word(words[i]) for i in new])
-            at[new] = np.arange(len(self.known), len(self.known) + len(new))
-            self.known.update(zip((words[i] for i in new), at[new].tolist()))
-            self.start = np.concatenate((self.start, self.start[-1] + ends[1:]))
-            self.flat = np.concatenate((self.flat, ids))
-        at = at[back]
-        size = self.start[at + 1] - self.start[at]
-        ends = np.cumsum(size)
-        ids = self.flat[np.arange(ends[-1]) + np.repeat(self.start[at] - (ends - size), size)]
-        per_text = np.bincount(owner, size, minlength=len(offsets) - 1).astype(np.int64)
-        return ids, np.concatenate(([0], np.cumsum(per_text)))
+        parts = [flat[b:e] for b, e in zip(at[new].tolist(), (at + size)[new].tolist())]
+        ids, ends = self._encoded(parts, letters[first[new]])
+        start, count = np.zeros(len(first), np.int64), np.zeros(len(first), np.int64)
+        met = np.flatnonzero(own >= 0)
+        start[met], count[met] = self.start[own[met]], np.diff(self.start)[own[met]]
+        start[new], count[new] = len(self.flat) + ends[:-1], np.diff(ends)
+        flat = np.concatenate((self.flat, ids))
+        if len(self.hashes) < self.KEPT:
+            self._keep(hashes[new], parts, ids, ends)
+        size, start = count[back], start[back]
+        stops = np.cumsum(size)
+        ids = flat[np.arange(stops[-1]) + np.repeat(start - (stops - size), size)]
+        return ids, np.concatenate(([0], stops))[np.searchsorted(begin, offsets)]
 
 
 #: Longer texts are encoded in parts.

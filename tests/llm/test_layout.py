@@ -34,6 +34,45 @@ def test_word_encoder_tells_crafted_words_apart():
     assert got[0].tolist() == want[0].tolist() and got[1].tolist() == want[1].tolist()
 
 
+def test_word_encoder_keeps_its_first_parts_when_a_batch_has_more(monkeypatch):
+    from spanloom.llm.tokens import WordEncoder
+
+    class Counted:
+        def __init__(self, model):
+            self.model, self.asked = model, []
+
+        def tokenize(self, part):
+            self.asked.append(part)
+            return self.model.tokenize(part)
+
+    monkeypatch.setattr(WordEncoder, "KEPT", 50)
+    encoder = WordEncoder(WORDS)
+    encoder.model = Counted(encoder.model)
+    texts = pa.array([" ".join("x" + chr(97 + i // 26) + chr(97 + i % 26) for i in range(n)) for n in (100, 70)])
+    first = encoder.encode(texts)
+    assert len(encoder.model.asked) == 100
+    again = encoder.encode(texts)
+    assert len(encoder.model.asked) == 150 and (first[0] == again[0]).all() and (first[1] == again[1]).all()
+
+
+def test_word_encoder_with_full_memory_and_equal_hashes(monkeypatch):
+    from spanloom.llm import tokens
+
+    rnd = random.Random(3)
+    words = ["alpha", "Über", "a,b", "don't", "x" * 40, "12.5", "été!", "中文", "wörter-bücher", "ab", "abc", "…", "q" * 33 + "."]
+    batches = [[" ".join(rnd.choice(words) + rnd.choice(["", ".", "ed", "é"]) for _ in range(rnd.randint(0, 9))) for _ in range(20)] + [None, "", " "] for _ in range(12)]
+    whole = JsonEncoder(WORDS)
+    for kept, hashes in ((0, None), (7, None), (400, None), (400, lambda data, b, e: (e - b).astype(np.uint64) % np.uint64(5)), (400, lambda data, b, e: np.zeros(len(b), np.uint64))):
+        monkeypatch.setattr(tokens.WordEncoder, "KEPT", kept)
+        if hashes:
+            monkeypatch.setattr(tokens, "word_hashes", hashes)
+        encoder = tokens.WordEncoder(WORDS)
+        for texts in batches:
+            got, want = encoder.encode(pa.array(texts)), whole.encode(pa.array(texts))
+            assert got[0].tolist() == want[0].tolist() and got[1].tolist() == want[1].tolist()
+        assert len(encoder.hashes) <= kept
+
+
 def test_equal_hashes_do_not_join_words(monkeypatch):
     from spanloom.llm import tokens
 
