@@ -6,6 +6,8 @@ import duckdb
 import pytest
 from test_queries import plain
 
+from spanloom.operators import resolve as rs
+from spanloom.operators import scratch
 from spanloom.plans import queries as plans
 
 
@@ -24,3 +26,19 @@ def test_annotations_of_large_keys(spark, large_keys, name):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{large_keys}/lineitem.parquet'")
     assert plain(plans.QUERIES[name](spark, large_keys).toPandas()) == plain(con.execute(plans.ORACLES[name]).df())
+
+
+def test_long_chains_take_few_rounds(spark):
+    """Each row of a chain is cut by the one before it, so all of them decide one after another."""
+    n, step = 2500, 3000
+    rows = [(i, "a", 1 + i * step, i * step + step + 1000 - i // 4, "+", "x", "Class_I", "DANTE_LTR", 1) for i in range(n)]
+    df = spark.createDataFrame(rows, "fid long, seqid string, start_pos long, end_pos long, strand string, name string, classification string, source_tool string, source_tier int")
+    before = len(scratch.made(spark))
+    got = sorted((r.fid, r.start_pos, r.end_pos, r.strand) for r in rs.longest_first(spark, df).collect())
+    assert len(scratch.made(spark)) - before < 12
+    want, reach = [], 0
+    for i, _, s, e, *_ in rows:  # widths fall along the chain
+        if e - max(s, reach + 1) + 1 >= 50:
+            want.append((i, max(s, reach + 1), e, "+" if s > reach else "*"))
+            reach = e
+    assert got == want
