@@ -6,6 +6,7 @@ import duckdb
 import pytest
 from test_queries import plain
 
+from spanloom.operators import hits as ht
 from spanloom.operators import resolve as rs
 from spanloom.operators import scratch
 from spanloom.plans import queries as plans
@@ -42,3 +43,13 @@ def test_long_chains_take_few_rounds(spark):
             want.append((i, max(s, reach + 1), e, "+" if s > reach else "*"))
             reach = e
     assert got == want
+
+
+def test_chains_of_scores_take_few_rounds(spark):
+    """Of a chain of falling scores every other row stays; margins of any width give the same rows."""
+    rows = [("a", 1 + i * 90, 100 + i * 90, i, float(-i)) for i in range(1500)]
+    df = spark.createDataFrame(rows, "seqid string, start_pos long, end_pos long, id long, score double")
+    before = len(scratch.made(spark))
+    got = sorted(r.id for r in ht.best_scoring(spark, df, 64).collect())
+    assert got == list(range(0, 1500, 2))
+    assert len(scratch.made(spark)) - before < 16
