@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import random
+from collections import Counter
+
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 from test_queries import plain
 
 from spanloom.operators import hits as ht
 from spanloom.operators import resolve as rs
-from spanloom.operators import scratch
+from spanloom.operators import intervals as iv
+from spanloom.operators import scratch, sweep
 from spanloom.plans import queries as plans
 
 
@@ -53,3 +58,29 @@ def test_chains_of_scores_take_few_rounds(spark):
     got = sorted(r.id for r in ht.best_scoring(spark, df, 64).collect())
     assert got == list(range(0, 1500, 2))
     assert len(scratch.made(spark)) - before < 16
+
+
+def test_deep_segments(spark):
+    """Segments under many rows come in several batches, and their depths without their members."""
+    n = 800
+    df = spark.createDataFrame([(i, "a", 1 + i, 2 * n - i % 7 + i) for i in range(n)], "fid long, seqid string, start_pos long, end_pos long")
+    found = iv.disjoin(df, "fid").select("seqid", "start_pos", "end_pos", "depth", F.size("members").alias("n"), F.array_min("members").alias("low"), F.array_max("members").alias("high"))
+    got = sorted(map(tuple, found.collect()))
+    assert sum(r[4] for r in got) > sweep.MEMBERS
+    assert [r[:4] for r in got] == sorted(map(tuple, sweep.depths(df).collect()))
+    for _, s, e, depth, size, low, high in got:
+        own = [i for i in range(n) if 1 + i <= s and e <= 2 * n - i % 7 + i]
+        assert (depth, size, low, high) == (len(own), len(own), own[0], own[-1])
+
+
+def test_pairs_are_counted_without_listing_them(spark):
+    """40,000 rows over each other are 8 * 10^8 pairs."""
+    n = 40_000
+    rows = spark.range(n).select(F.col("id"), F.lit("a").alias("seqid"), (F.col("id") % 900 + 1).alias("start_pos"), (F.col("id") % 900 + 70_000).alias("end_pos"), (F.col("id") % 2).cast("string").alias("kind"))
+    found = sweep.pair_counts(rows, "kind", ["start_pos", "end_pos", "id"]).collect()
+    assert sum(r.n for r in found) == n * (n - 1) // 2
+    rnd = random.Random(7)
+    few = [(i, s := rnd.randint(1, 3000), s + rnd.randint(0, 300), str(rnd.randint(0, 3))) for i in range(200)]
+    want = Counter((a[3], b[3]) for a in few for b in few if (a[1], a[2], a[0]) < (b[1], b[2], b[0]) and b[1] <= a[2])
+    df = spark.createDataFrame([("a", *r) for r in few], "seqid string, id long, start_pos long, end_pos long, kind string")
+    assert {(r.first, r.second): r.n for r in sweep.pair_counts(df, "kind", ["start_pos", "end_pos", "id"], 128).collect() if r.n} == want
