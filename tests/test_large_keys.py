@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import random
 from collections import Counter
 
@@ -15,6 +16,7 @@ from spanloom.operators import resolve as rs
 from spanloom.operators import intervals as iv
 from spanloom.operators import scratch, sweep
 from spanloom.plans import queries as plans
+from spanloom.sources import ranges, tabular
 
 
 @pytest.fixture(scope="module")
@@ -84,3 +86,13 @@ def test_pairs_are_counted_without_listing_them(spark):
     want = Counter((a[3], b[3]) for a in few for b in few if (a[1], a[2], a[0]) < (b[1], b[2], b[0]) and b[1] <= a[2])
     df = spark.createDataFrame([("a", *r) for r in few], "seqid string, id long, start_pos long, end_pos long, kind string")
     assert {(r.first, r.second): r.n for r in sweep.pair_counts(df, "kind", ["start_pos", "end_pos", "id"], 128).collect() if r.n} == want
+
+
+def test_small_files_share_tasks(spark, tmp_path):
+    for i in range(300):
+        (tmp_path / f"r{i}.tsv").write_text(f"s\th:m:s\n{i}\t0:00:01\n")
+    (tmp_path / "empty.tsv").write_text("")
+    (tmp_path / "packed.tsv").write_bytes(gzip.compress(b"s\th:m:s\n7\t0:00:02\n"))
+    assert len(ranges.LinesReader({"path": str(tmp_path)}).partitions()) == 1
+    got = {r.rule: r.s for r in tabular.read_benchmarks(spark, str(tmp_path)).collect()}
+    assert got == {**{f"r{i}": float(i) for i in range(300)}, "packed": 7.0}
