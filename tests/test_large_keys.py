@@ -7,6 +7,7 @@ import random
 from collections import Counter
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from test_queries import plain
@@ -96,3 +97,29 @@ def test_small_files_share_tasks(spark, tmp_path):
     assert len(ranges.LinesReader({"path": str(tmp_path)}).partitions()) == 1
     got = {r.rule: r.s for r in tabular.read_benchmarks(spark, str(tmp_path)).collect()}
     assert got == {**{f"r{i}": float(i) for i in range(300)}, "packed": 7.0}
+
+
+def test_best_parents_of_deep_rows(spark):
+    """Rows over and over each other: parents tie, reach over bins and come in several blocks."""
+    rnd = random.Random(8)
+    make = lambda n, wide: [(i, "ab"[i % 2], s := rnd.randint(1, 900), s + rnd.randint(0, wide)) for i in rnd.sample(range(10 * n), n)]
+    kids, above = make(700, 120), make(400, 300)
+    want = {}
+    for c, q, s, e in kids:
+        found = [(-(min(e, y) - max(s, x) + 1), p) for p, r, x, y in above if r == q and x <= e and s <= y]
+        if found:
+            want[c] = min(found)
+    frames = [spark.createDataFrame(x, "fid long, seqid string, start_pos long, end_pos long") for x in (kids, above)]
+    for size in (64, 1 << 16):
+        assert {r.child: (-r.overlap_bp, r.parent) for r in iv.best_parent(*frames, "fid", "fid", size).collect()} == want
+
+
+def test_blocks_hold_bounded_pairs_and_miss_none():
+    n = 6000
+    start, end = np.arange(n) // 7 + 1, np.arange(n) // 7 + 900
+    seen, largest = 0, 0
+    for mine, theirs in sweep.blocks(start, end, start, end):
+        largest = max(largest, len(mine) * len(theirs))
+        seen += int(((start[mine][:, None] <= end[theirs]) & (start[theirs] <= end[mine][:, None])).sum())
+    assert largest <= sweep.CELLS
+    assert seen == n * n  # every pair overlaps
