@@ -10,6 +10,7 @@ from spanloom.functions import labels
 from spanloom.functions import sequences as sq
 from spanloom.operators import intervals as iv
 from spanloom.operators.ordered import running
+from spanloom.operators.sweep import contained
 
 
 def member_split(elements: DataFrame, containers: DataFrame) -> DataFrame:
@@ -31,11 +32,7 @@ def exactly_one_match(
     canonical by the rules of its source, are equal. The outcome names what decided; ``unparseable`` is a class
     that is null or empty or that its source's rules can't read. A parent without a strand takes from both.
     """
-    pairs = iv.overlap_join(candidates, parents, within=True)
-    other = F.col("strand_b").isin("+", "-") & ~F.col("strand_a").eqNullSafe(F.col("strand_b"))
-    found = pairs.filter(~other).groupBy(F.col("fid_b").alias("fid")).agg(
-        F.count(F.lit(1)).alias("_n"), F.min_by(F.struct("fid_a", "classification_a"), "fid_a").alias("_one")
-    )
+    found = contained(parents, candidates).groupBy("fid").agg(F.sum("n").alias("_n"), F.min_by(F.struct(F.col("one").alias("fid_a"), F.col("class").alias("classification_a")), "one").alias("_one"))
     has = children.select(F.col("parent").alias("fid")).distinct().withColumn("_has", F.lit(True))
     rows = parents.join(found, "fid", "left").join(has, "fid", "left")
     own = labels.canonicalise(F.col("classification"), F.lit(parent_source))

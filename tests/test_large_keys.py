@@ -123,3 +123,21 @@ def test_blocks_hold_bounded_pairs_and_miss_none():
         seen += int(((start[mine][:, None] <= end[theirs]) & (start[theirs] <= end[mine][:, None])).sum())
     assert largest <= sweep.CELLS
     assert seen == n * n  # every pair overlaps
+
+
+def test_candidates_inside_deep_parents(spark):
+    rnd = random.Random(9)
+    make = lambda n, wide, kinds: [(i, "ab"[i % 2], s := rnd.randint(1, 900), s + rnd.randint(0, wide), rnd.choice(kinds), f"c{i}") for i in range(n)]
+    above, inner = make(500, 40, "+-."), make(300, 30, ["+", "-", None])
+    want = {}
+    for f, q, s, e, strand, _ in above:
+        found = sorted((i, c) for i, r, x, y, own, c in inner if r == q and s <= x and y <= e and strand in (".", own))
+        if found:
+            want[f] = (len(found), *found[0])
+    frames = [spark.createDataFrame(x, "fid long, seqid string, start_pos long, end_pos long, strand string, classification string") for x in (above, inner)]
+    for size in (64, 1 << 16):
+        got: dict = {}
+        for r in sweep.contained(*frames, size).collect():
+            n, one, cls = got.get(r.fid, (0, r.one, r["class"]))
+            got[r.fid] = (n + r.n, *min((one, cls), (r.one, r["class"])))
+        assert got == want
